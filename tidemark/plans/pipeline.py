@@ -1,0 +1,56 @@
+"""The pipeline's intermediate DataFrames, derived from the driver tables.
+
+readings (events, F7) -> accepted (ingest validation; receipt time = the
+reading's own time, as the simulator sends "now") -> window means (A1) ->
+table (P8 conformance). Metric samples come from the same events (F8).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.operators.ingest import validate
+from tidemark.operators.table import TABLE_COLUMNS, conform_table, split_dead_letters
+from tidemark.operators.windows import window_mean
+from tidemark.schemas import WINDOW_DURATION
+from tidemark.sources.samples import samples_from_events
+from tidemark.sources.tables import read_readings, read_table
+from tidemark.session import ensure_utc
+
+# Parameters of the registered queries (fixed so answers are reproducible).
+INGEST_AS_OF = "2024-01-15 12:00:00"  # receipt time of the ingest batch
+TABLE_AS_OF = "2024-02-01 00:00:00"  # created_at of batch-loaded rows
+SENSOR = "Sensor-7"
+PERIOD = ("2024-01-10T00:00:00", "2024-01-20T00:00:00")
+STATS_AS_OF = "2024-01-20T00:00:00"  # default period: 7 days ending here
+FULL_PERIOD = ("2024-01-01T00:00:00", "2024-02-01T00:00:00")
+PURGED = ["Sensor-1", "Sensor-2"]
+ROWS_PER_BATCH = 500  # intake per trigger for update replays
+RATE_RANGE, RATE_STEP = "2 days", "6 hours"
+GAUGE_LOOKBACK = "1 day"
+
+
+def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_readings(spark, sf_dir)
+
+
+def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings the ingest endpoint accepts (what reaches the raw topic)."""
+    checked = validate(readings(spark, sf_dir), as_of=F.col("timestamp"))
+    return checked.where("accepted").select("event_id", "sensor_id", "timestamp", "temperature", "humidity")
+
+
+def window_means(spark: SparkSession, sf_dir: str, duration: str = WINDOW_DURATION) -> DataFrame:
+    return window_mean(accepted(spark, sf_dir), duration)
+
+
+def analytics_table(spark: SparkSession, sf_dir: str, as_of: str = TABLE_AS_OF) -> DataFrame:
+    """The stored table: final 30 s means conformed to the table types."""
+    good, _ = split_dead_letters(conform_table(window_means(spark, sf_dir), as_of))
+    return good.select(*TABLE_COLUMNS)
+
+
+def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_utc(spark)
+    return samples_from_events(read_table(spark, sf_dir, "events"))
