@@ -168,8 +168,8 @@ def topk(df: DataFrame, k: int, by: str, partition: list[str] | None = None, tie
     if not partition:
         return df.orderBy(*order).limit(k)
     w = Window.partitionBy(*partition).orderBy(*order)
-    ranked = df.withColumn("rank", F.row_number().over(w))
-    return ranked.where(F.col("rank") <= k)
+    ranked = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+    return ranked.withColumn("rank", F.col("_rn").cast("long")).drop("_rn")
 
 
 def last_not_null(samples: DataFrame, series: list[str] = SERIES) -> DataFrame:

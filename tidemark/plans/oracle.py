@@ -222,6 +222,11 @@ def oracle_sql() -> dict[str, str]:
         "envelope_roundtrip": _with(READINGS, ACCEPTED, window_cte("wm", 30_000))
         + "SELECT *, 'analytics_data' AS schema_name, '' AS reason FROM wm",
         "table_rows": _with(*TABLE_CTES) + "SELECT * FROM tbl",
+        "stream_window_mean": _with(READINGS, ACCEPTED, window_cte("wm", DAY_MS))
+        + f"""SELECT sensor_id, "timestamp", {_table_decimal('temperature')} AS temperature,
+       {_table_decimal('humidity')} AS humidity FROM wm""",
+        "archive_readback": _with(READINGS, ACCEPTED, window_cte("wm", 30_000))
+        + 'SELECT *, CAST(make_timestamp("timestamp" * 1000) AS DATE) AS date FROM wm',
         "dead_letters": _with(READINGS, ACCEPTED, CHANGELOG)
         + """SELECT sensor_id, "timestamp", batch_id, 'duplicate_key' AS reason FROM log
 QUALIFY row_number() OVER (PARTITION BY sensor_id, "timestamp" ORDER BY batch_id) > 1""",

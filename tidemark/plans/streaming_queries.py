@@ -1,5 +1,63 @@
-"""Registered queries that run through the streaming and archive paths."""
+"""Registered queries that run through the streaming and archive paths.
+
+``stream_window_mean``: the accepted readings are written as raw-topic
+files in offset order, in ``CHUNKS`` arrivals. After each arrival the
+stream is (re)started from the same checkpoint with ``availableNow``, so
+each arrival is one micro-batch, window state carries over restarts, and
+update mode re-emits windows that span arrivals. The table sink keeps every
+update per batch; reading with policy ``last`` gives one row per key.
+All files live under the session's checkpoint folder.
+"""
 
 from __future__ import annotations
 
-STREAM_QUERIES: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.operators.ingest import encode_messages
+from tidemark.plans import pipeline as P
+from tidemark.session import scratch_path
+from tidemark.sources.store import read_archive, read_table, write_archive
+from tidemark.sources.topic import raw_records, read_raw_files
+from tidemark.streaming.pipeline import run_until_stopped, start_table_sink, window_stream
+
+CHUNKS = 4
+
+
+def _arrivals(readings: DataFrame, chunks: int) -> list[tuple[int, int]]:
+    """Offset ranges [lo, hi) of each arrival (one-row aggregate on the driver)."""
+    bounds = readings.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    if bounds is None or bounds["lo"] is None:
+        return []
+    lo, hi = int(bounds["lo"]), int(bounds["hi"]) + 1
+    step = max(1, -(-(hi - lo) // chunks))
+    return [(a, min(a + step, hi)) for a in range(lo, hi, step)]
+
+
+def stream_window_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "stream")
+    raw_path, table_path, dead_path, checkpoint = (f"{root}/{p}" for p in ("raw", "table", "dead", "checkpoint"))
+    readings = P.accepted(spark, sf_dir)
+    messages = raw_records(
+        encode_messages(readings, carry=["event_id", "timestamp"]).withColumnRenamed("timestamp", "_ts"),
+        offset="event_id",
+        ts="_ts",
+    )
+    for lo, hi in _arrivals(readings, CHUNKS):
+        messages.where(F.col("offset").between(lo, hi - 1)).write.mode("append").parquet(raw_path)
+        means = window_stream(read_raw_files(spark, raw_path), "1 day")
+        query = start_table_sink(means, table_path, dead_path, checkpoint, available_now=True)
+        run_until_stopped(query)
+    return read_table(spark, table_path, policy="last").select("sensor_id", "timestamp", "temperature", "humidity")
+
+
+def archive_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archive")
+    write_archive(P.window_means(spark, sf_dir), path)
+    return read_archive(spark, path).select("sensor_id", "timestamp", "temperature", "humidity", "date")
+
+
+STREAM_QUERIES = {
+    "stream_window_mean": stream_window_mean,
+    "archive_readback": archive_readback,
+}

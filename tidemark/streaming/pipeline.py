@@ -1,0 +1,114 @@
+"""Streaming wiring (T1-T9, S4/S5 in foreachBatch): thin, over pure functions.
+
+raw topic -> decode (P1/P2) -> watermark (T1) -> window mean (T2/T3) ->
+update mode (T4) -> per micro-batch: conform (P8), split dead letters (S5),
+write table rows and dead letters (S4), optionally archive (S7).
+
+The micro-batch is persisted once and released after both writes. Writes
+replace the partition of their own ``batch_id``, so a batch replayed after
+a failure leaves exactly one copy. Late rows beyond the watermark are
+dropped by Spark (T5); ``numRowsDroppedByWatermark`` in the query progress
+counts them.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tidemark import schemas as S
+from tidemark.operators.codec import decode_readings
+from tidemark.operators.table import TABLE_COLUMNS, conform_table, split_dead_letters
+from tidemark.operators.windows import window_mean, with_watermark
+from tidemark.sources.store import write_archive, write_batch_partition
+
+
+def window_stream(
+    raw: DataFrame,
+    duration: str = S.WINDOW_DURATION,
+    watermark: str = S.WATERMARK_DELAY,
+) -> DataFrame:
+    """Raw topic rows -> windowed means; same code for batch and stream."""
+    readings = decode_readings(raw)
+    return window_mean(with_watermark(readings, watermark), duration)
+
+
+def table_batch_writer(
+    table_path: str,
+    dead_path: str,
+    archive_path: str | None = None,
+    as_of: dt.datetime | str | Column | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """The foreachBatch function: conform, split and store one micro-batch."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            stamped = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+            created = as_of if as_of is not None else F.current_timestamp()
+            labelled = conform_table(stamped, created, carry=["batch_id"])
+            good, dead = split_dead_letters(labelled, keep=[*TABLE_COLUMNS, "batch_id"])
+            write_batch_partition(good, table_path)
+            write_batch_partition(dead, dead_path)
+            if archive_path:
+                write_archive(batch.select("sensor_id", "timestamp", "temperature", "humidity"), archive_path)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
+def start_table_sink(
+    means: DataFrame,
+    table_path: str,
+    dead_path: str,
+    checkpoint: str,
+    trigger: str | None = S.TRIGGER_INTERVAL,
+    available_now: bool = False,
+    output_mode: str = "update",
+    archive_path: str | None = None,
+    as_of: dt.datetime | str | Column | None = None,
+    name: str | None = None,
+) -> StreamingQuery:
+    """Start the stream of window means into the table.
+
+    ``checkpoint`` must be durable shared storage; restarting with the
+    same checkpoint resumes state and offsets (T7).
+    """
+    writer = (
+        means.writeStream.outputMode(output_mode)
+        .foreachBatch(table_batch_writer(table_path, dead_path, archive_path, as_of))
+        .option("checkpointLocation", checkpoint)
+    )
+    if name:
+        writer = writer.queryName(name)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif trigger:
+        writer = writer.trigger(processingTime=trigger)
+    return writer.start()
+
+
+def run_until_stopped(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait; stop cleanly on interrupt or error, re-raise errors."""
+    try:
+        query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
+    except KeyboardInterrupt:
+        query.stop()
+    except Exception:
+        query.stop()
+        raise
+
+
+def dropped_by_watermark(query: StreamingQuery) -> int:
+    """T5: rows the stateful step dropped as late, over the retained progress."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
+            value = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
+            total += int(value or 0)
+    return total
