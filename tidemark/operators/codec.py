@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas as S
+from tidemark.functions.checks import label
 from tidemark.functions.time import parse_timestamp
 
 
@@ -71,7 +72,7 @@ def decode_envelope(
     value: str = "value",
     carry: list[str] | None = None,
 ) -> DataFrame:
-    """Envelope JSON -> payload columns + ``reasons``/``reason``.
+    """Envelope JSON -> payload columns + ``reason`` and ``decoded``.
 
     A record without a schema block, or with a required payload field
     missing or mistyped, gets a reason and belongs to the dead letters.
@@ -80,18 +81,18 @@ def decode_envelope(
     parsed = df.select(*(carry or []), F.col(value).cast("string").alias("raw_value"), env.alias("env"))
     malformed = F.col("env.schema").isNull() & F.col("env.payload").isNull()
     checks = [
-        F.when(malformed, F.lit(S.D_ENVELOPE_MALFORMED)),
-        F.when(~malformed & F.col("env.schema").isNull(), F.lit(S.D_SCHEMA_MISSING)),
+        (malformed, S.D_ENVELOPE_MALFORMED),
+        (~malformed & F.col("env.schema").isNull(), S.D_SCHEMA_MISSING),
     ] + [
-        F.when(~malformed & F.col(f"env.payload.{f.name}").isNull(), F.lit(S.D_PAYLOAD_FIELD_MISSING + f.name))
+        (~malformed & F.col(f"env.payload.{f.name}").isNull(), S.D_PAYLOAD_FIELD_MISSING + f.name)
         for f in payload_schema.fields
     ]
-    reasons = F.array_compact(F.array(*checks))
-    out = parsed.select(
+    reason, decoded = label(checks)
+    return parsed.select(
         *(carry or []),
         *[F.col(f"env.payload.{f.name}").alias(f.name) for f in payload_schema.fields],
         F.col("env.schema.name").alias("schema_name"),
         F.col("raw_value"),
-        reasons.alias("reasons"),
+        reason.alias("reason"),
+        decoded.alias("decoded"),
     )
-    return out.withColumn("reason", F.concat_ws(";", "reasons"))

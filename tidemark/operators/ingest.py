@@ -1,8 +1,8 @@
 """Ingest validation (P20-P24), encode (S3), ingest (Q4) and accounting (A5).
 
 Validation is a set of column predicates evaluated in one projection; a
-row is never dropped here, it is labelled: ``reasons`` (array) and
-``reason`` (the same joined by ``;``), ``accepted`` when there is none.
+row is never dropped here, it is labelled: ``reason`` (every failed rule,
+joined by ``;``; empty when none) and ``accepted``.
 Input columns may be strings (lax client input) or typed; strings are
 converted with ``try_cast`` so ANSI mode never raises on junk.
 """
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas as S
+from tidemark.functions.checks import label
 from tidemark.functions.time import as_timestamp_literal, interval, iso_string, parse_timestamp
 
 AsOf = dt.datetime | str | Column
@@ -38,7 +39,7 @@ def validate(df: DataFrame, as_of: AsOf) -> DataFrame:
 
     ``as_of`` is the receipt time: a literal for one request batch, or a
     Column (per-row receipt time). Output replaces the four fields by typed
-    columns and adds ``reasons``, ``reason`` and ``accepted``.
+    columns and adds ``reason`` and ``accepted``.
     """
     raw = {c: F.col(c) for c in ("sensor_id", "timestamp", "temperature", "humidity")}
     sid = raw["sensor_id"].cast("string")
@@ -47,39 +48,28 @@ def validate(df: DataFrame, as_of: AsOf) -> DataFrame:
     hum = _typed(df, "humidity", T.DoubleType())
     now = as_timestamp_literal(as_of)
 
-    checks = [F.when(raw[c].isNull(), F.lit(S.R_MISSING + c)) for c in raw]
+    checks = [(raw[c].isNull(), S.R_MISSING + c) for c in raw]
     checks += [
-        F.when(
-            sid.isNotNull() & ~F.length(sid).between(S.SENSOR_ID_MIN_LEN, S.SENSOR_ID_MAX_LEN),
-            F.lit(S.R_SENSOR_ID_LENGTH),
-        ),
-        F.when(raw["timestamp"].isNotNull() & ts.isNull(), F.lit(S.R_TS_UNPARSEABLE)),
-        F.when(ts > now + interval(S.REJECT_FUTURE), F.lit(S.R_TS_FUTURE)),
-        F.when(ts < now - interval(S.REJECT_PAST), F.lit(S.R_TS_PAST)),
-        F.when(raw["temperature"].isNotNull() & temp.isNull(), F.lit(S.R_TEMPERATURE_INVALID)),
+        (sid.isNotNull() & ~F.length(sid).between(S.SENSOR_ID_MIN_LEN, S.SENSOR_ID_MAX_LEN), S.R_SENSOR_ID_LENGTH),
+        (raw["timestamp"].isNotNull() & ts.isNull(), S.R_TS_UNPARSEABLE),
+        (ts > now + interval(S.REJECT_FUTURE), S.R_TS_FUTURE),
+        (ts < now - interval(S.REJECT_PAST), S.R_TS_PAST),
+        (raw["temperature"].isNotNull() & temp.isNull(), S.R_TEMPERATURE_INVALID),
         # between() fails NaN and infinities (NaN sorts above every number).
-        F.when(
-            temp.isNotNull() & ~temp.between(S.TEMPERATURE_MIN, S.TEMPERATURE_MAX),
-            F.lit(S.R_TEMPERATURE_RANGE),
-        ),
-        F.when(raw["humidity"].isNotNull() & hum.isNull(), F.lit(S.R_HUMIDITY_INVALID)),
-        F.when(
-            hum.isNotNull() & ~hum.between(S.HUMIDITY_MIN, S.HUMIDITY_MAX),
-            F.lit(S.R_HUMIDITY_RANGE),
-        ),
+        (temp.isNotNull() & ~temp.between(S.TEMPERATURE_MIN, S.TEMPERATURE_MAX), S.R_TEMPERATURE_RANGE),
+        (raw["humidity"].isNotNull() & hum.isNull(), S.R_HUMIDITY_INVALID),
+        (hum.isNotNull() & ~hum.between(S.HUMIDITY_MIN, S.HUMIDITY_MAX), S.R_HUMIDITY_RANGE),
     ]
-    reasons = F.array_compact(F.array(*checks))
+    reason, accepted = label(checks)
     others = [c for c in df.columns if c not in raw]
-    out = df.select(
+    return df.select(
         *others,
         sid.alias("sensor_id"),
         ts.alias("timestamp"),
         temp.alias("temperature"),
         hum.alias("humidity"),
-        reasons.alias("reasons"),
-    )
-    return out.withColumn("reason", F.concat_ws(";", "reasons")).withColumn(
-        "accepted", F.size("reasons") == 0
+        reason.alias("reason"),
+        accepted.alias("accepted"),
     )
 
 

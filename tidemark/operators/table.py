@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
+from tidemark.functions.checks import label
 from tidemark.functions.numeric import to_table_decimal
 from tidemark.functions.time import as_timestamp_literal
 from tidemark.operators.windows import MEASURES, window_partials
@@ -25,20 +26,19 @@ KEY = ["sensor_id", "timestamp"]
 def conform_table(df: DataFrame, as_of: dt.datetime | str | Column, carry: list[str] | None = None) -> DataFrame:
     """Cast window means to table types and label what cannot be stored.
 
-    Output: table columns, ``reasons``/``reason``, ``raw_value`` (the input
-    row as JSON, the dead-letter context) and any ``carry`` columns.
+    Output: table columns, ``reason``, ``storable``, ``raw_value`` (the
+    input row as JSON, the dead-letter context) and any ``carry`` columns.
     """
     sid = F.col("sensor_id")
     checks = [
-        F.when(sid.isNull(), F.lit(S.D_NULL_KEY + "sensor_id")),
-        F.when(F.length(sid) > S.TABLE_SENSOR_ID_MAX_LEN, F.lit(S.D_SENSOR_ID_TOO_LONG)),
-        F.when(F.col("timestamp").isNull(), F.lit(S.D_NULL_KEY + "timestamp")),
+        (sid.isNull(), S.D_NULL_KEY + "sensor_id"),
+        (F.length(sid) > S.TABLE_SENSOR_ID_MAX_LEN, S.D_SENSOR_ID_TOO_LONG),
+        (F.col("timestamp").isNull(), S.D_NULL_KEY + "timestamp"),
     ]
     for m in MEASURES:
-        checks.append(F.when(F.col(m).isNull(), F.lit(S.D_NULL_MEASURE + m)))
-        checks.append(
-            F.when(F.col(m).isNotNull() & to_table_decimal(m).isNull(), F.lit(S.D_DECIMAL_OVERFLOW + m))
-        )
+        checks.append((F.col(m).isNull(), S.D_NULL_MEASURE + m))
+        checks.append((F.col(m).isNotNull() & to_table_decimal(m).isNull(), S.D_DECIMAL_OVERFLOW + m))
+    reason, storable = label(checks)
     source_cols = [c for c in df.columns if c not in (carry or [])]
     out = df.select(
         *(carry or []),
@@ -48,9 +48,10 @@ def conform_table(df: DataFrame, as_of: dt.datetime | str | Column, carry: list[
         to_table_decimal("humidity").alias("humidity"),
         as_timestamp_literal(as_of).alias("created_at"),
         F.to_json(F.struct(*source_cols)).alias("raw_value"),
-        F.array_compact(F.array(*checks)).alias("reasons"),
+        reason.alias("reason"),
+        storable.alias("storable"),
     )
-    return out.withColumn("reason", F.concat_ws(";", "reasons"))
+    return out
 
 
 def split_dead_letters(labelled: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -60,9 +61,9 @@ def split_dead_letters(labelled: DataFrame, keep: list[str] | None = None) -> tu
     the input is read once (the streaming sink does this per micro-batch).
     """
     keep = keep or TABLE_COLUMNS
-    good = labelled.where(F.size("reasons") == 0).select(*keep)
-    dead_cols = [c for c in labelled.columns if c not in ("reasons",)]
-    dead = labelled.where(F.size("reasons") > 0).select(*dead_cols)
+    good = labelled.where(F.col("storable")).select(*keep)
+    dead_cols = [c for c in labelled.columns if c != "storable"]
+    dead = labelled.where(~F.col("storable")).select(*dead_cols)
     return good, dead
 
 

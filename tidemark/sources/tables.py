@@ -26,13 +26,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def readings_from_events(events: DataFrame) -> DataFrame:
-    """Typed readings: event_id, sensor_id, timestamp, temperature, humidity."""
-    return events.select(
+    """Typed readings: event_id, sensor_id, timestamp, temperature, humidity.
+
+    ``json_tuple`` extracts ``k`` once per row in its own plan node. With an
+    inline ``get_json_object`` the validation filter, pushed through the
+    projection, would re-parse the JSON once per reference (3x slower).
+    """
+    extracted = events.select(
         F.col("event_id"),
         F.concat(F.lit("Sensor-"), F.col("user_id").cast("string")).alias("sensor_id"),
         to_timestamp_utc("ts").alias("timestamp"),
         F.col("value").cast("double").alias("temperature"),
-        F.get_json_object("props", "$.k").try_cast("double").alias("humidity"),
+        F.json_tuple("props", "k").alias("_k"),
+    )
+    return extracted.select(
+        "event_id", "sensor_id", "timestamp", "temperature", F.col("_k").try_cast("double").alias("humidity")
     )
 
 
