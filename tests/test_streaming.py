@@ -129,3 +129,16 @@ def test_table_sink_replay_is_idempotent(spark, scratch):
     assert [(r["sensor_id"], float(r["temperature"])) for r in first] == [("a", 1.23)]
     dead = spark.read.parquet(f"{scratch}/dead").collect()
     assert len(dead) == 1 and dead[0]["reason"] == "null_measure:temperature"
+
+
+def test_archive_appends_closed_windows_once(spark, scratch):
+    from tidemark.streaming.pipeline import start_archive
+
+    os.makedirs(f"{scratch}/raw")
+    batches = [[("10:00:01", 10.0)], [("10:00:02", 20.0)], [("10:05:00", 1.0)], [("10:05:01", 3.0)]]
+    for i, rows in enumerate(batches):
+        _raw_file(f"{scratch}/raw/part-{i:03d}.parquet", rows, i * 10, 1_700_000_000 + i * 10)
+    means = window_stream(read_raw_files(spark, f"{scratch}/raw", max_files_per_trigger=1), "30 seconds", "1 minute")
+    start_archive(means, f"{scratch}/archive", f"{scratch}/ckpt", available_now=True).awaitTermination()
+    rows = spark.read.parquet(f"{scratch}/archive").collect()
+    assert [(r["timestamp"], r["temperature"], str(r["date"])) for r in rows] == [(at("10:00:00"), 15.0, "2025-11-15")]

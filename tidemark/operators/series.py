@@ -40,8 +40,11 @@ def previous_in_series(
     for c in carry:
         inner = inner.withColumn(f"prev_{c}", F.lag(c).over(w))
 
+    # Per-column max_by on a plain key keeps a hash aggregate (a struct key
+    # or struct value would force a sort-based one).
+    key = F.col(ts) if not tiebreak else F.struct(*order)
     last = with_b.groupBy(*series, b).agg(
-        F.max_by(F.struct(F.col(ts), *[F.col(c) for c in carry]), F.struct(*order)).alias("_last")
+        F.struct(F.max(ts).alias(ts), *[F.max_by(c, key).alias(c) for c in carry]).alias("_last")
     )
     wb = Window.partitionBy(*series).orderBy(b)
     boundary = last.select(*series, b, F.lag("_last").over(wb).alias("_carry"))

@@ -2,7 +2,9 @@
 
 raw topic -> decode (P1/P2) -> watermark (T1) -> window mean (T2/T3) ->
 update mode (T4) -> per micro-batch: conform (P8), split dead letters (S5),
-write table rows and dead letters (S4), optionally archive (S7).
+write table rows and dead letters (S4). The archive (S7) is a second
+query in append mode: each window is written once, after the watermark
+has passed its end.
 
 The micro-batch is persisted once and released after both writes. Writes
 replace the partition of their own ``batch_id``, so a batch replayed after
@@ -24,7 +26,8 @@ from tidemark import schemas as S
 from tidemark.operators.codec import decode_readings
 from tidemark.operators.table import TABLE_COLUMNS, conform_table, split_dead_letters
 from tidemark.operators.windows import window_mean, with_watermark
-from tidemark.sources.store import write_archive, write_batch_partition
+from tidemark.functions.time import ms_to_ts
+from tidemark.sources.store import write_batch_partition
 
 
 def window_stream(
@@ -40,7 +43,6 @@ def window_stream(
 def table_batch_writer(
     table_path: str,
     dead_path: str,
-    archive_path: str | None = None,
     as_of: dt.datetime | str | Column | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The foreachBatch function: conform, split and store one micro-batch."""
@@ -54,8 +56,6 @@ def table_batch_writer(
             good, dead = split_dead_letters(labelled, keep=[*TABLE_COLUMNS, "batch_id"])
             write_batch_partition(good, table_path)
             write_batch_partition(dead, dead_path)
-            if archive_path:
-                write_archive(batch.select("sensor_id", "timestamp", "temperature", "humidity"), archive_path)
         finally:
             batch.unpersist()
 
@@ -70,7 +70,6 @@ def start_table_sink(
     trigger: str | None = S.TRIGGER_INTERVAL,
     available_now: bool = False,
     output_mode: str = "update",
-    archive_path: str | None = None,
     as_of: dt.datetime | str | Column | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
@@ -81,7 +80,7 @@ def start_table_sink(
     """
     writer = (
         means.writeStream.outputMode(output_mode)
-        .foreachBatch(table_batch_writer(table_path, dead_path, archive_path, as_of))
+        .foreachBatch(table_batch_writer(table_path, dead_path, as_of))
         .option("checkpointLocation", checkpoint)
     )
     if name:
@@ -93,6 +92,34 @@ def start_table_sink(
     return writer.start()
 
 
+def start_archive(
+    means: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: str | None = S.TRIGGER_INTERVAL,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """S7 streaming: append finished windows to the date-partitioned archive.
+
+    Append mode writes a window only once the watermark has passed its end;
+    the newest windows wait for later data. The file sink's own log makes
+    the output exactly-once across restarts.
+    """
+    dated = means.withColumn("date", F.to_date(ms_to_ts("timestamp")))
+    writer = (
+        dated.writeStream.format("parquet")
+        .outputMode("append")
+        .partitionBy("date")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+    )
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif trigger:
+        writer = writer.trigger(processingTime=trigger)
+    return writer.start()
+
+
 def run_until_stopped(query: StreamingQuery, timeout_s: float | None = None) -> None:
     """Wait; stop cleanly on interrupt or error, re-raise errors."""
     try:
