@@ -72,11 +72,15 @@ def start_table_sink(
     output_mode: str = "update",
     as_of: dt.datetime | str | Column | None = None,
     name: str | None = None,
+    no_data_batches: bool | None = None,
 ) -> StreamingQuery:
     """Start the stream of window means into the table.
 
     ``checkpoint`` must be durable shared storage; restarting with the
-    same checkpoint resumes state and offsets (T7).
+    same checkpoint resumes state and offsets (T7). In update mode a batch
+    without input only evicts state and emits nothing, so such batches are
+    skipped unless ``no_data_batches`` asks for them (state is then evicted
+    with the next data batch).
     """
     writer = (
         means.writeStream.outputMode(output_mode)
@@ -89,7 +93,26 @@ def start_table_sink(
         writer = writer.trigger(availableNow=True)
     elif trigger:
         writer = writer.trigger(processingTime=trigger)
-    return writer.start()
+    if no_data_batches is None:
+        no_data_batches = output_mode != "update"
+    return _start_with(means, writer, {"spark.sql.streaming.noDataMicroBatches.enabled": str(no_data_batches).lower()})
+
+
+def _start_with(df: DataFrame, writer, conf: dict[str, str]) -> StreamingQuery:
+    """Start a query with extra SQL settings; the query keeps a copy of the
+    session settings taken at start, so the caller's session is restored."""
+    session = df.sparkSession
+    saved = {k: session.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        session.conf.set(k, v)
+    try:
+        return writer.start()
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                session.conf.unset(k)
+            else:
+                session.conf.set(k, v)
 
 
 def start_archive(
