@@ -103,3 +103,18 @@ def test_purge_by_list_and_frame(spark):
     assert sorted(r[0] for r in purge_sensors(df, ["a", "c"]).collect()) == ["b"]
     ids = spark.createDataFrame([("b",), ("b",)], "id string")
     assert sorted(r[0] for r in purge_sensors(df, ids).collect()) == ["a", "c"]
+
+
+def test_insert_sink_dead_letters_one_pass(spark):
+    from tidemark.operators.table import insert_sink_dead_letters
+
+    log = spark.createDataFrame(
+        [("a", 0, 0, 10.0, 1.0), ("a", 0, 1, None, 1.0), ("a", 0, 2, 43.0, 1.0), ("b", 0, 0, 1234.5, 1.0)],
+        "sensor_id string, timestamp long, batch_id long, temperature double, humidity double",
+    )
+    dead = {(r["sensor_id"], r["batch_id"]): r["reason"] for r in insert_sink_dead_letters(log, "2025-01-01").collect()}
+    assert dead == {
+        ("a", 1): "null_measure:temperature;duplicate_key",
+        ("a", 2): "duplicate_key",
+        ("b", 0): "decimal_overflow:temperature",
+    }

@@ -102,10 +102,12 @@ def collapse_updates(changelog: DataFrame, policy: str = "last", order: str = "b
     ``max_by``/``min_by`` keeps partial aggregation; no ranking window.
     """
     pick = {"last": F.max_by, "first": F.min_by}[policy]
+    extreme = {"last": F.max, "first": F.min}[policy]
     others = [c for c in changelog.columns if c not in KEY]
-    packed = F.struct(*[F.col(c) for c in others])
-    out = changelog.groupBy(*KEY).agg(pick(packed, F.col(order)).alias("_row"))
-    return out.select(*KEY, *[F.col(f"_row.{c}").alias(c) for c in others])
+    # One row per key and order value, so picking column by column gives
+    # one consistent row; plain-typed max_by keeps a hash aggregate.
+    aggs = [(extreme(c) if c == order else pick(c, F.col(order))).alias(c) for c in others]
+    return changelog.groupBy(*KEY).agg(*aggs).select(*KEY, *others)
 
 
 def duplicate_updates(changelog: DataFrame, order: str = "batch_id") -> DataFrame:
@@ -119,6 +121,27 @@ def duplicate_updates(changelog: DataFrame, order: str = "batch_id") -> DataFram
     return ranked.where(F.col("_rank") > 1).drop("_rank").withColumn("reason", F.lit(S.D_DUPLICATE_KEY))
 
 
+def insert_sink_dead_letters(
+    changelog: DataFrame,
+    as_of: dt.datetime | str | Column,
+    order: str = "batch_id",
+) -> DataFrame:
+    """Everything a plain insert into the keyed table refuses, in one pass.
+
+    Each update row is conformed (P8) and ranked within its key; rows that
+    cannot be stored or that repeat an existing key are dead letters, with
+    all their reasons joined by ``;``.
+    """
+    w = Window.partitionBy(*KEY).orderBy(order)
+    ranked = changelog.withColumn("_dup", F.row_number().over(w) > 1)
+    labelled = conform_table(ranked, as_of, carry=[order, "_dup"])
+    reason = F.concat_ws(
+        ";", F.when(F.col("reason") != "", F.col("reason")), F.when(F.col("_dup"), F.lit(S.D_DUPLICATE_KEY))
+    )
+    dead = labelled.where(~F.col("storable") | F.col("_dup"))
+    return dead.withColumn("reason", reason).drop("_dup", "storable")
+
+
 def purge_sensors(df: DataFrame, ids: list[str] | DataFrame, column: str = "sensor_id") -> DataFrame:
     """Remove the rows of given sensors.
 

@@ -19,10 +19,8 @@ from tidemark.operators.codec import decode_envelope, decode_readings, encode_en
 from tidemark.operators.ingest import encode_messages, flag_suspicious, ingest_stats, validate
 from tidemark.operators.table import (
     collapse_updates,
-    conform_table,
-    duplicate_updates,
+    insert_sink_dead_letters,
     purge_sensors,
-    split_dead_letters,
     update_changelog,
 )
 from tidemark.plans import pipeline as P
@@ -95,11 +93,8 @@ def _changelog(spark, sf_dir):
 def dead_letters(spark, sf_dir):
     """Dead letters of a plain-insert sink fed by update mode (policy first):
     rows the table types reject, plus repeated keys."""
-    log = _changelog(spark, sf_dir)
-    _, bad = split_dead_letters(conform_table(log, P.TABLE_AS_OF, carry=["batch_id"]))
-    dup = duplicate_updates(log)
-    cols = ["sensor_id", "timestamp", "batch_id", "reason"]
-    return bad.select(*cols).unionByName(dup.select(*cols))
+    dead = insert_sink_dead_letters(_changelog(spark, sf_dir), P.TABLE_AS_OF)
+    return dead.select("sensor_id", "timestamp", "batch_id", "reason")
 
 
 def collapse_last(spark, sf_dir):
