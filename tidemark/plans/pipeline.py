@@ -15,7 +15,7 @@ from tidemark.operators.table import TABLE_COLUMNS, conform_table, split_dead_le
 from tidemark.operators.windows import window_mean
 from tidemark.schemas import WINDOW_DURATION
 from tidemark.sources.samples import samples_from_events
-from tidemark.sources.tables import read_readings, read_table
+from tidemark.sources.tables import read_table, readings_from_events
 from tidemark.session import ensure_utc
 
 # Parameters of the registered queries (fixed so answers are reproducible).
@@ -31,8 +31,22 @@ RATE_RANGE, RATE_STEP = "2 days", "6 hours"
 GAUGE_LOOKBACK = "1 day"
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
+def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One DataFrame per (application, session, table) for the read-only
+    driver tables: the file listing and footer read happen once. Only the
+    plan is kept, no data."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), name)
+    if key not in _TABLES:
+        _TABLES[key] = read_table(spark, sf_dir, name)
+    return _TABLES[key]
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_readings(spark, sf_dir)
+    ensure_utc(spark)
+    return readings_from_events(driver_table(spark, sf_dir, "events"))
 
 
 def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,4 +67,4 @@ def analytics_table(spark: SparkSession, sf_dir: str, as_of: str = TABLE_AS_OF)
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
-    return samples_from_events(read_table(spark, sf_dir, "events"))
+    return samples_from_events(driver_table(spark, sf_dir, "events"))
