@@ -179,7 +179,8 @@ def last_not_null(samples: DataFrame, series: list[str] = SERIES) -> DataFrame:
 
 
 def share_of_total(df: DataFrame, value: str, partition: list[str] | None = None) -> DataFrame:
-    """M8: each row's share of its partition's total (null when total is 0).
+    """M8: each row's share of its partition's total (null when total is 0),
+    and the same as ``percent`` (the donut's value and percent).
 
     Totals are a grouped aggregate joined back; AQE broadcasts them when
     their measured size is small (one row per eval time).
@@ -191,4 +192,5 @@ def share_of_total(df: DataFrame, value: str, partition: list[str] | None = None
     joined = keyed.join(totals, on=keys, how="inner")
     total = F.col("_total").cast("double")
     share = F.when(total == 0, F.lit(None).cast("double")).otherwise(F.col(value).cast("double") / total)
-    return joined.withColumn("share", share).drop("_total", "_all")
+    out = joined.withColumn("share", share).drop("_total", "_all")
+    return out.withColumn("percent", F.col("share") * F.lit(100.0))

@@ -196,7 +196,7 @@ def last_value(spark, sf_dir):
 
 def share_by_label(spark, sf_dir):
     summed = metrics.sum_by(_value_rates(spark, sf_dir), ["namespace"])
-    return metrics.share_of_total(summed, "increase").select("t", "namespace", "increase", "share")
+    return metrics.share_of_total(summed, "increase").select("t", "namespace", "increase", "share", "percent")
 
 
 def banded_series(spark, sf_dir):

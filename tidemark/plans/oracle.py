@@ -284,10 +284,11 @@ QUALIFY rank <= 5""",
         + """SELECT metric, namespace, pod, max(ts) AS ts, arg_max(value, ts) AS value
 FROM samples WHERE value IS NOT NULL GROUP BY metric, namespace, pod""",
         "share_by_label": _with(*RATE_CTES, VALUE_BY_NS)
-        + """SELECT b.t, b.namespace, b.increase,
-       CASE WHEN CAST(tot.total AS DOUBLE) = 0 THEN NULL
-            ELSE CAST(b.increase AS DOUBLE) / CAST(tot.total AS DOUBLE) END AS share
-FROM by_ns b JOIN (SELECT t, SUM(increase) AS total FROM by_ns GROUP BY t) tot ON b.t = tot.t""",
+        + """SELECT t, namespace, increase, share, share * 100.0 AS percent FROM (
+  SELECT b.t, b.namespace, b.increase,
+         CASE WHEN CAST(tot.total AS DOUBLE) = 0 THEN NULL
+              ELSE CAST(b.increase AS DOUBLE) / CAST(tot.total AS DOUBLE) END AS share
+  FROM by_ns b JOIN (SELECT t, SUM(increase) AS total FROM by_ns GROUP BY t) tot ON b.t = tot.t)""",
         "banded_series": _with(SAMPLES, _instant("events_value_total"))
         + """SELECT t, namespace, value,
        CASE WHEN value >= 1024 THEN 'red' WHEN value >= 512 THEN 'yellow' ELSE 'green' END AS band
