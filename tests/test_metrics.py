@@ -142,3 +142,24 @@ def test_bucketed_helpers_equal_plain_windows(spark, points):
     want = brute_rates(rows, 86400, 6 * 3600, T0 - dt.timedelta(days=1), T0 + dt.timedelta(days=5))
     got, _ = spark_rates(spark, rows, "1 day", "6 hours")
     assert got == want
+
+
+def test_map_labels_flatten_and_instant_topk(spark):
+    from tidemark.functions.labels import labels_to_columns
+
+    rows = [
+        ("rx_total", {"namespace": "api", "pod": "p1", "container": "app"}, T0, Decimal("1")),
+        ("rx_total", {"namespace": "api", "pod": "p1", "container": "app"}, T0 + dt.timedelta(seconds=15), Decimal("4")),
+        ("rx_total", {"namespace": "api", "pod": "p2"}, T0, Decimal("1")),
+        ("rx_total", {"namespace": "api", "pod": "p2"}, T0 + dt.timedelta(seconds=15), Decimal("2")),
+    ]
+    df = spark.createDataFrame(rows, "metric string, labels map<string,string>, ts timestamp, value decimal(38,6)")
+    flat = labels_to_columns(df, ["namespace", "pod", "container"])
+    assert flat.columns == ["metric", "ts", "value", "namespace", "pod", "container"]
+    assert match_labels(flat, [("container", "=", "")]).select("pod").distinct().collect()[0][0] == "p2"
+    rates = metrics.counter_rate(flat, "5 minutes", "15 seconds")
+    at = rates.where(F.col("t") == F.lit(T0 + dt.timedelta(seconds=15)))
+    top = metrics.topk(metrics.sum_by(at, ["pod"]), 1, "rate", partition=[], tiebreak=["pod"])
+    assert [(r["pod"], r["increase"]) for r in top.collect()] == [("p1", Decimal("3"))]
+    plan = spark._jvm.PythonSQLUtils.explainString(top._jdf.queryExecution(), "simple")
+    assert "TakeOrderedAndProject" in plan

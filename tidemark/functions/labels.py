@@ -38,3 +38,13 @@ def match_labels(df: DataFrame, matchers: list[Matcher]) -> DataFrame:
 def organize(df: DataFrame, exclude: list[str]) -> DataFrame:
     """Drop helper columns of a table answer."""
     return df.drop(*exclude)
+
+
+def labels_to_columns(df: DataFrame, keys: list[str], labels: str = "labels") -> DataFrame:
+    """Samples with a ``map<string,string>`` label column -> flat label columns.
+
+    Only the named keys become columns (an absent key gives null, which the
+    matchers treat as the empty string); the map column is dropped.
+    """
+    cols = [F.col(labels).getItem(k).alias(k) for k in keys]
+    return df.select(*[c for c in df.columns if c != labels], *cols)

@@ -190,6 +190,13 @@ def topk_series(spark, sf_dir):
     return top.select("t", "namespace", "pod", "rate", "rank")
 
 
+def topk_instant(spark, sf_dir):
+    """topk(10, sum(rate) by (namespace, pod)) at one instant (table panel)."""
+    summed = metrics.sum_by(_value_rates(spark, sf_dir), ["namespace", "pod"])
+    at_t = summed.where(F.col("t") == F.lit(P.TOPK_AT).cast("timestamp"))
+    return metrics.topk(at_t, 10, "rate", partition=[], tiebreak=["namespace", "pod"]).select("namespace", "pod", "rate")
+
+
 def last_value(spark, sf_dir):
     return metrics.last_not_null(P.samples(spark, sf_dir)).select("metric", "namespace", "pod", "ts", "value")
 
@@ -259,6 +266,7 @@ QUERIES: dict[str, Query] = {
     "gauge_by_label": gauge_by_label,
     "combined_rate": combined_rate,
     "topk_series": topk_series,
+    "topk_instant": topk_instant,
     "last_value": last_value,
     "share_by_label": share_by_label,
     "banded_series": banded_series,

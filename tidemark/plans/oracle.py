@@ -280,6 +280,10 @@ WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY t, namespace""",
 FROM (SELECT t, namespace, pod, {_rate('SUM(increase)')} AS rate FROM rates
       WHERE metric = 'events_value_total' GROUP BY t, namespace, pod)
 QUALIFY rank <= 5""",
+        "topk_instant": _with(*RATE_CTES)
+        + f"""SELECT namespace, pod, {_rate('SUM(increase)')} AS rate FROM rates
+WHERE metric = 'events_value_total' AND t = TIMESTAMP '{P.TOPK_AT}'
+GROUP BY namespace, pod ORDER BY rate DESC, namespace, pod LIMIT 10""",
         "last_value": _with(SAMPLES)
         + """SELECT metric, namespace, pod, max(ts) AS ts, arg_max(value, ts) AS value
 FROM samples WHERE value IS NOT NULL GROUP BY metric, namespace, pod""",

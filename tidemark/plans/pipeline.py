@@ -29,6 +29,7 @@ PURGED = ["Sensor-1", "Sensor-2"]
 ROWS_PER_BATCH = 500  # intake per trigger for update replays
 RATE_RANGE, RATE_STEP = "2 days", "6 hours"
 GAUGE_LOOKBACK = "1 day"
+TOPK_AT = "2024-01-20 12:00:00"  # the instant of the top-k table
 
 
 _TABLES: dict[tuple, DataFrame] = {}
