@@ -27,8 +27,11 @@ def test_topic_source_options_follow_the_job():
 def test_topic_sink_needs_durable_checkpoint(spark):
     assert topic_sink_options("b", "analytics-data", "/shared/ckpt")["checkpointLocation"] == "/shared/ckpt"
     df = spark.createDataFrame([("k", "v")], "key string, value string")
+    batch_writer = write_topic(df, "broker:9092")  # batch twin needs no checkpoint
+    assert batch_writer is not None
+    stream = spark.readStream.format("rate").load().selectExpr("cast(value as string) as value")
     with pytest.raises(ValueError):
-        write_topic(df, "broker:9092", checkpoint=None)
+        write_topic(stream, "broker:9092", checkpoint=None)
 
 
 def test_archive_partitions_by_date_and_prunes(spark, scratch):
@@ -46,6 +49,13 @@ def test_archive_partitions_by_date_and_prunes(spark, scratch):
     assert "PartitionFilters" in plan and one_day.count() == 1
 
 
+def test_organize_drops_and_orders(spark):
+    from tidemark.functions.labels import organize
+
+    df = spark.createDataFrame([(1, "a", 2.0, "x")], "Time int, pod string, value double, __name__ string")
+    assert organize(df, ["Time", "__name__"], ["value"]).columns == ["value", "pod"]
+
+
 def test_checkpoint_root_is_stable_and_scratch_is_fresh(spark):
     root = checkpoint_root(spark)
     assert checkpoint_root(spark) == root

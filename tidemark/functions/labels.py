@@ -35,9 +35,11 @@ def match_labels(df: DataFrame, matchers: list[Matcher]) -> DataFrame:
     return df.where(cond)
 
 
-def organize(df: DataFrame, exclude: list[str]) -> DataFrame:
-    """Drop helper columns of a table answer."""
-    return df.drop(*exclude)
+def organize(df: DataFrame, exclude: list[str], order: list[str] | None = None) -> DataFrame:
+    """Drop helper columns of a table answer and put named ones first."""
+    kept = [c for c in df.columns if c not in exclude]
+    first = [c for c in (order or []) if c in kept]
+    return df.select(*first, *[c for c in kept if c not in first])
 
 
 def labels_to_columns(df: DataFrame, keys: list[str], labels: str = "labels") -> DataFrame:

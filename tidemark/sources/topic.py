@@ -9,7 +9,7 @@ local runs; they honour the same per-trigger intake limit.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -55,14 +55,19 @@ def write_topic(
     checkpoint: str | None = None,
     trigger: str = S.TRIGGER_INTERVAL,
     output_mode: str = "update",
-) -> DataStreamWriter:
-    """Stream ``value`` (and ``key`` if present) to a topic; caller starts it.
+) -> DataStreamWriter | DataFrameWriter:
+    """``value`` (and ``key`` if present) to a topic; the caller starts
+    the returned stream writer (or calls ``save()`` on the batch writer).
 
-    ``checkpoint`` must be on durable shared storage (X15).
+    For streams ``checkpoint`` must be on durable shared storage (X15).
     """
+    cols = [c for c in ("key", "value") if c in df.columns]
+    if not df.isStreaming:
+        # Batch twin (e.g. the ingest endpoint's accepted messages): one write.
+        opts = {"kafka.bootstrap.servers": servers, "topic": topic}
+        return df.select(*cols).write.format("kafka").options(**opts)
     if checkpoint is None:
         raise ValueError("a durable checkpoint location is required")
-    cols = [c for c in ("key", "value") if c in df.columns]
     return (
         df.select(*cols)
         .writeStream.format("kafka")
