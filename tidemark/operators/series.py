@@ -36,9 +36,7 @@ def previous_in_series(
     b = "_bucket"
     with_b = df.withColumn(b, bucket_of(ts, bucket_seconds))
     w = Window.partitionBy(*series, b).orderBy(*order)
-    inner = with_b.withColumn(f"prev_{ts}", F.lag(ts).over(w))
-    for c in carry:
-        inner = inner.withColumn(f"prev_{c}", F.lag(c).over(w))
+    inner = with_b.select("*", *[F.lag(c).over(w).alias(f"prev_{c}") for c in (ts, *carry)])
 
     # Per-column max_by on a plain key keeps a hash aggregate (a struct key
     # or struct value would force a sort-based one).
@@ -78,24 +76,14 @@ def running_total(
     frame = (Window.unboundedPreceding, Window.currentRow)
     if split is None:
         w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(*frame)
-        out = df
-        for k, v in vals.items():
-            out = out.withColumn(k, F.sum(v).over(w))
-        return out
-    staged = df
-    for k, v in vals.items():
-        staged = staged.withColumn(f"_v_{k}", v)
+        return df.select("*", *[F.sum(v).over(w).alias(k) for k, v in vals.items()])
+    staged = df.select("*", *[v.alias(f"_v_{k}") for k, v in vals.items()])
     chunk = staged.groupBy(*partition, split).agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in vals])
     wc = Window.partitionBy(*partition).orderBy(split).rowsBetween(Window.unboundedPreceding, -1)
     offsets = chunk.select(
         *partition, split, *[F.coalesce(F.sum(f"_t_{k}").over(wc), F.lit(0)).alias(f"_o_{k}") for k in vals]
     )
     w = Window.partitionBy(*partition, split).orderBy(*order).rowsBetween(*frame)
-    inner = staged
-    for k in vals:
-        inner = inner.withColumn(f"_i_{k}", F.sum(f"_v_{k}").over(w))
+    inner = staged.select(*df.columns, *[F.sum(f"_v_{k}").over(w).alias(f"_i_{k}") for k in vals])
     joined = inner.join(offsets, on=[*partition, split], how="inner")
-    for k in vals:
-        joined = joined.withColumn(k, F.col(f"_i_{k}") + F.col(f"_o_{k}"))
-    drop = [f"_{p}_{k}" for k in vals for p in ("v", "i", "o")]
-    return joined.drop(*drop)
+    return joined.select(*df.columns, *[(F.col(f"_i_{k}") + F.col(f"_o_{k}")).alias(k) for k in vals])
