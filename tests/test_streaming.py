@@ -142,3 +142,43 @@ def test_archive_appends_closed_windows_once(spark, scratch):
     start_archive(means, f"{scratch}/archive", f"{scratch}/ckpt", available_now=True).awaitTermination()
     rows = spark.read.parquet(f"{scratch}/archive").collect()
     assert [(r["timestamp"], r["temperature"], str(r["date"])) for r in rows] == [(at("10:00:00"), 15.0, "2025-11-15")]
+
+
+def test_failed_batch_is_replayed_once_after_restart(spark, scratch):
+    """A micro-batch that dies after writing the table (before its dead
+    letters) is replayed from the checkpoint; its partition is replaced, so
+    the table still holds exactly one copy of every window."""
+    from pyspark.errors import StreamingQueryException
+
+    from tidemark.streaming.pipeline import start_table_sink
+
+    os.makedirs(f"{scratch}/raw")
+    batches = [[("10:00:01", 10.0)], [("10:00:02", 20.0), ("10:01:00", 4.0)]]
+    for i, rows in enumerate(batches):
+        _raw_file(f"{scratch}/raw/part-{i:03d}.parquet", rows, i * 10, 1_700_000_000 + i * 10)
+
+    def means():
+        return window_stream(read_raw_files(spark, f"{scratch}/raw", max_files_per_trigger=1), "30 seconds", "1 minute")
+
+    table, dead, ckpt = f"{scratch}/table", f"{scratch}/dead", f"{scratch}/ckpt"
+    real = table_batch_writer(table, dead, as_of="2025-01-01 00:00:00")
+
+    def crashing(df, batch_id):
+        real(df, batch_id)  # table and dead letters written ...
+        if batch_id == 1:
+            raise RuntimeError("executor lost")  # ... but the batch never commits
+
+    q = (
+        means().writeStream.outputMode("update").foreachBatch(crashing)
+        .option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    )
+    try:
+        q.awaitTermination()
+    except StreamingQueryException:
+        pass
+    start_table_sink(means(), table, dead, ckpt, available_now=True, as_of="2025-01-01 00:00:00").awaitTermination()
+    stored = spark.read.parquet(table)
+    per_key = {(r["timestamp"], r["batch_id"]): r["n"] for r in stored.groupBy("timestamp", "batch_id").count().withColumnRenamed("count", "n").collect()}
+    assert per_key == {(at("10:00:00"), 0): 1, (at("10:00:00"), 1): 1, (at("10:01:00"), 1): 1}
+    final = {r["timestamp"]: float(r["temperature"]) for r in read_table(spark, table).collect()}
+    assert final == {at("10:00:00"): 15.0, at("10:01:00"): 4.0}
