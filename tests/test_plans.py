@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import rows_of  # noqa: E402
 from tidemark.operators import metrics, queries  # noqa: E402
-from tidemark.plans import pipeline as P  # noqa: E402
+from tidemark.plans import derived as P  # noqa: E402
 from tidemark.plans.catalog import QUERIES  # noqa: E402
 from tidemark.sources.tables import TABLES  # noqa: E402
 
@@ -106,7 +106,7 @@ def test_hot_sensor_results_stay_exact(spark, duck):
     from pyspark.sql import functions as F
 
     from tidemark.operators.windows import window_mean
-    from tidemark.plans import pipeline as Pl
+    from tidemark.plans import derived as Pl
 
     hot = Pl.accepted(spark, SF_SMALL).withColumn(
         "sensor_id",

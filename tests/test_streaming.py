@@ -13,7 +13,7 @@ from tidemark.operators.windows import window_mean
 from tidemark.schemas import RAW_RECORD
 from tidemark.sources.store import read_table
 from tidemark.sources.topic import read_raw_files
-from tidemark.streaming.pipeline import dropped_by_watermark, table_batch_writer, window_stream
+from tidemark.streaming.wiring import dropped_by_watermark, table_batch_writer, window_stream
 
 DAY = dt.date(2025, 11, 15)
 
@@ -132,7 +132,7 @@ def test_table_sink_replay_is_idempotent(spark, scratch):
 
 
 def test_archive_appends_closed_windows_once(spark, scratch):
-    from tidemark.streaming.pipeline import start_archive
+    from tidemark.streaming.wiring import start_archive
 
     os.makedirs(f"{scratch}/raw")
     batches = [[("10:00:01", 10.0)], [("10:00:02", 20.0)], [("10:05:00", 1.0)], [("10:05:01", 3.0)]]
@@ -150,7 +150,7 @@ def test_failed_batch_is_replayed_once_after_restart(spark, scratch):
     the table still holds exactly one copy of every window."""
     from pyspark.errors import StreamingQueryException
 
-    from tidemark.streaming.pipeline import start_table_sink
+    from tidemark.streaming.wiring import start_table_sink
 
     os.makedirs(f"{scratch}/raw")
     batches = [[("10:00:01", 10.0)], [("10:00:02", 20.0), ("10:01:00", 4.0)]]

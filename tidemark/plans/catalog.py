@@ -23,7 +23,7 @@ from tidemark.operators.table import (
     purge_sensors,
     update_changelog,
 )
-from tidemark.plans import pipeline as P
+from tidemark.plans import derived as P
 from tidemark.schemas import BAND_NAMESPACE_MEMORY_MIB
 
 Query = Callable[[SparkSession, str], DataFrame]

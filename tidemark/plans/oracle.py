@@ -10,7 +10,7 @@ compare value for value. Table decimals use the text form of the double
 from __future__ import annotations
 
 from tidemark.functions.time import epoch_ms
-from tidemark.plans import pipeline as P
+from tidemark.plans import derived as P
 
 DAY_MS = 86_400_000
 RANGE_S, STEP_S, LOOKBACK_S = 2 * 86400, 6 * 3600, 86400

@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.ingest import encode_messages
-from tidemark.plans import pipeline as P
+from tidemark.plans import derived as P
 from tidemark.session import scratch_path
 from tidemark.sources.store import read_archive, read_table, write_archive
 from tidemark.sources.topic import raw_records, read_raw_files
-from tidemark.streaming.pipeline import run_until_stopped, start_table_sink, window_stream
+from tidemark.streaming.wiring import run_until_stopped, start_table_sink, window_stream
 
 CHUNKS = 4
 
