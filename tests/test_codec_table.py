@@ -118,3 +118,18 @@ def test_insert_sink_dead_letters_one_pass(spark):
         ("a", 2): "duplicate_key",
         ("b", 0): "decimal_overflow:temperature",
     }
+
+
+def test_exact_mean_is_exact_and_order_free(spark):
+    from fractions import Fraction
+
+    from tidemark.functions.numeric import exact_mean
+
+    values = [6.55, -3.000001, 199.99, -273.15, 1e12, 0.000001, -0.000001, 42.5]
+    df = spark.createDataFrame([(i % 3, v) for i, v in enumerate(values)] + [(0, float("nan")), (1, None)], "g int, x double")
+    want = float(sum(Fraction(str(v)) for v in values) / len(values))
+    for parts in (1, 3, 7):
+        got = df.repartition(parts).agg(exact_mean("x").alias("m")).first()["m"]
+        assert got == want
+    per = {r["g"]: r["m"] for r in df.groupBy("g").agg(exact_mean("x").alias("m")).collect()}
+    assert per[0] == float(sum(Fraction(str(v)) for v in values[0::3]) / 3)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,11 +12,21 @@ from tidemark.schemas import TABLE_DECIMAL
 
 ColumnOrName = Column | str
 
-# Scale used when measures are summed exactly. Readings carry far fewer
-# decimals; the sum of decimals does not depend on partition order, so a
-# recomputed task yields the very same mean (stable under retries).
+# Exact, order-independent sums of double measures. A measure becomes an
+# integer count of 1e-6 units (a long) and the longs are summed, so the
+# result does not depend on partition order: a recomputed task yields the
+# very same mean (stable under retries), and Spark and other engines agree.
+# Each unit count is summed as two longs -- the high part (units >> 20) and
+# the low 20 bits -- so a group holding a third of 1e12 rows cannot overflow
+# (the low sum needs ~8.8e12 rows to overflow, the high one ~1e19 in value);
+# the parts are combined once per group in decimal(38,0). Long additions stay
+# on the primitive, codegen'd path; decimal sums above 18 digits run on java
+# BigDecimal, about 10x slower.
 EXACT_SCALE = 6
 EXACT_TYPE = T.DecimalType(24, EXACT_SCALE)
+UNITS_PER_ONE = 10**EXACT_SCALE
+UNIT = decimal.Decimal(1).scaleb(-EXACT_SCALE)
+SPLIT_BITS = 20
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -22,22 +34,40 @@ def _col(c: ColumnOrName) -> Column:
 
 
 def exact(c: ColumnOrName, dtype: T.DecimalType = EXACT_TYPE) -> Column:
-    """Double -> decimal for order-independent sums (null if it overflows)."""
+    """Double -> decimal (null if it overflows)."""
     return _col(c).try_cast(dtype)
 
 
+def exact_units(c: ColumnOrName) -> Column:
+    """Double -> long count of 1e-6 units (nearest); NaN, infinities and
+    values beyond about 9.2e12 give null."""
+    return F.rint(_col(c) * F.lit(float(UNITS_PER_ONE))).try_cast("long")
+
+
+def sum_units(units: ColumnOrName) -> Column:
+    """Aggregate: exact sum of a long unit column as decimal(38,0)."""
+    u = _col(units)
+    high = F.sum(F.shiftright(u, SPLIT_BITS)).cast("decimal(38,0)")
+    low = F.sum(u.bitwiseAND(F.lit((1 << SPLIT_BITS) - 1))).cast("decimal(38,0)")
+    return (high * F.lit(1 << SPLIT_BITS) + low).cast("decimal(38,0)")
+
+
+def units_to_double(total: ColumnOrName) -> Column:
+    """A (decimal) sum of units back to the measure's scale, rounded once."""
+    return (_col(total).cast("decimal(38,0)") * F.lit(UNIT)).cast("double")
+
+
 def exact_sum(c: ColumnOrName) -> Column:
-    """Sum of a double column through decimals (aggregate)."""
-    return F.sum(exact(_col(c)))
+    """Aggregate: exact sum of a double column, as double."""
+    return units_to_double(sum_units(exact_units(c)))
 
 
 def exact_mean(c: ColumnOrName) -> Column:
-    """Mean of a double column whose result does not depend on row order.
-
-    ``sum(decimal) / count`` as one double division; null when no values.
-    """
-    col = _col(c)
-    return F.try_divide(F.sum(exact(col)).cast("double"), F.count(col).cast("double"))
+    """Mean of a double column whose result does not depend on row order:
+    exact sum of 1e-6 units, rounded to double once, divided by the number
+    of summed values; null when there are none."""
+    units = exact_units(c)
+    return F.try_divide(units_to_double(sum_units(units)), F.count(units).cast("double"))
 
 
 def mean_of_decimal(c: ColumnOrName) -> Column:

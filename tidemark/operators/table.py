@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.functions.checks import label
-from tidemark.functions.numeric import to_table_decimal
+from tidemark.functions.numeric import to_table_decimal, units_to_double
 from tidemark.functions.time import as_timestamp_literal
 from tidemark.operators.windows import MEASURES, window_partials
 
@@ -88,7 +88,7 @@ def update_changelog(
     w = Window.partitionBy(*KEY).orderBy("batch_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cols = []
     for m in MEASURES:
-        total = F.sum(f"{m}_sum").over(w).cast("double")
+        total = units_to_double(F.sum(f"{m}_sum").over(w))
         count = F.sum(f"{m}_n").over(w).cast("double")
         cols.append(F.try_divide(total, count).alias(m))
     return partials.select(*KEY, "batch_id", *cols)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import exact, exact_mean
+from tidemark.functions.numeric import exact_mean, exact_units, sum_units
 from tidemark.functions.time import window_start_ms
 from tidemark.schemas import WATERMARK_DELAY, WINDOW_DURATION
 
@@ -59,11 +59,13 @@ def window_partials(
     """Exact partial sums per (key, window, *group_cols).
 
     Output: key, ``timestamp`` (window start ms), group_cols, ``<m>_sum``
-    (decimal) and ``<m>_n`` per measure. Building block for update replays.
+    (decimal(38,0), in 1e-6 units) and ``<m>_n`` per measure. Building block for
+    update replays.
     """
     aggs = []
     for m in measures:
-        aggs.append(F.sum(exact(m)).alias(f"{m}_sum"))
-        aggs.append(F.count(m).alias(f"{m}_n"))
+        units = exact_units(m)
+        aggs.append(sum_units(units).alias(f"{m}_sum"))
+        aggs.append(F.count(units).alias(f"{m}_n"))
     out = df.groupBy(F.col(key), window_start_ms(F.window(ts, duration)).alias("timestamp"), *group_cols).agg(*aggs)
     return out
