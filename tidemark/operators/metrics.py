@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.numeric import sum_units
 from tidemark.functions.time import duration_seconds
 from tidemark.operators.series import previous_in_series
 
@@ -85,15 +86,15 @@ def counter_rate(
     )
     value, before = F.col("value"), F.col("prev_value")
     delta = F.when(value >= before, value - before).otherwise(value)
-    # The delta in integer units of the value's scale: exact, and summed as a
-    # primitive long after the fan-out (decimal sums run on BigDecimal, about
-    # 4x slower). ANSI casts raise rather than wrap if a delta is too large.
+    # The delta in integer units of the value's scale: exact, and summed as
+    # split longs after the fan-out (decimal sums run on BigDecimal, about 4x
+    # slower). ANSI casts raise rather than wrap if one delta is too large.
     units = (delta * F.lit(10**vtype.scale)).cast("long").alias("delta_units")
     pairs = prev.where(F.col("prev_ts").isNotNull()).select(*series, units, "ts", "prev_ts")
     lo = ceil_div(F.unix_micros("ts"), step_us)
     hi = ceil_div(F.unix_micros("prev_ts") + F.lit(range_us), step_us) - F.lit(1)
     fanned = _fan_out(pairs, [*series, "delta_units"], lo, hi, step_s, start, end)
-    inc = fanned.groupBy(*series, "_k").agg(F.sum("delta_units").alias("_units"))
+    inc = fanned.groupBy(*series, "_k").agg(sum_units("delta_units").alias("_units"))
     increase = (F.col("_units").cast("decimal(38,0)") * F.lit(unit)).cast(vtype)
     return inc.select(*series, _eval_time(step_s), increase.alias("increase")).select(
         *series,
