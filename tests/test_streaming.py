@@ -182,3 +182,12 @@ def test_failed_batch_is_replayed_once_after_restart(spark, scratch):
     assert per_key == {(at("10:00:00"), 0): 1, (at("10:00:00"), 1): 1, (at("10:01:00"), 1): 1}
     final = {r["timestamp"]: float(r["temperature"]) for r in read_table(spark, table).collect()}
     assert final == {at("10:00:00"): 15.0, at("10:01:00"): 4.0}
+
+
+def test_window_mean_accepts_ntz_time(spark):
+    df = spark.createDataFrame(
+        [("a", dt.datetime(2025, 11, 15, 10, 0, 1), 10.0, 1.0), ("a", dt.datetime(2025, 11, 15, 10, 0, 29), 20.0, 3.0)],
+        "sensor_id string, timestamp timestamp_ntz, temperature double, humidity double",
+    )
+    out = window_mean(df, "30 seconds").collect()
+    assert [(r["timestamp"], r["temperature"], r["humidity"]) for r in out] == [(at("10:00:00"), 15.0, 2.0)]

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.numeric import exact_mean, exact_units, sum_units
 from tidemark.functions.time import window_start_ms
@@ -18,6 +19,13 @@ from tidemark.schemas import WATERMARK_DELAY, WINDOW_DURATION
 MEASURES = ("temperature", "humidity")
 
 
+def _event_time(df: DataFrame, ts: str):
+    """The event-time column as a UTC timestamp (timestamp_ntz is read as UTC)."""
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        return F.col(ts).cast(T.TimestampType())
+    return F.col(ts)
+
+
 def with_watermark(df: DataFrame, delay: str = WATERMARK_DELAY, ts: str = "timestamp") -> DataFrame:
     """Event-time watermark (T1); a no-op on batch DataFrames."""
     return df.withWatermark(ts, delay)
@@ -40,7 +48,7 @@ def window_mean(
     aggs = [exact_mean(m).alias(m) for m in measures]
     if with_count:
         aggs.append(F.count(F.lit(1)).alias("readings"))
-    grouped = df.groupBy(F.window(ts, duration).alias("window"), F.col(key))
+    grouped = df.groupBy(F.window(_event_time(df, ts), duration).alias("window"), F.col(key))
     out = grouped.agg(*aggs)
     cols = [F.col(key), window_start_ms("window").alias("timestamp"), *[F.col(m) for m in measures]]
     if with_count:
@@ -67,5 +75,6 @@ def window_partials(
         units = exact_units(m)
         aggs.append(sum_units(units).alias(f"{m}_sum"))
         aggs.append(F.count(units).alias(f"{m}_n"))
-    out = df.groupBy(F.col(key), window_start_ms(F.window(ts, duration)).alias("timestamp"), *group_cols).agg(*aggs)
+    start = window_start_ms(F.window(_event_time(df, ts), duration)).alias("timestamp")
+    out = df.groupBy(F.col(key), start, *group_cols).agg(*aggs)
     return out
