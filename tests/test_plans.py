@@ -125,3 +125,10 @@ def test_hot_sensor_results_stay_exact(spark, duck):
                     WHERE value BETWEEN -273.15 AND 200) GROUP BY 1, 2"""
     want = {(s, t): m for s, t, m in duck.execute(sql).fetchall()}
     assert by_key == want
+
+
+def test_registered_table_queries_push_filters(spark):
+    text = plan_text(E.queries()["sensor_data"](spark, SF_SMALL))
+    assert "EqualTo(sensor_id,Sensor-7)" in text and "GreaterThanOrEqual(timestamp," in text
+    stats = plan_text(E.queries()["all_sensor_stats"](spark, SF_SMALL))
+    assert "PushedFilters: [IsNotNull(timestamp), GreaterThanOrEqual(timestamp," in stats

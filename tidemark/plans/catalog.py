@@ -107,46 +107,46 @@ def collapse_first(spark, sf_dir):
 
 # --- Q1-Q3b, L1-L5, A4, P28 ----------------------------------------------------
 def list_sensors(spark, sf_dir):
-    return queries.list_sensors(P.analytics_table(spark, sf_dir))
+    return queries.list_sensors(P.stored_table(spark, sf_dir))
 
 
 def sensor_overview(spark, sf_dir):
-    return queries.sensor_overview(P.analytics_table(spark, sf_dir))
+    return queries.sensor_overview(P.stored_table(spark, sf_dir))
 
 
 def sensor_data(spark, sf_dir):
     start, end = P.PERIOD
-    return queries.sensor_data(P.analytics_table(spark, sf_dir), P.SENSOR, start, end)
+    return queries.sensor_data(P.stored_table(spark, sf_dir), P.SENSOR, start, end)
 
 
 def sensor_stats(spark, sf_dir):
     start, end = P.PERIOD
-    return queries.sensor_stats(P.analytics_table(spark, sf_dir), P.SENSOR, start, end)
+    return queries.sensor_stats(P.stored_table(spark, sf_dir), P.SENSOR, start, end)
 
 
 def all_sensor_stats(spark, sf_dir):
-    return queries.all_sensor_stats(P.analytics_table(spark, sf_dir), as_of=P.STATS_AS_OF)
+    return queries.all_sensor_stats(P.stored_table(spark, sf_dir), as_of=P.STATS_AS_OF)
 
 
 def recent_rows(spark, sf_dir):
-    return queries.recent(P.analytics_table(spark, sf_dir), 5)
+    return queries.recent(P.stored_table(spark, sf_dir), 5)
 
 
 def purged_table(spark, sf_dir):
-    return purge_sensors(P.analytics_table(spark, sf_dir), P.PURGED).select(*READING_COLS)
+    return purge_sensors(P.stored_table(spark, sf_dir), P.PURGED).select(*READING_COLS)
 
 
 def reading_counts(spark, sf_dir):
-    return queries.count_readings(P.analytics_table(spark, sf_dir))
+    return queries.count_readings(P.stored_table(spark, sf_dir))
 
 
 def sensor_reading_count(spark, sf_dir):
-    return queries.count_readings(P.analytics_table(spark, sf_dir), P.SENSOR)
+    return queries.count_readings(P.stored_table(spark, sf_dir), P.SENSOR)
 
 
 # --- M1-M10, P10, P11, P27 ------------------------------------------------------
 def _rates(spark, sf_dir):
-    return metrics.counter_rate(P.samples(spark, sf_dir), P.RATE_RANGE, P.RATE_STEP)
+    return metrics.counter_rate(P.stored_samples(spark, sf_dir), P.RATE_RANGE, P.RATE_STEP)
 
 
 def _value_rates(spark, sf_dir):
@@ -167,7 +167,7 @@ def rate_total(spark, sf_dir):
 
 
 def _gauges(spark, sf_dir, metric):
-    samples = P.samples(spark, sf_dir).where(F.col("metric") == metric)
+    samples = P.stored_samples(spark, sf_dir).where(F.col("metric") == metric)
     return metrics.instant_value(samples, P.RATE_STEP, P.GAUGE_LOOKBACK)
 
 
@@ -198,7 +198,7 @@ def topk_instant(spark, sf_dir):
 
 
 def last_value(spark, sf_dir):
-    return metrics.last_not_null(P.samples(spark, sf_dir)).select("metric", "namespace", "pod", "ts", "value")
+    return metrics.last_not_null(P.stored_samples(spark, sf_dir)).select("metric", "namespace", "pod", "ts", "value")
 
 
 def share_by_label(spark, sf_dir):
@@ -213,7 +213,7 @@ def banded_series(spark, sf_dir):
 
 def matched_series(spark, sf_dir):
     matched = match_labels(
-        P.samples(spark, sf_dir),
+        P.stored_samples(spark, sf_dir),
         [("namespace", "=~", "click|view"), ("pod", "!=", "1"), ("container", "!=", "")],
     )
     return matched.groupBy("metric", "namespace", "pod").agg(F.count(F.lit(1)).alias("samples"))
@@ -222,17 +222,17 @@ def matched_series(spark, sf_dir):
 # --- C1-C3 -----------------------------------------------------------------------
 def audit_counts(spark, sf_dir):
     start, end = P.FULL_PERIOD
-    return audit.audit_counts(P.analytics_table(spark, sf_dir), start, end)
+    return audit.audit_counts(P.stored_table(spark, sf_dir), start, end)
 
 
 def audit_ranges(spark, sf_dir):
     start, end = P.FULL_PERIOD
-    return audit.audit_ranges(P.analytics_table(spark, sf_dir), start, end)
+    return audit.audit_ranges(P.stored_table(spark, sf_dir), start, end)
 
 
 def audit_integrity(spark, sf_dir):
     sent = P.window_means(spark, sf_dir)
-    stored = P.analytics_table(spark, sf_dir)
+    stored = P.stored_table(spark, sf_dir)
     return audit.integrity_summary(audit.audit_integrity(sent, stored))
 
 
