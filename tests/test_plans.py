@@ -132,3 +132,8 @@ def test_registered_table_queries_push_filters(spark):
     assert "EqualTo(sensor_id,Sensor-7)" in text and "GreaterThanOrEqual(timestamp," in text
     stats = plan_text(E.queries()["all_sensor_stats"](spark, SF_SMALL))
     assert "PushedFilters: [IsNotNull(timestamp), GreaterThanOrEqual(timestamp," in stats
+
+
+def test_metric_filter_reaches_the_samples_scan(spark):
+    text = plan_text(E.queries()["rate_by_label"](spark, SF_SMALL))
+    assert "EqualTo(metric,events_value_total)" in text
