@@ -46,7 +46,10 @@ def stream_window_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     for lo, hi in _arrivals(readings, CHUNKS):
         messages.where(F.col("offset").between(lo, hi - 1)).write.mode("append").parquet(raw_path)
         means = window_stream(read_raw_files(spark, raw_path), "1 day")
-        query = start_table_sink(means, table_path, dead_path, checkpoint, available_now=True)
+        query = start_table_sink(
+            means, table_path, dead_path, checkpoint, available_now=True,
+            state_partitions=spark.sparkContext.defaultParallelism,
+        )
         run_until_stopped(query)
     return read_table(spark, table_path, policy="last").select("sensor_id", "timestamp", "temperature", "humidity")
 

@@ -73,6 +73,7 @@ def start_table_sink(
     as_of: dt.datetime | str | Column | None = None,
     name: str | None = None,
     no_data_batches: bool | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start the stream of window means into the table.
 
@@ -80,7 +81,9 @@ def start_table_sink(
     same checkpoint resumes state and offsets (T7). In update mode a batch
     without input only evicts state and emits nothing, so such batches are
     skipped unless ``no_data_batches`` asks for them (state is then evicted
-    with the next data batch).
+    with the next data batch). ``state_partitions`` fixes the number of
+    state-store partitions at the first start of a checkpoint (later starts
+    keep what the checkpoint recorded); by default the session's setting.
     """
     writer = (
         means.writeStream.outputMode(output_mode)
@@ -95,7 +98,10 @@ def start_table_sink(
         writer = writer.trigger(processingTime=trigger)
     if no_data_batches is None:
         no_data_batches = output_mode != "update"
-    return _start_with(means, writer, {"spark.sql.streaming.noDataMicroBatches.enabled": str(no_data_batches).lower()})
+    conf = {"spark.sql.streaming.noDataMicroBatches.enabled": str(no_data_batches).lower()}
+    if state_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(state_partitions)
+    return _start_with(means, writer, conf)
 
 
 def _start_with(df: DataFrame, writer, conf: dict[str, str]) -> StreamingQuery:
