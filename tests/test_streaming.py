@@ -192,3 +192,19 @@ def test_window_mean_accepts_ntz_time(spark):
     )
     out = window_mean(df, "30 seconds").collect()
     assert [(r["timestamp"], r["temperature"], r["humidity"]) for r in out] == [(at("10:00:00"), 15.0, 2.0)]
+
+
+def test_rocksdb_state_store(spark, scratch):
+    from tidemark.session import ROCKSDB_PROVIDER
+
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB_PROVIDER)
+    try:
+        emitted, _ = _run(spark, scratch, [[("10:00:01", 10.0)], [("10:00:02", 20.0)]])
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    got = [emitted[b] for b in sorted(emitted) if emitted[b]]
+    assert got == [[(at("10:00:00"), 10.0)], [(at("10:00:00"), 15.0)]]
+    suffixes = {f.rsplit(".", 1)[-1] for _, _, fs in os.walk(f"{scratch}/ckpt/state") for f in fs}
+    assert "sst" in suffixes  # state kept in RocksDB files
