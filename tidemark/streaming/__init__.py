@@ -1,0 +1,15 @@
+"""Structured Streaming wiring over the batch operators."""
+
+from tidemark.streaming.wiring import (
+    dropped_by_watermark,
+    run_until_stopped,
+    start_archive,
+    start_table_sink,
+    table_batch_writer,
+    window_stream,
+)
+
+__all__ = [
+    "dropped_by_watermark", "run_until_stopped", "start_archive", "start_table_sink",
+    "table_batch_writer", "window_stream",
+]
