@@ -133,3 +133,19 @@ def test_exact_mean_is_exact_and_order_free(spark):
         assert got == want
     per = {r["g"]: r["m"] for r in df.groupBy("g").agg(exact_mean("x").alias("m")).collect()}
     assert per[0] == float(sum(Fraction(str(v)) for v in values[0::3]) / 3)
+
+
+def test_envelope_dead_letters_keep_source_coordinates(spark):
+    from tidemark.operators.codec import decode_envelope
+
+    raw = spark.createDataFrame(
+        [
+            ("analytics-data", 0, 41, b'{"payload":{"sensor_id":"s1","timestamp":1,"temperature":1.0,"humidity":2.0}}'),
+            ("analytics-data", 0, 42, b"not json"),
+        ],
+        "topic string, partition int, offset long, value binary",
+    )
+    out = decode_envelope(raw, carry=["topic", "partition", "offset"])
+    dead = {r["offset"]: (r["topic"], r["reason"], r["raw_value"]) for r in out.where("NOT decoded").collect()}
+    assert dead[41][:2] == ("analytics-data", "schema_missing") and dead[41][2].startswith('{"payload"')
+    assert dead[42] == ("analytics-data", "envelope_malformed", "not json")
