@@ -1,14 +1,18 @@
 """Column-level functions (no DataFrame shape changes)."""
 
-from tidemark.functions.labels import match_labels, matcher, organize
+from tidemark.functions.checks import label
+from tidemark.functions.labels import labels_to_columns, match_labels, matcher, organize
 from tidemark.functions.numeric import (
     band,
     exact,
     exact_mean,
     exact_sum,
+    exact_units,
     mean_of_decimal,
     scale,
+    sum_units,
     to_table_decimal,
+    units_to_double,
 )
 from tidemark.functions.time import (
     as_timestamp_literal,
@@ -28,7 +32,10 @@ __all__ = [
     "exact",
     "exact_mean",
     "exact_sum",
+    "exact_units",
     "iso_string",
+    "label",
+    "labels_to_columns",
     "match_labels",
     "matcher",
     "mean_of_decimal",
@@ -36,8 +43,10 @@ __all__ = [
     "organize",
     "parse_timestamp",
     "scale",
+    "sum_units",
     "to_table_decimal",
     "to_timestamp_utc",
     "ts_to_ms",
+    "units_to_double",
     "window_start_ms",
 ]
