@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from tidemark.llm.embeddings import op3_embedding_neardup
+from tidemark.llm.jaccard import op4_jaccard_join
+from tidemark.llm.mixing import op9_source_mix
 from tidemark.llm.topk import OP1_SQL, op1_kdtree_topk
 
 LLM_QUERIES = {
     "op1_kdtree_topk": op1_kdtree_topk,
     "op3_embedding_neardup": op3_embedding_neardup,
+    "op4_jaccard_join": op4_jaccard_join,
+    "op9_source_mix": op9_source_mix,
 }
 
 LLM_SQL = {"op1_kdtree_topk": OP1_SQL}

@@ -11,7 +11,6 @@ task.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,16 +35,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(4)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = np.full(size, _BASE, np.uint64), np.full(size, _BASE_INV, np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+class Cache(dict):
+    """A dictionary of derived values that travels to the workers empty."""
+
+    def __reduce__(self):
+        return Cache, ()
+
+
+_powers = Cache()
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the hash base, and of its inverse."""
-    up, down = _powers(max(SLICE + 4096, 1 << int(n).bit_length()))
+    size = max(SLICE + 4096, 1 << int(n).bit_length())
+    if size not in _powers:
+        up, down = np.full(size, _BASE, np.uint64), np.full(size, _BASE_INV, np.uint64)
+        up[0] = down[0] = 1
+        _powers.clear()
+        _powers[size] = np.multiply.accumulate(up), np.multiply.accumulate(down)
+    up, down = _powers[size]
     return up[:n], down[:n]
 
 
