@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import sf_table, stash
 
 WEIGHTS, WORD = (5.0, 2.0, 1.0), r"[^\x20\x09-\x0D]+"
-MAX_ROUNDS, GROUP_ROWS, FILL_CLASSES = 40, 20000, 8
+MAX_ROUNDS, GROUP_ROWS, FILL_CLASSES = 40, 20000, 64
 
 
 def source_targets(rows: DataFrame, weights=WEIGHTS, total: float = 1.5, limit: float = 2.0) -> DataFrame:
