@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 from tidemark.llm.embeddings import op3_embedding_neardup
+from tidemark.llm.html import op8_text_density
 from tidemark.llm.jaccard import op4_jaccard_join
+from tidemark.llm.langid import op7_byte_cnn_langid
 from tidemark.llm.mixing import op9_source_mix
+from tidemark.llm.packing import op5_sum_of_squares_packing
 from tidemark.llm.topk import OP1_SQL, op1_kdtree_topk
 
 LLM_QUERIES = {
     "op1_kdtree_topk": op1_kdtree_topk,
     "op3_embedding_neardup": op3_embedding_neardup,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_sum_of_squares_packing": op5_sum_of_squares_packing,
+    "op7_byte_cnn_langid": op7_byte_cnn_langid,
+    "op8_text_density": op8_text_density,
     "op9_source_mix": op9_source_mix,
 }
 
