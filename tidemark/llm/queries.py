@@ -8,6 +8,7 @@ from tidemark.llm.jaccard import op4_jaccard_join
 from tidemark.llm.langid import op7_byte_cnn_langid
 from tidemark.llm.mixing import op9_source_mix
 from tidemark.llm.packing import op5_sum_of_squares_packing
+from tidemark.llm.suffixes import op6_suffix_dedup
 from tidemark.llm.topk import OP1_SQL, op1_kdtree_topk
 
 LLM_QUERIES = {
@@ -15,6 +16,7 @@ LLM_QUERIES = {
     "op3_embedding_neardup": op3_embedding_neardup,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_sum_of_squares_packing": op5_sum_of_squares_packing,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_byte_cnn_langid": op7_byte_cnn_langid,
     "op8_text_density": op8_text_density,
     "op9_source_mix": op9_source_mix,
