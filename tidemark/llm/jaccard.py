@@ -38,6 +38,7 @@ from tidemark.llm.shared import sf_table, stash
 from tidemark.llm.textkit import mix, shingles, slices, word_hashes
 
 SLOTS, RANGE, MAX_MATCH, VERIFY_COST = 1 << 20, 1 << 14, 8, 20.0
+FILTER_BITS = 1 << 24
 
 
 def _slot_counts(width: int):
@@ -113,9 +114,22 @@ def _sets(slots, width: int, num: int, den: int):
     return describe
 
 
-def _whole_sets(width: int):
+def id_bits(ids: DataFrame) -> np.ndarray:
+    """A fixed 2 MB of bits that hold every id (a Bloom filter of one hash)."""
+    bit = F.pmod(F.col("id"), F.lit(FILTER_BITS))
+    words_ = ids.select(F.shiftright(bit, 6).alias("w"), F.expr(f"shiftleft(1L, cast(pmod(id, {FILTER_BITS}) & 63 as int))").alias("v"))
+    found = words_.groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()  # at most FILTER_BITS / 64 rows
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[found["w"].to_numpy()] = found["v"].to_numpy()
+    return out
+
+
+def _whole_sets(bits, width: int):
     def sets(batches):
+        words_ = bits.value
         for batch in batches:
+            at = batch["doc_id"].fill_null(0).to_numpy() % FILTER_BITS
+            batch = batch.filter(pa.array((words_[at >> 6] >> (at & 63) & 1).astype(bool)))
             ids = batch["doc_id"]
             for first, end, buf, off in slices(batch["text"]):
                 own = [s.tobytes() for s in shingles(*word_hashes(buf, off), width)]
@@ -167,11 +181,11 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
         fits = (den + num) * apart <= (den - num) * (F.col("na") + F.col("nb"))
         return pairs.join(x, "a").join(y, "b").where(fits).select("a", "b")
 
-    shared = postings.select(F.col("rep").alias("doc_id")).distinct()
-    items = docs.where("text IS NOT NULL").join(shared, "doc_id", "left_semi").mapInArrow(_whole_sets(width), "doc_id long, items binary")
-    items = stash(items.dropDuplicates(), "items")
-
     def verified(pairs: DataFrame, name: str) -> DataFrame:
+        # whole sets are made for documents of a pair only (and a few others that the bits let through)
+        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
+        bits = docs.sparkSession.sparkContext.broadcast(id_bits(ids))
+        items = stash(docs.where("doc_id IS NOT NULL").mapInArrow(_whole_sets(bits, width), "doc_id long, items binary"), "items")
         x = items.withColumnsRenamed({"doc_id": "a", "items": "x"})
         y = items.withColumnsRenamed({"doc_id": "b", "items": "y"})
         return stash(pairs.join(y, "b").join(x, "a").mapInArrow(_verify(num, den), "a long, b long").distinct(), name)
@@ -197,7 +211,7 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
         F.count("*").alias("shared"), F.any_value(F.least("match", "match2")).alias("due")
     )
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    left = possible(cross.where("shared >= due").select("a", "b").join(done, ["a", "b"], "left_anti"))
+    left = stash(possible(cross.where("shared >= due").select("a", "b").join(done, ["a", "b"], "left_anti")), "pairs")
     links = links.union(verified(left, "links"))
     whole = components(links)
     per = classes.select(*same, "rep").join(whole, F.col("rep") == F.col("node"), "left").select(*same, F.coalesce("component", "rep").alias("component"))
