@@ -7,6 +7,7 @@ from tidemark.llm.html import op8_text_density
 from tidemark.llm.jaccard import op4_jaccard_join
 from tidemark.llm.langid import op7_byte_cnn_langid
 from tidemark.llm.mixing import op9_source_mix
+from tidemark.llm.mixture import op10_context_mixing
 from tidemark.llm.packing import op5_sum_of_squares_packing
 from tidemark.llm.suffixes import op6_suffix_dedup
 from tidemark.llm.topk import OP1_SQL, op1_kdtree_topk
@@ -20,6 +21,7 @@ LLM_QUERIES = {
     "op7_byte_cnn_langid": op7_byte_cnn_langid,
     "op8_text_density": op8_text_density,
     "op9_source_mix": op9_source_mix,
+    "op10_context_mixing": op10_context_mixing,
 }
 
 LLM_SQL = {"op1_kdtree_topk": OP1_SQL}
