@@ -219,5 +219,17 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component"))
 
 
+def keep_one(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of ``docs``, all columns, of one document per component: that of the least id.
+
+    Of several rows with that id the one with the least text stays. Rows without an id stay.
+    """
+    found = jaccard_classes(docs, width, num, den).where("doc_id = component").select("doc_id").distinct()
+    whole = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    first = F.expr("row_number() OVER (PARTITION BY doc_id ORDER BY text)")
+    one = whole.where("doc_id IS NOT NULL").join(found, "doc_id", "left_semi").withColumn("nth", first).where("nth = 1")
+    return one.select("row.*").union(whole.where("doc_id IS NULL").select("row.*"))
+
+
 def op4_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_classes(sf_table(spark, sf_dir, "documents"), width=3, num=90, den=100).withColumnRenamed("component", "component_id")

@@ -158,22 +158,29 @@ def train(labelled: DataFrame) -> ByteNet:
     return net
 
 
-def _predict(state):
-    schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
+def _labels(net: ByteNet, column: pa.Array) -> tuple[list[str], np.ndarray]:
+    """Language and score of every text of a batch."""
+    langs, scores = [], []
+    for first, end, buf, off in slices(column, 1 << 18):
+        pred, score = np.full(end - first, "und", object), np.zeros(end - first)
+        ok = has_letters(buf, off)
+        if net.langs and ok.any():
+            x, doc, used = windows(buf, off)
+            z = net.logits(x) * used[:, None]
+            total = np.stack([np.bincount(doc, z[:, c], end - first) for c in range(len(net.langs))], 1) / np.maximum(1, np.diff(off))[:, None]
+            p = softmax(total)
+            pred[ok], score[ok] = np.array(net.langs, object)[p.argmax(1)][ok], p.max(1)[ok]
+        langs += pred.tolist()
+        scores.append(score)
+    return langs, np.concatenate(scores or [np.zeros(0)])
+
 
+def _predict(state):
     def predict(batches):
-        n = ByteNet.of(state.value)
+        net = ByteNet.of(state.value)
         for batch in batches:
-            for first, end, buf, off in slices(batch["text"], 1 << 18):
-                pred, score = np.full(end - first, "und", object), np.zeros(end - first)
-                ok = has_letters(buf, off)
-                if n.langs and ok.any():
-                    x, doc, used = windows(buf, off)
-                    z = n.logits(x) * used[:, None]
-                    total = np.stack([np.bincount(doc, z[:, c], end - first) for c in range(len(n.langs))], 1) / np.maximum(1, np.diff(off))[:, None]
-                    p = softmax(total)
-                    pred[ok], score[ok] = np.array(n.langs, object)[p.argmax(1)][ok], p.max(1)[ok]
-                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(first, end - first), pa.array(pred, pa.string()), pa.array(score)], schema=schema)
+            langs, scores = _labels(net, batch["text"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(langs, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"])
 
     return predict
 
@@ -184,13 +191,38 @@ def predict(net: ByteNet, docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(net.state())), "doc_id long, lang_pred string, score double")
 
 
+def _keep(state, least: float):
+    def keep(batches):
+        net = ByteNet.of(state.value)
+        for batch in batches:
+            langs, scores = _labels(net, batch["text"])
+            yield batch.filter(pa.array((np.array(langs, object) != "und") & (scores >= least), pa.bool_()))
+
+    return keep
+
+
+def keep_identified(docs: DataFrame, least: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language with a score of ``least`` or more.
+
+    Without any labelled row nothing can be judged: texts are then kept as they are.
+    """
+    net = train(_training(docs))
+    if not net.langs:
+        return docs
+    return docs.mapInArrow(_keep(docs.sparkSession.sparkContext.broadcast(net.state()), least), docs.schema)
+
+
+def _training(docs: DataFrame) -> DataFrame:
+    return docs.where(~held_out() & F.col("text").isNotNull() & F.col("lang").isNotNull())
+
+
 def held_out(doc_id: str = "doc_id", modulus: int = 5, remainder: int = 0):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
 def language_id(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score): trained on the labelled rows of ``docs`` that are not held out."""
-    net = train(docs.where(~held_out() & F.col("text").isNotNull() & F.col("lang").isNotNull()))
+    net = train(_training(docs))
     return predict(net, docs).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 

@@ -143,6 +143,22 @@ def mix(docs: DataFrame, weights=WEIGHTS, total: float = 1.5, limit: int = 2) ->
     )
 
 
+def apply_mix(docs: DataFrame, weights=WEIGHTS, total: float = 1.5, limit: int = 2) -> DataFrame:
+    """The rows of ``docs``, all columns, each as often as its copies say."""
+    key = ["doc_id", "source", "size"]
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    whole = docs.select(F.struct("*").alias("row"), "doc_id", "source", size.alias("size"))
+    # rows that share id, source and size are told apart by number
+    whole = whole.withColumn("nth", F.row_number().over(W.partitionBy(key).orderBy("row.text")))
+    copies = mix(docs, weights, total, limit).select(*(F.col(k).alias(f"{k}_") for k in key), "copies")
+    copies = copies.withColumn("nth_", F.row_number().over(W.partitionBy(*(f"{k}_" for k in key)).orderBy(F.desc("copies"))))
+    same = F.lit(True)
+    for k in [*key, "nth"]:
+        same &= F.col(k).eqNullSafe(F.col(f"{k}_"))
+    joined = whole.join(copies.where("copies > 0"), same)
+    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
+
+
 def op9_source_mix(spark, sf_dir: str) -> DataFrame:
     out = mix(sf_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", "taken", "copies", "rate")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm.chunks import op2_gear_chunk_dedup
 from tidemark.llm.embeddings import op3_embedding_neardup
 from tidemark.llm.html import op8_text_density
 from tidemark.llm.jaccard import op4_jaccard_join
@@ -14,6 +15,7 @@ from tidemark.llm.topk import OP1_SQL, op1_kdtree_topk
 
 LLM_QUERIES = {
     "op1_kdtree_topk": op1_kdtree_topk,
+    "op2_gear_chunk_dedup": op2_gear_chunk_dedup,
     "op3_embedding_neardup": op3_embedding_neardup,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_sum_of_squares_packing": op5_sum_of_squares_packing,

@@ -306,5 +306,24 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     )
 
 
+def cut_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The rows of ``docs``, all columns, with repeated bytes cut from the text; rows left blank by it go.
+
+    Where a column ``n_chars`` exists, it follows the text.
+    """
+    _, cut = repeated_spans(docs, width, keep_text=True)
+    sha = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    whole = docs.select(F.struct("*").alias("row"), sha.alias("sha"), (F.octet_length("text") >= width).alias("long"))
+    copied = whole.groupBy("sha").agg(F.count("*").alias("copies")).where("copies > 1").select(F.col("sha").alias("sha3"))
+    joined = whole.join(cut.select(F.col("sha").alias("sha2"), "kept"), F.col("sha") == F.col("sha2"), "left").join(copied, F.col("sha") == F.col("sha3"), "left")
+    text = F.when(F.col("sha3").isNotNull() & F.col("long"), F.lit("")).otherwise(F.coalesce("kept", "row.text"))
+    changed = F.col("kept").isNotNull() | (F.col("sha3").isNotNull() & F.col("long"))
+    row = joined.withColumn("text", text).where(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    new = F.col("row").withField("text", F.col("text"))
+    if "n_chars" in docs.columns:
+        new = new.withField("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars")))
+    return row.select(new.alias("row")).select("row.*")
+
+
 def op6_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     return suffix_dedup(sf_table(spark, sf_dir, "documents"))
