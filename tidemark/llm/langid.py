@@ -23,7 +23,7 @@ from tidemark.llm.shared import sf_table
 from tidemark.llm.textkit import LOWER, slices
 
 WINDOW, FILTERS, WIDTHS, SNIPPET = 192, 8, (2, 3, 4), 240
-ROWS_PER_LANG, MAX_ROWS, EPOCHS, BATCH = 1000, 12000, 5, 128
+ROWS_PER_LANG, MAX_ROWS, EPOCHS, MIN_STEPS, BATCH = 1000, 12000, 5, 300, 128
 
 
 def windows(buf: np.ndarray, off: np.ndarray, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -70,7 +70,7 @@ class ByteNet:
         params = self.parameters()
         first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
         step = 0
-        for _ in range(epochs):
+        for _ in range(max(epochs, -(-MIN_STEPS * BATCH // len(rows)))):
             for part in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // BATCH)):
                 x = rows[part].copy()
                 keep = np.where(rng.random(len(x)) < 0.5, x.shape[1], rng.integers(12, x.shape[1], len(x)))

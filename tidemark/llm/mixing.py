@@ -60,7 +60,7 @@ def source_targets(rows: DataFrame, weights=WEIGHTS, total: float = 1.5, limit:
 
 def _balance(classes: DataFrame, targets: DataFrame, limit: float) -> DataFrame:
     """(source, lam): the multiplier of each source; null where it is at its limit."""
-    scale = F.sum(F.col("n") * F.col("size") * F.col("size")) / F.sum(F.col("n") * F.col("size"))
+    scale = F.try_divide(F.sum(F.col("n") * F.col("size") * F.col("size")), F.sum(F.col("n") * F.col("size")))
     state = targets.where("source_size > 0").join(classes.groupBy(F.col("source").alias("s")).agg(scale.alias("scale")), F.col("source").eqNullSafe(F.col("s")))
     part = F.col("target") / (limit * F.col("source_size"))
     state = state.where(part < 1 - 1e-12).select(

@@ -313,7 +313,7 @@ def cut_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """
     _, cut = repeated_spans(docs, width, keep_text=True)
     sha = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    whole = docs.select(F.struct("*").alias("row"), sha.alias("sha"), (F.octet_length("text") >= width).alias("long"))
+    whole = docs.select(F.struct("*").alias("row"), sha.alias("sha"), F.coalesce(F.octet_length("text") >= width, F.lit(False)).alias("long"))
     copied = whole.groupBy("sha").agg(F.count("*").alias("copies")).where("copies > 1").select(F.col("sha").alias("sha3"))
     joined = whole.join(cut.select(F.col("sha").alias("sha2"), "kept"), F.col("sha") == F.col("sha2"), "left").join(copied, F.col("sha") == F.col("sha3"), "left")
     text = F.when(F.col("sha3").isNotNull() & F.col("long"), F.lit("")).otherwise(F.coalesce("kept", "row.text"))
