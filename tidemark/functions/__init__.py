@@ -6,7 +6,6 @@ from tidemark.functions.numeric import (
     band,
     exact,
     exact_mean,
-    exact_sum,
     exact_units,
     mean_of_decimal,
     scale,
@@ -21,7 +20,6 @@ from tidemark.functions.time import (
     ms_to_ts,
     parse_timestamp,
     to_timestamp_utc,
-    ts_to_ms,
     window_start_ms,
 )
 
@@ -31,7 +29,6 @@ __all__ = [
     "epoch_ms",
     "exact",
     "exact_mean",
-    "exact_sum",
     "exact_units",
     "iso_string",
     "label",
@@ -46,7 +43,6 @@ __all__ = [
     "sum_units",
     "to_table_decimal",
     "to_timestamp_utc",
-    "ts_to_ms",
     "units_to_double",
     "window_start_ms",
 ]

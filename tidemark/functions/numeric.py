@@ -39,9 +39,12 @@ def exact(c: ColumnOrName, dtype: T.DecimalType = EXACT_TYPE) -> Column:
 
 
 def exact_units(c: ColumnOrName) -> Column:
-    """Double -> long count of 1e-6 units (nearest); NaN, infinities and
-    values beyond about 9.2e12 give null."""
-    return F.rint(_col(c) * F.lit(float(UNITS_PER_ONE))).try_cast("long")
+    """Double -> long count of 1e-6 units, or null where the value is not such a
+    count: NaN, infinities, more than six decimals, beyond about 9.2e12."""
+    col = _col(c)
+    units = F.rint(col * F.lit(float(UNITS_PER_ONE)))
+    whole = units / F.lit(float(UNITS_PER_ONE)) == col
+    return F.when(whole, units.try_cast("long"))
 
 
 def sum_units(units: ColumnOrName) -> Column:
@@ -57,17 +60,14 @@ def units_to_double(total: ColumnOrName) -> Column:
     return (_col(total).cast("decimal(38,0)") * F.lit(UNIT)).cast("double")
 
 
-def exact_sum(c: ColumnOrName) -> Column:
-    """Aggregate: exact sum of a double column, as double."""
-    return units_to_double(sum_units(exact_units(c)))
-
-
 def exact_mean(c: ColumnOrName) -> Column:
-    """Mean of a double column whose result does not depend on row order:
-    exact sum of 1e-6 units, rounded to double once, divided by the number
-    of summed values; null when there are none."""
+    """Mean of a double column. Where all values are counts of 1e-6 units, the
+    result does not depend on row order: their exact sum, rounded to double
+    once and divided by the number of values. Any other value makes it the
+    plain ``avg`` of all of them, so none is left out. Null when there are none."""
     units = exact_units(c)
-    return F.try_divide(units_to_double(sum_units(units)), F.count(units).cast("double"))
+    exact_ = F.try_divide(units_to_double(sum_units(units)), F.count(units).cast("double"))
+    return F.when(F.count(units) == F.count(_col(c)), exact_).otherwise(F.avg(_col(c)))
 
 
 def mean_of_decimal(c: ColumnOrName) -> Column:
@@ -81,9 +81,6 @@ def to_table_decimal(c: ColumnOrName, dtype: T.DecimalType = TABLE_DECIMAL) -> C
     return _col(c).try_cast(dtype)
 
 
-UNIT_DIVISORS = {"B": 1, "KiB": 1024, "MiB": 1024 * 1024, "GiB": 1024 * 1024 * 1024}
-
-
 def scale(c: ColumnOrName, unit: str) -> Column:
     """Bytes -> KiB/MiB/GiB, dividing by 1024 once per step (P10)."""
     col = _col(c).cast("double")

@@ -15,13 +15,19 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+ISO_DATE_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?\s*(Z|[+-]\d{2}(:?\d{2})?)?$"
+
+
 def parse_timestamp(c: ColumnOrName) -> Column:
-    """ISO-8601 string -> timestamp; junk -> null (never raises under ANSI).
+    """ISO-8601 date and time -> timestamp; all else -> null (never raises under ANSI).
 
-    Accepts ``Z`` and ``+hh:mm`` offsets, optional fractions, and naive strings
-    (read as UTC with a UTC session). Timestamp input is passed through.
+    Accepts ``Z`` and ``+hh:mm`` offsets, optional seconds and fractions, and
+    naive strings (read as UTC with a UTC session). A time without a date, a
+    date or a year alone is not a reading time: the answer would depend on
+    the day of the run, or name a whole day.
     """
-    return _col(c).try_cast(T.TimestampType())
+    text = F.trim(_col(c).cast("string"))
+    return F.when(text.rlike(ISO_DATE_TIME), text.try_cast(T.TimestampType()))
 
 
 def to_timestamp_utc(c: ColumnOrName) -> Column:
@@ -39,11 +45,6 @@ def ms_to_ts(c: ColumnOrName) -> Column:
     return F.timestamp_millis(_col(c))
 
 
-def ts_to_ms(c: ColumnOrName) -> Column:
-    """Timestamp -> epoch milliseconds, truncated (P5)."""
-    return F.unix_millis(_col(c))
-
-
 def iso_string(c: ColumnOrName) -> Column:
     """Timestamp -> ISO-8601 text with an explicit ``+00:00`` offset.
 

@@ -20,6 +20,7 @@ from tidemark.functions.checks import label
 from tidemark.functions.time import as_timestamp_literal, interval, iso_string, parse_timestamp
 
 AsOf = dt.datetime | str | Column
+NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 
 
 def _typed(df: DataFrame, name: str, target: T.DataType) -> Column:
@@ -31,6 +32,9 @@ def _typed(df: DataFrame, name: str, target: T.DataType) -> Column:
         if isinstance(source, T.TimestampNTZType):
             return col.cast(T.TimestampType())
         return parse_timestamp(col.cast("string"))
+    if isinstance(source, T.StringType):
+        # a cast alone also takes Java literals such as 22.5d, 0x1p3 or NaN
+        return F.when(F.trim(col).rlike(NUMBER), col.try_cast(target))
     return col.try_cast(target)
 
 

@@ -8,6 +8,10 @@ the grid points it can affect -- at most ``range/step`` of them -- with a
 bounded ``explode(sequence(...))``; there is no join against a time table.
 Every result is a grouped aggregate with map-side partial aggregation.
 
+Null and NaN samples are no samples. An absent (null) label equals the empty
+string. Samples of one time are ordered by value. With ``start``/``end`` only
+the samples that can matter are read: the bound is a plain filter on ``ts``.
+
 Rate definition: increase over the trailing range ``(t - range, t]``, reset
 aware (a drop restarts the counter from 0), divided by the range in seconds,
 defined when the range holds at least two samples. No extrapolation to the
@@ -16,19 +20,15 @@ range edges.
 
 from __future__ import annotations
 
-import decimal
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.numeric import sum_units
 from tidemark.functions.time import duration_seconds
 from tidemark.operators.series import previous_in_series
 
 SERIES = ["metric", "namespace", "pod", "container"]
 US = 1_000_000
-EXACT_VALUE = T.DecimalType(38, 6)  # counters given as double are read at this scale
 
 
 def floor_div(a: Column, b: int) -> Column:
@@ -46,14 +46,34 @@ def _grid(step_s: int, start: str | None, end: str | None) -> tuple[Column | Non
     return lo, hi
 
 
-def _fan_out(df: DataFrame, keep: list[str], lo: Column, hi: Column, step_s: int, start, end) -> DataFrame:
+def usable(samples: DataFrame, series: list[str], reach_s: int, start: str | None, end: str | None) -> DataFrame:
+    """Samples that can affect evaluation times in [start, end]: those of
+    ``(start - reach, end]`` with a value, absent labels as empty strings."""
+    value = F.col("value")
+    kept = samples.where(value.isNotNull())
+    if isinstance(samples.schema["value"].dataType, (T.DoubleType, T.FloatType)):
+        kept = kept.where(~F.isnan(value))
+    if start:
+        kept = kept.where(F.col("ts") > F.lit(start).cast("timestamp") - F.expr(f"INTERVAL {reach_s} SECONDS"))
+    if end:
+        kept = kept.where(F.col("ts") <= F.lit(end).cast("timestamp"))
+    labels = [c if c == "metric" else F.coalesce(c, F.lit("")).alias(c) for c in series]
+    return kept.select(*labels, "ts", "value")
+
+
+def _clip(df: DataFrame, keep: list[str], lo: Column, hi: Column, step_s: int, start, end) -> DataFrame:
     g_lo, g_hi = _grid(step_s, start, end)
     if g_lo is not None:
         lo = F.greatest(lo, g_lo)
     if g_hi is not None:
         hi = F.least(hi, g_hi)
-    bounded = df.select(*keep, lo.alias("_lo"), hi.alias("_hi")).where(F.col("_lo") <= F.col("_hi"))
-    return bounded.select(*keep, F.explode(F.sequence("_lo", "_hi")).alias("_k"))
+    return df.select(*keep, lo.alias("_lo"), hi.alias("_hi")).where(F.col("_lo") <= F.col("_hi"))
+
+
+def _fan_out(clipped: DataFrame) -> DataFrame:
+    return clipped.select(
+        *[c for c in clipped.columns if c not in ("_lo", "_hi")], F.explode(F.sequence("_lo", "_hi")).alias("_k")
+    )
 
 
 def _eval_time(step_s: int) -> Column:
@@ -73,32 +93,29 @@ def counter_rate(
 
     A sample with a predecessor in its series contributes its reset-aware
     delta to every ``t`` with ``ts <= t < prev_ts + range``, i.e. to the
-    ranges that hold both it and its predecessor.
+    ranges that hold both it and its predecessor. Deltas with the same
+    evaluation times are summed before they are fanned out. Decimal counters
+    are summed as decimals (exact, any order); double ones as doubles.
     """
     range_s, step_s = duration_seconds(range_), duration_seconds(step)
     step_us, range_us = step_s * US, range_s * US
-    vtype = samples.schema["value"].dataType
-    if not isinstance(vtype, T.DecimalType):
-        vtype = EXACT_VALUE
-    unit = decimal.Decimal(1).scaleb(-vtype.scale)  # one unit of the last decimal place
     prev = previous_in_series(
-        samples.select(*series, "ts", F.col("value").cast(vtype).alias("value")), series, "ts", ("value",), bucket_seconds
+        usable(samples, series, range_s, start, end), series, "ts", ("value",), bucket_seconds, tiebreak=("value",)
     )
     value, before = F.col("value"), F.col("prev_value")
-    delta = F.when(value >= before, value - before).otherwise(value)
-    # The delta in integer units of the value's scale: exact, and summed as
-    # split longs after the fan-out (decimal sums run on BigDecimal, about 4x
-    # slower). ANSI casts raise rather than wrap if one delta is too large.
-    units = (delta * F.lit(10**vtype.scale)).cast("long").alias("delta_units")
-    pairs = prev.where(F.col("prev_ts").isNotNull()).select(*series, units, "ts", "prev_ts")
+    delta = F.when(value >= before, value - before).otherwise(value).alias("_delta")
+    pairs = prev.where(F.col("prev_ts").isNotNull()).select(*series, delta, "ts", "prev_ts")
     lo = ceil_div(F.unix_micros("ts"), step_us)
     hi = ceil_div(F.unix_micros("prev_ts") + F.lit(range_us), step_us) - F.lit(1)
-    fanned = _fan_out(pairs, [*series, "delta_units"], lo, hi, step_s, start, end)
-    inc = fanned.groupBy(*series, "_k").agg(sum_units("delta_units").alias("_units"))
-    increase = (F.col("_units").cast("decimal(38,0)") * F.lit(unit)).cast(vtype)
-    return inc.select(*series, _eval_time(step_s), increase.alias("increase")).select(
+    clipped = _clip(pairs, [*series, "_delta"], lo, hi, step_s, start, end)
+    summed = clipped.groupBy(*series, "_lo", "_hi").agg(F.sum("_delta").alias("_delta"))
+    inc = _fan_out(summed).groupBy(*series, "_k").agg(F.sum("_delta").alias("increase"))
+    vtype = samples.schema["value"].dataType
+    if isinstance(vtype, T.DecimalType):
+        inc = inc.withColumn("increase", F.col("increase").cast(T.DecimalType(38, vtype.scale)))
+    return inc.select(
         *series,
-        "t",
+        _eval_time(step_s),
         "increase",
         F.lit(range_s).cast("long").alias("range_seconds"),
         (F.col("increase").cast("double") / F.lit(float(range_s))).alias("rate"),
@@ -113,15 +130,20 @@ def instant_value(
     end: str | None = None,
     series: list[str] = SERIES,
 ) -> DataFrame:
-    """Gauge at each eval time: the newest sample in ``(t - lookback, t]``."""
+    """Gauge at each eval time: the newest sample in ``(t - lookback, t]``.
+
+    Samples are reduced to the newest per step first, since an older one in
+    the same step is never the answer.
+    """
     step_s, look_s = duration_seconds(step), duration_seconds(lookback)
     step_us, look_us = step_s * US, look_s * US
-    micros = F.unix_micros("ts")
-    lo = ceil_div(micros, step_us)
-    hi = ceil_div(micros + F.lit(look_us), step_us) - F.lit(1)
-    fanned = _fan_out(samples.where(F.col("value").isNotNull()), [*series, "ts", "value"], lo, hi, step_s, start, end)
-    inst = fanned.groupBy(*series, "_k").agg(F.max_by("value", "ts").alias("value"))
-    return inst.select(*series, _eval_time(step_s), "value")
+    lo = ceil_div(F.unix_micros("ts"), step_us)
+    newest = F.max(F.struct("ts", "value")).alias("_new")
+    reduced = usable(samples, series, look_s, start, end).groupBy(*series, lo.alias("_first")).agg(newest)
+    hi = ceil_div(F.unix_micros("_new.ts") + F.lit(look_us), step_us) - F.lit(1)
+    clipped = _clip(reduced, [*series, "_new"], F.col("_first"), hi, step_s, start, end)
+    inst = _fan_out(clipped).groupBy(*series, "_k").agg(F.max("_new").alias("_new"))
+    return inst.select(*series, _eval_time(step_s), F.col("_new.value").alias("value"))
 
 
 def sum_by(df: DataFrame, by: list[str] | None = None, time: str = "t") -> DataFrame:
@@ -190,23 +212,23 @@ def topk(df: DataFrame, k: int, by: str, partition: list[str] | None = None, tie
 
 def last_not_null(samples: DataFrame, series: list[str] = SERIES) -> DataFrame:
     """M7: newest non-null value of every series (``lastNotNull``)."""
-    rows = samples.where(F.col("value").isNotNull())
-    return rows.groupBy(*series).agg(F.max("ts").alias("ts"), F.max_by("value", "ts").alias("value"))
+    newest = usable(samples, series, 0, None, None).groupBy(*series).agg(F.max(F.struct("ts", "value")).alias("_new"))
+    return newest.select(*series, "_new.ts", "_new.value")
 
 
 def share_of_total(df: DataFrame, value: str, partition: list[str] | None = None) -> DataFrame:
     """M8: each row's share of its partition's total (null when total is 0),
     and the same as ``percent`` (the donut's value and percent).
 
-    Totals are a grouped aggregate joined back; AQE broadcasts them when
-    their measured size is small (one row per eval time).
+    The rows are already summed, so the total is a window over one small
+    group per eval time. With an empty partition the total of all rows is a
+    one-row aggregate, run when this is called.
     """
     partition = partition if partition is not None else ["t"]
-    keyed = df if partition else df.withColumn("_all", F.lit(0))
-    keys = partition or ["_all"]
-    totals = keyed.groupBy(*keys).agg(F.sum(value).alias("_total"))
-    joined = keyed.join(totals, on=keys, how="inner")
-    total = F.col("_total").cast("double")
-    share = F.when(total == 0, F.lit(None).cast("double")).otherwise(F.col(value).cast("double") / total)
-    out = joined.withColumn("share", share).drop("_total", "_all")
-    return out.withColumn("percent", F.col("share") * F.lit(100.0))
+    if partition:
+        total = F.sum(value).over(Window.partitionBy(*partition)).cast("double")
+    else:
+        total = F.lit(df.agg(F.sum(value).cast("double")).first()[0]).cast("double")
+    summed = df.withColumn("_total", total)
+    share = F.when(F.col("_total") == 0, F.lit(None).cast("double")).otherwise(F.col(value).cast("double") / F.col("_total"))
+    return summed.withColumn("share", share).drop("_total").withColumn("percent", F.col("share") * F.lit(100.0))

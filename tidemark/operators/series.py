@@ -8,6 +8,8 @@ bucket-boundary state through a small table with one row per bucket.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,33 +31,27 @@ def previous_in_series(
     """Add ``prev_<ts>`` and ``prev_<c>`` (previous sample of the same series).
 
     Inside a bucket ``lag`` does the work; the first sample of a bucket gets
-    the last sample of the nearest earlier non-empty bucket of its series,
-    found with one ``max_by`` per bucket and a ``lag`` over the bucket table.
+    the last sample (the one without a successor) of the nearest earlier
+    non-empty bucket of its series, from a table with one row per bucket.
+    Both sides share one shuffle. Null labels are values like any other:
+    the join is null-safe. ``tiebreak`` orders samples of one time.
     """
     order = [F.col(ts), *[F.col(c) for c in tiebreak]]
     b = "_bucket"
-    with_b = df.withColumn(b, bucket_of(ts, bucket_seconds))
     w = Window.partitionBy(*series, b).orderBy(*order)
-    inner = with_b.select("*", *[F.lag(c).over(w).alias(f"prev_{c}") for c in (ts, *carry)])
-
-    # Per-column max_by on a plain key keeps a hash aggregate (a struct key
-    # or struct value would force a sort-based one).
-    key = F.col(ts) if not tiebreak else F.struct(*order)
-    last = with_b.groupBy(*series, b).agg(
-        F.struct(F.max(ts).alias(ts), *[F.max_by(c, key).alias(c) for c in carry]).alias("_last")
+    inner = df.withColumn(b, bucket_of(ts, bucket_seconds)).select(
+        "*", *[F.lag(c).over(w).alias(f"prev_{c}") for c in (ts, *carry)], F.lead(ts).over(w).isNull().alias("_final")
     )
+    last = inner.where("_final").select(*series, b, F.struct(ts, *carry).alias("_last"))
     wb = Window.partitionBy(*series).orderBy(b)
-    boundary = last.select(*series, b, F.lag("_last").over(wb).alias("_carry"))
-    joined = inner.join(boundary, on=[*series, b], how="left")
-    first = F.col(f"prev_{ts}").isNull()  # first sample of its bucket
-    out = joined.select(
-        *[c for c in joined.columns if c not in ("_carry", b, f"prev_{ts}", *[f"prev_{c}" for c in carry])],
-        *[
-            F.when(first, F.col(f"_carry.{c}")).otherwise(F.col(f"prev_{c}")).alias(f"prev_{c}")
-            for c in (ts, *carry)
-        ],
+    boundary = last.select(
+        *[F.col(c).alias(f"_b_{c}") for c in (*series, b)], F.lag("_last").over(wb).alias("_carry")
     )
-    return out
+    same = reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in (*series, b)))
+    joined = inner.join(boundary, same, "left")
+    first = F.col(f"prev_{ts}").isNull()  # first sample of its bucket
+    previous = {c: F.when(first, F.col(f"_carry.{c}")).otherwise(F.col(f"prev_{c}")) for c in (ts, *carry)}
+    return joined.select(*df.columns, *[v.alias(f"prev_{c}") for c, v in previous.items()])
 
 
 def running_total(
@@ -85,5 +81,7 @@ def running_total(
     )
     w = Window.partitionBy(*partition, split).orderBy(*order).rowsBetween(*frame)
     inner = staged.select(*df.columns, *[F.sum(f"_v_{k}").over(w).alias(f"_i_{k}") for k in vals])
-    joined = inner.join(offsets, on=[*partition, split], how="inner")
+    keys = [*partition, split]
+    offsets = offsets.withColumnsRenamed({c: f"_p_{c}" for c in keys})
+    joined = inner.join(offsets, reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in keys)))
     return joined.select(*df.columns, *[(F.col(f"_i_{k}") + F.col(f"_o_{k}")).alias(k) for k in vals])

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.labels import match_labels
+from tidemark.functions.labels import match_labels, organize
 from tidemark.functions.numeric import band, scale
 from tidemark.operators import audit, metrics, queries
 from tidemark.operators.codec import decode_envelope, decode_readings, encode_envelope
@@ -190,11 +190,42 @@ def topk_series(spark, sf_dir):
     return top.select("t", "namespace", "pod", "rate", "rank")
 
 
+def counter_rate_bounded(spark, sf_dir):
+    """Rates of one dashboard range: only its samples are read."""
+    rates = metrics.counter_rate(P.stored_samples(spark, sf_dir), P.RATE_RANGE, P.RATE_STEP, *P.RATE_PERIOD)
+    return rates.select("metric", "namespace", "pod", "t", "increase", "rate")
+
+
+def matched_rate(spark, sf_dir):
+    """sum(rate(x{matchers}[range])) by (namespace): labels filtered first."""
+    matched = match_labels(
+        P.stored_samples(spark, sf_dir),
+        [("metric", "=", "events_value_total"), ("namespace", "=~", "click|view"), ("container", "!=", ""), ("pod", "!=", "1")],
+    )
+    summed = metrics.sum_by(metrics.counter_rate(matched, P.RATE_RANGE, P.RATE_STEP, *P.RATE_PERIOD), ["namespace"])
+    return summed.select("t", "namespace", "increase", "rate")
+
+
+def gauge_total(spark, sf_dir):
+    """sum(gauge) in bytes, MiB and GiB."""
+    total = metrics.sum_by(_gauges(spark, sf_dir, "events_value_total"))
+    return total.select("t", "value", scale("value", "MiB").alias("mib"), scale("value", "GiB").alias("gib"))
+
+
+def _rates_at_instant(spark, sf_dir):
+    samples = P.stored_samples(spark, sf_dir).where(F.col("metric") == "events_value_total")
+    rates = metrics.counter_rate(samples, P.RATE_RANGE, P.RATE_STEP, P.TOPK_AT, P.TOPK_AT)
+    return metrics.sum_by(rates, ["namespace", "pod"])
+
+
+def organized_rates(spark, sf_dir):
+    """Table panel: helper columns dropped, the named ones first."""
+    return organize(_rates_at_instant(spark, sf_dir), ["t", "range_seconds"], ["pod", "namespace"])
+
+
 def topk_instant(spark, sf_dir):
     """topk(10, sum(rate) by (namespace, pod)) at one instant (table panel)."""
-    summed = metrics.sum_by(_value_rates(spark, sf_dir), ["namespace", "pod"])
-    at_t = summed.where(F.col("t") == F.lit(P.TOPK_AT).cast("timestamp"))
-    return metrics.topk(at_t, 10, "rate", partition=[], tiebreak=["namespace", "pod"]).select("namespace", "pod", "rate")
+    return metrics.topk(_rates_at_instant(spark, sf_dir), 10, "rate", partition=[], tiebreak=["namespace", "pod"]).select("namespace", "pod", "rate")
 
 
 def last_value(spark, sf_dir):
@@ -206,6 +237,14 @@ def share_by_label(spark, sf_dir):
     return metrics.share_of_total(summed, "increase").select("t", "namespace", "increase", "share", "percent")
 
 
+def share_overall(spark, sf_dir):
+    """Share of the total at one instant (donut without a partition)."""
+    samples = P.stored_samples(spark, sf_dir).where(F.col("metric") == "events_value_total")
+    gauges = metrics.instant_value(samples, P.RATE_STEP, P.GAUGE_LOOKBACK, P.TOPK_AT, P.TOPK_AT)
+    shares = metrics.share_of_total(metrics.sum_by(gauges, ["namespace"]), "value", partition=[])
+    return shares.select("namespace", "value", "share", "percent")
+
+
 def banded_series(spark, sf_dir):
     summed = metrics.sum_by(_gauges(spark, sf_dir, "events_value_total"), ["namespace"])
     return summed.select("t", "namespace", "value", band("value", BAND_NAMESPACE_MEMORY_MIB).alias("band"))
@@ -267,6 +306,11 @@ QUERIES: dict[str, Query] = {
     "combined_rate": combined_rate,
     "topk_series": topk_series,
     "topk_instant": topk_instant,
+    "counter_rate_bounded": counter_rate_bounded,
+    "matched_rate": matched_rate,
+    "gauge_total": gauge_total,
+    "organized_rates": organized_rates,
+    "share_overall": share_overall,
     "last_value": last_value,
     "share_by_label": share_by_label,
     "banded_series": banded_series,

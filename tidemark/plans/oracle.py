@@ -140,23 +140,25 @@ SAMPLES = """ev AS (
 first_ns AS (
   SELECT user_id, first(event_type ORDER BY ts, event_id) AS namespace FROM events GROUP BY user_id),
 counters AS (
-  SELECT user_id, ts,
-         SUM(amount) OVER w AS vsum, COUNT(*) OVER w AS vcnt
+  SELECT user_id, event_id, ts, SUM(amount) OVER w AS vsum, COUNT(*) OVER w AS vcnt
   FROM ev
   WINDOW w AS (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 samples AS (
   SELECT 'events_value_total' AS metric, f.namespace, CAST(c.user_id AS VARCHAR) AS pod,
-         'sensor' AS container, c.ts, CAST(c.vsum AS DECIMAL(38,6)) AS value
-  FROM counters c JOIN first_ns f USING (user_id)
+         CASE WHEN c.user_id % 7 <> 3 THEN 'sensor' END AS container, c.ts,
+         CASE WHEN c.event_id % 13 <> 5 THEN CAST(c.vsum AS DECIMAL(38,6)) END AS value
+  FROM counters c JOIN first_ns f ON c.user_id IS NOT DISTINCT FROM f.user_id
   UNION ALL
-  SELECT 'events_count_total', f.namespace, CAST(c.user_id AS VARCHAR), 'sensor', c.ts,
-         CAST(c.vcnt AS DECIMAL(38,6))
-  FROM counters c JOIN first_ns f USING (user_id))"""
+  SELECT 'events_count_total', f.namespace, CAST(c.user_id AS VARCHAR),
+         CASE WHEN c.user_id % 7 <> 3 THEN 'sensor' END, c.ts,
+         CASE WHEN c.event_id % 13 <> 5 THEN CAST(c.vcnt AS DECIMAL(38,6)) END
+  FROM counters c JOIN first_ns f ON c.user_id IS NOT DISTINCT FROM f.user_id)"""
 
 RATES = f"""prev AS (
   SELECT *, lag(ts) OVER s AS prev_ts, lag(value) OVER s AS prev_value
-  FROM samples WINDOW s AS (PARTITION BY metric, namespace, pod, container ORDER BY ts)),
+  FROM samples WHERE value IS NOT NULL
+  WINDOW s AS (PARTITION BY metric, namespace, pod, container ORDER BY ts, value)),
 pairs AS (
   SELECT metric, namespace, pod, container,
          CASE WHEN value >= prev_value THEN value - prev_value ELSE value END AS delta,
@@ -181,7 +183,7 @@ def _rate(expr: str) -> str:
 def _instant(metric: str) -> str:
     return f"""inst AS (
   SELECT metric, namespace, pod, container, make_timestamp(k * {STEP_US}) AS t,
-         arg_max(value, ts) AS value
+         max(struct_pack(a := ts, b := value)).b AS value
   FROM (SELECT *, unnest(range((epoch_us(ts) + {STEP_US} - 1) // {STEP_US},
                               (epoch_us(ts) + {LOOKBACK_US} + {STEP_US} - 1) // {STEP_US})) AS k
         FROM samples WHERE metric = '{metric}' AND value IS NOT NULL)
@@ -280,12 +282,35 @@ WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY t, namespace""",
 FROM (SELECT t, namespace, pod, {_rate('SUM(increase)')} AS rate FROM rates
       WHERE metric = 'events_value_total' GROUP BY t, namespace, pod)
 QUALIFY rank <= 5""",
+        "counter_rate_bounded": _with(*RATE_CTES)
+        + f"""SELECT metric, namespace, pod, t, increase, {_rate('increase')} AS rate FROM rates
+WHERE t BETWEEN TIMESTAMP '{P.RATE_PERIOD[0]}' AND TIMESTAMP '{P.RATE_PERIOD[1]}'""",
+        "matched_rate": _with(
+            SAMPLES,
+            """matched AS (SELECT * FROM samples WHERE metric = 'events_value_total'
+  AND regexp_full_match(coalesce(namespace, ''), '(?:click|view)')
+  AND coalesce(container, '') <> '' AND coalesce(pod, '') <> '1')""",
+            RATES.replace("FROM samples", "FROM matched"),
+        )
+        + f"""SELECT t, namespace, SUM(increase) AS increase, {_rate('SUM(increase)')} AS rate FROM rates
+WHERE t BETWEEN TIMESTAMP '{P.RATE_PERIOD[0]}' AND TIMESTAMP '{P.RATE_PERIOD[1]}' GROUP BY t, namespace""",
+        "gauge_total": _with(SAMPLES, _instant("events_value_total"))
+        + """SELECT t, value, CAST(value AS DOUBLE) / 1024.0 / 1024.0 AS mib,
+       CAST(value AS DOUBLE) / 1024.0 / 1024.0 / 1024.0 AS gib
+FROM (SELECT t, SUM(value) AS value FROM inst GROUP BY t)""",
+        "organized_rates": _with(*RATE_CTES)
+        + f"""SELECT pod, namespace, SUM(increase) AS increase, {_rate('SUM(increase)')} AS rate FROM rates
+WHERE metric = 'events_value_total' AND t = TIMESTAMP '{P.TOPK_AT}' GROUP BY pod, namespace""",
+        "share_overall": _with(SAMPLES, _instant("events_value_total"))
+        + f"""SELECT namespace, value, share, share * 100.0 AS percent FROM (
+  SELECT namespace, value, CAST(value AS DOUBLE) / CAST(SUM(value) OVER () AS DOUBLE) AS share
+  FROM (SELECT namespace, SUM(value) AS value FROM inst WHERE t = TIMESTAMP '{P.TOPK_AT}' GROUP BY namespace))""",
         "topk_instant": _with(*RATE_CTES)
         + f"""SELECT namespace, pod, {_rate('SUM(increase)')} AS rate FROM rates
 WHERE metric = 'events_value_total' AND t = TIMESTAMP '{P.TOPK_AT}'
 GROUP BY namespace, pod ORDER BY rate DESC, namespace, pod LIMIT 10""",
         "last_value": _with(SAMPLES)
-        + """SELECT metric, namespace, pod, max(ts) AS ts, arg_max(value, ts) AS value
+        + """SELECT metric, namespace, pod, max(ts) AS ts, max(struct_pack(a := ts, b := value)).b AS value
 FROM samples WHERE value IS NOT NULL GROUP BY metric, namespace, pod""",
         "share_by_label": _with(*RATE_CTES, VALUE_BY_NS)
         + """SELECT t, namespace, increase, share, share * 100.0 AS percent FROM (

@@ -30,7 +30,6 @@ SERIES_LIMIT_DEFAULT, SERIES_LIMIT_MAX = 100, 10000
 DEFAULT_PERIOD_DAYS = 7
 RAW_TOPIC = "sensor-data"
 ANALYTICS_TOPIC = "analytics-data"
-DEAD_LETTER_TOPIC = "dlq-analytics-data"
 # Spark type -> schema-block type name used in the envelope.
 ENVELOPE_TYPE_NAMES = {
     "string": "string",
@@ -62,9 +61,6 @@ D_ENVELOPE_MALFORMED = "envelope_malformed"
 D_SCHEMA_MISSING = "schema_missing"
 D_PAYLOAD_FIELD_MISSING = "payload_missing:"  # followed by the field name
 # Dashboard threshold steps: (value where the colour starts, colour).
-BAND_CLUSTER_CPU_CORES = [(None, "green"), (2.0, "yellow"), (4.0, "red")]
-BAND_CLUSTER_MEMORY_GIB = [(None, "green"), (8.0, "yellow"), (12.0, "red")]
-BAND_NAMESPACE_CPU_CORES = [(None, "green"), (0.5, "yellow"), (1.0, "red")]
 BAND_NAMESPACE_MEMORY_MIB = [(None, "green"), (512.0, "yellow"), (1024.0, "red")]
 BAND_DISK_GIB = [(None, "green"), (1.0, "yellow"), (5.0, "red")]
 

@@ -56,14 +56,16 @@ def ensure_utc(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    On a cluster this is ``spark.checkpoint.dir`` (a shared file system that
-    survives executor loss). Only when the session has none -- local tests --
-    a scratch folder is made and registered.
+    This is ``spark.checkpoint.dir``: a shared file system that survives
+    executor loss. Without it a local session (tests) gets a temporary folder;
+    any other session is refused, since each machine would see its own files.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current.rstrip("/")
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(local)
     # setCheckpointDir may add a sub-folder; return what Spark will use.

@@ -12,17 +12,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.labels import labels_to_columns
 from tidemark.functions.time import to_timestamp_utc
 from tidemark.operators.series import running_total
 from tidemark.schemas import METRIC_SAMPLE
 
 VALUE_TYPE = METRIC_SAMPLE["value"].dataType
+LABELS = ["namespace", "pod", "container"]
 
 
-def read_samples(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Parquet samples with the METRIC_SAMPLE shape (batch or stream)."""
-    reader = spark.readStream if streaming else spark.read
-    return reader.schema(METRIC_SAMPLE).parquet(path)
+def read_samples(spark: SparkSession, path: str, streaming: bool = False, schema=None, labels: list[str] = LABELS) -> DataFrame:
+    """Parquet samples as they are stored, decimal or double values alike.
+
+    A ``labels`` map becomes flat label columns. A stream needs ``schema``
+    (METRIC_SAMPLE unless given).
+    """
+    if streaming:
+        df = spark.readStream.schema(schema or METRIC_SAMPLE).parquet(path)
+    else:
+        df = (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    return labels_to_columns(df, labels) if "labels" in df.columns else df
 
 
 def samples_from_events(events: DataFrame) -> DataFrame:
@@ -30,7 +39,9 @@ def samples_from_events(events: DataFrame) -> DataFrame:
 
     The running sums are two-level (per hour chunk, then chunk offsets per
     user-day), so a user with a huge share of events is still split.
-    The first-event label is a grouped ``min_by`` joined back on user.
+    The first-event label is a grouped ``min_by`` joined back on user (null-safe).
+    As in real scrapes, some series lack the ``container`` label (users with
+    ``user_id % 7 = 3``) and some samples have no value (``event_id % 13 = 5``).
     """
     base = events.select(
         "user_id",
@@ -50,21 +61,22 @@ def samples_from_events(events: DataFrame) -> DataFrame:
     first = events.groupBy("user_id").agg(
         F.min_by("event_type", F.struct(to_timestamp_utc("ts"), F.col("event_id"))).alias("namespace")
     )
-    labelled = counted.join(first, on="user_id", how="inner")
+    first = first.withColumnRenamed("user_id", "_user")
+    labelled = counted.join(first, F.col("user_id").eqNullSafe(F.col("_user")), "left")
+    has_value = F.pmod("event_id", F.lit(13)) != 5
     metrics = F.explode(
         F.array(
-            F.struct(F.lit("events_value_total").alias("metric"), F.col("_sum").cast(VALUE_TYPE).alias("value")),
-            F.struct(F.lit("events_count_total").alias("metric"), F.col("_cnt").cast(VALUE_TYPE).alias("value")),
+            F.struct(F.lit("events_value_total").alias("metric"), F.when(has_value, F.col("_sum").cast(VALUE_TYPE)).alias("value")),
+            F.struct(F.lit("events_count_total").alias("metric"), F.when(has_value, F.col("_cnt").cast(VALUE_TYPE)).alias("value")),
         )
     ).alias("_m")
-    exploded = labelled.select(
-        "namespace", F.col("user_id").cast("string").alias("pod"), "ts", metrics
-    )
+    container = F.when(F.coalesce(F.pmod("user_id", F.lit(7)), F.lit(0)) != 3, F.lit("sensor")).alias("container")
+    exploded = labelled.select("namespace", F.col("user_id").cast("string").alias("pod"), container, "ts", metrics)
     return exploded.select(
         F.col("_m.metric").alias("metric"),
         "namespace",
         "pod",
-        F.lit("sensor").alias("container"),
+        "container",
         "ts",
         F.col("_m.value").alias("value"),
     )

@@ -39,7 +39,8 @@ def read_topic(spark: SparkSession, servers: str, topic: str = S.RAW_TOPIC, stre
     opts = topic_source_options(servers, topic, **kw)
     if not streaming:
         opts.pop("maxOffsetsPerTrigger", None)
-        opts["startingOffsets"] = "earliest" if opts["startingOffsets"] == "latest" else opts["startingOffsets"]
+        if opts["startingOffsets"] == "latest":
+            raise ValueError("a batch read cannot start at 'latest'; pass starting='earliest' or explicit offsets")
     reader = spark.readStream if streaming else spark.read
     return reader.format("kafka").options(**opts).load()
 
