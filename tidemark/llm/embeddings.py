@@ -178,3 +178,22 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, cell_rows: int
 def op3_embedding_neardup(spark, sf_dir: str) -> DataFrame:
     rows = sf_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "label", F.col("embedding").alias("vec"))
     return near_duplicates(rows, 0.98).select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
+OP3_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+n AS (SELECT *, sqrt(list_inner_product(e, e)) AS norm FROM v),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.98),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(l.b, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(l.b, vec_id)) AS kept
+FROM embeddings LEFT JOIN least l ON vec_id = l.a LEFT JOIN degree d ON vec_id = d.a
+"""

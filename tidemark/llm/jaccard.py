@@ -233,3 +233,23 @@ def keep_one(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) ->
 
 def op4_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_classes(sf_table(spark, sf_dir, "documents"), width=3, num=90, den=100).withColumnRenamed("component", "component_id")
+
+
+OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END) AS g
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+half AS (SELECT a, b FROM both_ JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * i >= 90 * (x.n + y.n - i)),
+links AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(l.b, w.doc_id)) AS component_id
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN least l ON w.doc_id = l.a
+"""

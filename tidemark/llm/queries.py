@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from tidemark.llm.chunks import op2_gear_chunk_dedup
-from tidemark.llm.embeddings import op3_embedding_neardup
+from tidemark.llm.embeddings import OP3_SQL, op3_embedding_neardup
 from tidemark.llm.html import op8_text_density
-from tidemark.llm.jaccard import op4_jaccard_join
+from tidemark.llm.jaccard import OP4_SQL, op4_jaccard_join
 from tidemark.llm.langid import op7_byte_cnn_langid
 from tidemark.llm.mixing import op9_source_mix
 from tidemark.llm.mixture import op10_context_mixing
@@ -26,4 +26,4 @@ LLM_QUERIES = {
     "op10_context_mixing": op10_context_mixing,
 }
 
-LLM_SQL = {"op1_kdtree_topk": OP1_SQL}
+LLM_SQL = {"op1_kdtree_topk": OP1_SQL, "op3_embedding_neardup": OP3_SQL, "op4_jaccard_join": OP4_SQL}
