@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import sf_table, stash
+from tidemark.llm.shared import scratch, sf_table, stash
 from tidemark.llm.textkit import prefix_hash, slices, span_hash, text_bytes
 
 GEAR, MASK, MIN, MAX, LEAST = 32, 5, 16, 512, 64
@@ -118,18 +118,19 @@ def substring_dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
     ``spans`` are the byte ranges to cut, ``h`` is a hash of the text.
     """
-    kind = "doc_id long, h long, digests array<long>, sizes array<int>"
-    chunks = stash(_documents(docs).mapInArrow(_chunk_rows, kind), "chunks")
-    one = chunks.select("doc_id", "h", F.posexplode(F.arrays_zip("digests", "sizes")).alias("i", "c"))
-    one = one.select("doc_id", "h", "i", F.col("c.digests").alias("d"), F.col("c.sizes").alias("n"))
-    often = one.groupBy("d", "n").count().where("count > 1").select("d", "n")
-    met = stash(one.join(often, ["d", "n"]), "repeated-chunks")
-    first = met.groupBy("d", "n").agg(F.min(F.struct("doc_id", "h", "i")).alias("first"))
-    later = met.join(first, ["d", "n"]).where(~F.struct("doc_id", "h", "i").eqNullSafe(F.col("first")))
-    repeats = later.groupBy(F.col("doc_id").alias("d2"), F.col("h").alias("h2")).agg(F.collect_set("i").alias("repeats"))
-    joined = chunks.select("doc_id", "h", "sizes").join(repeats, F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("h") == F.col("h2")), "left")
-    out = "doc_id long, h long, n_bytes long, n_chunks long, n_repeats long, n_removed long, spans array<struct<s:long,e:long>>"
-    return joined.select("doc_id", "h", "sizes", "repeats").mapInArrow(_spans(least), out)
+    with scratch(docs.sparkSession, "chunks"):
+        kind = "doc_id long, h long, digests array<long>, sizes array<int>"
+        chunks = stash(_documents(docs).mapInArrow(_chunk_rows, kind), "chunks")
+        one = chunks.select("doc_id", "h", F.posexplode(F.arrays_zip("digests", "sizes")).alias("i", "c"))
+        one = one.select("doc_id", "h", "i", F.col("c.digests").alias("d"), F.col("c.sizes").alias("n"))
+        often = one.groupBy("d", "n").count().where("count > 1").select("d", "n")
+        met = stash(one.join(often, ["d", "n"]), "repeated-chunks")
+        first = met.groupBy("d", "n").agg(F.min(F.struct("doc_id", "h", "i")).alias("first"))
+        later = met.join(first, ["d", "n"]).where(~F.struct("doc_id", "h", "i").eqNullSafe(F.col("first")))
+        repeats = later.groupBy(F.col("doc_id").alias("d2"), F.col("h").alias("h2")).agg(F.collect_set("i").alias("repeats"))
+        joined = chunks.select("doc_id", "h", "sizes").join(repeats, F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("h") == F.col("h2")), "left")
+        out = "doc_id long, h long, n_bytes long, n_chunks long, n_repeats long, n_removed long, spans array<struct<s:long,e:long>>"
+        return stash(joined.select("doc_id", "h", "sizes", "repeats").mapInArrow(_spans(least), out), "chunk-spans", keep=True)
 
 
 def _cut(batches):

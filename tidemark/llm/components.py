@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import stash
+from tidemark.llm.shared import scratch, stash
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -30,16 +30,18 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Nodes without links, links to oneself and null ends are not in the result.
     """
-    now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(
-        F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))
-    ).distinct()
-    now, seen = stash(now, "links"), None
-    while True:
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen or not state[0]:
-            break
-        seen = state
-        now = stash(_star(_star(now, True), False), "links")
+    with scratch(edges.sparkSession, "components"):
+        now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(
+            F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))
+        ).distinct()
+        now, seen = stash(now, "links"), None
+        while True:
+            state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+            if state == seen or not state[0]:
+                break
+            seen = state
+            now = stash(_star(_star(now, True), False), "links")
+        now = stash(now, "components", keep=True)
     # now a star: every u points to the least node of its component
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

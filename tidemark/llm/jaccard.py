@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import sf_table, stash
+from tidemark.llm.shared import scratch, sf_table, stash
 from tidemark.llm.textkit import mix, shingles, slices, word_hashes
 
 SLOTS, RANGE, MAX_MATCH, VERIFY_COST = 1 << 20, 1 << 14, 8, 20.0
@@ -159,64 +159,67 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     Documents link when ``den * |intersection| >= num * |union|`` of their
     sets of ``width``-word shingles.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    slots = docs.sparkSession.sparkContext.broadcast(shingle_frequencies(docs, width))
-    sets = stash(docs.mapInArrow(_sets(slots, width, num, den), SETS_SQL), "sets")
-    same = ["d1", "d2"]
-    # equal sets have equal prefixes, so any row of a class stands for it
-    classes = sets.where("n > 0").groupBy(same).agg(F.min("doc_id").alias("rep"), *(F.any_value(c).alias(c) for c in ("n", "match", "sig", "prefix")))
-    classes = stash(classes.where("rep IS NOT NULL"), "classes")
-    info = classes.select("rep", "n", "match", "sig")
-
-    postings = classes.select(F.explode("prefix").alias("token"), "rep", "n", "match")
-    lists = postings.groupBy("token").agg(F.count("*").alias("c"), F.min(F.struct("n", "rep")).alias("pivot")).where("c > 1").drop("c")
-    postings = stash(postings.join(lists, "token"), "postings")
-
-    def possible(pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes and signatures leave the similarity open."""
-        x = info.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
-        y = info.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
-        apart = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(4)), F.lit(0))
-        # |difference| <= (den - num) / (den + num) * (na + nb)
-        fits = (den + num) * apart <= (den - num) * (F.col("na") + F.col("nb"))
-        return pairs.join(x, "a").join(y, "b").where(fits).select("a", "b")
-
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        # whole sets are made for documents of a pair only (and a few others that the bits let through)
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
-        bits = docs.sparkSession.sparkContext.broadcast(id_bits(ids))
-        items = stash(docs.where("doc_id IS NOT NULL").mapInArrow(_whole_sets(bits, width), "doc_id long, items binary"), "items")
-        x = items.withColumnsRenamed({"doc_id": "a", "items": "x"})
-        y = items.withColumnsRenamed({"doc_id": "b", "items": "y"})
-        return stash(pairs.join(y, "b").join(x, "a").mapInArrow(_verify(num, den), "a long, b long").distinct(), name)
-
-    near = F.least("n", "pivot.n") * den >= F.greatest("n", "pivot.n") * num
-    tried = postings.where((F.col("rep") != F.col("pivot.rep")) & near).select(F.col("pivot.rep").alias("a"), F.col("rep").alias("b")).distinct()
-    tried = stash(possible(tried), "pivots")
-    links = verified(tried, "pivot-links")
-
-    found = components(links)
-    member = postings.select("token", "rep", "n", "match").join(found, F.col("rep") == F.col("node"), "left")
-    member = member.select("token", "rep", "n", "match", F.coalesce("component", "rep").alias("c"))
-    mixed = member.groupBy("token", "c").count().groupBy("token").agg(F.max_by("c", F.struct("count", "c")).alias("major"), F.count("*").alias("k"))
-    member = member.join(mixed.where("k > 1").drop("k"), "token")
-    member = stash(member, "members")
-    other = member.where("c <> major").select("token", *(F.col(x).alias(f"{x}2") for x in ("rep", "n", "match", "c")))
-    cross = member.join(other, "token").where(
-        (F.col("c") != F.col("c2"))
-        & ((F.col("c") == F.col("major")) | (F.col("rep") < F.col("rep2")))
-        & (F.least("n", "n2") * den >= F.greatest("n", "n2") * num)
-    )
-    cross = cross.groupBy(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).agg(
-        F.count("*").alias("shared"), F.any_value(F.least("match", "match2")).alias("due")
-    )
-    done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    left = stash(possible(cross.where("shared >= due").select("a", "b").join(done, ["a", "b"], "left_anti")), "pairs")
-    links = links.union(verified(left, "links"))
-    whole = components(links)
-    per = classes.select(*same, "rep").join(whole, F.col("rep") == F.col("node"), "left").select(*same, F.coalesce("component", "rep").alias("component"))
-    out = sets.select("doc_id", "n", *same).join(per, same, "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component"))
+    with scratch(docs.sparkSession, "jaccard"):
+        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        slots = docs.sparkSession.sparkContext.broadcast(shingle_frequencies(docs, width))
+        sets = stash(docs.mapInArrow(_sets(slots, width, num, den), SETS_SQL), "sets")
+        same = ["d1", "d2"]
+        # equal sets have equal prefixes, so any row of a class stands for it
+        classes = sets.where("n > 0").groupBy(same).agg(F.min("doc_id").alias("rep"), *(F.any_value(c).alias(c) for c in ("n", "match", "sig", "prefix")))
+        classes = stash(classes.where("rep IS NOT NULL"), "classes")
+        info = classes.select("rep", "n", "match", "sig")
+
+        postings = classes.select(F.explode("prefix").alias("token"), "rep", "n", "match")
+        lists = postings.groupBy("token").agg(F.count("*").alias("c"), F.min(F.struct("n", "rep")).alias("pivot")).where("c > 1").drop("c")
+        postings = stash(postings.join(lists, "token"), "postings")
+
+        def possible(pairs: DataFrame) -> DataFrame:
+            """Pairs whose sizes and signatures leave the similarity open."""
+            x = info.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
+            y = info.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
+            apart = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(4)), F.lit(0))
+            # |difference| <= (den - num) / (den + num) * (na + nb)
+            fits = (den + num) * apart <= (den - num) * (F.col("na") + F.col("nb"))
+            return pairs.join(x, "a").join(y, "b").where(fits).select("a", "b")
+
+        def verified(pairs: DataFrame, name: str) -> DataFrame:
+            # whole sets are made for documents of a pair only (and a few others that the bits let through)
+            ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
+            bits = docs.sparkSession.sparkContext.broadcast(id_bits(ids))
+            with scratch(docs.sparkSession, "verify"):
+                items = stash(docs.where("doc_id IS NOT NULL").mapInArrow(_whole_sets(bits, width), "doc_id long, items binary"), "items")
+                x = items.withColumnsRenamed({"doc_id": "a", "items": "x"})
+                y = items.withColumnsRenamed({"doc_id": "b", "items": "y"})
+                return stash(pairs.join(y, "b").join(x, "a").mapInArrow(_verify(num, den), "a long, b long").distinct(), name, keep=True)
+
+        near = F.least("n", "pivot.n") * den >= F.greatest("n", "pivot.n") * num
+        tried = postings.where((F.col("rep") != F.col("pivot.rep")) & near).select(F.col("pivot.rep").alias("a"), F.col("rep").alias("b")).distinct()
+        tried = stash(possible(tried), "pivots")
+        links = verified(tried, "pivot-links")
+
+        found = components(links)
+        member = postings.select("token", "rep", "n", "match").join(found, F.col("rep") == F.col("node"), "left")
+        member = member.select("token", "rep", "n", "match", F.coalesce("component", "rep").alias("c"))
+        mixed = member.groupBy("token", "c").count().groupBy("token").agg(F.max_by("c", F.struct("count", "c")).alias("major"), F.count("*").alias("k"))
+        member = member.join(mixed.where("k > 1").drop("k"), "token")
+        member = stash(member, "members")
+        other = member.where("c <> major").select("token", *(F.col(x).alias(f"{x}2") for x in ("rep", "n", "match", "c")))
+        cross = member.join(other, "token").where(
+            (F.col("c") != F.col("c2"))
+            & ((F.col("c") == F.col("major")) | (F.col("rep") < F.col("rep2")))
+            & (F.least("n", "n2") * den >= F.greatest("n", "n2") * num)
+        )
+        cross = cross.groupBy(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).agg(
+            F.count("*").alias("shared"), F.any_value(F.least("match", "match2")).alias("due")
+        )
+        done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        left = stash(possible(cross.where("shared >= due").select("a", "b").join(done, ["a", "b"], "left_anti")), "pairs")
+        links = links.union(verified(left, "links"))
+        whole = components(links)
+        per = classes.select(*same, "rep").join(whole, F.col("rep") == F.col("node"), "left").select(*same, F.coalesce("component", "rep").alias("component"))
+        out = sets.select("doc_id", "n", *same).join(per, same, "left")
+        out = out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component"))
+        return stash(out, "jaccard", keep=True)
 
 
 def keep_one(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:

@@ -1,20 +1,45 @@
-"""Intermediate tables of the operators, in the shared folder of the session."""
+"""Intermediate tables of the operators, in the shared folder of the session.
+
+Tables live as long as the ``scratch`` scope that they are written in; what an
+operator returns is written into the scope around it (or for good, where there is none).
+"""
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import scratch_path
 
+_scopes: ContextVar[tuple[str, ...]] = ContextVar("scratch_scopes", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str):
+    """A folder for intermediate tables, deleted at the end of the block."""
+    path = scratch_path(spark, f"llm-{name}")
+    token = _scopes.set((*_scopes.get(), path))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
 
-def stash(df: DataFrame, name: str) -> DataFrame:
+def stash(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write a table under ``spark.checkpoint.dir`` and read it back.
 
     It cuts the lineage: a lost executor costs the running tasks only, since
-    the files are on shared storage.
+    the files are on shared storage. With ``keep`` it outlives the current scope.
     """
     spark = df.sparkSession
+    scopes = _scopes.get()[: -1 if keep else None]
     path = scratch_path(spark, f"llm-{name}")
+    if scopes:
+        path = f"{scopes[-1]}/{path.rpartition('/')[2]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

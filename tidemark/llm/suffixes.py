@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import sf_table, stash
+from tidemark.llm.shared import scratch, sf_table, stash
 from tidemark.llm.textkit import mix, prefix_hash, slices, span_hash, text_bytes
 
 WIDTH, GRAM, PERIOD, HOT, BLOCK_RUNS = 400, 24, 64, 20000, 8000
@@ -96,7 +96,7 @@ def _anchor_rows(width: int):
                 limits = np.searchsorted(doc, np.arange(end - first + 1)).astype(np.int32)
                 runs = pa.ListArray.from_arrays(pa.array(limits), items)
                 part = batch.slice(first, end - first)
-                yield pa.RecordBatch.from_arrays([part["doc_id"], part["sha"], runs], names=["doc_id", "sha", "runs"])
+                yield pa.RecordBatch.from_arrays([part["id"], part["tid"], runs], names=["id", "tid", "runs"])
 
     return rows
 
@@ -106,7 +106,7 @@ def _run_keys(width: int):
 
     def keys(batches):
         for batch in batches:
-            shas, lists = batch["sha"], batch["runs"]
+            ids, tids, lists = batch["id"].to_pylist(), batch["tid"].to_pylist(), batch["runs"]
             raw, off = text_bytes(batch["text"])
             for d in range(len(batch)):
                 runs = lists[d].values
@@ -119,8 +119,8 @@ def _run_keys(width: int):
                 two = mix(span_hash(prefix, p, b.astype(np.int64) + width) + one)  # a second hash of the part from the anchor on
                 n = len(h)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(p - a, pa.int32()), pa.array(b - a + 1, pa.int32()), pa.array([shas[d].as_py()] * n, pa.string()), pa.array(p, pa.int32())],
-                    names=["h", "d1", "d2", "lead", "n", "sha", "p"],
+                    [pa.array(h), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(p - a, pa.int32()), pa.array(b - a + 1, pa.int32()), pa.array([ids[d]] * n, pa.int64()), pa.array([tids[d]] * n, pa.int64()), pa.array(p, pa.int32())],
+                    names=["h", "d1", "d2", "lead", "n", "id", "tid", "p"],
                 )
 
     return keys
@@ -184,7 +184,7 @@ def _spans(run: np.ndarray, nth: np.ndarray, lead: np.ndarray, width: int) -> tu
     return r, nth[first] - lead[r], nth[last] - lead[r] + width
 
 
-KEY = ["h", "d1", "d2", "lead"]
+KEY, TEXT = ["h", "d1", "d2", "lead"], ["id", "tid"]
 SPANS_SQL = "h long, d1 long, d2 long, lead int, s int, e int"
 
 
@@ -247,46 +247,49 @@ def _cut(keep_text: bool):
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH, keep_text: bool = False, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """Rows of ``docs`` (doc_id, sha, n_bytes, copied), and per changed text (sha, n_removed, spans, kept_sha256[, kept])."""
+    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("sha", F.sha2(F.col("text").cast("binary"), 256))
-    rows = stash(docs.select("doc_id", "sha", F.octet_length("text").cast("long").alias("n_bytes")), "texts")
-    classes = rows.groupBy("sha").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"))
-    long_ = docs.where(F.octet_length("text") >= width)
-    one = classes.select("sha", "rep")
-    found = long_.mapInArrow(_anchor_rows(width), "doc_id long, sha string, runs array<struct<h:long,p:int,a:int,b:int>>")
-    # one row per text; rows that repeat id and text are copies, which go whole anyway
-    found = found.join(one.withColumnRenamed("sha", "sha2"), (F.col("sha") == F.col("sha2")) & F.col("doc_id").eqNullSafe(F.col("rep")))
-    runs = stash(found.select("doc_id", "sha", F.inline("runs")), "runs")
-    often = runs.groupBy("h").count().where("count > 1").select("h")
-    runs = runs.join(often, "h").groupBy("doc_id", "sha").agg(F.collect_list(F.struct("h", "p", "a", "b")).alias("runs"))
-    runs = runs.withColumnsRenamed({"doc_id": "id2", "sha": "sha2"})
-    texts = long_.join(runs, (F.col("sha") == F.col("sha2")) & F.col("doc_id").eqNullSafe(F.col("id2"))).select("sha", "text", "runs")
-    texts = stash(texts, "candidates")
-
-    members = stash(texts.mapInArrow(_run_keys(width), "h long, d1 long, d2 long, lead int, n int, sha string, p int"), "run-keys")
-    kinds = members.groupBy(*KEY, "n").agg(F.count("*").alias("times"), F.min(F.struct("sha", "p")).alias("at"))
-    kinds = stash(kinds, "run-kinds")
-    whole = kinds.where("times > 1").select(*KEY, (-F.col("lead")).alias("s"), (F.col("n") - 1 - F.col("lead") + width).alias("e"))
-    open_ = kinds.groupBy("h").agg(F.count("*").alias("many")).where("many > 1")
-    wanted = kinds.join(open_, "h").groupBy(F.col("at.sha").alias("sha")).agg(F.collect_list(F.struct(*KEY, "n", F.col("at.p").alias("p"))).alias("wanted"))
-    pieces = texts.select("sha", "text").dropDuplicates(["sha"]).join(wanted, "sha").mapInArrow(_run_bytes(width), "h long, d1 long, d2 long, lead int, n int, bytes binary")
-    pieces = stash(pieces, "run-bytes")
-    many = pieces.groupBy("h").count()
-    blocks = max(1, -(-pieces.count() // BLOCK_RUNS))
-    crowded = stash(many.where(F.col("count") > hot).select("h"), "crowded")
-    block = F.pmod(F.col("h"), F.lit(blocks)).cast("int")
-    calm = pieces.join(crowded, "h", "left_anti").withColumn("block", block).groupBy("block")
-    sorted_ = calm.applyInArrow(_sort_block(width), SPANS_SQL)
-    windows = pieces.join(crowded, "h", "left_semi").mapInArrow(_window_rows(width), "h long, d1 long, d2 long, lead int, k int, w long")
-    twice = windows.groupBy("h", "w", (F.col("k") - F.col("lead")).alias("o")).count().where("count > 1").drop("count")
-    counted = windows.withColumn("o", F.col("k") - F.col("lead")).join(twice, ["h", "w", "o"]).select(*KEY, F.col("o").alias("s"), (F.col("o") + width).alias("e"))
-    spans = stash(whole.union(sorted_).union(counted).groupBy(KEY).agg(F.collect_list(F.struct("s", "e")).alias("at")), "run-spans")
-    spans = members.join(spans, KEY).select("sha", "p", F.inline("at")).select("sha", F.struct((F.col("p") + F.col("s")).alias("s"), (F.col("p") + F.col("e")).alias("e")).alias("x"))
-    spans = spans.groupBy("sha").agg(F.collect_list("x").alias("spans"))
-    kind = "sha string, n_removed long, spans array<struct<s:int,e:int>>, kept_sha256 string" + (", kept string" if keep_text else "")
-    cut = texts.select("sha", "text").dropDuplicates(["sha"]).join(spans, "sha").mapInArrow(_cut(keep_text), kind)
-    rows = rows.join(classes.select(F.col("sha").alias("sha2"), (F.col("copies") > 1).alias("copied")), F.col("sha") == F.col("sha2")).drop("sha2")
-    return rows, stash(cut, "cut")
+    # a text is known by id and hash below: two numbers in place of the digest
+    ident = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.xxhash64("sha").alias("tid")]
+    with scratch(spark, "suffixes"):
+        rows = stash(docs.select("doc_id", "sha", F.octet_length("text").cast("long").alias("n_bytes")), "texts")
+        classes = rows.groupBy("sha").agg(F.count("*").alias("copies"), F.min("doc_id").alias("doc_id"))
+        one = classes.select(*ident)
+        long_ = docs.where(F.octet_length("text") >= width).select(*ident, "sha", "text")
+        with scratch(spark, "anchors"):
+            # one row per text; rows that repeat id and text are copies, which go whole anyway
+            found = long_.mapInArrow(_anchor_rows(width), "id long, tid long, runs array<struct<h:long,p:int,a:int,b:int>>")
+            runs = stash(found.join(one, TEXT).select(*TEXT, F.inline("runs")), "runs")
+            often = runs.groupBy("h").count().where("count > 1").select("h")
+            runs = runs.join(often, "h").groupBy(TEXT).agg(F.collect_list(F.struct("h", "p", "a", "b")).alias("runs"))
+            texts = stash(long_.join(runs, TEXT), "candidates", keep=True)
+        with scratch(spark, "runs"):
+            members = stash(texts.mapInArrow(_run_keys(width), "h long, d1 long, d2 long, lead int, n int, id long, tid long, p int"), "run-keys")
+            kinds = members.groupBy(*KEY, "n").agg(F.count("*").alias("times"), F.min(F.struct(*TEXT, "p")).alias("at"))
+            kinds = stash(kinds, "run-kinds")
+            whole = kinds.where("times > 1").select(*KEY, (-F.col("lead")).alias("s"), (F.col("n") - 1 - F.col("lead") + width).alias("e"))
+            open_ = kinds.groupBy("h").agg(F.count("*").alias("many")).where("many > 1")
+            wanted = kinds.join(open_, "h").groupBy("at.id", "at.tid").agg(F.collect_list(F.struct(*KEY, "n", F.col("at.p").alias("p"))).alias("wanted"))
+            pieces = texts.select(*TEXT, "text").dropDuplicates(TEXT).join(wanted, TEXT)
+            pieces = stash(pieces.mapInArrow(_run_bytes(width), "h long, d1 long, d2 long, lead int, n int, bytes binary"), "run-bytes")
+            many = pieces.groupBy("h").count()
+            blocks = max(1, -(-pieces.count() // BLOCK_RUNS))
+            crowded = stash(many.where(F.col("count") > hot).select("h"), "crowded")
+            block = F.pmod(F.col("h"), F.lit(blocks)).cast("int")
+            calm = pieces.join(crowded, "h", "left_anti").withColumn("block", block).groupBy("block")
+            sorted_ = calm.applyInArrow(_sort_block(width), SPANS_SQL)
+            windows = pieces.join(crowded, "h", "left_semi").mapInArrow(_window_rows(width), "h long, d1 long, d2 long, lead int, k int, w long")
+            twice = windows.groupBy("h", "w", (F.col("k") - F.col("lead")).alias("o")).count().where("count > 1").drop("count")
+            counted = windows.withColumn("o", F.col("k") - F.col("lead")).join(twice, ["h", "w", "o"]).select(*KEY, F.col("o").alias("s"), (F.col("o") + width).alias("e"))
+            spans = whole.union(sorted_).union(counted).groupBy(KEY).agg(F.collect_list(F.struct("s", "e")).alias("at"))
+            spans = members.join(spans, KEY).select(*TEXT, "p", F.inline("at")).select(*TEXT, F.struct((F.col("p") + F.col("s")).alias("s"), (F.col("p") + F.col("e")).alias("e")).alias("x"))
+            spans = stash(spans.groupBy(TEXT).agg(F.collect_list("x").alias("spans")), "text-spans", keep=True)
+        kind = "sha string, n_removed long, spans array<struct<s:int,e:int>>, kept_sha256 string" + (", kept string" if keep_text else "")
+        cut = texts.select(*TEXT, "sha", "text").dropDuplicates(TEXT).join(spans, TEXT).mapInArrow(_cut(keep_text), kind)
+        cut = stash(cut, "cut", keep=True)
+        rows = rows.join(classes.select(F.col("sha").alias("sha2"), (F.col("copies") > 1).alias("copied")), F.col("sha") == F.col("sha2")).drop("sha2")
+        return stash(rows, "rows", keep=True), cut
 
 
 def suffix_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:

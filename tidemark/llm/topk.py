@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import sf_table, stash
+from tidemark.llm.shared import scratch, sf_table, stash
 
 SHARD_ROWS, LEAF_ROWS, BLOCK_ROWS, BLOCKS_A_TASK = 8192, 128, 512, 64
 
@@ -175,28 +175,30 @@ def top_k(
 
     ``vectors``: id long, v array<long>, asks boolean (is the row a query).
     """
-    vectors = vectors.select("id", "v", "asks").where("id IS NOT NULL AND v IS NOT NULL").withColumn("dim", F.size("v"))
-    sizes = stash(vectors.groupBy("dim").agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("shards")), "shards")
-    dealt = vectors.join(sizes, "dim").withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards")).cast("int"))
-    trees = stash(dealt.groupBy("dim", "shard").applyInPandas(_builder(leaf_rows), TREE), "trees")
-    cut = "dim int, home int, block long, block_ids binary, block_rows binary"
-    blocks = stash(trees.select("dim", "shard", "query_ids", "query_rows").mapInPandas(_blocks(block_rows), cut), "blocks")
-    tree = trees.drop("query_ids", "query_rows", "n")
-    parts = -(-blocks.count() // BLOCKS_A_TASK) or 1
-    tree = tree.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    blocks = blocks.withColumn("part", F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int"))
-    keys = ["dim", "shard", "part"]
-    search = lambda left: left.groupBy(keys).cogroup(tree.groupBy(keys)).applyInPandas(
-        _searcher(k), "dim int, block long, query_id long, vec_id long, score long"
-    )
-    first = stash(search(blocks.withColumn("kth", F.lit(None).cast("binary")).withColumnRenamed("home", "shard")), "first")
-    rank = F.expr("row_number() OVER (PARTITION BY dim, query_id ORDER BY score DESC, vec_id)")
-    known = blocks.groupBy("dim", "block").cogroup(first.withColumn("rank", rank).groupBy("dim", "block")).applyInPandas(
-        _with_kth(k), cut + ", part int, kth binary"
-    )
-    away = known.join(sizes, "dim").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).where("shard <> home")
-    rest = search(away)
-    return first.union(rest).withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    with scratch(vectors.sparkSession, "top-k"):
+        vectors = vectors.select("id", "v", "asks").where("id IS NOT NULL AND v IS NOT NULL").withColumn("dim", F.size("v"))
+        sizes = stash(vectors.groupBy("dim").agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("shards")), "shards")
+        dealt = vectors.join(sizes, "dim").withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards")).cast("int"))
+        trees = stash(dealt.groupBy("dim", "shard").applyInPandas(_builder(leaf_rows), TREE), "trees")
+        cut = "dim int, home int, block long, block_ids binary, block_rows binary"
+        blocks = stash(trees.select("dim", "shard", "query_ids", "query_rows").mapInPandas(_blocks(block_rows), cut), "blocks")
+        tree = trees.drop("query_ids", "query_rows", "n")
+        parts = -(-blocks.count() // BLOCKS_A_TASK) or 1
+        tree = tree.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        blocks = blocks.withColumn("part", F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int"))
+        keys = ["dim", "shard", "part"]
+        search = lambda left: left.groupBy(keys).cogroup(tree.groupBy(keys)).applyInPandas(
+            _searcher(k), "dim int, block long, query_id long, vec_id long, score long"
+        )
+        first = stash(search(blocks.withColumn("kth", F.lit(None).cast("binary")).withColumnRenamed("home", "shard")), "first")
+        rank = F.expr("row_number() OVER (PARTITION BY dim, query_id ORDER BY score DESC, vec_id)")
+        known = blocks.groupBy("dim", "block").cogroup(first.withColumn("rank", rank).groupBy("dim", "block")).applyInPandas(
+            _with_kth(k), cut + ", part int, kth binary"
+        )
+        away = known.join(sizes, "dim").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).where("shard <> home")
+        rest = search(away)
+        out = first.union(rest).withColumn("rank", rank).where(F.col("rank") <= k)
+        return stash(out.select("query_id", "rank", "vec_id", "score"), "top-k", keep=True)
 
 
 def scaled(embedding: str, factor: int = 64):
