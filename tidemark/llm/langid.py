@@ -144,9 +144,14 @@ def train(labelled: DataFrame) -> ByteNet:
     """Fit on a bounded sample of (doc_id, text, lang), all non-null."""
     size = F.length("text")
     snippet = F.array(*(F.substring("text", F.greatest(F.lit(1), (size * part - SNIPPET / 2).cast("int")), F.lit(SNIPPET)) for part in (0.0, 0.5, 1.0)))
-    rank = F.expr("row_number() OVER (PARTITION BY lang ORDER BY hash_, doc_id)")
-    rows = labelled.select("lang", "doc_id", F.xxhash64("doc_id").alias("hash_"), snippet.alias("snippets")).withColumn("rank", rank)
-    rows = rows.where(F.col("rank") <= ROWS_PER_LANG).orderBy("rank", "lang").limit(MAX_ROWS).select("lang", "snippets").toArrow().to_pylist()
+    # the rows of least id hash per language: first the hash limits, then the snippets below them
+    marked = labelled.withColumn("hash_", F.xxhash64("doc_id"))
+    rank = F.expr("row_number() OVER (PARTITION BY lang ORDER BY hash_)")
+    cut = marked.select("lang", "hash_").withColumn("rank", rank).where(F.col("rank") <= ROWS_PER_LANG)
+    cut = cut.groupBy("lang").agg(F.max("hash_").alias("top"), F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_ROWS // 10)
+    cut = cut.withColumnRenamed("lang", "lang_")
+    rows = marked.join(F.broadcast(cut), (F.col("lang") == F.col("lang_")) & (F.col("hash_") <= F.col("top")))
+    rows = rows.orderBy("hash_", "lang").limit(MAX_ROWS).select("lang", snippet.alias("snippets")).toArrow().to_pylist()
     langs = sorted({r["lang"] for r in rows})
     net = ByteNet(langs)
     if len(langs) > 1:
