@@ -32,20 +32,18 @@ from tidemark.operators.table import (
     collapse_updates,
     conform_table,
     duplicate_updates,
-    insert_sink_dead_letters,
     purge_sensors,
     split_dead_letters,
-    update_changelog,
 )
-from tidemark.operators.windows import window_mean, window_partials, with_watermark
+from tidemark.operators.windows import window_mean, with_watermark
 
 __all__ = [
     "add_series", "all_sensor_stats", "audit_counts", "audit_integrity", "audit_ranges",
     "collapse_updates", "conform_table", "count_readings", "counter_rate", "decode_envelope",
     "decode_readings", "duplicate_updates", "effective_limit", "encode_envelope", "encode_messages",
-    "flag_suspicious", "for_sensor", "in_period", "ingest", "ingest_stats", "insert_sink_dead_letters",
+    "flag_suspicious", "for_sensor", "in_period", "ingest", "ingest_stats", 
     "instant_value", "integrity_summary", "last_not_null", "list_sensors", "previous_in_series",
     "purge_sensors", "recent", "running_total", "sensor_data", "sensor_overview", "sensor_series",
     "sensor_stats", "series_count", "share_of_total", "split_dead_letters", "sum_by", "topk",
-    "update_changelog", "validate", "window_mean", "window_partials", "with_watermark",
+    "validate", "window_mean", "with_watermark",
 ]

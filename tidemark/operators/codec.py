@@ -7,6 +7,8 @@ envelope decoder turns each such defect into a dead-letter reason.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +31,39 @@ def decode_readings(df: DataFrame, value: str = "value", carry: list[str] | None
     )
 
 
+def label_messages(raw: DataFrame, value: str = "value") -> DataFrame:
+    """Raw topic rows -> readings with ``reason`` and ``accepted``, plus the
+    source coordinates and the raw text.
+
+    A message that is no JSON object, has no sensor id, or no readable time
+    cannot enter a window; it is labelled here instead of vanishing there.
+    """
+    carry = [c for c in ("topic", "partition", "offset") if c in raw.columns]
+    text = F.col(value).cast("string")
+    parsed = raw.select(*carry, text.alias("raw_value"), F.from_json(text, S.READING_JSON).alias("data"))
+    parsed = parsed.withColumn("_time", parse_timestamp(F.col("data.timestamp")))
+    fields = [F.col(f"data.{f.name}") for f in S.READING_JSON.fields]
+    malformed = reduce(lambda a, b: a & b, (f.isNull() for f in fields))
+    reason, accepted = label(
+        [
+            (malformed, S.D_MESSAGE_MALFORMED),
+            (~malformed & F.col("data.sensor_id").isNull(), S.R_MISSING + "sensor_id"),
+            (~malformed & F.col("data.timestamp").isNull(), S.R_MISSING + "timestamp"),
+            (F.col("data.timestamp").isNotNull() & F.col("_time").isNull(), S.R_TS_UNPARSEABLE),
+        ]
+    )
+    return parsed.select(
+        *carry,
+        "raw_value",
+        F.col("data.sensor_id").alias("sensor_id"),
+        F.col("_time").alias("timestamp"),
+        F.col("data.temperature").alias("temperature"),
+        F.col("data.humidity").alias("humidity"),
+        reason.alias("reason"),
+        accepted.alias("accepted"),
+    )
+
+
 def _type_name(dtype: T.DataType) -> str:
     return S.ENVELOPE_TYPE_NAMES.get(dtype.simpleString(), "string")
 

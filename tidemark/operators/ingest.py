@@ -20,7 +20,7 @@ from tidemark.functions.checks import label
 from tidemark.functions.time import as_timestamp_literal, interval, iso_string, parse_timestamp
 
 AsOf = dt.datetime | str | Column
-NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
+NUMBER = r"^[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|NaN|Infinity)$"  # the last two fail the range checks
 
 
 def _typed(df: DataFrame, name: str, target: T.DataType) -> Column:
@@ -33,7 +33,7 @@ def _typed(df: DataFrame, name: str, target: T.DataType) -> Column:
             return col.cast(T.TimestampType())
         return parse_timestamp(col.cast("string"))
     if isinstance(source, T.StringType):
-        # a cast alone also takes Java literals such as 22.5d, 0x1p3 or NaN
+        # a cast alone also takes Java literals such as 22.5d or 0x1p3
         return F.when(F.trim(col).rlike(NUMBER), col.try_cast(target))
     return col.try_cast(target)
 

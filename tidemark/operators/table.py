@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.functions.checks import label
-from tidemark.functions.numeric import to_table_decimal, units_to_double
+from tidemark.functions.numeric import to_table_decimal
 from tidemark.functions.time import as_timestamp_literal
-from tidemark.operators.windows import MEASURES, window_partials
+from tidemark.operators.windows import MEASURES
 
 TABLE_COLUMNS = ["sensor_id", "timestamp", "temperature", "humidity", "created_at"]
 KEY = ["sensor_id", "timestamp"]
@@ -67,33 +67,6 @@ def split_dead_letters(labelled: DataFrame, keep: list[str] | None = None) -> tu
     return good, dead
 
 
-def update_changelog(
-    readings: DataFrame,
-    duration: str,
-    rows_per_batch: int,
-    offset: str = "event_id",
-) -> DataFrame:
-    """What update mode emits when the topic is read in fixed-size batches.
-
-    Batch ``b`` holds offsets ``[b*rows_per_batch, (b+1)*rows_per_batch)``
-    (the intake limit per trigger). For each batch, every (sensor, window)
-    that got rows is emitted again with its mean over all rows so far.
-    Rows are pre-aggregated per (sensor, window, batch) before the running
-    sum, so the window function sees at most one row per batch and key.
-    No watermark is applied: rows arriving after their window closed would
-    be dropped by the live stream but are kept here.
-    """
-    batch = F.floor(F.col(offset) / F.lit(rows_per_batch)).cast("long").alias("batch_id")
-    partials = window_partials(readings.withColumn("batch_id", batch), duration, ["batch_id"])
-    w = Window.partitionBy(*KEY).orderBy("batch_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cols = []
-    for m in MEASURES:
-        total = units_to_double(F.sum(f"{m}_sum").over(w))
-        count = F.sum(f"{m}_n").over(w).cast("double")
-        cols.append(F.try_divide(total, count).alias(m))
-    return partials.select(*KEY, "batch_id", *cols)
-
-
 def collapse_updates(changelog: DataFrame, policy: str = "last", order: str = "batch_id") -> DataFrame:
     """One row per key from repeated window updates.
 
@@ -121,27 +94,6 @@ def duplicate_updates(changelog: DataFrame, order: str = "batch_id") -> DataFram
     return ranked.where(F.col("_rank") > 1).drop("_rank").withColumn("reason", F.lit(S.D_DUPLICATE_KEY))
 
 
-def insert_sink_dead_letters(
-    changelog: DataFrame,
-    as_of: dt.datetime | str | Column,
-    order: str = "batch_id",
-) -> DataFrame:
-    """Everything a plain insert into the keyed table refuses, in one pass.
-
-    Each update row is conformed (P8) and ranked within its key; rows that
-    cannot be stored or that repeat an existing key are dead letters, with
-    all their reasons joined by ``;``.
-    """
-    w = Window.partitionBy(*KEY).orderBy(order)
-    ranked = changelog.withColumn("_dup", F.row_number().over(w) > 1)
-    labelled = conform_table(ranked, as_of, carry=[order, "_dup"])
-    reason = F.concat_ws(
-        ";", F.when(F.col("reason") != "", F.col("reason")), F.when(F.col("_dup"), F.lit(S.D_DUPLICATE_KEY))
-    )
-    dead = labelled.where(~F.col("storable") | F.col("_dup"))
-    return dead.withColumn("reason", reason).drop("_dup", "storable")
-
-
 def purge_sensors(df: DataFrame, ids: list[str] | DataFrame, column: str = "sensor_id") -> DataFrame:
     """Remove the rows of given sensors.
 

@@ -17,12 +17,7 @@ from tidemark.functions.numeric import band, scale
 from tidemark.operators import audit, metrics, queries
 from tidemark.operators.codec import decode_envelope, decode_readings, encode_envelope
 from tidemark.operators.ingest import encode_messages, flag_suspicious, ingest_stats, validate
-from tidemark.operators.table import (
-    collapse_updates,
-    insert_sink_dead_letters,
-    purge_sensors,
-    update_changelog,
-)
+from tidemark.operators.table import purge_sensors
 from tidemark.plans import derived as P
 from tidemark.schemas import BAND_NAMESPACE_MEMORY_MIB
 
@@ -86,25 +81,6 @@ def table_rows(spark, sf_dir):
     return P.analytics_table(spark, sf_dir)
 
 
-def _changelog(spark, sf_dir):
-    return update_changelog(P.accepted(spark, sf_dir), "1 day", P.ROWS_PER_BATCH)
-
-
-def dead_letters(spark, sf_dir):
-    """Dead letters of a plain-insert sink fed by update mode (policy first):
-    rows the table types reject, plus repeated keys."""
-    dead = insert_sink_dead_letters(_changelog(spark, sf_dir), P.TABLE_AS_OF)
-    return dead.select("sensor_id", "timestamp", "batch_id", "reason")
-
-
-def collapse_last(spark, sf_dir):
-    return collapse_updates(_changelog(spark, sf_dir), "last")
-
-
-def collapse_first(spark, sf_dir):
-    return collapse_updates(_changelog(spark, sf_dir), "first")
-
-
 # --- Q1-Q3b, L1-L5, A4, P28 ----------------------------------------------------
 def list_sensors(spark, sf_dir):
     return queries.list_sensors(P.stored_table(spark, sf_dir))
@@ -286,9 +262,6 @@ QUERIES: dict[str, Query] = {
     "message_roundtrip": message_roundtrip,
     "envelope_roundtrip": envelope_roundtrip,
     "table_rows": table_rows,
-    "dead_letters": dead_letters,
-    "collapse_last": collapse_last,
-    "collapse_first": collapse_first,
     "list_sensors": list_sensors,
     "sensor_overview": sensor_overview,
     "sensor_data": sensor_data,

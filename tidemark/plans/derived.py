@@ -34,7 +34,6 @@ PERIOD = ("2024-01-10T00:00:00", "2024-01-20T00:00:00")
 STATS_AS_OF = "2024-01-20T00:00:00"  # default period: 7 days ending here
 FULL_PERIOD = ("1970-01-01T00:00:00", "9999-12-31T00:00:00")  # the whole table
 PURGED = ["Sensor-1", "Sensor-2"]
-ROWS_PER_BATCH = 500  # intake per trigger for update replays
 RATE_RANGE, RATE_STEP = "2 days", "6 hours"
 GAUGE_LOOKBACK = "1 day"
 RATE_PERIOD = ("2024-01-18 00:00:00", "2024-01-20 12:00:00")  # a dashboard's time range

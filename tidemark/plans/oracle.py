@@ -94,19 +94,28 @@ SELECT {cols}attempted, accepted, rejected, span_seconds,
 FROM {inner} s"""
 
 
-CHANGELOG = f"""parts AS (
-  SELECT sensor_id, epoch_us("timestamp") // {DAY_MS * 1000} * {DAY_MS} AS "timestamp",
-         event_id // {P.ROWS_PER_BATCH} AS batch_id,
+# The stream over defective messages: four arrivals by event_id, each one batch.
+CHANGELOG = f"""bounds AS (SELECT min(event_id) AS lo, max(event_id) + 1 AS hi FROM accepted),
+sent AS (
+  SELECT * REPLACE (CASE WHEN sensor_id LIKE '%7' THEN sensor_id || '-' || repeat('x', 50) ELSE sensor_id END AS sensor_id),
+         (event_id - lo) // greatest(1, (hi - lo + 3) // 4) AS batch_id
+  FROM accepted, bounds WHERE event_id % 29 NOT IN (7, 11, 13)),
+parts AS (
+  SELECT sensor_id, epoch_us("timestamp") // {DAY_MS * 1000} * {DAY_MS} AS "timestamp", batch_id,
          SUM(CAST(temperature AS DECIMAL(24,6))) AS t_sum, COUNT(temperature) AS t_n,
          SUM(CAST(humidity AS DECIMAL(24,6))) AS h_sum, COUNT(humidity) AS h_n
-  FROM accepted GROUP BY 1, 2, 3),
-log AS (
+  FROM sent GROUP BY 1, 2, 3),
+means AS (
   SELECT sensor_id, "timestamp", batch_id,
          CAST(SUM(t_sum) OVER w AS DOUBLE) / CAST(SUM(t_n) OVER w AS DOUBLE) AS temperature,
          CAST(SUM(h_sum) OVER w AS DOUBLE) / CAST(SUM(h_n) OVER w AS DOUBLE) AS humidity
   FROM parts
   WINDOW w AS (PARTITION BY sensor_id, "timestamp" ORDER BY batch_id
-               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+log AS (
+  SELECT sensor_id, "timestamp", batch_id, {_table_decimal('temperature')} AS temperature,
+         {_table_decimal('humidity')} AS humidity
+  FROM means WHERE length(sensor_id) <= 50)"""
 
 
 def _collapse(direction: str) -> str:
@@ -230,8 +239,18 @@ def oracle_sql() -> dict[str, str]:
         "archive_readback": _with(READINGS, ACCEPTED, window_cte("wm", 30_000))
         + 'SELECT *, CAST(make_timestamp("timestamp" * 1000) AS DATE) AS date FROM wm',
         "dead_letters": _with(READINGS, ACCEPTED, CHANGELOG)
-        + """SELECT sensor_id, "timestamp", batch_id, 'duplicate_key' AS reason FROM log
-QUALIFY row_number() OVER (PARTITION BY sensor_id, "timestamp" ORDER BY batch_id) > 1""",
+        + """SELECT sensor_id, "timestamp", batch_id, 'sensor_id_too_long' AS reason FROM means WHERE length(sensor_id) > 50
+UNION ALL
+SELECT sensor_id, "timestamp", batch_id, 'duplicate_key' FROM (SELECT * FROM log
+  QUALIFY row_number() OVER (PARTITION BY sensor_id, "timestamp" ORDER BY batch_id) > 1)""",
+        "stream_rejects": _with(READINGS, ACCEPTED)
+        + """SELECT 'sensor-data' AS topic, 0 AS partition, event_id AS "offset",
+       CASE event_id % 29 WHEN 7 THEN 'message_malformed' WHEN 11 THEN 'timestamp_unparseable' ELSE 'missing:sensor_id' END AS reason
+FROM accepted WHERE event_id % 29 IN (7, 11, 13)""",
+        "envelope_dead_letters": _with(READINGS, ACCEPTED, window_cte("wm", 30_000))
+        + """SELECT CASE "timestamp" // 30000 % 17 WHEN 3 THEN 'schema_missing' WHEN 5 THEN 'payload_missing:temperature'
+            WHEN 8 THEN 'envelope_malformed' ELSE 'payload_missing:timestamp' END AS reason, count(*) AS rows
+FROM wm WHERE "timestamp" // 30000 % 17 IN (3, 5, 8, 9) GROUP BY 1""",
         "collapse_last": _collapse("DESC"),
         "collapse_first": _collapse("ASC"),
         "list_sensors": _with(*TABLE_CTES)

@@ -14,14 +14,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.codec import encode_envelope
 from tidemark.operators.ingest import encode_messages
+from tidemark.operators.table import collapse_updates, duplicate_updates
 from tidemark.plans import derived as P
 from tidemark.session import scratch_path
 from tidemark.sources.store import read_archive, read_table, write_archive
 from tidemark.sources.topic import raw_records, read_raw_files
-from tidemark.streaming.wiring import run_until_stopped, start_table_sink, window_stream
+from tidemark.streaming.wiring import (
+    raw_rejects,
+    run_until_stopped,
+    split_envelopes,
+    start_reject_sink,
+    start_table_sink,
+    window_stream,
+)
 
 CHUNKS = 4
+STATE_PARTITIONS = 8  # fixed by a checkpoint for its life, so no function of this machine
 
 
 def _arrivals(readings: DataFrame, chunks: int) -> list[tuple[int, int]]:
@@ -34,24 +44,102 @@ def _arrivals(readings: DataFrame, chunks: int) -> list[tuple[int, int]]:
     return [(a, min(a + step, hi)) for a in range(lo, hi, step)]
 
 
-def stream_window_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _defective(messages: DataFrame) -> DataFrame:
+    """Raw messages as a real topic carries them: some are no JSON, some have no
+    readable time or no sensor id, and some sensor ids are too long for the table."""
+    kind = F.pmod("offset", F.lit(29))
+    text = F.col("value").cast("string")
+    text = (
+        F.when(kind == 7, F.lit("not json"))
+        .when(kind == 11, F.regexp_replace(text, '"timestamp":"[^"]*"', '"timestamp":"yesterday"'))
+        .when(kind == 13, F.regexp_replace(text, '"sensor_id":"[^"]*",', ""))
+        .otherwise(F.regexp_replace(text, '"sensor_id":"(Sensor-[0-9]*7)"', f'"sensor_id":"$1-{"x" * 50}"'))
+    )
+    return messages.withColumn("value", text.cast("binary"))
+
+
+def run_stream(spark: SparkSession, sf_dir: str, defects: bool = False) -> dict[str, str]:
+    """The streaming job over all accepted readings, in ``CHUNKS`` arrivals with a
+    restart after each; returns the paths of what it stored."""
     root = scratch_path(spark, "stream")
-    raw_path, table_path, dead_path, checkpoint = (f"{root}/{p}" for p in ("raw", "table", "dead", "checkpoint"))
+    paths = {p: f"{root}/{p}" for p in ("raw", "envelopes", "table", "dead", "rejects", "checkpoint", "reject-checkpoint")}
     readings = P.accepted(spark, sf_dir)
     messages = raw_records(
         encode_messages(readings, carry=["event_id", "timestamp"]).withColumnRenamed("timestamp", "_ts"),
         offset="event_id",
         ts="_ts",
     )
+    if defects:
+        messages = _defective(messages)
     for lo, hi in _arrivals(readings, CHUNKS):
-        messages.where(F.col("offset").between(lo, hi - 1)).write.mode("append").parquet(raw_path)
-        means = window_stream(read_raw_files(spark, raw_path), "1 day")
-        query = start_table_sink(
-            means, table_path, dead_path, checkpoint, available_now=True,
-            state_partitions=spark.sparkContext.defaultParallelism,
-        )
-        run_until_stopped(query)
-    return read_table(spark, table_path, policy="last").select("sensor_id", "timestamp", "temperature", "humidity")
+        messages.where(F.col("offset").between(lo, hi - 1)).write.mode("append").parquet(paths["raw"])
+        raw = read_raw_files(spark, paths["raw"])
+        sinks = [
+            start_table_sink(
+                window_stream(raw, "1 day"), paths["table"], paths["dead"], paths["checkpoint"], available_now=True,
+                as_of=P.TABLE_AS_OF, envelope_path=paths["envelopes"], state_partitions=STATE_PARTITIONS,
+            )
+        ]
+        if defects:
+            sinks.append(start_reject_sink(raw_rejects(raw), paths["rejects"], paths["reject-checkpoint"], available_now=True))
+        for query in sinks:
+            run_until_stopped(query)
+    return paths
+
+
+def stream_window_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = run_stream(spark, sf_dir)
+    return read_table(spark, paths["table"], policy="last").select("sensor_id", "timestamp", "temperature", "humidity")
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw messages that cannot enter a window, with their place on the topic."""
+    rejects = spark.read.parquet(run_stream(spark, sf_dir, defects=True)["rejects"])
+    return rejects.select("topic", "partition", "offset", "reason")
+
+
+def _updates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All updates that the stream stored, and its dead letters."""
+    paths = run_stream(spark, sf_dir, defects=True)
+    return spark.read.parquet(paths["table"]), spark.read.parquet(paths["dead"])
+
+
+def collapse_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored, _ = _updates(spark, sf_dir)
+    return collapse_updates(stored, "last").select("sensor_id", "timestamp", "batch_id", "temperature", "humidity")
+
+
+def collapse_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored, _ = _updates(spark, sf_dir)
+    return collapse_updates(stored, "first").select("sensor_id", "timestamp", "batch_id", "temperature", "humidity")
+
+
+def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a plain-insert sink refuses: rows that the table types reject, and repeated keys."""
+    stored, dead = _updates(spark, sf_dir)
+    columns = ["sensor_id", "timestamp", "batch_id", "reason"]
+    return dead.select(columns).union(duplicate_updates(stored).select(columns))
+
+
+def _broken(envelopes: DataFrame) -> DataFrame:
+    """Some envelopes lose their schema block, some a payload field, some become text."""
+    kind = F.pmod(F.get_json_object("value", "$.payload.timestamp").cast("long") / F.lit(30000), F.lit(17)).cast("int")
+    text = F.col("value")
+    return envelopes.withColumn(
+        "value",
+        F.when(kind == 3, F.concat(F.lit('{"payload":'), F.get_json_object("value", "$.payload"), F.lit("}")))
+        .when(kind == 5, F.regexp_replace(text, '"temperature":[-0-9.E]+,', ""))
+        .when(kind == 8, F.lit("not json"))
+        .when(kind == 9, F.regexp_replace(text, '"timestamp":([0-9]+)', '"timestamp":"soon"'))
+        .otherwise(text),
+    )
+
+
+def envelope_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes that do not decode, per reason."""
+    envelopes = _broken(encode_envelope(P.window_means(spark, sf_dir))).withColumn("batch_id", F.lit(0).cast("long"))
+    _, dead = split_envelopes(envelopes)
+    return dead.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def archive_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,5 +150,10 @@ def archive_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STREAM_QUERIES = {
     "stream_window_mean": stream_window_mean,
+    "stream_rejects": stream_rejects,
+    "collapse_last": collapse_last,
+    "collapse_first": collapse_first,
+    "dead_letters": dead_letters,
+    "envelope_dead_letters": envelope_dead_letters,
     "archive_readback": archive_readback,
 }

@@ -4,8 +4,8 @@ File layout: the table is parquet partitioned by ``batch_id``; a batch is
 written with dynamic partition overwrite, so a replayed micro-batch
 replaces its own files instead of adding duplicates (idempotent under
 retries and executor loss). Readers collapse repeated keys by policy.
-JDBC: plain appends inside ``foreachBatch`` and partitioned reads on the
-long ``timestamp`` column.
+JDBC: plain appends (a replayed micro-batch appends again; the table's key
+has to refuse it) and partitioned reads on the long ``timestamp`` column.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import ms_to_ts
-from tidemark.operators.table import TABLE_COLUMNS, collapse_updates
+from tidemark.operators.table import TABLE_COLUMNS, collapse_updates, purge_sensors
 
 
 def write_batch_partition(df: DataFrame, path: str, batch_col: str = "batch_id") -> None:
@@ -57,7 +57,7 @@ def read_table(
         opts = dict(jdbc)
         url, table = opts.pop("url"), opts.pop("dbtable", "analytics_data")
         if bounds is None:
-            return spark.read.jdbc(url=url, table=table, properties=opts)
+            raise ValueError("a JDBC read needs bounds on timestamp; without them one task reads the whole table")
         return spark.read.jdbc(
             url=url,
             table=table,
@@ -71,9 +71,10 @@ def read_table(
     return collapse_updates(stored, policy, order="batch_id").select(*TABLE_COLUMNS)
 
 
-def write_dead_letters(dead: DataFrame, path: str) -> None:
-    """Dead letters next to the table, same idempotent batch layout."""
-    write_batch_partition(dead, path)
+def purge_table(spark: SparkSession, path: str, out_path: str, ids: list[str] | DataFrame) -> None:
+    """The stored table without the rows of some sensors, rewritten to
+    ``out_path`` with the same batches (a path that is read cannot be replaced)."""
+    write_batch_partition(purge_sensors(spark.read.parquet(path), ids), out_path)
 
 
 def write_archive(df: DataFrame, path: str, mode: str = "append") -> None:

@@ -42,8 +42,3 @@ def readings_from_events(events: DataFrame) -> DataFrame:
     return extracted.select(
         "event_id", "sensor_id", "timestamp", "temperature", F.col("_k").try_cast("double").alias("humidity")
     )
-
-
-def read_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_utc(spark)
-    return readings_from_events(read_table(spark, sf_dir, "events"))

@@ -1,15 +1,18 @@
 """Structured Streaming wiring over the batch operators."""
 
 from tidemark.streaming.wiring import (
+    LateRows,
     dropped_by_watermark,
+    raw_rejects,
     run_until_stopped,
     start_archive,
+    start_reject_sink,
     start_table_sink,
     table_batch_writer,
     window_stream,
 )
 
 __all__ = [
-    "dropped_by_watermark", "run_until_stopped", "start_archive", "start_table_sink",
+    "LateRows", "dropped_by_watermark", "raw_rejects", "start_reject_sink", "run_until_stopped", "start_archive", "start_table_sink",
     "table_batch_writer", "window_stream",
 ]

@@ -1,8 +1,10 @@
 """Streaming wiring (T1-T9, S4/S5 in foreachBatch): thin, over pure functions.
 
 raw topic -> decode (P1/P2) -> watermark (T1) -> window mean (T2/T3) ->
-update mode (T4) -> per micro-batch: conform (P8), split dead letters (S5),
-write table rows and dead letters (S4). The archive (S7) is a second
+update mode (T4) -> per micro-batch: envelope (P6) to the second topic's
+files, read back and decoded (P7), conform (P8), split dead letters (S5),
+write table rows and dead letters (S4). Raw messages that cannot enter a
+window go to a reject sink of their own. The archive (S7) is a second
 query in append mode: each window is written once, after the watermark
 has passed its end.
 
@@ -16,17 +18,19 @@ counts them.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemark import schemas as S
-from tidemark.operators.codec import decode_readings
+from tidemark.operators.codec import decode_envelope, encode_envelope, label_messages
 from tidemark.operators.table import TABLE_COLUMNS, conform_table, split_dead_letters
 from tidemark.operators.windows import window_mean, with_watermark
 from tidemark.functions.time import ms_to_ts
+from tidemark.session import ROCKSDB_PROVIDER
 from tidemark.sources.store import write_batch_partition
 
 
@@ -35,25 +39,60 @@ def window_stream(
     duration: str = S.WINDOW_DURATION,
     watermark: str = S.WATERMARK_DELAY,
 ) -> DataFrame:
-    """Raw topic rows -> windowed means; same code for batch and stream."""
-    readings = decode_readings(raw)
+    """Raw topic rows -> windowed means; same code for batch and stream.
+
+    Messages that :func:`raw_rejects` returns take no part.
+    """
+    readings = label_messages(raw).where("accepted").select("sensor_id", "timestamp", "temperature", "humidity")
     return window_mean(with_watermark(readings, watermark), duration)
 
 
+def raw_rejects(raw: DataFrame) -> DataFrame:
+    """Raw messages that cannot enter a window: coordinates, text and reason."""
+    labelled = label_messages(raw).where(~F.col("accepted"))
+    return labelled.select(*[c for c in labelled.columns if c in ("topic", "partition", "offset")], "raw_value", "reason")
+
+
+def start_reject_sink(
+    rejects: DataFrame, path: str, checkpoint: str, trigger: str | None = S.TRIGGER_INTERVAL, available_now: bool = False
+) -> StreamingQuery:
+    """Append the rejects to files (exactly once by the file sink's log)."""
+    writer = rejects.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif trigger:
+        writer = writer.trigger(processingTime=trigger)
+    return writer.start()
+
+
 def table_batch_writer(
     table_path: str,
     dead_path: str,
     as_of: dt.datetime | str | Column | None = None,
+    envelope_path: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """The foreachBatch function: conform, split and store one micro-batch."""
+    """The foreachBatch function: conform, split and store one micro-batch.
+
+    With ``envelope_path`` the means take the way of the second topic: encoded
+    to envelopes, stored, read back and decoded; what does not decode is a
+    dead letter.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            stamped = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+            number = F.lit(batch_id).cast("long").alias("batch_id")
             created = as_of if as_of is not None else F.current_timestamp()
-            labelled = conform_table(stamped, created, carry=["batch_id"])
+            undecoded = None
+            means = batch.select("*", number)
+            if envelope_path is not None:
+                write_batch_partition(encode_envelope(batch).select("*", number), envelope_path)
+                stored = batch.sparkSession.read.parquet(envelope_path).where(F.col("batch_id") == batch_id)
+                means, undecoded = split_envelopes(stored)
+            labelled = conform_table(means, created, carry=["batch_id"])
             good, dead = split_dead_letters(labelled, keep=[*TABLE_COLUMNS, "batch_id"])
+            if undecoded is not None:
+                dead = dead.unionByName(undecoded, allowMissingColumns=True)
             write_batch_partition(good, table_path)
             write_batch_partition(dead, dead_path)
         finally:
@@ -62,6 +101,14 @@ def table_batch_writer(
     return write
 
 
+def split_envelopes(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Envelopes (value, batch_id) -> (means, dead letters of those that do not decode)."""
+    decoded = decode_envelope(stored, carry=["batch_id"])
+    means = decoded.where("decoded").select(*[f.name for f in S.WINDOW_MEAN.fields], "batch_id")
+    dead = decoded.where(~F.col("decoded")).select("batch_id", "sensor_id", "timestamp", "raw_value", "reason")
+    return means, dead
+
+
 def start_table_sink(
     means: DataFrame,
     table_path: str,
@@ -74,6 +121,8 @@ def start_table_sink(
     name: str | None = None,
     no_data_batches: bool | None = None,
     state_partitions: int | None = None,
+    envelope_path: str | None = None,
+    state_store: str | None = ROCKSDB_PROVIDER,
 ) -> StreamingQuery:
     """Start the stream of window means into the table.
 
@@ -84,10 +133,11 @@ def start_table_sink(
     with the next data batch). ``state_partitions`` fixes the number of
     state-store partitions at the first start of a checkpoint (later starts
     keep what the checkpoint recorded); by default the session's setting.
+    State is kept in RocksDB (``state_store=None``: the session's provider).
     """
     writer = (
         means.writeStream.outputMode(output_mode)
-        .foreachBatch(table_batch_writer(table_path, dead_path, as_of))
+        .foreachBatch(table_batch_writer(table_path, dead_path, as_of, envelope_path))
         .option("checkpointLocation", checkpoint)
     )
     if name:
@@ -99,6 +149,8 @@ def start_table_sink(
     if no_data_batches is None:
         no_data_batches = output_mode != "update"
     conf = {"spark.sql.streaming.noDataMicroBatches.enabled": str(no_data_batches).lower()}
+    if state_store:
+        conf["spark.sql.streaming.stateStore.providerClass"] = state_store
     if state_partitions:
         conf["spark.sql.shuffle.partitions"] = str(state_partitions)
     return _start_with(means, writer, conf)
@@ -108,17 +160,21 @@ def _start_with(df: DataFrame, writer, conf: dict[str, str]) -> StreamingQuery:
     """Start a query with extra SQL settings; the query keeps a copy of the
     session settings taken at start, so the caller's session is restored."""
     session = df.sparkSession
-    saved = {k: session.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        session.conf.set(k, v)
-    try:
-        return writer.start()
-    finally:
-        for k, v in saved.items():
-            if v is None:
-                session.conf.unset(k)
-            else:
-                session.conf.set(k, v)
+    with _STARTING:  # two starts at once must not mix their settings
+        saved = {k: session.conf.get(k, None) for k in conf}
+        for k, v in conf.items():
+            session.conf.set(k, v)
+        try:
+            return writer.start()
+        finally:
+            for k, v in saved.items():
+                if v is None:
+                    session.conf.unset(k)
+                else:
+                    session.conf.set(k, v)
+
+
+_STARTING = threading.Lock()
 
 
 def start_archive(
@@ -160,11 +216,32 @@ def run_until_stopped(query: StreamingQuery, timeout_s: float | None = None) ->
         raise
 
 
+def _dropped(progress) -> int:
+    ops = progress.get("stateOperators", []) if isinstance(progress, dict) else progress.stateOperators
+    return sum(int((op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark) or 0) for op in ops)
+
+
+class LateRows(StreamingQueryListener):
+    """T5: late rows dropped, over all progress of all queries since
+    ``spark.streams.addListener`` (Spark itself retains recent progress only)."""
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        key = str(event.progress.id)
+        self.dropped[key] = self.dropped.get(key, 0) + _dropped(event.progress)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
 def dropped_by_watermark(query: StreamingQuery) -> int:
-    """T5: rows the stateful step dropped as late, over the retained progress."""
-    total = 0
-    for p in query.recentProgress:
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
-            value = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
-            total += int(value or 0)
-    return total
+    """T5: late rows dropped, over the progress that the query still retains."""
+    return sum(map(_dropped, query.recentProgress))
