@@ -202,18 +202,22 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
         member = member.select("token", "rep", "n", "match", F.coalesce("component", "rep").alias("c"))
         mixed = member.groupBy("token", "c").count().groupBy("token").agg(F.max_by("c", F.struct("count", "c")).alias("major"), F.count("*").alias("k"))
         member = member.join(mixed.where("k > 1").drop("k"), "token")
-        member = stash(member, "members")
-        other = member.where("c <> major").select("token", *(F.col(x).alias(f"{x}2") for x in ("rep", "n", "match", "c")))
+        signed = info.select("rep", *(F.col("sig")[i].alias(f"s{i}") for i in range(4)))
+        member = stash(member.join(signed, "rep"), "members")
+        other = member.where("c <> major").select("token", *(F.col(x).alias(f"{x}2") for x in ("rep", "n", "match", "c", "s0", "s1", "s2", "s3")))
+        # sizes and signatures that rule a pair out are part of the join, so such pairs are never made
+        apart = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"s{i}2"))) for i in range(4)), F.lit(0))
         cross = member.join(other, "token").where(
             (F.col("c") != F.col("c2"))
             & ((F.col("c") == F.col("major")) | (F.col("rep") < F.col("rep2")))
             & (F.least("n", "n2") * den >= F.greatest("n", "n2") * num)
+            & ((den + num) * apart <= (den - num) * (F.col("n") + F.col("n2")))
         )
         cross = cross.groupBy(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).agg(
             F.count("*").alias("shared"), F.any_value(F.least("match", "match2")).alias("due")
         )
         done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        left = stash(possible(cross.where("shared >= due").select("a", "b").join(done, ["a", "b"], "left_anti")), "pairs")
+        left = stash(cross.where("shared >= due").select("a", "b").join(done, ["a", "b"], "left_anti"), "pairs")
         links = links.union(verified(left, "links"))
         whole = components(links)
         per = classes.select(*same, "rep").join(whole, F.col("rep") == F.col("node"), "left").select(*same, F.coalesce("component", "rep").alias("component"))
