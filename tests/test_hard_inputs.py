@@ -15,7 +15,7 @@ from tidemark.operators.codec import label_messages
 from tidemark.operators.ingest import validate
 from tidemark.session import checkpoint_root
 from tidemark.sources.samples import read_samples
-from tidemark.sources.store import purge_table, write_batch_partition
+from tidemark.sources.store import compact_table, purge_table, read_table, write_table
 from tidemark.streaming.wiring import raw_rejects, window_stream
 
 T0 = dt.datetime(2025, 11, 15, 23, 59, 0)
@@ -37,7 +37,7 @@ def test_rate_across_midnight_with_null_label(spark, container):
     points = [(s, Decimal(100 + s)) for s in (0, 30, 90, 120)]
     got = metrics.counter_rate(samples(spark, points, container=container), "20 minutes", "10 minutes").collect()
     by_time = {r["t"].strftime("%H:%M"): r["increase"] for r in got}
-    assert by_time == {"00:00": Decimal(30), "00:10": Decimal(120)}  # the pair over midnight counts
+    assert by_time == {"00:00": Decimal(30), "00:10": Decimal(120), "00:20": Decimal(30)}  # the pair over midnight counts
 
 
 def test_null_and_nan_samples_are_no_reset(spark):
@@ -129,11 +129,30 @@ def test_raw_messages_are_accepted_or_rejected(spark):
 
 def test_purge_rewrites_the_stored_table(spark, scratch):
     df = spark.createDataFrame([("a", 1, 0), ("b", 2, 0), ("a", 3, 1)], "sensor_id string, timestamp long, batch_id long")
-    write_batch_partition(df, f"{scratch}/t")
+    write_table(df, f"{scratch}/t")
     purge_table(spark, f"{scratch}/t", f"{scratch}/u", ["a"])
     assert [(r["sensor_id"], r["batch_id"]) for r in spark.read.parquet(f"{scratch}/u").collect()] == [("b", 0)]
 
 
+def test_compacted_days_read_back_once(spark, scratch):
+    day = 86_400_000
+    kind = "sensor_id string, timestamp long, batch_id long, temperature double, humidity double, created_at timestamp"
+    row = lambda t, b, v: ("a", t, b, v, v, T0)
+    batches = [[row(0, 0, 1.0), row(day, 0, 1.0)], [row(0, 1, 2.0), row(day, 1, 2.0), row(2 * day, 1, 1.0)]]
+    path = f"{scratch}/table"
+    for b in batches:
+        write_table(spark.createDataFrame(b, kind), path)
+    read = lambda **kw: sorted((r["timestamp"] // day, r["temperature"]) for r in read_table(spark, path, **kw).collect())
+    want = [(0, 2.0), (1, 2.0), (2, 1.0)]
+    assert read() == want
+    compact_table(spark, path, "1970-01-02")
+    assert read() == want and read(dates=("1970-01-02", "1970-01-03")) == want[1:]
+    write_table(spark.createDataFrame(batches[1], kind), path)  # a replay after compaction
+    assert read() == want
+    compact_table(spark, path, "1970-01-03")
+    assert read() == want and read(dates=("1970-01-01", "1970-01-01")) == want[:1]
+
+
 def test_shared_folder_is_required_off_local(spark):
     class Context:
         master = "yarn"

@@ -92,12 +92,12 @@ def sensor_overview(spark, sf_dir):
 
 def sensor_data(spark, sf_dir):
     start, end = P.PERIOD
-    return queries.sensor_data(P.stored_table(spark, sf_dir), P.SENSOR, start, end)
+    return queries.sensor_data(P.stored_table(spark, sf_dir, (start[:10], end[:10])), P.SENSOR, start, end)
 
 
 def sensor_stats(spark, sf_dir):
     start, end = P.PERIOD
-    return queries.sensor_stats(P.stored_table(spark, sf_dir), P.SENSOR, start, end)
+    return queries.sensor_stats(P.stored_table(spark, sf_dir, (start[:10], end[:10])), P.SENSOR, start, end)
 
 
 def all_sensor_stats(spark, sf_dir):

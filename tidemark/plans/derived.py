@@ -9,8 +9,8 @@ samples. ``stored_table`` / ``stored_samples`` write the derived data once
 per application as parquet under the checkpoint folder (a written table
 also cuts the lineage) and read it back through S6 / S8, so the queries'
 filters reach a parquet scan. Files are sorted by key and time so filters
-skip row groups; the table is hashed on (sensor, day), which is bounded per
-key, and the samples are range-partitioned, which splits a hot series.
+skip row groups; the table is partitioned by date, and both are
+range-partitioned, which splits a hot day or series.
 """
 
 from __future__ import annotations
@@ -21,9 +21,11 @@ from pyspark.sql import functions as F
 from tidemark.operators.ingest import validate
 from tidemark.operators.table import TABLE_COLUMNS, conform_table, split_dead_letters
 from tidemark.operators.windows import window_mean
-from tidemark.schemas import ANALYTICS_TABLE, WINDOW_DURATION
+from tidemark.schemas import WINDOW_DURATION
 from tidemark.sources.samples import read_samples, samples_from_events
-from tidemark.sources.tables import read_table, readings_from_events
+from tidemark.sources.store import read_table, write_closed
+from tidemark.sources.tables import read_table as read_driver_table
+from tidemark.sources.tables import readings_from_events
 from tidemark.session import ensure_utc, scratch_path
 
 # Parameters of the registered queries (fixed so answers are reproducible).
@@ -49,15 +51,10 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     plan is kept, no data."""
     key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), name)
     if key not in _TABLES:
-        _TABLES[key] = read_table(spark, sf_dir, name)
+        _TABLES[key] = read_driver_table(spark, sf_dir, name)
     return _TABLES[key]
 
 
-def read_stored_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a table written without update history (one row per key)."""
-    return spark.read.schema(ANALYTICS_TABLE).parquet(path)
-
-
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     return readings_from_events(driver_table(spark, sf_dir, "events"))
@@ -87,22 +84,15 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STORED: dict[tuple, str] = {}
 
 
-def _stored(spark: SparkSession, sf_dir: str, name: str, build, layout) -> str:
+def _stored(spark: SparkSession, sf_dir: str, name: str, build, write) -> str:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     if key not in _STORED:
         path = scratch_path(spark, f"stored-{name}")
-        layout(build(spark, sf_dir)).write.parquet(path)
+        write(build(spark, sf_dir), path)
         _STORED[key] = path
     return _STORED[key]
 
 
-def _table_layout(df: DataFrame) -> DataFrame:
-    # Hash on (sensor, day): a sensor holds at most one row per window, so a
-    # sensor-day is bounded (2 880 rows at 30 s) however hot the sensor is.
-    day = F.floor(F.col("timestamp") / F.lit(86_400_000))
-    return df.repartition(F.col("sensor_id"), day).sortWithinPartitions("sensor_id", "timestamp")
-
-
 def _samples_layout(df: DataFrame) -> DataFrame:
     # Samples per series are not bounded in time (one per event here), so a
     # range repartition samples the keys and splits a hot series over tasks.
@@ -112,18 +102,18 @@ def _samples_layout(df: DataFrame) -> DataFrame:
 
 def materialize_table(spark: SparkSession, sf_dir: str) -> str:
     """Write the analytics table once per application; returns its path."""
-    return _stored(spark, sf_dir, "table", analytics_table, _table_layout)
+    return _stored(spark, sf_dir, "table", analytics_table, write_closed)
 
 
 def materialize_samples(spark: SparkSession, sf_dir: str) -> str:
     """Write the metric samples once per application; returns their path."""
-    return _stored(spark, sf_dir, "samples", samples, _samples_layout)
+    return _stored(spark, sf_dir, "samples", samples, lambda df, path: _samples_layout(df).write.parquet(path))
 
 
-def stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The analytics table as the service reads it."""
+def stored_table(spark: SparkSession, sf_dir: str, dates: tuple[str, str] | None = None) -> DataFrame:
+    """The analytics table as the service reads it (S6); all its days are closed."""
     ensure_utc(spark)
-    return read_stored_table(spark, materialize_table(spark, sf_dir))
+    return read_table(spark, materialize_table(spark, sf_dir), dates=dates)
 
 
 def stored_samples(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,15 +1,20 @@
 """Analytics table storage (S4, S6), dead letters (S5) and archive.
 
-File layout: the table is parquet partitioned by ``batch_id``; a batch is
-written with dynamic partition overwrite, so a replayed micro-batch
+File layout: the table is parquet partitioned by ``date`` and ``batch_id``; a
+batch is written with dynamic partition overwrite, so a replayed micro-batch
 replaces its own files instead of adding duplicates (idempotent under
-retries and executor loss). Readers collapse repeated keys by policy.
+retries and executor loss). ``compact_table`` writes finished days once more
+with one row per key, next to the updates. Readers take those days as they
+are, collapse repeated keys of the open days by policy, and prune by date.
 JDBC: plain appends (a replayed micro-batch appends again; the table's key
 has to refuse it) and partitioned reads on the long ``timestamp`` column.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +32,58 @@ def write_batch_partition(df: DataFrame, path: str, batch_col: str = "batch_id")
     )
 
 
+def dated(df: DataFrame) -> DataFrame:
+    """Rows with the UTC ``date`` of their window start."""
+    return df.withColumn("date", F.to_date(ms_to_ts("timestamp")))
+
+
+def write_updates(df: DataFrame, path: str) -> None:
+    """Table rows of one or more batches, by date and batch, replacing those batches.
+
+    A batch that is replayed with the same rows has the same dates."""
+    (
+        # by range: few files per day, and a hot day is still split
+        dated(df).repartitionByRange("date", "sensor_id", "timestamp").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date", "batch_id")
+        .parquet(path)
+    )
+
+
+def closed_path(path: str) -> str:
+    return f"{path.rstrip('/')}_closed"
+
+
+def _parquet_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:  # nothing stored there yet
+        return None
+
+
+def write_closed(df: DataFrame, path: str) -> None:
+    """Rows with one row per key, by date, sorted so that filters skip row groups.
+
+    The range repartition splits a day that holds a third of all rows."""
+    (
+        dated(df).repartitionByRange("date", "sensor_id", "timestamp")
+        .sortWithinPartitions("date", "sensor_id", "timestamp")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date")
+        .parquet(closed_path(path))
+    )
+
+
+def compact_table(spark: SparkSession, path: str, before: str, policy: str = "last") -> None:
+    """Close the days before ``before``: one row per key of all their updates.
+
+    The updates stay, so running it again after a replay or a late batch
+    gives the days anew (their partitions are replaced)."""
+    updates = spark.read.parquet(path).where(F.col("date") < F.lit(before).cast("date"))
+    write_closed(collapse_updates(updates.drop("date"), policy, order="batch_id").select(*TABLE_COLUMNS), path)
+
+
 def write_table(df: DataFrame, path: str | None = None, jdbc: dict[str, str] | None = None) -> None:
     """Store table rows (with ``batch_id`` for file tables)."""
     if jdbc is not None:
@@ -36,7 +93,7 @@ def write_table(df: DataFrame, path: str | None = None, jdbc: dict[str, str] | N
         return
     if path is None:
         raise ValueError("path or jdbc options required")
-    write_batch_partition(df, path)
+    write_updates(df, path)
 
 
 def read_table(
@@ -46,9 +103,12 @@ def read_table(
     policy: str = "last",
     bounds: tuple[int, int] | None = None,
     num_partitions: int = 64,
+    dates: tuple[str, str] | None = None,
 ) -> DataFrame:
     """The table as a DataFrame, one row per key.
 
+    ``dates`` (first and last day) prunes partitions.
+
     File tables keep every stored update; ``policy`` picks the row per key
     (``last`` = upsert result, ``first`` = plain insert into a keyed table).
     JDBC reads split on the ``timestamp`` column between ``bounds``.
@@ -67,14 +127,25 @@ def read_table(
             numPartitions=num_partitions,
             properties=opts,
         )
-    stored = spark.read.parquet(path)
-    return collapse_updates(stored, policy, order="batch_id").select(*TABLE_COLUMNS)
+    closed, updates = _parquet_or_none(spark, closed_path(path)), _parquet_or_none(spark, path)
+    if closed is None and updates is None:
+        raise FileNotFoundError(path)
+    days = lambda df: df.where(F.col("date").between(*(F.lit(d).cast("date") for d in dates))) if dates else df
+    parts = []
+    if closed is not None:
+        parts.append(days(closed).select(*TABLE_COLUMNS))
+    if updates is not None:
+        if closed is not None:  # one value per closed day
+            done = [r["date"] for r in closed.select("date").distinct().collect()]
+            updates = updates.where(~F.col("date").isin(done)) if done else updates
+        parts.append(collapse_updates(days(updates).drop("date"), policy, order="batch_id").select(*TABLE_COLUMNS))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def purge_table(spark: SparkSession, path: str, out_path: str, ids: list[str] | DataFrame) -> None:
     """The stored table without the rows of some sensors, rewritten to
     ``out_path`` with the same batches (a path that is read cannot be replaced)."""
-    write_batch_partition(purge_sensors(spark.read.parquet(path), ids), out_path)
+    write_updates(purge_sensors(spark.read.parquet(path), ids).drop("date"), out_path)
 
 
 def write_archive(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -85,9 +156,8 @@ def write_archive(df: DataFrame, path: str, mode: str = "append") -> None:
     tasks (hash on date alone would send it to one), and each file comes out
     sorted, so time and sensor filters skip row groups and partitions.
     """
-    dated = df.withColumn("date", F.to_date(ms_to_ts("timestamp")))
     (
-        dated.repartitionByRange("date", "sensor_id", "timestamp")
+        dated(df).repartitionByRange("date", "sensor_id", "timestamp")
         .sortWithinPartitions("date", "sensor_id", "timestamp")
         .write.mode(mode)
         .partitionBy("date")

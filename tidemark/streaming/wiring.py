@@ -31,7 +31,7 @@ from tidemark.operators.table import TABLE_COLUMNS, conform_table, split_dead_le
 from tidemark.operators.windows import window_mean, with_watermark
 from tidemark.functions.time import ms_to_ts
 from tidemark.session import ROCKSDB_PROVIDER
-from tidemark.sources.store import write_batch_partition
+from tidemark.sources.store import write_batch_partition, write_updates
 
 
 def window_stream(
@@ -93,7 +93,7 @@ def table_batch_writer(
             good, dead = split_dead_letters(labelled, keep=[*TABLE_COLUMNS, "batch_id"])
             if undecoded is not None:
                 dead = dead.unionByName(undecoded, allowMissingColumns=True)
-            write_batch_partition(good, table_path)
+            write_updates(good, table_path)
             write_batch_partition(dead, dead_path)
         finally:
             batch.unpersist()
