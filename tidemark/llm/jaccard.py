@@ -9,7 +9,7 @@ estimated cost from the document's shingle frequencies.
 
 1. *Frequencies*: counts of all shingles of all texts in 2**20 hashed slots (a fixed
    8 MB). They set the order and the cost estimates, and never a result.
-2. *Sets*: per text its size, digest, prefix and a 256-bit parity signature. Texts with
+2. *Sets*: per text its size, digest, prefix and a 2048-bit parity signature. Texts with
    equal sets (copies) become one class, so groups of copies are never expanded.
 3. *Pivot pairs*: every class is compared with the least class of each posting list;
    these pairs grow in line with the postings and join most groups of near copies.
@@ -28,6 +28,8 @@ get the component of their class, or null. Shingles are 64-bit hashes.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -107,7 +109,7 @@ def _sets(slots, width: int, num: int, den: int):
                         continue
                     match, lead = prefix(s, seen, floor, num, den)
                     digest = mix(np.array([s.sum(), mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum()], np.uint64) + np.uint64(len(s)))
-                    parity = np.packbits((np.bincount((s >> np.uint64(24)).astype(np.int64) & 255, minlength=256) & 1).astype(np.uint8))
+                    parity = np.packbits((np.bincount((s >> np.uint64(24)).astype(np.int64) & 2047, minlength=2048) & 1).astype(np.uint8))
                     rows.append((i, len(s), *digest.view(np.int64).tolist(), match, parity.view(np.int64), lead.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), SETS, strict=True)], schema=SETS)
 
@@ -177,7 +179,8 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
             """Pairs whose sizes and signatures leave the similarity open."""
             x = info.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
             y = info.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
-            apart = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(4)), F.lit(0))
+            bits = F.zip_with("sa", "sb", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+            apart = F.aggregate(bits, F.lit(0), lambda total, n: total + n)
             # |difference| <= (den - num) / (den + num) * (na + nb)
             fits = (den + num) * apart <= (den - num) * (F.col("na") + F.col("nb"))
             return pairs.join(x, "a").join(y, "b").where(fits).select("a", "b")
@@ -202,7 +205,9 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
         member = member.select("token", "rep", "n", "match", F.coalesce("component", "rep").alias("c"))
         mixed = member.groupBy("token", "c").count().groupBy("token").agg(F.max_by("c", F.struct("count", "c")).alias("major"), F.count("*").alias("k"))
         member = member.join(mixed.where("k > 1").drop("k"), "token")
-        signed = info.select("rep", *(F.col("sig")[i].alias(f"s{i}") for i in range(4)))
+        # the parity of 256 classes of shingles: the signature folded by exclusive or
+        fold = lambda i: reduce(lambda a, b: a.bitwiseXOR(b), (F.col("sig")[i + 4 * j] for j in range(8)))
+        signed = info.select("rep", *(fold(i).alias(f"s{i}") for i in range(4)))
         member = stash(member.join(signed, "rep"), "members")
         other = member.where("c <> major").select("token", *(F.col(x).alias(f"{x}2") for x in ("rep", "n", "match", "c", "s0", "s1", "s2", "s3")))
         # sizes and signatures that rule a pair out are part of the join, so such pairs are never made
@@ -217,7 +222,7 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
             F.count("*").alias("shared"), F.any_value(F.least("match", "match2")).alias("due")
         )
         done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        left = stash(cross.where("shared >= due").select("a", "b").join(done, ["a", "b"], "left_anti"), "pairs")
+        left = stash(possible(cross.where("shared >= due").select("a", "b").join(done, ["a", "b"], "left_anti")), "pairs")
         links = links.union(verified(left, "links"))
         whole = components(links)
         per = classes.select(*same, "rep").join(whole, F.col("rep") == F.col("node"), "left").select(*same, F.coalesce("component", "rep").alias("component"))
