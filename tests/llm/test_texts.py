@@ -156,6 +156,28 @@ def test_html_extraction(spark):
     assert sorted((r.page_id, r.text, r.n_chars) for r in extract(df).collect()) == [(i, w, len(w)) for i, (_, w) in enumerate(PAGES)]
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<body><div><p class=ad>buy<p>Article one</p><p>Article two</p></div></body>", "Article one Article two"),
+        ("<body><p class=notice>note<div>Article <b>one</b></div><p>Article two</body>", "Article one Article two"),
+        ("<body><ul><li class=share>Share<li>Article one<li>Article two</ul></body>", "Article one Article two"),
+        ("<body><ul><li class=share><a href=x>Share<li>Article one<li>Article two</ul></body>", "Article one Article two"),
+        ("<body><div><div><span class=ad>buy</div><p>Article one</p></div></body>", "Article one"),
+        ("<body><table><tr class=ad><td>buy<tr><td>Article one<td>Article two</table></body>", "Article one Article two"),
+        ("<html><head><title>T</title><meta name=x><body><p>Article one</p></body></html>", "Article one"),
+        # what stood between the tags of boilerplate stays out
+        ("<body><aside><table><tr><td>buy</aside><p>Article one</p></body>", "Article one"),
+        ("<body><nav><article><p>menu</nav><p>Article one</p></body>", "Article one"),
+        ("<body><b><div class=ad>buy</b> now</div><p>Article one</p></body>", "Article one"),
+        ("<body><div class=ad><div>buy</div> now<svg/></div><p>Article one</p><svg></svg></body>", "Article one"),
+        ("<body><p>Article <button><div>share</div></button>one</p></body>", "Article one"),
+    ],
+)
+def test_html_of_unclosed_boilerplate(page, want):
+    assert main_text(page) == want
+
+
 def test_html_of_the_pages_table(spark):
     import html
 

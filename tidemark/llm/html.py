@@ -18,7 +18,8 @@ space; blocks (br and block elements end one) are joined by one space in page or
 
 Defined results: null or empty html, or a page without text, gives the empty string. Broken
 markup is read as far as it goes: unclosed elements end with their parent, a
-new block ends an open paragraph. Repeated rows are each extracted; extra columns are ignored.
+new block ends an open paragraph, a new list item, table cell or row the one before, also where the
+element is boilerplate. Repeated rows are each extracted; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,6 +41,12 @@ BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split()
 )
 CONTAINER = frozenset("article main section div td body blockquote".split())
+HEAD = frozenset("head base basefont bgsound link meta title style script noscript template".split())
+# what a start tag ends, where it stands directly around it or with inline elements between
+ENDS = {
+    **dict.fromkeys(("li", "option"), ()), "dt": ("dd",), "dd": ("dt",), "td": ("th",), "th": ("td",), "tr": ("td", "th"),
+    **dict.fromkeys(("thead", "tbody", "tfoot"), ("td", "th", "tr", "thead", "tbody", "tfoot")),
+}
 BOILERPLATE_TAGS = frozenset("head nav footer aside form script style noscript template iframe textarea title svg object canvas button select dialog menu input".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 BOILERPLATE_WORDS = frozenset(
@@ -54,12 +61,13 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "parts", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "parts", "chars", "tags", "link_chars", "link_tags", "density", "total", "cut")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent, self.children, self.parts = tag, parent, [], []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
+        self.cut = parent.cut if parent is not None else None  # the boilerplate element that it stands in
 
 
 def is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
@@ -83,38 +91,38 @@ def is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
 def parse(page: str) -> Node:
     """The tree of a page without its boilerplate; text stands in ``parts`` among the children."""
     root = Node("html", None)
-    now, at, skip = root, 0, None  # skip: (tag, depth) of a boilerplate element being left out
+    now, at = root, 0
     articles = 0
 
     def text(piece: str) -> None:
-        if piece:
+        if piece and now.cut is None:
             now.parts.append(html.unescape(piece) if "&" in piece else piece)
 
     for m in _TOKEN.finditer(page):
         if m.start() < at:
             continue
-        if skip is None and m.start() > at:
+        if m.start() > at:
             text(page[at : m.start()])
         at = m.end()
         if m[2] is None:
             continue
         tag = m[2].lower()
-        if skip is not None:
-            if tag == skip[0]:
-                depth = skip[1] + (-1 if m[1] else 1)
-                skip = (tag, depth) if depth else None
-            elif m[1] and tag in ("body", "html"):
-                skip = None
-            continue
         if m[1]:  # an end tag closes down to its element; without one it is ignored
             top = now
             while top is not None and top.tag != tag:
-                # no end tag of an inner element closes an article, table cell or body
-                top = None if top.tag in ("article", "main", "td", "body") and tag not in ("article", "main", "body", "html", "table", "tr") else top.parent
+                # no end tag of an inner element closes an article, table cell or body, none of an inline element a block of
+                # boilerplate; that of the boilerplate itself closes all in it
+                held = top.tag in ("article", "main", "td", "body") and tag not in ("article", "main", "body", "html", "table", "tr")
+                held |= top.cut is not None and top.tag in BLOCK and tag not in BLOCK
+                top = None if held and not (top.cut is not None and top.cut.tag == tag) else top.parent
             if top is not None and top.parent is not None:
-                articles -= top.tag in ("article", "main")
+                articles -= top.tag in ("article", "main") and top.cut is None
                 now = top.parent
+            elif tag in ("body", "html") and now.cut is not None:
+                now = now.cut.parent
             continue
+        if now.tag == "head" and tag not in HEAD:
+            now = now.parent
         if tag in ("html", "body"):
             if tag == "body" and now is root:
                 child = Node(tag, now)
@@ -123,33 +131,41 @@ def parse(page: str) -> Node:
             continue
         if tag in BLOCK and tag != "br":
             top = now
-            while top is not None and top.tag != "p" and top.tag not in CONTAINER:
+            while top is not None and top.tag not in ("p", "button", "select") and top.tag not in CONTAINER:
                 top = top.parent
             if top is not None and top.tag == "p":
                 now = top.parent
-        if tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
-            if now.tag == tag:
-                now = now.parent
-        bad = is_boilerplate(tag, m[3], articles > 0)
+        if tag in ENDS:
+            top = now
+            while top.parent is not None:
+                if top.tag == tag or top.tag in ENDS[tag]:
+                    now = top = top.parent
+                elif top.tag not in BLOCK and top.tag not in ("button", "select"):
+                    top = top.parent
+                else:
+                    break
+        bad = now.cut is not None or is_boilerplate(tag, m[3], articles > 0)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
-            if bad or tag != "noscript":
-                now.parts.append(" ")
-                continue
-        if bad:
+            # inside boilerplate an element without an end, or ended at once, takes nothing with it
+            if now.cut is None or (end and not m[3].endswith("/") and tag not in ("svg", "object", "canvas", "template")):
+                at = end.end() if end else len(page)
+                if bad or tag != "noscript":
+                    now.parts.append(" ")
+                    continue
+        child = Node(tag, now)
+        if bad:  # a node like others, so the same rules end it, but in no tree
             if tag in BLOCK:
                 now.parts.append(" ")
+            child.cut = child.cut or child
             if tag not in VOID and not m[3].endswith("/"):
-                skip = (tag, 1)
+                now = child
             continue
-        child = Node(tag, now)
         now.parts.append(child), now.children.append(child)
         if tag not in VOID:
             now = child
             articles += tag in ("article", "main")
-    if skip is None:
-        text(page[at:])
+    text(page[at:])
     return root
 
 
