@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.chunks import _NUMBERS, cut_text, substring_dedup
 from tidemark.llm.html import extract, main_text
 from tidemark.llm.langid import keep_identified, language_id
-from tidemark.llm.mixture import score
+from tidemark.llm.mixture import CLASS_SLOTS, CLASSES, _classes, classes_of, score
 from tidemark.llm.suffixes import cut_repeats, difference_cover, repeated_spans, suffix_dedup
-from tidemark.llm.textkit import shingles, slices, word_hashes
+from tidemark.llm.textkit import prefix_hash, shingles, slices, span_hash, word_hashes
+from tidemark.llm.textkit import words as token_spans
 
 SF = "/root/testdata/sf0.001"
 
@@ -208,6 +209,24 @@ def test_lm_scores(spark):
     assert {r.train_tokens for r in score(docs.limit(3), F.lit(False)).collect()} == {0}
 
 
+def test_lm_classes_learn_from_whole_texts(spark):
+    rng = np.random.default_rng(8)
+    common = [f"c{i}" for i in range(40)]
+    kinds = [[f"{k}{i}" for i in range(20)] for k in ("left", "right")]
+    filler = lambda: " ".join(rng.choice(common, 1500))  # noqa: E731  over 4000 characters
+    rows = [(i, filler() + " " + " ".join(rng.choice(kinds[i % 2], 400))) for i in range(80)] + [(80, ""), (81, "c1")]
+    log = _classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert log.shape == (CLASSES, CLASS_SLOTS) and np.allclose(np.exp(log).sum(1), 1)
+
+    def kind(ws):
+        buf = np.frombuffer(" ".join(ws).encode(), np.uint8)
+        start, end, doc = token_spans(buf, np.array([0, len(buf)]))
+        return int(classes_of(log, span_hash(prefix_hash(buf), start, end), doc, 1)[-1])
+
+    tails = [{kind(rng.choice(k, 50)) for _ in range(20)} for k in kinds]
+    assert not tails[0] & tails[1]
+
+
 def test_words_and_shingles():
     import pyarrow as pa
 
