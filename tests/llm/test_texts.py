@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.chunks import _NUMBERS, cut_text, substring_dedup
 from tidemark.llm.html import extract, main_text
 from tidemark.llm.langid import keep_identified, language_id
-from tidemark.llm.mixture import CLASS_SLOTS, CLASSES, _classes, classes_of, score
+from tidemark.llm.mixture import CLASS_SLOTS, CLASSES, _classes, _first_bytes, classes_of, score
 from tidemark.llm.suffixes import cut_repeats, difference_cover, repeated_spans, suffix_dedup
 from tidemark.llm.textkit import prefix_hash, shingles, slices, span_hash, word_hashes
 from tidemark.llm.textkit import words as token_spans
@@ -227,6 +227,14 @@ def test_lm_classes_learn_from_whole_texts(spark):
     assert not tails[0] & tails[1]
 
 
+def test_lm_tells_previous_words_apart():
+    buf = np.frombuffer(" ".join(f"w{i}" for i in range(600)).encode(), np.uint8)
+    start, end, doc = token_spans(buf, np.array([0, len(buf)]))
+    log = np.zeros((CLASSES, CLASS_SLOTS))
+    token, _, _ = _first_bytes(log, buf, start, doc, span_hash(prefix_hash(buf), start, end), 1)
+    assert len(np.unique(token // 256)) > 400  # 600 words in 1023 slots: some share one
+
+
 def test_words_and_shingles():
     import pyarrow as pa
 
