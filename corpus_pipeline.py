@@ -10,8 +10,8 @@ folder and reads them back for the next.
 4. source_mix       rows are repeated or left out until the sources have their weights
 5. packing          token sequences of 4096: one row per piece and its place
 
-Null and empty texts: stage 1 drops them, as they have no language. Repeated rows: stage 2 keeps one. Rows with a null
-id are not compared in stage 2 and stay. Empty tables pass through as empty tables.
+Null and empty texts: stage 1 drops them, as they have no language. Repeated rows: stage 2 keeps one. A row with a null
+id is a document of its own in stage 2; of those linked one stays. Empty tables pass through as empty tables.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_one(docs, width=5, num=80, den=100)
+    return keep_one(docs, width=5, num=80, den=100, compare_all=True)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

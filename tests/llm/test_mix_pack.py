@@ -124,6 +124,21 @@ def test_pipeline_stages(spark):
         assert stage(spark, empty, SF).count() == 0
 
 
+def test_pipeline_keeps_one_of_copies_without_an_id(spark):
+    import corpus_pipeline as cp
+
+    make = lambda k, n: " ".join(f"{k}{i}" for i in range(n))
+    twice, named, near = make("a", 80), make("b", 80), make("c", 120)
+    rows = [(None, twice)] * 3 + [(None, named), (7, named), (None, near), (None, near + " more"), (8, make("d", 80)), (None, "x y")]
+    for top in (9, 2**63 - 1):  # ids with room behind them, and without
+        docs = spark.createDataFrame([*rows, (top, make("e", 80))], "doc_id long, text string").repartition(3)
+        kept = cp.stash(cp.near_duplicates(spark, docs, SF), "kept")
+        kept = [(r.doc_id, r.text) for r in cp.suffix_dedup(spark, kept, SF).collect()]
+        assert len(kept) == 6 and {t.split()[0] for _, t in kept} == {"a0", "b0", "c0", "d0", "e0", "x"}
+        assert all(len(t) > 200 for _, t in kept if t != "x y")
+        assert top != 9 or (7, named) in kept
+
+
 def test_queries_are_registered():
     import __spark_entry__ as e
 

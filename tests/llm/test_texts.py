@@ -12,10 +12,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.llm import suffixes
 from tidemark.llm.chunks import _NUMBERS, cut_text, substring_dedup
 from tidemark.llm.html import extract, main_text
 from tidemark.llm.langid import keep_identified, language_id
 from tidemark.llm.mixture import CLASS_SLOTS, CLASSES, _classes, _first_bytes, classes_of, score
+from tidemark.llm.shared import stash
 from tidemark.llm.suffixes import cut_repeats, difference_cover, repeated_spans, suffix_dedup
 from tidemark.llm.textkit import prefix_hash, shingles, slices, span_hash, word_hashes
 from tidemark.llm.textkit import words as token_spans
@@ -61,6 +63,24 @@ def test_suffix_dedup_of_crowded_anchors(spark, texts):
     assert {r.sha: r.n_removed for r in repeated_spans(docs, 100, hot=1)[1].collect()} == want
 
 
+def test_suffix_dedup_takes_repeated_rows_once(spark, texts, monkeypatch):
+    many = []
+
+    def spy(df, name, keep=False):
+        out = stash(df, name, keep)
+        if name == "candidates":
+            many.append(out.groupBy("id", "tid").count().where("count > 1").count())
+        return out
+
+    monkeypatch.setattr(suffixes, "stash", spy)
+    rows = [*texts, *[(None, texts[0][1])] * 20, *[(21, texts[21][1])] * 20]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.Counter((r.doc_id, r.n_removed, r.kept_sha256) for r in suffix_dedup(docs, 100).collect())
+    assert many == [0]
+    brute = cover_brute(list(enumerate(t for _, t in rows)), 100)
+    assert got == collections.Counter((rows[i][0], n, sha) for i, (_, n, _, sha) in brute.items())
+
+
 def test_cut_repeats_keeps_columns_and_clean_rows(spark, texts):
     docs = spark.createDataFrame(texts, "doc_id long, text string").withColumn("n_chars", F.length("text").cast("long")).withColumn("kept", F.lit(7))
     out = cut_repeats(docs, 100)

@@ -28,6 +28,7 @@ get the component of their class, or null. Shingles are 64-bit hashes.
 
 from __future__ import annotations
 
+import itertools
 from functools import reduce
 
 import numpy as np
@@ -231,13 +232,32 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
         return stash(out, "jaccard", keep=True)
 
 
-def keep_one(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+def _keys(whole: DataFrame) -> DataFrame:
+    """The rows of ``whole`` (row, doc_id, text); those without an id get a key that no other row has, in place of it."""
+    named = whole.where("doc_id IS NOT NULL")
+    # stored, so that a row keeps its number
+    lone = stash(whole.where("doc_id IS NULL").withColumn("number", F.monotonically_increasing_id()), "no-id")
+    if lone.isEmpty():
+        return named
+    top = named.agg(F.max("doc_id")).first()[0]
+    if top is None or top < 1 << 62:  # behind all ids
+        return named.union(lone.select("row", (F.col("number") + max(0, (top or 0) + 1)).alias("doc_id"), "text"))
+    for salt in itertools.count():  # ids are all over the range: numbers are turned until they meet none
+        keyed = lone.select("row", F.xxhash64(F.col("number").bitwiseXOR(F.lit(salt << 40))).alias("doc_id"), "text")
+        if named.select("doc_id").join(keyed.select("doc_id"), "doc_id", "left_semi").isEmpty():
+            return named.union(keyed)
+
+
+def keep_one(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, compare_all: bool = False) -> DataFrame:
     """The rows of ``docs``, all columns, of one document per component: that of the least id.
 
-    Of several rows with that id the one with the least text stays. Rows without an id stay.
+    Of several rows with that id the one with the least text stays. Rows without an id stay; with ``compare_all``
+    each of them is a document of its own, compared like the others.
     """
-    found = jaccard_classes(docs, width, num, den).where("doc_id = component").select("doc_id").distinct()
     whole = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if compare_all:
+        whole = _keys(whole)
+    found = jaccard_classes(whole, width, num, den).where("doc_id = component").select("doc_id").distinct()
     first = F.expr("row_number() OVER (PARTITION BY doc_id ORDER BY text)")
     one = whole.where("doc_id IS NOT NULL").join(found, "doc_id", "left_semi").withColumn("nth", first).where("nth = 1")
     return one.select("row.*").union(whole.where("doc_id IS NULL").select("row.*"))

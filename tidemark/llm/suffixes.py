@@ -257,8 +257,11 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, keep_text: bool = False,
         classes = rows.groupBy("sha").agg(F.count("*").alias("copies"), F.min("doc_id").alias("doc_id"))
         one = classes.select(*ident)
         long_ = docs.where(F.octet_length("text") >= width).select(*ident, "sha", "text")
+        # one row per id and text; rows that repeat both are copies, which go whole anyway
+        again = stash(rows.select(*ident).groupBy(TEXT).count().where("count > 1").drop("count"), "repeated")
+        if not again.isEmpty():
+            long_ = long_.join(again, TEXT, "left_anti").union(long_.join(again, TEXT, "left_semi").dropDuplicates(TEXT))
         with scratch(spark, "anchors"):
-            # one row per text; rows that repeat id and text are copies, which go whole anyway
             found = long_.mapInArrow(_anchor_rows(width), "id long, tid long, runs array<struct<h:long,p:int,a:int,b:int>>")
             runs = stash(found.join(one, TEXT).select(*TEXT, F.inline("runs")), "runs")
             often = runs.groupBy("h").count().where("count > 1").select("h")
