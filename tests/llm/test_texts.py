@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import suffixes
+from tidemark.llm import langid, suffixes
 from tidemark.llm.chunks import _NUMBERS, cut_text, substring_dedup
 from tidemark.llm.html import extract, main_text
 from tidemark.llm.langid import keep_identified, language_id
@@ -170,6 +170,22 @@ PAGES = [
 ]
 
 
+def test_language_sample_keeps_rare_languages(spark, monkeypatch):
+    monkeypatch.setattr(langid, "ROWS_PER_LANG", 40), monkeypatch.setattr(langid, "MAX_ROWS", 120)
+    names = [f"l{i}" for i in range(6)]
+    rows = [(1000 * k + i, f"{n} words {i}", n) for k, n in enumerate(names) for i in range(900)]
+    rows += [(10**6 + i, f"rare words {i}", "rare") for i in range(12)]
+    seen = []
+
+    class Net(langid.ByteNet):
+        def fit(self, x, y):
+            seen.append(collections.Counter(np.array(self.langs)[y].tolist()))
+
+    monkeypatch.setattr(langid, "ByteNet", Net)
+    langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(seen[0]) == {*names, "rare"} and seen[0]["rare"] >= 12 and all(seen[0][n] >= 17 for n in names)
+
+
 def test_html_extraction(spark):
     for page, want in PAGES:
         assert main_text(page) == want

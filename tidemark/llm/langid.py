@@ -147,11 +147,14 @@ def train(labelled: DataFrame) -> ByteNet:
     # the rows of least id hash per language: first the hash limits, then the snippets below them
     marked = labelled.withColumn("hash_", F.xxhash64("doc_id"))
     rank = F.expr("row_number() OVER (PARTITION BY lang ORDER BY hash_)")
-    cut = marked.select("lang", "hash_").withColumn("rank", rank).where(F.col("rank") <= ROWS_PER_LANG)
+    # many languages have fewer rows each, so that a rare one keeps its place
+    per = max(10, min(ROWS_PER_LANG, MAX_ROWS // max(1, labelled.select("lang").distinct().count())))
+    cut = marked.select("lang", "hash_").withColumn("rank", rank).where(F.col("rank") <= per)
     cut = cut.groupBy("lang").agg(F.max("hash_").alias("top"), F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_ROWS // 10)
     cut = cut.withColumnRenamed("lang", "lang_")
     rows = marked.join(F.broadcast(cut), (F.col("lang") == F.col("lang_")) & (F.col("hash_") <= F.col("top")))
-    rows = rows.orderBy("hash_", "lang").limit(MAX_ROWS).select("lang", snippet.alias("snippets")).toArrow().to_pylist()
+    rows = rows.withColumn("rank", rank).where(F.col("rank") <= per)  # rows that repeat an id share its hash
+    rows = rows.orderBy("hash_", "lang").select("lang", snippet.alias("snippets")).toArrow().to_pylist()
     langs = sorted({r["lang"] for r in rows})
     net = ByteNet(langs)
     if len(langs) > 1:
