@@ -10,8 +10,11 @@ from tidemark.llm.langid import op7_byte_cnn_langid
 from tidemark.llm.mixing import op9_source_mix
 from tidemark.llm.mixture import op10_context_mixing
 from tidemark.llm.packing import op5_sum_of_squares_packing
+from tidemark.llm.resampling import OP13_SQL, op13_importance_resampling
 from tidemark.llm.suffixes import op6_suffix_dedup
 from tidemark.llm.topk import OP1_SQL, op1_kdtree_topk
+from tidemark.llm.toxicity import op11_toxicity_cnn
+from tidemark.llm.trie import OP12_SQL, op12_prefix_trie
 
 LLM_QUERIES = {
     "op1_kdtree_topk": op1_kdtree_topk,
@@ -24,6 +27,15 @@ LLM_QUERIES = {
     "op8_text_density": op8_text_density,
     "op9_source_mix": op9_source_mix,
     "op10_context_mixing": op10_context_mixing,
+    "op11_toxicity_cnn": op11_toxicity_cnn,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
-LLM_SQL = {"op1_kdtree_topk": OP1_SQL, "op3_embedding_neardup": OP3_SQL, "op4_jaccard_join": OP4_SQL}
+LLM_SQL = {
+    "op1_kdtree_topk": OP1_SQL,
+    "op3_embedding_neardup": OP3_SQL,
+    "op4_jaccard_join": OP4_SQL,
+    "op12_prefix_trie": OP12_SQL,
+    "op13_importance_resampling": OP13_SQL,
+}

@@ -46,3 +46,17 @@ def stash(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
 
 def sf_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB expression: crc32 of a text's UTF-8 bytes, half a byte at a time."""
+    steps = []
+    for x in range(16):
+        for _ in range(4):
+            x = (x >> 1) ^ 0xEDB88320 if x & 1 else x >> 1
+        steps.append(x)
+    digits = f"hex(encode({text}))"
+    # the low half of a byte comes first
+    halves = f"list_transform(range(length({digits})), lambda i: strpos('123456789ABCDEF', substr({digits}, (i + 2 - 2 * (i % 2))::INT, 1)))"
+    table = f"{steps}::BIGINT[]"
+    return f"xor(list_reduce({halves}, lambda c, x: xor(({table})[(xor(c, x) & 15) + 1], c >> 4), 4294967295::BIGINT), 4294967295::BIGINT)"
