@@ -118,6 +118,38 @@ log AS (
   FROM means WHERE length(sensor_id) <= 50)"""
 
 
+# Four interleaved parts of the accepted readings, each stored as one batch.
+BATCH_ROWS = f"""upd AS (
+  SELECT sensor_id, epoch_us("timestamp") // {DAY_MS * 1000} * {DAY_MS} AS "timestamp", event_id % 4 AS batch_id,
+         {_mean('temperature')} AS temperature, {_mean('humidity')} AS humidity
+  FROM accepted GROUP BY ALL)"""
+
+
+def _stored_batches(direction: str = "DESC") -> str:
+    return _with(READINGS, ACCEPTED, BATCH_ROWS) + f"""
+SELECT sensor_id, "timestamp", {_table_decimal('temperature')} AS temperature, {_table_decimal('humidity')} AS humidity,
+       TIMESTAMP '{P.TABLE_AS_OF}' + to_minutes(batch_id::INT) AS created_at
+FROM upd QUALIFY row_number() OVER (PARTITION BY sensor_id, "timestamp" ORDER BY batch_id {direction}) = 1"""
+
+
+# The stream with delayed messages: three arrivals by event_id, some messages one or two arrivals late.
+LATE = """bounds AS (SELECT min(event_id) AS lo, max(event_id) + 1 AS hi FROM accepted),
+judged AS (
+  SELECT event_id, "timestamp", temperature, humidity, event_id % 29 IN (7, 11, 13) AS rejected,
+         CASE WHEN sensor_id LIKE '%7' THEN sensor_id || '-' || repeat('x', 50) ELSE sensor_id END AS sensor_id,
+         dense_rank() OVER (ORDER BY (event_id - lo) // greatest(1, (hi - lo + 2) // 3)
+                                     + CASE event_id % 17 WHEN 5 THEN 1 WHEN 9 THEN 2 ELSE 0 END) - 1 AS batch_id
+  FROM accepted, bounds),
+seen AS (
+  SELECT batch_id, max(max(epoch_ms("timestamp")) FILTER (WHERE NOT rejected))
+           OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) AS seen_ms
+  FROM judged GROUP BY batch_id),
+marked AS (
+  SELECT judged.*, NOT rejected AND epoch_us("timestamp") // 30000000 * 30000 + 30000 <= greatest(0, coalesce(seen_ms, 0) - 60000) AS late
+  FROM judged JOIN seen USING (batch_id)),
+kept AS (SELECT * FROM marked WHERE NOT rejected AND NOT late AND length(sensor_id) <= 50)"""
+
+
 def _collapse(direction: str) -> str:
     return _with(READINGS, ACCEPTED, CHANGELOG) + f"""
 SELECT sensor_id, "timestamp", batch_id, temperature, humidity FROM log
@@ -251,6 +283,19 @@ FROM accepted WHERE event_id % 29 IN (7, 11, 13)""",
         + """SELECT CASE "timestamp" // 30000 % 17 WHEN 3 THEN 'schema_missing' WHEN 5 THEN 'payload_missing:temperature'
             WHEN 8 THEN 'envelope_malformed' ELSE 'payload_missing:timestamp' END AS reason, count(*) AS rows
 FROM wm WHERE "timestamp" // 30000 % 17 IN (3, 5, 8, 9) GROUP BY 1""",
+        "compacted_readback": _stored_batches(),
+        "compacted_first": _stored_batches("ASC"),
+        "purged_store": f"SELECT * FROM ({_stored_batches()}) WHERE sensor_id NOT IN ({purged})",
+        "recent_arrivals": f'SELECT * FROM ({_stored_batches()}) ORDER BY created_at DESC, "timestamp" DESC, sensor_id LIMIT 25',
+        "late_rows": _with(READINGS, ACCEPTED, LATE)
+        + """SELECT 'sensor-data' AS topic, 0 AS partition, event_id AS "offset", sensor_id, "timestamp" AS event_time, batch_id, 'late' AS reason
+FROM marked WHERE late""",
+        "stream_accounts": _with(READINGS, ACCEPTED, LATE)
+        + """SELECT batch_id, count(*) AS messages, count(*) FILTER (WHERE NOT rejected AND NOT late) AS accepted,
+       count(*) FILTER (WHERE rejected) AS rejected, count(*) FILTER (WHERE late) AS late FROM marked GROUP BY batch_id""",
+        "late_window_mean": _with(READINGS, ACCEPTED, LATE, window_cte("wm", 30_000, "kept"))
+        + f"""SELECT sensor_id, "timestamp", {_table_decimal('temperature')} AS temperature,
+       {_table_decimal('humidity')} AS humidity FROM wm""",
         "collapse_last": _collapse("DESC"),
         "collapse_first": _collapse("ASC"),
         "list_sensors": _with(*TABLE_CTES)

@@ -58,6 +58,7 @@ D_NULL_MEASURE = "null_measure:"  # followed by the field name
 D_DECIMAL_OVERFLOW = "decimal_overflow:"  # followed by the field name
 D_DUPLICATE_KEY = "duplicate_key"
 D_MESSAGE_MALFORMED = "message_malformed"
+D_LATE = "late"
 D_ENVELOPE_MALFORMED = "envelope_malformed"
 D_SCHEMA_MISSING = "schema_missing"
 D_PAYLOAD_FIELD_MISSING = "payload_missing:"  # followed by the field name

@@ -2,9 +2,11 @@
 
 from tidemark.streaming.wiring import (
     LateRows,
+    accounted_batch_writer,
     dropped_by_watermark,
     raw_rejects,
     run_until_stopped,
+    start_accounted_sink,
     start_archive,
     start_reject_sink,
     start_table_sink,
@@ -13,6 +15,6 @@ from tidemark.streaming.wiring import (
 )
 
 __all__ = [
-    "LateRows", "dropped_by_watermark", "raw_rejects", "start_reject_sink", "run_until_stopped", "start_archive", "start_table_sink",
+    "LateRows", "accounted_batch_writer", "start_accounted_sink", "dropped_by_watermark", "raw_rejects", "start_reject_sink", "run_until_stopped", "start_archive", "start_table_sink",
     "table_batch_writer", "window_stream",
 ]

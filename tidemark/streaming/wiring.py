@@ -10,9 +10,14 @@ has passed its end.
 
 The micro-batch is persisted once and released after both writes. Writes
 replace the partition of their own ``batch_id``, so a batch replayed after
-a failure leaves exactly one copy. Late rows beyond the watermark are
-dropped by Spark (T5); ``numRowsDroppedByWatermark`` in the query progress
-counts them.
+a failure leaves exactly one copy.
+
+Late rows (T5) are dropped by Spark inside the aggregate. ``start_accounted_sink``
+runs the windows and the raw messages as two branches of one query, so that both see the
+same micro-batches: the sink knows each batch's watermark from the event
+times of the batches before it, and writes the messages that the aggregate
+dropped aside with the reason ``late``. Every message is then accounted for as accepted, rejected
+or late.
 """
 
 from __future__ import annotations
@@ -29,9 +34,9 @@ from tidemark import schemas as S
 from tidemark.operators.codec import decode_envelope, encode_envelope, label_messages
 from tidemark.operators.table import TABLE_COLUMNS, conform_table, split_dead_letters
 from tidemark.operators.windows import window_mean, with_watermark
-from tidemark.functions.time import ms_to_ts
+from tidemark.functions.time import duration_seconds, ms_to_ts
 from tidemark.session import ROCKSDB_PROVIDER
-from tidemark.sources.store import write_batch_partition, write_updates
+from tidemark.sources.store import exists, write_batch_partition, write_updates
 
 
 def window_stream(
@@ -81,26 +86,124 @@ def table_batch_writer(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
+            _store_means(batch, batch_id, table_path, dead_path, as_of, envelope_path)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
+def _store_means(means: DataFrame, batch_id: int, table_path: str, dead_path: str, as_of, envelope_path: str | None) -> None:
+    number = F.lit(batch_id).cast("long").alias("batch_id")
+    created = as_of if as_of is not None else F.current_timestamp()
+    undecoded, numbered = None, means.select("*", number)
+    if envelope_path is not None:
+        write_batch_partition(encode_envelope(means).select("*", number), envelope_path)
+        folder = f"{envelope_path.rstrip('/')}/batch_id={batch_id}"  # this batch's folder alone, however many there are
+        if exists(means.sparkSession, folder):
+            numbered, undecoded = split_envelopes(means.sparkSession.read.parquet(folder).select("*", number))
+    labelled = conform_table(numbered, created, carry=["batch_id"])
+    good, dead = split_dead_letters(labelled, keep=[*TABLE_COLUMNS, "batch_id"])
+    if undecoded is not None:
+        dead = dead.unionByName(undecoded, allowMissingColumns=True)
+    write_updates(good, table_path)
+    write_batch_partition(dead, dead_path)
+
+
+def windows_and_messages(raw: DataFrame, duration: str = S.WINDOW_DURATION, watermark: str = S.WATERMARK_DELAY) -> DataFrame:
+    """Two branches of one stream: window means (``kind`` window) and the labelled raw messages (``kind`` message)."""
+    means = window_stream(raw, duration, watermark).withColumn("kind", F.lit("window"))
+    messages = label_messages(raw).withColumnRenamed("timestamp", "event_time").drop("temperature", "humidity", "accepted")
+    return means.unionByName(messages.withColumn("kind", F.lit("message")), allowMissingColumns=True)
+
+
+def _account_before(spark, path: str, batch_id: int) -> tuple[int | None, int | None]:
+    """(newest event time of all batches before, the same without the last of them), in ms."""
+    folder = f"{path.rstrip('/')}/batch_id={batch_id - 1}"
+    if batch_id == 0:
+        return None, None
+    if not exists(spark, folder):
+        raise FileNotFoundError(f"{folder}: the account of the batch before is missing; restart from this checkpoint's own accounts")
+    row = spark.read.parquet(folder).first()
+    return row["seen_ms"], row["seen_before_ms"]
+
+
+def accounted_batch_writer(
+    table_path: str,
+    dead_path: str,
+    message_path: str,
+    account_path: str,
+    duration: str = S.WINDOW_DURATION,
+    watermark: str = S.WATERMARK_DELAY,
+    as_of: dt.datetime | str | Column | None = None,
+    envelope_path: str | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """The foreachBatch function over :func:`windows_and_messages`.
+
+    Spark drops a row whose window ends at or before the watermark of the batch
+    before, which follows from the event times up to two batches back (X7). Each batch's
+    account holds the newest event time so far, so a batch reads one earlier account and a
+    replayed batch finds what it found the first time.
+    """
+    delay_ms, width_us = duration_seconds(watermark) * 1000, duration_seconds(duration) * 1_000_000
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            means = batch.where("kind = 'window'").select(*[f.name for f in S.WINDOW_MEAN.fields])
+            _store_means(means, batch_id, table_path, dead_path, as_of, envelope_path)
+            seen, seen_before = _account_before(spark, account_path, batch_id)
+            late_ms = max(0, (seen_before or 0) - delay_ms)
+            at = F.unix_micros("event_time")
+            ends = at - F.pmod(at, F.lit(width_us)) + F.lit(width_us)
+            coordinates = [c for c in ("topic", "partition", "offset") if c in batch.columns]
+            reason = F.when(F.col("reason") != "", F.col("reason")).when(ends <= F.lit(late_ms * 1000), F.lit(S.D_LATE)).otherwise(F.lit(""))
+            messages = batch.where("kind = 'message'").select(*coordinates, "sensor_id", "event_time", "raw_value", reason.alias("reason"))
             number = F.lit(batch_id).cast("long").alias("batch_id")
-            created = as_of if as_of is not None else F.current_timestamp()
-            undecoded = None
-            means = batch.select("*", number)
-            if envelope_path is not None:
-                write_batch_partition(encode_envelope(batch).select("*", number), envelope_path)
-                stored = batch.sparkSession.read.parquet(envelope_path).where(F.col("batch_id") == batch_id)
-                means, undecoded = split_envelopes(stored)
-            labelled = conform_table(means, created, carry=["batch_id"])
-            good, dead = split_dead_letters(labelled, keep=[*TABLE_COLUMNS, "batch_id"])
-            if undecoded is not None:
-                dead = dead.unionByName(undecoded, allowMissingColumns=True)
-            write_updates(good, table_path)
-            write_batch_partition(dead, dead_path)
+            write_batch_partition(messages.where("reason <> ''").select("*", number), message_path)
+            entered = F.col("reason").isin("", S.D_LATE)
+            account = messages.agg(
+                F.count(F.lit(1)).alias("messages"),
+                F.count_if(F.col("reason") == "").alias("accepted"),
+                F.count_if(~entered).alias("rejected"),
+                F.count_if(F.col("reason") == S.D_LATE).alias("late"),
+                F.floor(F.max(F.when(entered, at)) / 1000).alias("seen_ms"),
+            )
+            account = account.withColumns({
+                "seen_ms": F.greatest("seen_ms", F.lit(seen).cast("long")),
+                "seen_before_ms": F.lit(seen).cast("long"),
+                "late_before_ms": F.lit(late_ms).cast("long"),
+            })
+            account.coalesce(1).write.mode("overwrite").parquet(f"{account_path.rstrip('/')}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 
     return write
 
 
+def start_accounted_sink(
+    raw: DataFrame,
+    table_path: str,
+    dead_path: str,
+    message_path: str,
+    account_path: str,
+    checkpoint: str,
+    duration: str = S.WINDOW_DURATION,
+    watermark: str = S.WATERMARK_DELAY,
+    as_of: dt.datetime | str | Column | None = None,
+    envelope_path: str | None = None,
+    **start,
+) -> StreamingQuery:
+    """The stream into the table, with rejects, late rows and an account per batch.
+
+    ``start`` takes the trigger, state and name arguments of :func:`start_table_sink`. The account folder
+    belongs to the checkpoint: both are kept or both are removed.
+    """
+    write = accounted_batch_writer(table_path, dead_path, message_path, account_path, duration, watermark, as_of, envelope_path)
+    return _start_update(windows_and_messages(raw, duration, watermark), write, checkpoint, **start)
+
+
 def split_envelopes(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Envelopes (value, batch_id) -> (means, dead letters of those that do not decode)."""
     decoded = decode_envelope(stored, carry=["batch_id"])
@@ -135,11 +238,23 @@ def start_table_sink(
     keep what the checkpoint recorded); by default the session's setting.
     State is kept in RocksDB (``state_store=None``: the session's provider).
     """
-    writer = (
-        means.writeStream.outputMode(output_mode)
-        .foreachBatch(table_batch_writer(table_path, dead_path, as_of, envelope_path))
-        .option("checkpointLocation", checkpoint)
-    )
+    write = table_batch_writer(table_path, dead_path, as_of, envelope_path)
+    return _start_update(means, write, checkpoint, trigger, available_now, output_mode, name, no_data_batches, state_partitions, state_store)
+
+
+def _start_update(
+    df: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    trigger: str | None = S.TRIGGER_INTERVAL,
+    available_now: bool = False,
+    output_mode: str = "update",
+    name: str | None = None,
+    no_data_batches: bool | None = None,
+    state_partitions: int | None = None,
+    state_store: str | None = ROCKSDB_PROVIDER,
+) -> StreamingQuery:
+    writer = df.writeStream.outputMode(output_mode).foreachBatch(write).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     if available_now:
@@ -153,7 +268,7 @@ def start_table_sink(
         conf["spark.sql.streaming.stateStore.providerClass"] = state_store
     if state_partitions:
         conf["spark.sql.shuffle.partitions"] = str(state_partitions)
-    return _start_with(means, writer, conf)
+    return _start_with(df, writer, conf)
 
 
 def _start_with(df: DataFrame, writer, conf: dict[str, str]) -> StreamingQuery:
