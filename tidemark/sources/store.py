@@ -251,12 +251,12 @@ def read_table(
 def _stored_parts(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     """(folder, second partition column) of everything stored under a table path."""
     parts = [(path.rstrip("/"), "batch_id"), *((closed_path(path, p), "upto") for p in ("last", "first"))]
-    return [(folder, second) for folder, second in parts if exists(spark, folder)]
+    return [(folder, second) for folder, second in parts if _partitions(spark, folder, second) or exists(spark, f"{folder}_purge")]
 
 
 def purge_table(spark: SparkSession, path: str, out_path: str, ids: list[str] | DataFrame) -> None:
     """A copy of the stored table without the rows of some sensors, under ``out_path``, with the same batches and marks."""
-    parts = _stored_parts(spark, path)
+    parts = [(f, s) for f, s in _stored_parts(spark, path) if _partitions(spark, f, s)]
     if not parts:
         raise FileNotFoundError(path)
     for folder, second in parts:
@@ -310,6 +310,9 @@ def purge_in_place(spark: SparkSession, path: str, ids: list[str] | DataFrame) -
         if exists(spark, f"{aside}/partitions/_SUCCESS"):
             _finish_purge(spark, folder, second)
         remove(spark, aside)
+        done[folder] = 0
+        if not _partitions(spark, folder, second):
+            continue
         stored = spark.read.parquet(folder)
         if isinstance(ids, DataFrame):
             hit = stored.join(ids.select(F.col(ids.columns[0]).alias("sensor_id")).distinct(), "sensor_id", "left_semi")
