@@ -107,10 +107,19 @@ def counter_rate(
     pairs = prev.where(F.col("prev_ts").isNotNull()).select(*series, delta, "ts", "prev_ts")
     lo = ceil_div(F.unix_micros("ts"), step_us)
     hi = ceil_div(F.unix_micros("prev_ts") + F.lit(range_us), step_us) - F.lit(1)
+    return rates_of(pairs, lo, hi, series, range_s, step_s, start, end, samples.schema["value"].dataType)
+
+
+def rates_of(
+    pairs: DataFrame, lo: Column, hi: Column, series: list[str], range_s: int, step_s: int, start: str | None, end: str | None, vtype: T.DataType
+) -> DataFrame:
+    """Rates from increases (``_delta``) that count at the evaluation steps ``lo`` to ``hi``.
+
+    Increases with the same evaluation times are summed before they are fanned out.
+    """
     clipped = _clip(pairs, [*series, "_delta"], lo, hi, step_s, start, end)
     summed = clipped.groupBy(*series, "_lo", "_hi").agg(F.sum("_delta").alias("_delta"))
     inc = _fan_out(summed).groupBy(*series, "_k").agg(F.sum("_delta").alias("increase"))
-    vtype = samples.schema["value"].dataType
     if isinstance(vtype, T.DecimalType):
         inc = inc.withColumn("increase", F.col("increase").cast(T.DecimalType(38, vtype.scale)))
     return inc.select(
@@ -222,13 +231,12 @@ def share_of_total(df: DataFrame, value: str, partition: list[str] | None = None
 
     The rows are already summed, so the total is a window over one small
     group per eval time. With an empty partition the total of all rows is a
-    one-row aggregate, run when this is called.
+    scalar subquery over the same aggregate, whose shuffle is reused.
     """
     partition = partition if partition is not None else ["t"]
     if partition:
-        total = F.sum(value).over(Window.partitionBy(*partition)).cast("double")
+        summed = df.withColumn("_total", F.sum(value).over(Window.partitionBy(*partition)).cast("double"))
     else:
-        total = F.lit(df.agg(F.sum(value).cast("double")).first()[0]).cast("double")
-    summed = df.withColumn("_total", total)
+        summed = df.withColumn("_total", df.agg(F.sum(value).cast("double")).scalar())
     share = F.when(F.col("_total") == 0, F.lit(None).cast("double")).otherwise(F.col(value).cast("double") / F.col("_total"))
     return summed.withColumn("share", share).drop("_total").withColumn("percent", F.col("share") * F.lit(100.0))

@@ -323,6 +323,13 @@ ORDER BY tbl."timestamp" DESC LIMIT 100""",
         + f"SELECT count(*) AS reading_count FROM tbl WHERE sensor_id = '{P.SENSOR}'",
         "counter_rate": _with(*RATE_CTES)
         + f"SELECT metric, namespace, pod, t, increase, {_rate('increase')} AS rate FROM rates",
+        "rollup_rate": _with(*RATE_CTES)
+        + f"SELECT metric, namespace, pod, t, increase, {_rate('increase')} AS rate FROM rates",
+        "stream_counter_rate": _with(*RATE_CTES)
+        + f"SELECT metric, namespace, pod, t, increase, {_rate('increase')} AS rate FROM rates",
+        "rollup_rate_bounded": _with(*RATE_CTES, VALUE_BY_NS)
+        + f"""SELECT t, namespace, increase, {_rate('increase')} AS rate FROM by_ns
+WHERE t BETWEEN TIMESTAMP '{P.RATE_PERIOD[0]}' AND TIMESTAMP '{P.RATE_PERIOD[1]}'""",
         "rate_by_label": _with(*RATE_CTES, VALUE_BY_NS)
         + f"""SELECT t, namespace, increase, {_rate('increase')} AS rate,
        {_rate('increase')} / 1024.0 / 1024.0 AS rate_mib FROM by_ns""",
