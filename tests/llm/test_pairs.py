@@ -128,3 +128,37 @@ def test_components_of_chain_and_hub(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 160)] + [(7, 7), (None, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert all(got[i] == 0 for i in range(61)) and all(got[i] == 100 for i in range(100, 160))
+
+
+def test_overlapping_families_and_a_common_line(spark):
+    """50 families of near copies over shared passages, a line that all share, one large family with members far from most others."""
+    rng = np.random.default_rng(8)
+    vocabulary = [f"v{i}" for i in range(5000)]
+    draw = lambda n: rng.choice(vocabulary, n).tolist()
+    line, passages, rows = draw(12), [draw(60) for _ in range(10)], []
+    for f in range(50):
+        base = draw(40) + passages[f % 10] + draw(40) + line
+        for _ in range(40 if f == 0 else 6):
+            words = list(base)
+            for at in rng.integers(0, len(words), int(rng.integers(0, 7))):
+                words[at] = str(rng.choice(vocabulary))
+            rows.append((len(rows) * 3 % 10007, " ".join(words)))
+    want = {}
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = list(sets)
+    for n, a in enumerate(ids):
+        for b in ids[:n]:
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((top(a), top(b)))
+                parent[y] = x
+    want = {i: top(i) for i in ids}
+    got = jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 5, 80, 100).collect()
+    assert {r.doc_id: r.component for r in got} == want and len(set(want.values())) < len(want)

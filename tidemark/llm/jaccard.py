@@ -11,8 +11,11 @@ estimated cost from the document's shingle frequencies.
    8 MB). They set the order and the cost estimates, and never a result.
 2. *Sets*: per text its size, digest, prefix and a 2048-bit parity signature. Texts with
    equal sets (copies) become one class, so groups of copies are never expanded.
-3. *Pivot pairs*: every class is compared with the least class of each posting list;
-   these pairs grow in line with the postings and join most groups of near copies.
+3. *Pivot rounds*: every class is compared with one member of each posting list,
+   drawn by hash (``PIVOTS`` draws per group of lists); these pairs grow in line with
+   the postings. Found links join classes to components. In the next round only
+   classes outside a list's largest component are compared, with new members of that component,
+   until few pairs are left (in line with the postings) or the lists stop shrinking.
 4. *Remaining pairs*: per posting list, all pairs between different components
    found so far. The list's largest component is never paired with itself, so a
    group of near copies costs its size, not its square.
@@ -41,6 +44,7 @@ from tidemark.llm.shared import scratch, sf_table, stash
 from tidemark.llm.textkit import mix, shingles, slices, word_hashes
 
 SLOTS, RANGE, MAX_MATCH, VERIFY_COST = 1 << 20, 1 << 14, 8, 20.0
+PIVOTS, MAX_ROUNDS, LEFT_PER_POSTING, SHRINKS, FOLDS = 8, 8, 2, 0.7, 8
 FILTER_BITS = 1 << 24
 
 
@@ -173,8 +177,9 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
         info = classes.select("rep", "n", "match", "sig")
 
         postings = classes.select(F.explode("prefix").alias("token"), "rep", "n", "match")
-        lists = postings.groupBy("token").agg(F.count("*").alias("c"), F.min(F.struct("n", "rep")).alias("pivot")).where("c > 1").drop("c")
+        lists = postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
         postings = stash(postings.join(lists, "token"), "postings")
+        size = postings.count()
 
         def possible(pairs: DataFrame) -> DataFrame:
             """Pairs whose sizes and signatures leave the similarity open."""
@@ -196,23 +201,47 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
                 y = items.withColumnsRenamed({"doc_id": "b", "items": "y"})
                 return stash(pairs.join(y, "b").join(x, "a").mapInArrow(_verify(num, den), "a long, b long").distinct(), name, keep=True)
 
-        near = F.least("n", "pivot.n") * den >= F.greatest("n", "pivot.n") * num
-        tried = postings.where((F.col("rep") != F.col("pivot.rep")) & near).select(F.col("pivot.rep").alias("a"), F.col("rep").alias("b")).distinct()
-        tried = stash(possible(tried), "pivots")
-        links = verified(tried, "pivot-links")
-
-        found = components(links)
-        member = postings.select("token", "rep", "n", "match").join(found, F.col("rep") == F.col("node"), "left")
-        member = member.select("token", "rep", "n", "match", F.coalesce("component", "rep").alias("c"))
-        mixed = member.groupBy("token", "c").count().groupBy("token").agg(F.max_by("c", F.struct("count", "c")).alias("major"), F.count("*").alias("k"))
-        member = member.join(mixed.where("k > 1").drop("k"), "token")
-        # the parity of 256 classes of shingles: the signature folded by exclusive or
-        fold = lambda i: reduce(lambda a, b: a.bitwiseXOR(b), (F.col("sig")[i + 4 * j] for j in range(8)))
-        signed = info.select("rep", *(fold(i).alias(f"s{i}") for i in range(4)))
-        member = stash(member.join(signed, "rep"), "members")
-        other = member.where("c <> major").select("token", *(F.col(x).alias(f"{x}2") for x in ("rep", "n", "match", "c", "s0", "s1", "s2", "s3")))
+        def pivot_pairs(members: DataFrame, turn: int) -> DataFrame:
+            """Each class outside its list's largest component with one member of that component; lists of a group draw alike."""
+            draw = F.struct(F.xxhash64("rep", F.pmod("token", F.lit(PIVOTS)), F.lit(turn)).alias("h"), "rep", "n")
+            pivots = members.where("major IS NULL OR c = major").groupBy("token").agg(F.min(draw).alias("pivot"))
+            near = F.least("n", "pivot.n") * den >= F.greatest("n", "pivot.n") * num
+            apart = (F.col("rep") != F.col("pivot.rep")) & (F.col("major").isNull() | (F.col("c") != F.col("major")))
+            pairs = members.where("major IS NULL OR c <> major").join(pivots, "token").where(near & apart)
+            return pairs.select(F.least("rep", "pivot.rep").alias("a"), F.greatest("rep", "pivot.rep").alias("b")).distinct()
+
+        def mixed_lists(links: DataFrame) -> DataFrame:
+            """Postings of the lists that hold several components, with their component and the list's largest."""
+            found = components(links)
+            member = postings.join(found, F.col("rep") == F.col("node"), "left").select(*postings.columns, F.coalesce("component", "rep").alias("c"))
+            mixed = member.groupBy("token", "c").count().groupBy("token").agg(F.max_by("c", F.struct("count", "c")).alias("major"), F.count("*").alias("k"))
+            return stash(member.join(mixed.where("k > 1").drop("k"), "token"), "members")
+
+        members, links, tried, before = postings.withColumns({"c": F.col("rep"), "major": F.lit(None).cast("long")}), None, None, None
+        for turn in range(MAX_ROUNDS):
+            pairs = pivot_pairs(members, turn)
+            if tried is not None:
+                pairs = pairs.join(tried, ["a", "b"], "left_anti")
+            pairs = stash(possible(pairs), f"pivots{turn}")
+            new = verified(pairs, f"pivot-links{turn}")
+            tried = pairs if tried is None else tried.union(pairs)
+            none = new.isEmpty()
+            links = new if links is None else links.union(new)
+            members = mixed_lists(links)
+            per_list = members.groupBy("token").agg(F.count("*").alias("n"), F.count_if(F.col("c") != F.col("major")).alias("o"))
+            left = per_list.agg(F.sum(F.col("n").cast("double") * F.col("o"))).first()[0] or 0
+            if none or left <= LEFT_PER_POSTING * size or (before is not None and left > SHRINKS * before):
+                break
+            before = left
+
+        # the parity of 512 classes of shingles: the signature folded by exclusive or
+        fold = lambda i: reduce(lambda a, b: a.bitwiseXOR(b), (F.col("sig")[i + FOLDS * j] for j in range(32 // FOLDS)))
+        bits = [f"s{i}" for i in range(FOLDS)]
+        signed = info.select("rep", *(fold(i).alias(x) for i, x in enumerate(bits)))
+        member = stash(members.join(signed, "rep"), "signed")
+        other = member.where("c <> major").select("token", *(F.col(x).alias(f"{x}2") for x in ("rep", "n", "match", "c", *bits)))
         # sizes and signatures that rule a pair out are part of the join, so such pairs are never made
-        apart = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"s{i}2"))) for i in range(4)), F.lit(0))
+        apart = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(f"{x}2"))) for x in bits), F.lit(0))
         cross = member.join(other, "token").where(
             (F.col("c") != F.col("c2"))
             & ((F.col("c") == F.col("major")) | (F.col("rep") < F.col("rep2")))
@@ -222,8 +251,7 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
         cross = cross.groupBy(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).agg(
             F.count("*").alias("shared"), F.any_value(F.least("match", "match2")).alias("due")
         )
-        done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        left = stash(possible(cross.where("shared >= due").select("a", "b").join(done, ["a", "b"], "left_anti")), "pairs")
+        left = stash(possible(cross.where("shared >= due").select("a", "b").join(tried, ["a", "b"], "left_anti")), "pairs")
         links = links.union(verified(left, "links"))
         whole = components(links)
         per = classes.select(*same, "rep").join(whole, F.col("rep") == F.col("node"), "left").select(*same, F.coalesce("component", "rep").alias("component"))
