@@ -29,18 +29,19 @@ def scratch(spark: SparkSession, name: str):
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def stash(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+def stash(df: DataFrame, name: str, keep: bool = False, by: str | None = None) -> DataFrame:
     """Write a table under ``spark.checkpoint.dir`` and read it back.
 
     It cuts the lineage: a lost executor costs the running tasks only, since
     the files are on shared storage. With ``keep`` it outlives the current scope.
+    ``by``: a column of few values; reading one of them reads its files alone.
     """
     spark = df.sparkSession
     scopes = _scopes.get()[: -1 if keep else None]
     path = scratch_path(spark, f"llm-{name}")
     if scopes:
         path = f"{scopes[-1]}/{path.rpartition('/')[2]}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

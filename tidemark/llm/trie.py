@@ -118,14 +118,14 @@ def keyed(sequences: DataFrame, height: int) -> DataFrame:
     )
 
 
-def _band_top(depth: Column, height: int) -> Column:
-    """The depth just above the band that holds ``depth``."""
-    return F.floor((depth - 1) / height) * height
+def _band(depth: Column, height: int) -> Column:
+    """The band that holds ``depth``; the root lies above all bands."""
+    return F.floor((depth - 1) / height).cast("int")
 
 
 def _to_ancestors(rows: DataFrame, height: int, itself: bool) -> DataFrame:
     """Each row's (leaves, saved) for its ancestors in its own band, with or without itself; rows need depth, key and above."""
-    top = _band_top(F.col("depth"), height)
+    top = _band(F.col("depth"), height) * height
     # above[0] belongs to the band before; depths follow from the place in the list
     inside = F.slice("above", 2, F.greatest(F.size("above") - 1, F.lit(0)))
     path = F.concat(inside, F.array(F.struct("k1", "k2"))) if itself else inside
@@ -136,26 +136,27 @@ def _to_ancestors(rows: DataFrame, height: int, itself: bool) -> DataFrame:
 
 def subtree_totals(nodes: DataFrame, height: int, depth: int) -> DataFrame:
     """(depth, k1, k2, leaves, saved) summed over the subtree of every node below the root; nodes carry what each adds itself."""
-    nodes = nodes.where("depth > 0")
-    partial = stash(_to_ancestors(nodes, height, itself=True), "partial")
+    # by band, so that a round reads its own bands and not all nodes
+    partial = stash(_to_ancestors(nodes.where("band >= 0"), height, itself=True).withColumn("band", _band(F.col("depth"), height)), "partial", by="band")
+    columns = [*KEY, "leaves", "saved"]
     done, below = [], None
     for band in reversed(range(-(-depth // height))):
         low, high = band * height, (band + 1) * height
-        inside = partial.where((F.col("depth") > low) & (F.col("depth") <= high))
+        inside, own = partial.where(F.col("band") == band).select(columns), nodes.where(F.col("band") == band)
         if below is not None:
             # what hangs under the band's lowest nodes goes to each of them and their ancestors in the band
-            feet = nodes.where(F.col("depth") == high).select(*KEY, "above").join(below, KEY)
+            feet = own.where(F.col("depth") == high).select(*KEY, "above").join(below, KEY)
             inside = inside.union(_to_ancestors(feet, height, itself=True)).groupBy(*KEY).agg(F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"))
         inside = stash(inside, f"band{band}")
         done.append(inside)
-        tops = inside.where(F.col("depth") == low + 1).join(nodes.where(F.col("depth") == low + 1).select(*KEY, "above"), KEY)
+        tops = inside.where(F.col("depth") == low + 1).join(own.where(F.col("depth") == low + 1).select(*KEY, "above"), KEY)
         over = F.element_at("above", 1)
         below = tops.select((F.col("depth") - 1).alias("depth"), over["k1"].alias("k1"), over["k2"].alias("k2"), "leaves", "saved")
         below = stash(below.groupBy(*KEY).agg(F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved")), f"below{band}")
-    out = below if below is not None else None  # of the topmost band: the root's totals
+    out = below  # of the topmost band: the root's totals
     for part in done:
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else partial
+        out = out.unionByName(part)
+    return out if out is not None else partial.select(columns)
 
 
 def _digests(batches):
@@ -212,7 +213,8 @@ def trie(sequences: DataFrame, lengths: DataFrame, height: int | None = None) ->
         children = linked.where("depth > 0").groupBy((F.col("depth") - 1).alias("depth"), F.col("p1").alias("k1"), F.col("p2").alias("k2")).agg(F.count("*").alias("n_children"))
         nodes = nodes.join(children, KEY, "left").withColumn("n_children", F.coalesce("n_children", zero))
         leaf = (F.col("n_children") == 0).cast("long")
-        nodes = stash(nodes.withColumns({"leaves": leaf, "saved": (F.col("n_convs") - 1) * F.col("bytes")}), "nodes")
+        nodes = nodes.withColumns({"leaves": leaf, "saved": (F.col("n_convs") - 1) * F.col("bytes"), "band": _band(F.col("depth"), height)})
+        nodes = stash(nodes, "nodes", by="band")
         totals = subtree_totals(nodes, height, int(deepest))
         own_end = prefixes.select(*KEY, "conv_id").join(lengths, "conv_id").where("depth = length").select(*KEY, "conv_id")
         ends = end_digests(own_end.union(lengths.where("length = 0").select(zero, zero, zero, "conv_id")))
