@@ -45,14 +45,14 @@ from tidemark.llm.textkit import mix, shingles, slices, word_hashes
 
 SLOTS, RANGE, MAX_MATCH, VERIFY_COST = 1 << 20, 1 << 14, 8, 20.0
 PIVOTS, MAX_ROUNDS, LEFT_PER_POSTING, SHRINKS, FOLDS = 8, 8, 2, 0.7, 8
-FILTER_BITS = 1 << 24
+FILTER_BITS, PART = 1 << 24, 1 << 18
 
 
 def _slot_counts(width: int):
     def count(batches):
         total = np.zeros(SLOTS, np.int64)
         for batch in batches:
-            for _, _, buf, off in slices(batch["text"]):
+            for _, _, buf, off in slices(batch["text"], PART):
                 own = shingles(*word_hashes(buf, off), width)
                 total += np.bincount((np.concatenate(own) & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
         parts = total.reshape(-1, RANGE)
@@ -106,7 +106,7 @@ def _sets(slots, width: int, num: int, den: int):
         floor = seen.sum() / SLOTS
         for batch in batches:
             ids = batch["doc_id"].to_pylist()
-            for first, end, buf, off in slices(batch["text"]):
+            for first, end, buf, off in slices(batch["text"], PART):
                 rows = []
                 for i, s in zip(ids[first:end], shingles(*word_hashes(buf, off), width), strict=True):
                     if not len(s):
@@ -138,7 +138,7 @@ def _whole_sets(bits, width: int):
             at = batch["doc_id"].fill_null(0).to_numpy() % FILTER_BITS
             batch = batch.filter(pa.array((words_[at >> 6] >> (at & 63) & 1).astype(bool)))
             ids = batch["doc_id"]
-            for first, end, buf, off in slices(batch["text"]):
+            for first, end, buf, off in slices(batch["text"], PART):
                 own = [s.tobytes() for s in shingles(*word_hashes(buf, off), width)]
                 yield pa.RecordBatch.from_arrays([ids.slice(first, end - first), pa.array(own, pa.binary())], names=["doc_id", "items"])
 
@@ -210,10 +210,10 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
             pairs = members.where("major IS NULL OR c <> major").join(pivots, "token").where(near & apart)
             return pairs.select(F.least("rep", "pivot.rep").alias("a"), F.greatest("rep", "pivot.rep").alias("b")).distinct()
 
-        def mixed_lists(links: DataFrame) -> DataFrame:
-            """Postings of the lists that hold several components, with their component and the list's largest."""
+        def mixed_lists(members: DataFrame, links: DataFrame) -> DataFrame:
+            """What is left of ``members``: the lists that still hold several components, with their component and the list's largest."""
             found = components(links)
-            member = postings.join(found, F.col("rep") == F.col("node"), "left").select(*postings.columns, F.coalesce("component", "rep").alias("c"))
+            member = members.select(*postings.columns).join(found, F.col("rep") == F.col("node"), "left").select(*postings.columns, F.coalesce("component", "rep").alias("c"))
             mixed = member.groupBy("token", "c").count().groupBy("token").agg(F.max_by("c", F.struct("count", "c")).alias("major"), F.count("*").alias("k"))
             return stash(member.join(mixed.where("k > 1").drop("k"), "token"), "members")
 
@@ -227,7 +227,7 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
             tried = pairs if tried is None else tried.union(pairs)
             none = new.isEmpty()
             links = new if links is None else links.union(new)
-            members = mixed_lists(links)
+            members = mixed_lists(members, links)
             per_list = members.groupBy("token").agg(F.count("*").alias("n"), F.count_if(F.col("c") != F.col("major")).alias("o"))
             left = per_list.agg(F.sum(F.col("n").cast("double") * F.col("o"))).first()[0] or 0
             if none or left <= LEFT_PER_POSTING * size or (before is not None and left > SHRINKS * before):
