@@ -36,6 +36,17 @@ def update_batch(spark: SparkSession, sf_dir: str, batch: int) -> DataFrame:
     return rows.select(*TABLE_COLUMNS, F.lit(batch).cast("long").alias("batch_id"))
 
 
+_READ_ONLY: dict[tuple, str] = {}
+
+
+def shared_store(spark: SparkSession, sf_dir: str, policy: str = "last") -> str:
+    """One :func:`compacted_store` per application, for queries that only read it."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), policy)
+    if key not in _READ_ONLY:
+        _READ_ONLY[key] = compacted_store(spark, sf_dir, policy)
+    return _READ_ONLY[key]
+
+
 def compacted_store(spark: SparkSession, sf_dir: str, policy: str = "last") -> str:
     """A table that is closed between its batches; returns its path.
 
@@ -56,12 +67,12 @@ def compacted_store(spark: SparkSession, sf_dir: str, policy: str = "last") -> s
 
 
 def compacted_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, compacted_store(spark, sf_dir), policy="last").select(*READ_COLUMNS)
+    return read_table(spark, shared_store(spark, sf_dir), policy="last").select(*READ_COLUMNS)
 
 
 def compacted_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, as a plain insert into a keyed table keeps it."""
-    return read_table(spark, compacted_store(spark, sf_dir, "first"), policy="first").select(*READ_COLUMNS)
+    return read_table(spark, shared_store(spark, sf_dir, "first"), policy="first").select(*READ_COLUMNS)
 
 
 def purged_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +84,7 @@ def purged_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def recent_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L5 over several arrival times: the rows stored last, whatever their own time."""
-    stored = read_table(spark, compacted_store(spark, sf_dir), policy="last")
+    stored = read_table(spark, shared_store(spark, sf_dir), policy="last")
     return queries.recent(stored, 25).select(*READ_COLUMNS)
 
 
