@@ -12,7 +12,7 @@ estimated cost from the document's shingle frequencies.
 2. *Sets*: per text its size, digest, prefix and a 2048-bit parity signature. Texts with
    equal sets (copies) become one class, so groups of copies are never expanded.
 3. *Pivot rounds*: every class is compared with one member of each posting list,
-   drawn by hash (``PIVOTS`` draws per group of lists); these pairs grow in line with
+   drawn by hash (``PIVOTS`` draws per group of lists, as many times more each round); these pairs grow in line with
    the postings. Found links join classes to components. In the next round only
    classes outside a list's largest component are compared, with new members of that component,
    until few pairs are left (in line with the postings) or the lists stop shrinking.
@@ -203,7 +203,7 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
 
         def pivot_pairs(members: DataFrame, turn: int) -> DataFrame:
             """Each class outside its list's largest component with one member of that component; lists of a group draw alike."""
-            draw = F.struct(F.xxhash64("rep", F.pmod("token", F.lit(PIVOTS)), F.lit(turn)).alias("h"), "rep", "n")
+            draw = F.struct(F.xxhash64("rep", F.pmod("token", F.lit(PIVOTS ** (turn + 1))), F.lit(turn)).alias("h"), "rep", "n")
             pivots = members.where("major IS NULL OR c = major").groupBy("token").agg(F.min(draw).alias("pivot"))
             near = F.least("n", "pivot.n") * den >= F.greatest("n", "pivot.n") * num
             apart = (F.col("rep") != F.col("pivot.rep")) & (F.col("major").isNull() | (F.col("c") != F.col("major")))
