@@ -70,6 +70,35 @@ def exact_mean(c: ColumnOrName) -> Column:
     return F.when(F.count(units) == F.count(_col(c)), exact_).otherwise(F.avg(_col(c)))
 
 
+def mean_parts(c: ColumnOrName) -> Column:
+    """Aggregate: what :func:`exact_mean` needs, as parts that can be merged (see :func:`merged_parts`)."""
+    col, units = _col(c), exact_units(c)
+    return F.struct(
+        F.count(col).alias("n"),
+        F.count(units).alias("n_units"),
+        sum_units(units).alias("units"),
+        F.sum(F.when(units.isNull(), col)).alias("other"),
+    )
+
+
+def merged_parts(parts: ColumnOrName) -> Column:
+    """Aggregate: parts of one mean over the parts of others."""
+    p = _col(parts)
+    return F.struct(
+        F.sum(p["n"]).alias("n"), F.sum(p["n_units"]).alias("n_units"),
+        F.sum(p["units"]).cast("decimal(38,0)").alias("units"), F.sum(p["other"]).alias("other"),
+    )
+
+
+def mean_of_parts(parts: ColumnOrName) -> Column:
+    """The mean: for values that are whole counts of 1e-6 units the very double that :func:`exact_mean` gives over
+    the rows, however they were grouped in between."""
+    p = _col(parts)
+    exact_ = units_to_double(p["units"])
+    total = F.when(p["n"] == p["n_units"], exact_).otherwise(F.coalesce(exact_, F.lit(0.0)) + p["other"])
+    return F.try_divide(total, p["n"].cast("double"))
+
+
 def mean_of_decimal(c: ColumnOrName) -> Column:
     """Mean of a decimal column returned as double (stats answers, X16)."""
     col = _col(c)

@@ -60,8 +60,13 @@ def sensor_overview(table: DataFrame) -> DataFrame:
 
 def list_sensors(table: DataFrame, limit: int | None = S.OVERVIEW_LIMIT_DEFAULT) -> DataFrame:
     """Q1: sensors by latest reading, newest first (sensor id breaks ties)."""
+    return newest_sensors(sensor_overview(table), limit)
+
+
+def newest_sensors(overview: DataFrame, limit: int | None = S.OVERVIEW_LIMIT_DEFAULT) -> DataFrame:
+    """Q1 over an overview, computed or maintained."""
     n = effective_limit(limit, S.OVERVIEW_LIMIT_DEFAULT, S.OVERVIEW_LIMIT_MAX)
-    top = sensor_overview(table).orderBy(F.desc("latest_ts"), F.asc("sensor_id")).limit(n)
+    top = overview.orderBy(F.desc("latest_ts"), F.asc("sensor_id")).limit(n)
     return top.select(
         "sensor_id",
         ms_to_ts("first_ts").alias("first_reading"),

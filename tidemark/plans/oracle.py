@@ -125,6 +125,36 @@ BATCH_ROWS = f"""upd AS (
   FROM accepted GROUP BY ALL)"""
 
 
+# Text input of clients: what each kind of event becomes, and which of it fails to parse.
+CLIENT = f"""client AS (
+  SELECT event_id,
+         CASE event_id % 17 WHEN 1 THEN '' WHEN 2 THEN repeat(sensor_id, 30) ELSE sensor_id END AS sensor_id,
+         CASE WHEN event_id % 17 IN (5, 6) THEN NULL ELSE "timestamp" END AS "timestamp",
+         "timestamp" IS NULL AS no_time,
+         CASE WHEN event_id % 17 IN (7, 8, 11) THEN NULL WHEN event_id % 17 = 9 THEN CAST('Infinity' AS DOUBLE)
+              WHEN event_id % 17 = 10 THEN 12.5 ELSE temperature END AS temperature,
+         temperature IS NULL AND event_id % 17 NOT IN (8, 9, 10, 11) AS no_temperature,
+         CASE WHEN event_id % 17 IN (13, 14) THEN NULL WHEN event_id % 17 = 12 THEN CAST('NaN' AS DOUBLE) ELSE humidity END AS humidity,
+         event_id % 17 = 13 OR (humidity IS NULL AND event_id % 17 NOT IN (12, 14)) AS no_humidity
+  FROM readings),
+judged AS (
+  SELECT *, concat_ws(';',
+    CASE WHEN sensor_id IS NULL THEN 'missing:sensor_id' END,
+    CASE WHEN no_time THEN 'missing:timestamp' END,
+    CASE WHEN no_temperature THEN 'missing:temperature' END,
+    CASE WHEN no_humidity THEN 'missing:humidity' END,
+    CASE WHEN sensor_id IS NOT NULL AND NOT (length(sensor_id) BETWEEN 1 AND 100) THEN 'sensor_id_length' END,
+    CASE WHEN NOT no_time AND "timestamp" IS NULL THEN 'timestamp_unparseable' END,
+    CASE WHEN "timestamp" > {AS_OF} + INTERVAL 1 DAY THEN 'timestamp_future' END,
+    CASE WHEN "timestamp" < {AS_OF} - INTERVAL 1 DAY THEN 'timestamp_past' END,
+    CASE WHEN NOT no_temperature AND temperature IS NULL THEN 'temperature_invalid' END,
+    CASE WHEN temperature IS NOT NULL AND NOT (temperature BETWEEN -273.15 AND 200) THEN 'temperature_out_of_range' END,
+    CASE WHEN NOT no_humidity AND humidity IS NULL THEN 'humidity_invalid' END,
+    CASE WHEN humidity IS NOT NULL AND NOT (humidity BETWEEN 0 AND 100) THEN 'humidity_out_of_range' END
+  ) AS reason
+  FROM client)"""
+
+
 def _stored_batches(direction: str = "DESC") -> str:
     return _with(READINGS, ACCEPTED, BATCH_ROWS) + f"""
 SELECT sensor_id, "timestamp", {_table_decimal('temperature')} AS temperature, {_table_decimal('humidity')} AS humidity,
@@ -238,7 +268,50 @@ VALUE_BY_NS = """by_ns AS (
 FULL_LO, FULL_HI = _ms(P.FULL_PERIOD[0]), _ms(P.FULL_PERIOD[1])
 
 
+# The damaged table of ``audit_findings``.
+DAMAGED = """damaged AS (
+  SELECT CASE "timestamp" // 30000 % 503 WHEN 20 THEN sensor_id || '-x' ELSE sensor_id END AS sensor_id, "timestamp",
+         CASE "timestamp" // 30000 % 503 WHEN 18 THEN NULL ELSE temperature END AS temperature,
+         CASE "timestamp" // 30000 % 503 WHEN 19 THEN 1.25 ELSE humidity END AS humidity
+  FROM tbl WHERE "timestamp" // 30000 % 503 <> 17)"""
+
+
+def _upkeep(listed: str, integrity: str, day_means: str, stream_rows: str) -> dict[str, str]:
+    stats = ", ".join(f"min({m}) AS {m}_min, max({m}) AS {m}_max, {_mean(m)} AS {m}_avg" for m in ("temperature", "humidity"))
+    return {
+        "list_sensors_maintained": listed,
+        "overview_maintained": _with(READINGS, ACCEPTED, BATCH_ROWS)
+        + """SELECT sensor_id, min("timestamp") AS first_ts, max("timestamp") AS latest_ts,
+       count(DISTINCT "timestamp") AS reading_count FROM upd GROUP BY sensor_id""",
+        "audit_integrity_digests": integrity,
+        "audit_findings": _with(*TABLE_CTES, DAMAGED)
+        + f"""SELECT * FROM (
+  SELECT coalesce(w.sensor_id, t.sensor_id) AS sensor_id, coalesce(w."timestamp", t."timestamp") AS "timestamp",
+         CASE WHEN t.sensor_id IS NULL THEN 'missing' WHEN w.sensor_id IS NULL THEN 'unexpected'
+              WHEN {_table_decimal('w.temperature')} IS NOT DISTINCT FROM t.temperature
+                   AND {_table_decimal('w.humidity')} IS NOT DISTINCT FROM t.humidity THEN 'match'
+              ELSE 'mismatch' END AS status
+  FROM wm30 w FULL OUTER JOIN damaged t ON w.sensor_id = t.sensor_id AND w."timestamp" = t."timestamp")
+WHERE status <> 'match'""",
+        "window_mean_merged": day_means.replace("SELECT * FROM wm", """SELECT wm.*, n.readings FROM wm JOIN (
+  SELECT sensor_id, epoch_us("timestamp") // 86400000000 * 86400000 AS "timestamp", count(*) AS readings FROM accepted GROUP BY 1, 2) n
+  ON wm.sensor_id = n.sensor_id AND wm."timestamp" = n."timestamp\""""),
+        "weighted_sensor_stats": _with(READINGS, ACCEPTED) + f"SELECT sensor_id, {stats}, count(*) AS readings FROM accepted GROUP BY sensor_id",
+        "stream_limited": stream_rows,
+        "ingest_client_input": _with(READINGS, CLIENT)
+        + """SELECT event_id, reason, CASE WHEN reason = '' THEN sensor_id END AS key, CASE WHEN reason = '' THEN sensor_id END AS sensor_id,
+       CASE WHEN reason = '' THEN "timestamp" END AS "timestamp", CASE WHEN reason = '' THEN temperature END AS temperature,
+       CASE WHEN reason = '' THEN humidity END AS humidity
+FROM judged""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
+    sql = _oracle_sql()
+    return {**sql, **_upkeep(*(sql[q] for q in ("list_sensors", "audit_integrity", "window_mean_1d", "stream_window_mean")))}
+
+
+def _oracle_sql() -> dict[str, str]:
     lo, hi = _ms(P.PERIOD[0]), _ms(P.PERIOD[1])
     purged = ", ".join(f"'{s}'" for s in P.PURGED)
     stats_end = P.STATS_AS_OF

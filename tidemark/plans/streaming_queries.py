@@ -20,7 +20,8 @@ from tidemark.operators.ingest import encode_messages
 from tidemark.operators.table import collapse_updates, duplicate_updates
 from tidemark.plans import derived as P
 from tidemark.session import scratch_path
-from tidemark.sources.store import read_archive, read_table, write_archive
+from tidemark.sources.store import compact_table, read_archive, read_table, write_archive
+from tidemark.sources.summaries import compact_summaries
 from tidemark.sources.topic import raw_records, read_raw_files
 from tidemark.streaming.wiring import (
     raw_rejects,
@@ -104,6 +105,66 @@ def _run_stream(spark: SparkSession, sf_dir: str, defects: bool) -> dict[str, st
     return paths
 
 
+def run_summary_stream(spark: SparkSession, sf_dir: str, closing: tuple[str, ...]) -> dict[str, str]:
+    """30-second windows in ``CHUNKS`` arrivals; the sink keeps the overview. After the second and the
+    third arrival the days before the next of ``closing`` are closed in table and summaries."""
+    return _once(spark, sf_dir, f"summaries-{closing}", lambda: _run_summary_stream(spark, sf_dir, closing))
+
+
+def _raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_messages(P.accepted(spark, sf_dir), carry=["event_id", "timestamp"]).withColumnRenamed("timestamp", "_ts")
+    return raw_records(encoded, offset="event_id", ts="_ts")
+
+
+def _run_summary_stream(spark: SparkSession, sf_dir: str, closing: tuple[str, ...]) -> dict[str, str]:
+    root = scratch_path(spark, "summary-stream")
+    paths = {p: f"{root}/{p}" for p in ("raw", "table", "summaries", "dead", "checkpoint")}
+    messages = _raw_messages(spark, sf_dir)
+    for number, (lo, hi) in enumerate(_arrivals(P.accepted(spark, sf_dir), CHUNKS)):
+        messages.where(F.col("offset").between(lo, hi - 1)).write.mode("append").parquet(paths["raw"])
+        query = start_table_sink(
+            window_stream(read_raw_files(spark, paths["raw"])), paths["table"], paths["dead"], paths["checkpoint"], available_now=True,
+            as_of=P.TABLE_AS_OF, state_partitions=STATE_PARTITIONS, summary_path=paths["summaries"],
+        )
+        run_until_stopped(query)
+        if 1 <= number <= len(closing):
+            compact_table(spark, paths["table"], closing[number - 1])
+            compact_summaries(spark, paths["summaries"], closing[number - 1])
+    return paths
+
+
+LIMITED_FILES = 2  # files of one micro-batch
+LIMITED_TRIGGER = "1 second"
+
+
+def run_limited_stream(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """All messages are there at once; one run takes them in several micro-batches of ``LIMITED_FILES`` files, one per
+    processing-time trigger. Files of one write come in any order, so the watermark is as wide as the data."""
+    return _once(spark, sf_dir, "limited", lambda: _run_limited_stream(spark, sf_dir))
+
+
+def _run_limited_stream(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    root = scratch_path(spark, "limited-stream")
+    paths = {p: f"{root}/{p}" for p in ("raw", "table", "dead", "checkpoint")}
+    _raw_messages(spark, sf_dir).repartitionByRange(2 * CHUNKS, "offset").write.parquet(paths["raw"])
+    raw = read_raw_files(spark, paths["raw"], max_files_per_trigger=LIMITED_FILES)
+    query = start_table_sink(
+        window_stream(raw, "1 day", watermark="60 days"), paths["table"], paths["dead"], paths["checkpoint"], trigger=LIMITED_TRIGGER,
+        as_of=P.TABLE_AS_OF, state_partitions=STATE_PARTITIONS,
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return paths
+
+
+def stream_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after a run under an intake limit: the rows of ``stream_window_mean``."""
+    paths = run_limited_stream(spark, sf_dir)
+    return read_table(spark, paths["table"], policy="last").select("sensor_id", "timestamp", "temperature", "humidity")
+
+
 LATE_CHUNKS = 3
 
 
@@ -221,6 +282,7 @@ STREAM_QUERIES = {
     "dead_letters": dead_letters,
     "envelope_dead_letters": envelope_dead_letters,
     "archive_readback": archive_readback,
+    "stream_limited": stream_limited,
     "late_rows": late_rows,
     "stream_accounts": stream_accounts,
     "late_window_mean": late_window_mean,

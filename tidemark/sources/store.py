@@ -266,9 +266,10 @@ def purge_table(spark: SparkSession, path: str, out_path: str, ids: list[str] |
 
 
 def _overwrite(rows: DataFrame, folder: str, second: str) -> None:
+    order = ["date", second, "sensor_id", *(c for c in rows.columns if c == "timestamp")]  # summaries have no time column
     (
-        rows.repartitionByRange("date", second, "sensor_id", "timestamp")
-        .sortWithinPartitions("date", second, "sensor_id", "timestamp")
+        rows.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date", second).parquet(folder)
     )
 

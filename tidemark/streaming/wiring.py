@@ -37,6 +37,7 @@ from tidemark.operators.windows import window_mean, with_watermark
 from tidemark.functions.time import duration_seconds, ms_to_ts
 from tidemark.session import ROCKSDB_PROVIDER
 from tidemark.sources.store import exists, write_batch_partition, write_updates
+from tidemark.sources.summaries import summarize_batch
 
 
 def window_stream(
@@ -75,25 +76,28 @@ def table_batch_writer(
     dead_path: str,
     as_of: dt.datetime | str | Column | None = None,
     envelope_path: str | None = None,
+    summary_path: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The foreachBatch function: conform, split and store one micro-batch.
 
     With ``envelope_path`` the means take the way of the second topic: encoded
     to envelopes, stored, read back and decoded; what does not decode is a
-    dead letter.
+    dead letter. With ``summary_path`` the maintained overview is kept there.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            _store_means(batch, batch_id, table_path, dead_path, as_of, envelope_path)
+            _store_means(batch, batch_id, table_path, dead_path, as_of, envelope_path, summary_path)
         finally:
             batch.unpersist()
 
     return write
 
 
-def _store_means(means: DataFrame, batch_id: int, table_path: str, dead_path: str, as_of, envelope_path: str | None) -> None:
+def _store_means(
+    means: DataFrame, batch_id: int, table_path: str, dead_path: str, as_of, envelope_path: str | None, summary_path: str | None = None
+) -> None:
     number = F.lit(batch_id).cast("long").alias("batch_id")
     created = as_of if as_of is not None else F.current_timestamp()
     undecoded, numbered = None, means.select("*", number)
@@ -106,6 +110,8 @@ def _store_means(means: DataFrame, batch_id: int, table_path: str, dead_path: st
     good, dead = split_dead_letters(labelled, keep=[*TABLE_COLUMNS, "batch_id"])
     if undecoded is not None:
         dead = dead.unionByName(undecoded, allowMissingColumns=True)
+    if summary_path is not None:  # before the rows themselves: what is stored is summarized
+        summarize_batch(good, batch_id, table_path, summary_path)
     write_updates(good, table_path)
     write_batch_partition(dead, dead_path)
 
@@ -226,6 +232,7 @@ def start_table_sink(
     state_partitions: int | None = None,
     envelope_path: str | None = None,
     state_store: str | None = ROCKSDB_PROVIDER,
+    summary_path: str | None = None,
 ) -> StreamingQuery:
     """Start the stream of window means into the table.
 
@@ -238,7 +245,7 @@ def start_table_sink(
     keep what the checkpoint recorded); by default the session's setting.
     State is kept in RocksDB (``state_store=None``: the session's provider).
     """
-    write = table_batch_writer(table_path, dead_path, as_of, envelope_path)
+    write = table_batch_writer(table_path, dead_path, as_of, envelope_path, summary_path)
     return _start_update(means, write, checkpoint, trigger, available_now, output_mode, name, no_data_batches, state_partitions, state_store)
 
 
