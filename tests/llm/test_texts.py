@@ -215,6 +215,42 @@ def test_html_of_unclosed_boilerplate(page, want):
     assert main_text(page) == want
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<body><div class='layout no-sidebar'><article><p>One</p><p>two</p></article></div></body>", "One two"),
+        ("<body><div id='main-with-comments'><article><p>One</p></article></div></body>", "One"),
+        ("<body><div class=sidebar-layout><div class='page-menu-x'><article><p>One two three</p></article></div></div><p>x</p></body>", "One two three"),
+        ("<p title=it's>Hello there</p><p>don't stop</p><p>last</p>", "Hello there don't stop last"),
+        ("<body><div data-class=menu data-id='comment' title='class=menu'><p>One</p></div></body>", "One"),
+        ("<body><div><p title='a > b' alt=\"c > d\">One</p></div></body>", "One"),
+        # what is boilerplate stays cut, however long it is
+        ("<body><article><p>One</p></article><section class=comments><article>long long long comment of a reader</article></section></body>", "One"),
+        ("<body><article><p>One</p></article><div class=cookie-notice><p>We use very many cookies, really many</p></div></body>", "One"),
+        ("<body><article><p>One of a kind</p></article><div class=promo><article>Buy</article></div></body>", "One of a kind"),
+        ("<body><div class='sidebar sidebar-collapsed'><p>links here and there</p></div><div><p>One</p></div></body>", "One"),
+        ("<body><div class=sidebar-left><a href=x><article>teaser teaser teaser</article></a></div><div><p>One</p></div></body>", "One"),
+    ],
+)
+def test_html_of_doubtful_words_and_quotes(page, want):
+    assert main_text(page) == want
+
+
+def test_html_of_deep_and_long_pages():
+    deep = "<div>" * 20000 + "<p>One</p>" + "</div>" * 20000
+    assert main_text(f"<body>{deep}</body>") == "One"
+    long_ = " ".join(["word"] * 300_000)
+    assert main_text(f"<body><nav>{long_}</nav><article><p>{long_}</p></article></body>") == long_
+    assert main_text("<body><p>a</p>" + "<b x='" * 50_000 + "</body>") is not None
+
+
+def test_html_of_repeated_rows_null_ids_and_no_rows(spark):
+    df = spark.createDataFrame([(1, "u", "<p>One</p>"), (1, "u", "<p>One</p>"), (None, None, "<p>Two</p>"), (2, "v", None)], "page_id long, url string, html string")
+    got = extract(df.withColumn("n_chars", F.lit(7))).collect()
+    assert sorted((r.page_id or 0, r.text, r.n_chars) for r in got) == [(0, "Two", 3), (1, "One", 3), (1, "One", 3), (2, "", 0)]
+    assert extract(df.where("false")).collect() == []
+
+
 def test_html_of_the_pages_table(spark):
     import html
 

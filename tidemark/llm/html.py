@@ -55,48 +55,105 @@ BOILERPLATE_WORDS = frozenset(
     "share sharing social related recommended recommendations comment comments respond disqus widget toolbar pagination pager skip".split()
 )
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)(?:>|\Z)", re.S)
-_NAMED = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+# parts of a class that deny what follows or goes before, as in no-sidebar, with-comments, nav-none
+DENY_NEXT = frozenset("no not non without with has hide".split())
+DENY_LAST = frozenset("none off disabled enabled closed collapsed".split())
+OWN_TEXT = frozenset("comment comments respond disqus related recommended recommendations".split())  # these may hold articles of their own
+
+# a quote opens a value only after an equals sign
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*+)(?:>|\Z)""", re.S)
+_ATTRIBUTE = re.compile(r"""([^\s<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "parts", "chars", "tags", "link_chars", "link_tags", "density", "total", "cut")
+    __slots__ = ("tag", "parent", "children", "parts", "chars", "tags", "link_chars", "link_tags", "density", "total", "cut", "doubt")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent, self.children, self.parts = tag, parent, [], []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
         self.cut = parent.cut if parent is not None else None  # the boilerplate element that it stands in
+        self.doubt: Doubt | None = parent.doubt if parent is not None else None  # of that element
 
 
-def is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
+class Doubt:
+    """An element that is boilerplate by a word of its class or id only, and what is cut with it."""
+
+    __slots__ = ("start", "chars", "article")
+
+    def __init__(self, start: int):
+        self.start, self.chars, self.article = start, 0, False
+
+
+def boilerplate_words(value: str) -> set[str]:
+    """Boilerplate words of a class or id attribute that are not denied by their neighbours."""
+    found = set()
+    for token in value.split():
+        parts = _WORD.findall(token)
+        if DENY_LAST.isdisjoint(parts[-1:]):
+            found.update(p for i, p in enumerate(parts) if p in BOILERPLATE_WORDS and (i == 0 or parts[i - 1] not in DENY_NEXT))
+    return found
+
+
+def boilerplate(tag: str, attributes: str, in_article: bool) -> str | None:
+    """``sure``, ``word`` (a word of the class or id alone says so, and it may be wrong) or None."""
     if tag in BOILERPLATE_TAGS or (tag == "header" and not in_article):
-        return True
+        return "sure"
     if not attributes or tag in ("body", "html", "article", "main"):
-        return False
-    for name, value in _NAMED.findall(attributes):
+        return None
+    kind = None
+    for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return "sure"
         if name == "role" and value in BOILERPLATE_ROLES:
-            return True
+            return "sure"
         if name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-        if name in ("class", "id") and not BOILERPLATE_WORDS.isdisjoint(_WORD.findall(value)):
-            return True
-    return False
+            return "sure"
+        if name in ("class", "id"):
+            words = boilerplate_words(value)
+            if not OWN_TEXT.isdisjoint(words):
+                return "sure"
+            kind = "word" if words else kind
+    return kind
 
 
 def parse(page: str) -> Node:
-    """The tree of a page without its boilerplate; text stands in ``parts`` among the children."""
+    """The tree of a page without its boilerplate; text stands in ``parts`` among the children.
+
+    An element that is boilerplate by a word of its class or id stays if it holds an article or main element
+    and most of the text outside links: then it is a wrapper of the page.
+    """
+    spared: set[int] = set()
+    while True:
+        root, kept, doubts = _tree(page, spared)
+        whole = kept + sum(d.chars for d in doubts)
+        wrong = {d.start for d in doubts if d.article and 2 * d.chars > whole}
+        if not wrong:
+            return root
+        spared |= wrong  # one element more each time: as many rounds as wrappers around the article
+
+
+def _tree(page: str, spared: set[int]) -> tuple[Node, int, list[Doubt]]:
+    """The tree, the characters outside links that are in it, and the elements in doubt that were cut."""
     root = Node("html", None)
     now, at = root, 0
-    articles = 0
+    articles = links = kept = 0
+    doubts: list[Doubt] = []
 
     def text(piece: str) -> None:
-        if piece and now.cut is None:
+        nonlocal kept
+        if not piece:
+            return
+        if now.cut is None:
             now.parts.append(html.unescape(piece) if "&" in piece else piece)
+        if not links:
+            chars = len(piece) - sum(map(piece.count, " \n\t"))
+            if now.cut is None:
+                kept += chars
+            elif now.doubt is not None:
+                now.doubt.chars += chars
 
     for m in _TOKEN.finditer(page):
         if m.start() < at:
@@ -107,6 +164,8 @@ def parse(page: str) -> Node:
         if m[2] is None:
             continue
         tag = m[2].lower()
+        if tag == "a":
+            links = 0 if m[1] else 1
         if m[1]:  # an end tag closes down to its element; without one it is ignored
             top = now
             while top is not None and top.tag != tag:
@@ -144,7 +203,10 @@ def parse(page: str) -> Node:
                     top = top.parent
                 else:
                     break
-        bad = now.cut is not None or is_boilerplate(tag, m[3], articles > 0)
+        kind = None if now.cut is not None else boilerplate(tag, m[3], articles > 0)
+        if kind == "word" and m.start() in spared:
+            kind = None
+        bad = now.cut is not None or kind is not None
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             # inside boilerplate an element without an end, or ended at once, takes nothing with it
@@ -158,6 +220,11 @@ def parse(page: str) -> Node:
             if tag in BLOCK:
                 now.parts.append(" ")
             child.cut = child.cut or child
+            if kind == "word":
+                child.doubt = Doubt(m.start())
+                doubts.append(child.doubt)
+            elif tag in ("article", "main") and now.doubt is not None:
+                now.doubt.article = True
             if tag not in VOID and not m[3].endswith("/"):
                 now = child
             continue
@@ -166,7 +233,7 @@ def parse(page: str) -> Node:
             now = child
             articles += tag in ("article", "main")
     text(page[at:])
-    return root
+    return root, kept, doubts
 
 
 def _measure(root: Node) -> list[Node]:
