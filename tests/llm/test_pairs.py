@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.embeddings import near_duplicates
@@ -84,6 +85,28 @@ def test_embedding_links(spark, cell_rows):
     assert all(got[i].kept == (want[i] == i) for i in ids) and len(got) == len(ids)
 
 
+@pytest.mark.parametrize("cell_rows", [4, 1000])
+def test_embedding_links_of_repeated_ids(spark, cell_rows):
+    """Every row is a vector of its own, whatever its id, label or length."""
+    rng = np.random.default_rng(9)
+    rows = [(1, 0, [1.0, 0.0]), (1, 0, [0.0, 1.0]), (2, 0, [1.0, 0.001]), (1, 1, [1.0, 0.0]), (3, 0, [1.0]), (1, 0, [1.0, 0.0]), (None, 0, [0.0, 1.0])]
+    rows += [(int(rng.integers(10, 30)), 0, [float(v) for v in rng.normal(size=3)]) for _ in range(120)]
+    df = spark.createDataFrame(rows, "id long, label int, vec array<double>").withColumn("rep", F.lit(1)).withColumn("w", F.lit("x"))
+    got = near_duplicates(df, 0.98, cell_rows=cell_rows, block_rows=8).collect()
+    live = [r for r in rows if r[0] is not None]
+    linked = lambda a, b: a[1] == b[1] and len(a[2]) == len(b[2]) and np.dot(a[2], b[2]) / np.linalg.norm(a[2]) / np.linalg.norm(b[2]) >= 0.98
+    links = [(a, b) for a, b in itertools.combinations(range(len(live)), 2) if linked(live[a], live[b])]
+    parts = collections.defaultdict(list)
+    for n, c in least_ids(range(len(live)), links).items():
+        parts[c].append(n)
+    component = {n: min(live[m][0] for m in group) for group in parts.values() for n in group}
+    count = collections.Counter(itertools.chain.from_iterable(links))
+    want = sorted((r[0], count[n], component[n], component[n] == r[0]) for n, r in enumerate(live))
+    assert sorted((r.id, r.n_links, r.component, r.kept) for r in got if r.id is not None) == want
+    assert len(got) == len(rows)
+    assert near_duplicates(df.where("false"), 0.98).collect() == []
+
+
 def sets_of(text, width):
     words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({65 + i: 97 + i for i in range(26)}))
     return {tuple(words[k : k + width]) for k in range(len(words) - width + 1)} if len(words) >= width else ({tuple(words)} if words else set())

@@ -19,7 +19,7 @@
 Defined results: vectors that are null, empty, zero, or hold null or
 non-finite components, and rows with a null label, link with nothing and are kept,
 as their own component. Vectors of different length do not link. Rows with the
-same id are each one vector and get a row each; a null id gets a row with a
+same id are each one vector with links of its own and get a row each; a null id gets a row with a
 null component. Extra columns are ignored.
 """
 
@@ -64,7 +64,7 @@ def _fit(groups: DataFrame, cell_rows: int) -> dict:
     total = sum(r["count"] for r in large)
     cells = min(MAX_CELLS - len(large), -(-total // cell_rows))
     keys = groups.sparkSession.createDataFrame([(r["label"], r["dim"]) for r in large], groups.select("label", "dim").schema)
-    taken = groups.join(F.broadcast(keys), ["label", "dim"]).orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE_ROWS).select("label", "dim", "vec").toArrow()
+    taken = groups.join(F.broadcast(keys), ["label", "dim"]).orderBy(F.xxhash64("least_id", "vec"), "least_id").limit(SAMPLE_ROWS).select("label", "dim", "vec").toArrow()
     out = {}
     names = list(zip(taken["label"].to_pylist(), taken["dim"].to_pylist(), strict=True))
     for r in large:
@@ -145,12 +145,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, cell_rows: int
         top = F.array_max(F.transform(double, F.abs))
         unit = F.when(fit, F.when((top > 1e100) | (top < 1e-100), F.transform(double, lambda x: x / top)).otherwise(double))
         rows = vectors.withColumn("vec", unit)
-        groups = rows.where("vec IS NOT NULL").groupBy("label", "vec").agg(F.min("id").alias("rep"), F.count("*").alias("w"))
-        groups = stash(groups.withColumn("dim", F.size("vec")), "vectors")
+        groups = rows.where("vec IS NOT NULL").groupBy("label", "vec").agg(F.min("id").alias("least_id"), F.count("*").alias("w"))
+        # different vectors may share an id, so a group has a number of its own (fixed by the write)
+        groups = stash(groups.withColumn("dim", F.size("vec")).withColumn("rep", F.monotonically_increasing_id()), "vectors")
         centroids = spark.sparkContext.broadcast(_fit(groups, cell_rows))
         kinds = groups.schema
         out = f"label {kinds['label'].dataType.simpleString()}, vec array<double>, rep long, w long, dim int, cell int, home boolean"
-        celled = stash(groups.mapInArrow(_assign(centroids, threshold), out), "cells")
+        celled = stash(groups.select("label", "vec", "rep", "w", "dim").mapInArrow(_assign(centroids, threshold), out), "cells")
         key = ["label", "dim", "cell"]
         size = celled.groupBy(key).agg(F.sum(F.col("home").cast("int")).alias("m"), F.count("*").alias("n")).where("n > 1 AND m > 0")
         part = lambda n: F.ceil(F.col(n) / block_rows).cast("int")
@@ -162,9 +163,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, cell_rows: int
         pairs = left.select(cols).union(right.select(cols)).groupBy(*key, "lb", "rb")
         found = stash(pairs.applyInArrow(_products(threshold), "rep long, links long, root long"), "products")
         links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-        whole = components(found, "rep", "root")
+        numbered = components(found, "rep", "root").withColumnRenamed("component", "number")
+        numbered = stash(numbered.join(groups.select(F.col("rep").alias("node"), "least_id"), "node"), "components")
+        least = numbered.groupBy("number").agg(F.min("least_id").alias("component"))
+        whole = numbered.drop("least_id").join(least, "number")
         per = groups.join(links, "rep", "left").join(whole, F.col("rep") == F.col("node"), "left")
-        per = per.select("label", "vec", (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
+        per = per.select("label", "vec", (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("n_links"), F.coalesce("component", "least_id").alias("component"))
         # the key of the join back to the rows: a hot one is split by the join's skew handling
         per = per.withColumn("same", F.xxhash64("label", "vec")).withColumnsRenamed({"label": "l2", "vec": "v2"})
         rows = rows.withColumn("same", F.when(F.col("vec").isNotNull(), F.xxhash64("label", "vec")))
