@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.mixing import apply_mix, mix
 from tidemark.llm.packing import pack, pieces, sum_of_squares
+from tidemark.llm.shared import stash
 
 SF = "/root/testdata/sf0.001"
 
@@ -99,6 +100,50 @@ def test_pieces_and_pack(spark):
     assert pack(pieces(docs.where("doc_id = -99"), path)).count() == 0
 
 
+def test_equal_pieces_are_spread_over_shards(spark):
+    same = spark.range(3000).selectExpr("cast(null as long) doc_id", "0 piece", "0L start", "100L length", "7L ids_crc32")
+    out = pack(stash(same, "same"), length=1000, shard_pieces=100).collect()
+    assert len(out) == 3000
+    shards = collections.Counter(r.sequence_id >> 32 for r in out)
+    assert len(shards) == 30 and max(shards.values()) < 200  # none gets them all
+    places = collections.defaultdict(list)
+    for r in out:
+        places[r.sequence_id].append(r.offset)
+    assert all(sorted(p) == [100 * k for k in range(len(p))] for p in places.values())
+
+
+def _by_rule(lengths, capacity):
+    """The sum-of-squares rule, by trying every open gap."""
+    gaps, where = [], {}
+    for p in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+        s, best = lengths[p], None
+        for g in sorted({g for g in gaps if g >= s}):
+            after = collections.Counter(gaps)
+            after[g] -= 1
+            if g > s:
+                after[g - s] += 1
+            after[0] = 0
+            cost = sum(v * v for v in after.values())
+            if best is None or cost < best[0]:
+                best = (cost, g)
+        if best is None:
+            gaps.append(capacity)
+            best = (0, capacity)
+        gaps.remove(best[1])
+        gaps.append(best[1] - s)
+        where[p] = capacity - best[1]
+    return where, sum(1 for _ in gaps)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_packing_follows_the_rule(seed):
+    rng = np.random.default_rng(seed)
+    lengths = rng.integers(1, 41, 80)
+    number, offset = sum_of_squares(lengths, 40)
+    where, made = _by_rule(lengths.tolist(), 40)
+    assert number.max() + 1 == made and [int(x) for x in offset] == [where[i] for i in range(80)]
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as cp
 

@@ -178,10 +178,15 @@ def _packer(length: int):
 
 
 def pack(pieces: DataFrame, length: int = LENGTH, shard_pieces: int = SHARD_PIECES) -> DataFrame:
-    """``pieces`` (doc_id, piece, start, length, ids_crc32) with sequence_id and offset."""
+    """``pieces`` (doc_id, piece, start, length, ids_crc32) with sequence_id and offset.
+
+    ``pieces`` is a written table: its rows are numbered as they are read, and a task that runs again has to read
+    the same rows in the same order."""
     count = pieces.count()
     shards = max(1, -(-count // shard_pieces))
-    dealt = pieces.select(*PIECES.names).withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "length", "ids_crc32"), F.lit(shards)).cast("int"))
+    # rows that are equal in all columns (copies of a row, null ids) differ by their number only
+    place = F.xxhash64("doc_id", "piece", "length", "ids_crc32", F.monotonically_increasing_id())
+    dealt = pieces.select(*PIECES.names).withColumn("shard", F.pmod(place, F.lit(shards)).cast("int"))
     return dealt.groupBy("shard").applyInArrow(_packer(length), PIECES_SQL + ", sequence_id long, offset long")
 
 
