@@ -188,4 +188,4 @@ def test_queries_are_registered():
     import __spark_entry__ as e
 
     names = list(e.queries())
-    assert [re.match(r"op\d+|pipeline", n)[0] for n in names if re.match(r"op\d+_|pipeline", n)] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [re.match(r"op\d+|pipeline", n)[0] for n in names if re.match(r"op\d+_|pipeline", n)] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
