@@ -14,10 +14,10 @@ from test_streaming import _raw_file
 from tidemark.operators import audit
 from tidemark.operators.queries import sensor_overview
 from tidemark.operators.windows import longer_parts, means_of_parts, weighted_stats, window_mean, window_parts
-from tidemark.sources.store import closed_path, compact_table, purge_in_place, read_table, vacuum_table, write_table
+from tidemark.sources.store import closed_path, compact_table, purge_in_place, read_archive, read_table, vacuum_table, write_table
 from tidemark.sources.summaries import compact_summaries, maintained_overview, summarize_batch
 from tidemark.sources.topic import read_raw_files
-from tidemark.streaming.wiring import run_until_stopped, start_table_sink, window_stream
+from tidemark.streaming.wiring import open_windows, run_until_stopped, start_archive, start_table_sink, window_stream
 
 HOUR = 3_600_000
 
@@ -215,3 +215,24 @@ def test_overview_after_each_restart(spark, scratch):
         )
         run_until_stopped(query)
         check(spark, scratch)
+
+
+def test_archive_and_open_windows_are_all_windows(spark, scratch):
+    for n in (2, 5):
+        _raw_files(f"{scratch}/raw", n)
+        means = window_stream(read_raw_files(spark, f"{scratch}/raw"))
+        run_until_stopped(start_archive(means, f"{scratch}/archive", f"{scratch}/checkpoint", available_now=True))
+        done = set(map(tuple, read_archive(spark, f"{scratch}/archive").select("sensor_id", "timestamp", "temperature", "humidity").collect()))
+        held = set(map(tuple, open_windows(spark, f"{scratch}/checkpoint").collect()))
+        everything = window_stream(read_raw_files(spark, f"{scratch}/raw", streaming=False))
+        assert held and not done & held and done | held == set(map(tuple, everything.collect()))
+    assert done
+
+
+def test_state_of_another_query_is_refused(spark, scratch):
+    _raw_files(f"{scratch}/raw", 1)
+    counts = read_raw_files(spark, f"{scratch}/raw").groupBy("key").count()
+    query = counts.writeStream.outputMode("update").foreachBatch(lambda df, i: df.write.format("noop").mode("append").save()).option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start()
+    query.awaitTermination()
+    with pytest.raises(ValueError, match="not that of window means"):
+        open_windows(spark, f"{scratch}/ck")

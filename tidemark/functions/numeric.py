@@ -70,6 +70,18 @@ def exact_mean(c: ColumnOrName) -> Column:
     return F.when(F.count(units) == F.count(_col(c)), exact_).otherwise(F.avg(_col(c)))
 
 
+# What a stream keeps of one exact_mean, by place: names and types of the counts and sums in their order above.
+MEAN_STATE = (("n_units", "long"), ("n", "long"), ("high", "long"), ("low", "long"), ("sum", "double"), ("count", "long"))
+
+
+def mean_of_state(state: Column, prefix: str) -> Column:
+    """The mean from the kept counts and sums (fields ``<prefix>_<name>`` of ``MEAN_STATE``)."""
+    field = {name: state[f"{prefix}_{name}"] for name, _ in MEAN_STATE}
+    total = field["high"].cast("decimal(38,0)") * F.lit(1 << SPLIT_BITS) + field["low"].cast("decimal(38,0)")
+    exact_ = F.try_divide(units_to_double(total), field["n_units"].cast("double"))
+    return F.when(field["n_units"] == field["n"], exact_).otherwise(F.try_divide(field["sum"], field["count"].cast("double")))
+
+
 def mean_parts(c: ColumnOrName) -> Column:
     """Aggregate: what :func:`exact_mean` needs, as parts that can be merged (see :func:`merged_parts`)."""
     col, units = _col(c), exact_units(c)

@@ -9,8 +9,9 @@ compare value for value. Table decimals use the text form of the double
 
 from __future__ import annotations
 
-from tidemark.functions.time import epoch_ms
+from tidemark.functions.time import duration_seconds, epoch_ms
 from tidemark.plans import derived as P
+from tidemark.schemas import WATERMARK_DELAY
 
 DAY_MS = 86_400_000
 RANGE_S, STEP_S, LOOKBACK_S = 2 * 86400, 6 * 3600, 86400
@@ -276,6 +277,10 @@ DAMAGED = """damaged AS (
   FROM tbl WHERE "timestamp" // 30000 % 503 <> 17)"""
 
 
+# The watermark after the last message (one row).
+CLOSING = f"""closing AS (SELECT epoch_ms(max("timestamp")) - {duration_seconds(WATERMARK_DELAY) * 1000} AS watermark FROM accepted)"""
+
+
 def _upkeep(listed: str, integrity: str, day_means: str, stream_rows: str) -> dict[str, str]:
     stats = ", ".join(f"min({m}) AS {m}_min, max({m}) AS {m}_max, {_mean(m)} AS {m}_avg" for m in ("temperature", "humidity"))
     return {
@@ -298,6 +303,10 @@ WHERE status <> 'match'""",
   ON wm.sensor_id = n.sensor_id AND wm."timestamp" = n."timestamp\""""),
         "weighted_sensor_stats": _with(READINGS, ACCEPTED) + f"SELECT sensor_id, {stats}, count(*) AS readings FROM accepted GROUP BY sensor_id",
         "stream_limited": stream_rows,
+        "stream_archive": _with(READINGS, ACCEPTED, window_cte("wm", DAY_MS), CLOSING)
+        + """SELECT wm.*, CAST(make_timestamp("timestamp" * 1000) AS DATE) AS date FROM wm, closing WHERE "timestamp" + 86400000 <= watermark""",
+        "stream_open_windows": _with(READINGS, ACCEPTED, window_cte("wm", DAY_MS), CLOSING)
+        + """SELECT wm.* FROM wm, closing WHERE "timestamp" + 86400000 > watermark""",
         "ingest_client_input": _with(READINGS, CLIENT)
         + """SELECT event_id, reason, CASE WHEN reason = '' THEN sensor_id END AS key, CASE WHEN reason = '' THEN sensor_id END AS sensor_id,
        CASE WHEN reason = '' THEN "timestamp" END AS "timestamp", CASE WHEN reason = '' THEN temperature END AS temperature,

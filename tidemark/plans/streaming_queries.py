@@ -24,10 +24,12 @@ from tidemark.sources.store import compact_table, read_archive, read_table, writ
 from tidemark.sources.summaries import compact_summaries
 from tidemark.sources.topic import raw_records, read_raw_files
 from tidemark.streaming.wiring import (
+    open_windows,
     raw_rejects,
     run_until_stopped,
     split_envelopes,
     start_accounted_sink,
+    start_archive,
     start_reject_sink,
     start_table_sink,
     window_stream,
@@ -274,6 +276,33 @@ def archive_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archive(spark, path).select("sensor_id", "timestamp", "temperature", "humidity", "date")
 
 
+def run_archive_stream(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """S7 in append mode: 1-day windows in ``CHUNKS`` arrivals, a restart after each; finished windows are written once."""
+    return _once(spark, sf_dir, "archive-stream", lambda: _run_archive_stream(spark, sf_dir))
+
+
+def _run_archive_stream(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    root = scratch_path(spark, "archive-stream")
+    paths = {p: f"{root}/{p}" for p in ("raw", "archive", "checkpoint")}
+    messages = _raw_messages(spark, sf_dir)
+    for lo, hi in _arrivals(P.accepted(spark, sf_dir), CHUNKS):
+        messages.where(F.col("offset").between(lo, hi - 1)).write.mode("append").parquet(paths["raw"])
+        means = window_stream(read_raw_files(spark, paths["raw"]), "1 day")
+        run_until_stopped(start_archive(means, paths["archive"], paths["checkpoint"], available_now=True))
+    return paths
+
+
+def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows that the watermark has passed."""
+    archive = read_archive(spark, run_archive_stream(spark, sf_dir)["archive"])
+    return archive.select("sensor_id", "timestamp", "temperature", "humidity", "date")
+
+
+def stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The others, from the stopped query's checkpoint."""
+    return open_windows(spark, run_archive_stream(spark, sf_dir)["checkpoint"])
+
+
 STREAM_QUERIES = {
     "stream_window_mean": stream_window_mean,
     "stream_rejects": stream_rejects,
@@ -283,6 +312,8 @@ STREAM_QUERIES = {
     "envelope_dead_letters": envelope_dead_letters,
     "archive_readback": archive_readback,
     "stream_limited": stream_limited,
+    "stream_archive": stream_archive,
+    "stream_open_windows": stream_open_windows,
     "late_rows": late_rows,
     "stream_accounts": stream_accounts,
     "late_window_mean": late_window_mean,

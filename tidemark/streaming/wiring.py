@@ -26,15 +26,16 @@ import datetime as dt
 import threading
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemark import schemas as S
 from tidemark.operators.codec import decode_envelope, encode_envelope, label_messages
 from tidemark.operators.table import TABLE_COLUMNS, conform_table, split_dead_letters
-from tidemark.operators.windows import window_mean, with_watermark
-from tidemark.functions.time import duration_seconds, ms_to_ts
+from tidemark.operators.windows import MEASURES, window_mean, with_watermark
+from tidemark.functions.numeric import MEAN_STATE, mean_of_state
+from tidemark.functions.time import duration_seconds, ms_to_ts, window_start_ms
 from tidemark.session import ROCKSDB_PROVIDER
 from tidemark.sources.store import exists, write_batch_partition, write_updates
 from tidemark.sources.summaries import summarize_batch
@@ -327,6 +328,22 @@ def start_archive(
     return writer.start()
 
 
+def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The windows that a query on :func:`window_stream` still holds, with their means so far.
+
+    Read from the checkpoint with Spark's state reader, so the query may be stopped. In append mode these
+    are the windows that are not written yet: together with the archive they are all windows.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    kept = [(f"{m}_{name}", kind) for m in MEASURES for name, kind in MEAN_STATE]
+    found = [f.dataType.typeName() for f in state.schema["value"].dataType.fields]
+    if found != [kind for _, kind in kept]:
+        raise ValueError(f"{checkpoint}: state {found} is not that of window means")
+    value = F.col("value").cast("struct<" + ", ".join(f"{name}: {kind}" for name, kind in kept).replace(": long", ": bigint") + ">")
+    rows = state.select("key.*", value.alias("value"))
+    return rows.select("sensor_id", window_start_ms("window").alias("timestamp"), *[mean_of_state(F.col("value"), m).alias(m) for m in MEASURES])
+
+
 def run_until_stopped(query: StreamingQuery, timeout_s: float | None = None) -> None:
     """Wait; stop cleanly on interrupt or error, re-raise errors."""
     try:
