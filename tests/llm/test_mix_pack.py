@@ -189,3 +189,29 @@ def test_queries_are_registered():
 
     names = list(e.queries())
     assert [re.match(r"op\d+|pipeline", n)[0] for n in names if re.match(r"op\d+_|pipeline", n)] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
+
+
+def test_sequences_are_rebuilt_from_packed_ids(spark):
+    import public_tokenizers
+    import zlib
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = [(1, "one two three " * 9, "x"), (1, "one two three " * 9, "x"), (None, "four", "y"), (3, None, None), (4, "five six " * 40, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids string").repartition(3)  # a column of a clashing name
+    out = pack(stash(pieces(docs, path, length=50, keep_ids=True), "ids"), length=50, shard_pieces=4).collect()
+    assert all(len(r.ids) == 4 * r.length and zlib.crc32(bytes(r.ids)) == r.ids_crc32 for r in out)
+    assert len({r.row_id for r in out}) == 5 and len({r.row_id for r in out if r.doc_id == 1}) == 2
+    known = pieces(docs, path, length=10**6, keep_ids=True).collect()
+    whole = {}
+    for r in sorted(out, key=lambda r: (r.row_id, r.piece)):
+        whole[r.row_id] = whole.get(r.row_id, b"") + bytes(r.ids)
+    assert sorted(whole.values()) == sorted(bytes(r.ids) for r in known)
+    places = {}
+    for r in out:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for p in places.values():
+        at = 0
+        for offset, length in sorted(p):
+            assert offset == at
+            at += length
+        assert at <= 50

@@ -320,3 +320,18 @@ def test_words_and_shingles():
     h = np.concatenate(hashes)
     assert h[0] == h[7] and h[1] == h[8] and h[5] != h[6]  # only A-Z is lower-cased
     assert [len(s) for s in shingles(h, np.array(counts), 3)] == [2, 0, 0, 1, 3]
+
+
+def test_language_sample_by_slices_is_the_least_hashes(spark):
+    from tidemark.llm.langid import _least
+
+    # languages of very different sizes; ids that repeat share their hash
+    rows = [("aa", i % 700) for i in range(3000)] + [("bb", i) for i in range(5)] + [("cc", 7)] * 400 + [("dd", -i) for i in range(150)]
+    df = spark.createDataFrame(rows, "lang string, doc_id long").withColumn("hash_", F.xxhash64("doc_id"))
+    want, got = {}, {}
+    for out, frame in ((want, df), (got, _least(df.select("lang", "hash_"), 100))):
+        for r in frame.select("lang", "hash_").collect():
+            out.setdefault(r.lang, []).append(r.hash_)
+    assert {k: sorted(v)[:100] for k, v in want.items()} == {k: sorted(v)[:100] for k, v in got.items()}
+    assert len(got["cc"]) == 100 and len(got["bb"]) == 5 and len(got["aa"]) < 3000
+    assert _least(df.limit(0).select("lang", "hash_"), 100).count() == 0

@@ -4,7 +4,8 @@ Network: a window of ``WINDOW`` lower-cased (A-Z) bytes; ``FILTERS`` convolution
 filters for each of several widths straight over the bytes (a weight per
 offset and byte value); rectifier; maximum over the window; softmax over the languages.
 Training runs on a bounded sample of labelled rows: at most ``ROWS_PER_LANG`` per
-language and ``MAX_ROWS`` in all (those of least id hash), three snippets of each.
+language and ``MAX_ROWS`` in all (those of least id hash), three snippets of each. So that each has ten rows to
+learn from, at most ``MAX_ROWS // 10`` languages are learned, those with the most sampled rows.
 Prediction covers the whole text: consecutive fixed-length windows, whose logits are averaged
 by length.
 
@@ -24,6 +25,7 @@ from tidemark.llm.textkit import LOWER, slices
 
 WINDOW, FILTERS, WIDTHS, SNIPPET = 192, 8, (2, 3, 4), 240
 ROWS_PER_LANG, MAX_ROWS, EPOCHS, MIN_STEPS, BATCH = 1000, 12000, 5, 300, 128
+SLICE_BITS = 18
 
 
 def windows(buf: np.ndarray, off: np.ndarray, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -140,6 +142,19 @@ def has_letters(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
+def _least(hashes: DataFrame, per: int) -> DataFrame:
+    """Of (lang, hash_) the rows that can be among the ``per`` least hashes of their language.
+
+    Rows are counted per language and slice of the hash range, and the slices below the one in which the count
+    reaches ``per`` are kept, so no task orders a whole language. Equal hashes (rows of one id) count ``per`` times at most.
+    """
+    some = hashes.groupBy("lang", "hash_").agg(F.count("*").alias("times")).withColumn("slice", F.shiftright("hash_", 64 - SLICE_BITS))
+    sizes = some.groupBy("lang", "slice").agg(F.sum("times").alias("n"))
+    before = F.expr("sum(n) OVER (PARTITION BY lang ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+    wanted = sizes.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < per).select("lang", "slice")
+    return some.join(wanted, ["lang", "slice"]).select("lang", F.explode(F.array_repeat("hash_", F.least("times", F.lit(per)).cast("int"))).alias("hash_"))
+
+
 def train(labelled: DataFrame) -> ByteNet:
     """Fit on a bounded sample of (doc_id, text, lang), all non-null."""
     size = F.length("text")
@@ -149,7 +164,7 @@ def train(labelled: DataFrame) -> ByteNet:
     rank = F.expr("row_number() OVER (PARTITION BY lang ORDER BY hash_)")
     # many languages have fewer rows each, so that a rare one keeps its place
     per = max(10, min(ROWS_PER_LANG, MAX_ROWS // max(1, labelled.select("lang").distinct().count())))
-    cut = marked.select("lang", "hash_").withColumn("rank", rank).where(F.col("rank") <= per)
+    cut = _least(marked.select("lang", "hash_"), per).withColumn("rank", rank).where(F.col("rank") <= per)
     cut = cut.groupBy("lang").agg(F.max("hash_").alias("top"), F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_ROWS // 10)
     cut = cut.withColumnRenamed("lang", "lang_")
     rows = marked.join(F.broadcast(cut), (F.col("lang") == F.col("lang_")) & (F.col("hash_") <= F.col("top")))

@@ -108,10 +108,11 @@ def token_ids(known: WordIds, buf: np.ndarray, off: np.ndarray, end_id: int) ->
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 PIECES_SQL = "doc_id long, piece int, start long, length long, ids_crc32 long"
+IDS_SQL = ", row_id long, ids binary"
 
 
 def _pieces(path: str, length: int, end_id: int, keep_ids: bool):
-    schema = PIECES.append(pa.field("ids", pa.binary())) if keep_ids else PIECES
+    schema = PIECES.append(pa.field("row_id", pa.int64())).append(pa.field("ids", pa.binary())) if keep_ids else PIECES
 
     def cut(batches):
         state = _worker_state()
@@ -119,6 +120,7 @@ def _pieces(path: str, length: int, end_id: int, keep_ids: bool):
             state[path] = WordIds(path)
         for batch in batches:
             docs = batch["doc_id"].to_pylist()
+            row_ids = batch["row_id"].to_pylist() if keep_ids else []
             for first, _, buf, off in slices(batch["text"]):
                 ids, limit = token_ids(state[path], buf, off, end_id)
                 rows = []
@@ -126,16 +128,20 @@ def _pieces(path: str, length: int, end_id: int, keep_ids: bool):
                     for k, x in enumerate(range(a, b, length)):
                         raw = ids[x : min(b, x + length)].astype("<u4").tobytes()
                         row = (docs[first + d], k, x - a, min(b, x + length) - x, zlib.crc32(raw))
-                        rows.append((*row, raw) if keep_ids else row)
+                        rows.append((*row, row_ids[first + d], raw) if keep_ids else row)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     return cut
 
 
 def pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32[, ids]) of all documents."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return docs.mapInArrow(_pieces(path, length, end_id, keep_ids), PIECES_SQL + (", ids binary" if keep_ids else ""))
+    """(doc_id, piece, start, length, ids_crc32[, row_id, ids]) of all documents.
+
+    With ``keep_ids`` the token ids come along (little-endian unsigned 32-bit), and a number per row of ``docs``, which
+    tells copies of one row apart.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *([F.monotonically_increasing_id().alias("row_id")] if keep_ids else []))
+    return docs.mapInArrow(_pieces(path, length, end_id, keep_ids), PIECES_SQL + (IDS_SQL if keep_ids else ""))
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -178,16 +184,17 @@ def _packer(length: int):
 
 
 def pack(pieces: DataFrame, length: int = LENGTH, shard_pieces: int = SHARD_PIECES) -> DataFrame:
-    """``pieces`` (doc_id, piece, start, length, ids_crc32) with sequence_id and offset.
+    """``pieces`` (doc_id, piece, start, length, ids_crc32[, row_id, ids]) with sequence_id and offset.
 
-    ``pieces`` is a written table: its rows are numbered as they are read, and a task that runs again has to read
+    The ids of a shard are at most ``shard_pieces * length * 4`` bytes on average (64 MiB as set here). ``pieces`` is a written table: its rows are numbered as they are read, and a task that runs again has to read
     the same rows in the same order."""
     count = pieces.count()
     shards = max(1, -(-count // shard_pieces))
     # rows that are equal in all columns (copies of a row, null ids) differ by their number only
     place = F.xxhash64("doc_id", "piece", "length", "ids_crc32", F.monotonically_increasing_id())
-    dealt = pieces.select(*PIECES.names).withColumn("shard", F.pmod(place, F.lit(shards)).cast("int"))
-    return dealt.groupBy("shard").applyInArrow(_packer(length), PIECES_SQL + ", sequence_id long, offset long")
+    kept = [*PIECES.names, *(c for c in ("row_id", "ids") if c in pieces.columns)]
+    dealt = pieces.select(*kept).withColumn("shard", F.pmod(place, F.lit(shards)).cast("int"))
+    return dealt.groupBy("shard").applyInArrow(_packer(length), PIECES_SQL + (IDS_SQL if "ids" in kept else "") + ", sequence_id long, offset long")
 
 
 def op5_sum_of_squares_packing(spark, sf_dir: str) -> DataFrame:
