@@ -8,7 +8,7 @@ folder and reads them back for the next.
 2. near_duplicates  of texts linked by five-word shingles (similarity 0.8) one stays
 3. suffix_dedup     strings of 200 bytes that start more than once are cut (passages of 50 words are longer)
 4. source_mix       rows are repeated or left out until the sources have their weights
-5. packing          token sequences of 4096: one row per piece and its place
+5. packing          token sequences of 4096: one row per piece with its token ids and place; row_id tells the copies of a row apart
 
 Null and empty texts: stage 1 drops them, as they have no language. Repeated rows: stage 2 keeps one. A row with a null
 id is a document of its own in stage 2; of those linked one stays. Empty tables pass through as empty tables.
@@ -22,7 +22,7 @@ from tidemark.llm.jaccard import keep_one
 from tidemark.llm.langid import keep_identified
 from tidemark.llm.mixing import apply_mix
 from tidemark.llm.packing import pack, pieces
-from tidemark.llm.shared import sf_table, stash
+from tidemark.llm.shared import scratch, sf_table, stash
 from tidemark.llm.suffixes import cut_repeats
 
 REPEAT_BYTES = 200
@@ -47,7 +47,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return pack(stash(pieces(docs, public_tokenizers.path("word_bpe_49k.json")), "pieces"))
+    return pack(stash(pieces(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=True), "pieces"))
 
 
 STAGES = [
@@ -63,8 +63,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the ``documents`` of ``sf_dir``."""
+    """All stages over the ``documents`` of ``sf_dir``. The tables between the stages are deleted, the last one stays."""
     docs = sf_table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stash(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with scratch(spark, "pipeline"):
+        for name, stage in STAGES:
+            docs = stash(stage(spark, docs, sf_dir), name, keep=name == STAGES[-1][0])
+    return docs
