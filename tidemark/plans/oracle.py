@@ -327,6 +327,17 @@ def _oracle_sql() -> dict[str, str]:
     import datetime as _dt
 
     stats_start = (_dt.datetime.fromisoformat(stats_end) - _dt.timedelta(days=7)).isoformat()
+    matched = (
+        _with(
+            SAMPLES,
+            """matched AS (SELECT * FROM samples WHERE metric = 'events_value_total'
+  AND regexp_full_match(coalesce(namespace, ''), '(?:click|view)')
+  AND coalesce(container, '') <> '' AND coalesce(pod, '') <> '1')""",
+            RATES.replace("FROM samples", "FROM matched"),
+        )
+        + f"""SELECT t, namespace, SUM(increase) AS increase, {_rate('SUM(increase)')} AS rate FROM rates
+WHERE t BETWEEN TIMESTAMP '{P.RATE_PERIOD[0]}' AND TIMESTAMP '{P.RATE_PERIOD[1]}' GROUP BY t, namespace"""
+    )
     return {
         "window_mean_30s": _with(READINGS, ACCEPTED, window_cte("wm", 30_000)) + "SELECT * FROM wm",
         "window_mean_1d": _with(READINGS, ACCEPTED, window_cte("wm", DAY_MS)) + "SELECT * FROM wm",
@@ -438,15 +449,9 @@ QUALIFY rank <= 5""",
         "counter_rate_bounded": _with(*RATE_CTES)
         + f"""SELECT metric, namespace, pod, t, increase, {_rate('increase')} AS rate FROM rates
 WHERE t BETWEEN TIMESTAMP '{P.RATE_PERIOD[0]}' AND TIMESTAMP '{P.RATE_PERIOD[1]}'""",
-        "matched_rate": _with(
-            SAMPLES,
-            """matched AS (SELECT * FROM samples WHERE metric = 'events_value_total'
-  AND regexp_full_match(coalesce(namespace, ''), '(?:click|view)')
-  AND coalesce(container, '') <> '' AND coalesce(pod, '') <> '1')""",
-            RATES.replace("FROM samples", "FROM matched"),
-        )
-        + f"""SELECT t, namespace, SUM(increase) AS increase, {_rate('SUM(increase)')} AS rate FROM rates
-WHERE t BETWEEN TIMESTAMP '{P.RATE_PERIOD[0]}' AND TIMESTAMP '{P.RATE_PERIOD[1]}' GROUP BY t, namespace""",
+        "matched_rate": matched,
+        "matched_rate_by_series": matched,
+        "series_dictionary": _with(SAMPLES) + "SELECT DISTINCT metric, namespace, pod, container FROM samples",
         "gauge_total": _with(SAMPLES, _instant("events_value_total"))
         + """SELECT t, value, CAST(value AS DOUBLE) / 1024.0 / 1024.0 AS mib,
        CAST(value AS DOUBLE) / 1024.0 / 1024.0 / 1024.0 AS gib

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.metrics import sum_by
+from tidemark.operators.metrics import counter_rate, sum_by
 from tidemark.operators.rollups import merged_rollups, rate_from_rollups, step_rollups
 from tidemark.plans import derived as P
 from tidemark.session import scratch_path
 from tidemark.sources.samples import read_samples
+from tidemark.sources.series import read_matched, read_series, with_labels, write_series
 from tidemark.streaming.rates import live_rates, start_rate_sink
 from tidemark.streaming.wiring import run_until_stopped
 
@@ -77,7 +78,37 @@ def stream_counter_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.select("metric", "namespace", "pod", "t", "increase", "rate")
 
 
+MATCHERS = [("metric", "=", "events_value_total"), ("namespace", "=~", "click|view"), ("container", "!=", ""), ("pod", "!=", "1")]
+
+
+def stored_series(spark: SparkSession, sf_dir: str) -> str:
+    """Series dictionary and samples by id, written arrival by arrival; returns their path."""
+
+    def build() -> str:
+        path = scratch_path(spark, "series")
+        for batch, part in enumerate(_parts(P.stored_samples(spark, sf_dir))):
+            write_series(part, batch, path)
+        return path
+
+    return _once(spark, sf_dir, "series", build)
+
+
+def series_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every label set that the arrivals hold, once."""
+    return read_series(spark, stored_series(spark, sf_dir)).select("metric", "namespace", "pod", "container")
+
+
+def matched_rate_by_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``matched_rate`` with the matchers on the dictionary and the samples read by id."""
+    path = stored_series(spark, sf_dir)
+    rates = counter_rate(read_matched(spark, path, MATCHERS), P.RATE_RANGE, P.RATE_STEP, *P.RATE_PERIOD, series=["series_id"])
+    labelled = with_labels(rates, read_series(spark, path, MATCHERS), ["namespace"])
+    return sum_by(labelled, ["namespace"]).select("t", "namespace", "increase", "rate")
+
+
 RATE_QUERIES = {
+    "series_dictionary": series_dictionary,
+    "matched_rate_by_series": matched_rate_by_series,
     "rollup_rate": rollup_rate,
     "rollup_rate_bounded": rollup_rate_bounded,
     "stream_counter_rate": stream_counter_rate,
