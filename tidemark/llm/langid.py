@@ -25,7 +25,7 @@ from tidemark.llm.textkit import LOWER, slices
 
 WINDOW, FILTERS, WIDTHS, SNIPPET = 192, 8, (2, 3, 4), 240
 ROWS_PER_LANG, MAX_ROWS, EPOCHS, MIN_STEPS, BATCH = 1000, 12000, 5, 300, 128
-SLICE_BITS = 18
+SLICE_BITS = 10
 
 
 def windows(buf: np.ndarray, off: np.ndarray, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,14 +145,18 @@ def has_letters(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
 def _least(hashes: DataFrame, per: int) -> DataFrame:
     """Of (lang, hash_) the rows that can be among the ``per`` least hashes of their language.
 
-    Rows are counted per language and slice of the hash range, and the slices below the one in which the count
-    reaches ``per`` are kept, so no task orders a whole language. Equal hashes (rows of one id) count ``per`` times at most.
+    Rows are counted per language and slice of the hash range, and only the slices up to the one in which the count
+    reaches ``per`` stay; a second round does so with finer slices. So no task orders a whole language, but at most
+    ``per`` rows and ``2 ** SLICE_BITS`` slices of it. Equal hashes (rows of one id) count ``per`` times at most.
     """
-    some = hashes.groupBy("lang", "hash_").agg(F.count("*").alias("times")).withColumn("slice", F.shiftright("hash_", 64 - SLICE_BITS))
-    sizes = some.groupBy("lang", "slice").agg(F.sum("times").alias("n"))
+    some = hashes.groupBy("lang", "hash_").agg(F.count("*").alias("times"))
     before = F.expr("sum(n) OVER (PARTITION BY lang ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
-    wanted = sizes.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < per).select("lang", "slice")
-    return some.join(wanted, ["lang", "slice"]).select("lang", F.explode(F.array_repeat("hash_", F.least("times", F.lit(per)).cast("int"))).alias("hash_"))
+    for bits in (SLICE_BITS, 2 * SLICE_BITS):
+        some = some.withColumn("slice", F.shiftright("hash_", 64 - bits))
+        sizes = some.groupBy("lang", "slice").agg(F.sum("times").alias("n"))
+        wanted = sizes.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < per).select("lang", "slice")
+        some = some.join(wanted, ["lang", "slice"]).drop("slice")
+    return some.select("lang", F.explode(F.array_repeat("hash_", F.least("times", F.lit(per)).cast("int"))).alias("hash_"))
 
 
 def train(labelled: DataFrame) -> ByteNet:

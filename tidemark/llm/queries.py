@@ -11,7 +11,7 @@ from tidemark.llm.mixing import op9_source_mix
 from tidemark.llm.mixture import op10_context_mixing
 from tidemark.llm.packing import op5_sum_of_squares_packing
 from tidemark.llm.resampling import OP13_SQL, op13_importance_resampling
-from tidemark.llm.suffixes import op6_suffix_dedup
+from tidemark.llm.suffixes import OP6_SQL, op6_suffix_dedup
 from tidemark.llm.topk import OP1_SQL, op1_kdtree_topk
 from tidemark.llm.toxicity import op11_toxicity_cnn
 from tidemark.llm.trie import OP12_SQL, op12_prefix_trie
@@ -36,6 +36,7 @@ LLM_SQL = {
     "op1_kdtree_topk": OP1_SQL,
     "op3_embedding_neardup": OP3_SQL,
     "op4_jaccard_join": OP4_SQL,
+    "op6_suffix_dedup": OP6_SQL,
     "op12_prefix_trie": OP12_SQL,
     "op13_importance_resampling": OP13_SQL,
 }

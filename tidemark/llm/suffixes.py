@@ -332,4 +332,36 @@ def cut_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def op6_suffix_dedup(spark, sf_dir: str) -> DataFrame:
-    return suffix_dedup(sf_table(spark, sf_dir, "documents"))
+    return suffix_dedup(sf_table(spark, sf_dir, "documents")).drop("spans")
+
+
+# Every window of 400 bytes (two hexadecimal digits each, read from parts of the text) by its digest; repeated ones make spans, gaps are what is kept.
+OP6_SQL = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS nth, doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents
+), sized AS (
+  SELECT *, length(digits) // 2 AS n_bytes FROM texts
+), parts AS (
+  SELECT nth, 1024 * k AS base, least(1024, n_bytes - {WIDTH - 1} - 1024 * k) AS many, substr(digits, 2048 * k + 1, 2 * (1023 + {WIDTH})) AS part
+  FROM (SELECT *, unnest(range((n_bytes - {WIDTH}) // 1024 + 1)) AS k FROM sized WHERE n_bytes >= {WIDTH})
+), windows AS (
+  SELECT nth, base + i AS pos, md5(substr(part, 2 * i + 1, {2 * WIDTH})) AS m FROM (SELECT *, unnest(range(many)) AS i FROM parts)
+), twice AS (
+  SELECT nth, pos FROM windows WHERE m IN (SELECT m FROM windows GROUP BY m HAVING count(*) > 1)
+), heads AS (
+  SELECT nth, pos, CASE WHEN pos - lag(pos) OVER (PARTITION BY nth ORDER BY pos) <= {WIDTH} THEN 0 ELSE 1 END AS head FROM twice
+), numbered AS (
+  SELECT nth, pos, sum(head) OVER (PARTITION BY nth ORDER BY pos ROWS UNBOUNDED PRECEDING) AS span FROM heads
+), spans AS (
+  SELECT nth, span, min(pos) AS s, max(pos) + {WIDTH} AS e FROM numbered GROUP BY nth, span
+), gaps AS (
+  SELECT nth, span, s, e, coalesce(lag(e) OVER (PARTITION BY nth ORDER BY span), 0) AS since FROM spans
+), cut AS (
+  SELECT nth, sum(e - s) AS n_removed, count(*) AS n_spans, max(e) AS tail,
+         string_agg(substr(digits, 2 * since + 1, 2 * (s - since)), '' ORDER BY span) AS front
+  FROM gaps JOIN sized USING (nth) GROUP BY nth
+)
+SELECT doc_id, n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(front, '') || substr(digits, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+FROM sized LEFT JOIN cut USING (nth)
+"""
