@@ -307,6 +307,48 @@ def test_lm_tells_previous_words_apart():
     assert len(np.unique(token // 256)) > 400  # 600 words in 1023 slots: some share one
 
 
+def test_lm_counts_the_beginnings_of_all_words():
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from tidemark.llm.mixture import BITS, RANGES, _add_counts, _emit_words, huffman
+
+    words = [f"word{i}" for i in range(300)]
+    text = np.frombuffer("".join(w + " " for w in words).encode(), np.uint8)
+    off = np.concatenate([[0], np.cumsum([len(w) + 1 for w in words])])
+    keys = span_hash(prefix_hash(text), off[:-1], off[1:] - 1)
+    tree = huffman(np.bincount(text, minlength=256))
+    parts = list(_add_counts(SimpleNamespace(value=tree))([_emit_words(keys, np.arange(300) + 1, text, off, 8)]))
+    flat = np.concatenate([np.frombuffer(p["sums"][0].as_py(), np.float32) for p in parts])
+    assert len(parts) == RANGES and isinstance(parts[0], pa.RecordBatch)
+    sums = [t.sum() for t in np.split(flat, np.cumsum([2 << b for b in BITS])[:-1])]
+    inner = np.ones(len(text), bool)
+    inner[off[:-1]] = False
+    times = np.repeat(np.arange(300) + 1, np.diff(off))
+    assert set(sums) == {(tree[0][text] * times)[inner].sum()}  # every predictor counts every bit, the whole beginning too
+
+
+def test_lm_first_bytes_are_mixed():
+    from types import SimpleNamespace
+
+    from tidemark.llm.mixture import SLOTS, _train_first, first_byte_table, first_mixer, huffman
+
+    starts = np.zeros((CLASSES, SLOTS, 256), np.int64)
+    for slot in range(SLOTS):  # by the slot one byte is sure, by the class alone it is not
+        starts[slot % CLASSES, slot, 97 + slot % 7] = 3
+    tree = huffman(starts.sum((0, 1)))
+    import pyarrow as pa
+
+    rows = [(-1 - n, part.tobytes()) for n, part in enumerate(starts.reshape(64, -1))]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "counts"])
+    got = [r for r in _train_first(SimpleNamespace(value=tree), SimpleNamespace(value=starts.sum(1)))([batch])]
+    mixer = first_mixer().average(np.frombuffer(got[0]["sums"][0].as_py(), np.float32))
+    likely = lambda m: (first_byte_table(tree, starts, m).reshape(starts.shape) * starts).sum()
+    assert np.allclose((10.0 ** first_byte_table(tree, starts, mixer)).reshape(-1, 256).sum(1), 1, atol=1e-3)
+    assert likely(mixer) > likely(first_mixer())
+
+
 def test_words_and_shingles():
     import pyarrow as pa
 
