@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 from hypothesis import given, settings
@@ -163,3 +164,32 @@ def test_map_labels_flatten_and_instant_topk(spark):
     assert [(r["pod"], r["increase"]) for r in top.collect()] == [("p1", Decimal("3"))]
     plan = spark._jvm.PythonSQLUtils.explainString(top._jdf.queryExecution(), "simple")
     assert "TakeOrderedAndProject" in plan
+
+
+def test_tasks_of_the_rates_follow_the_rows(spark):
+    """Ordered work is dealt into the given number of parts, once; the rates stay the same."""
+    from tidemark.operators.series import ROWS_PER_TASK, tasks_for
+
+    assert tasks_for(0) is tasks_for(4 * ROWS_PER_TASK) is None and tasks_for(60 * ROWS_PER_TASK) == 60
+    schema = "metric string, namespace string, pod string, container string, ts timestamp, value decimal(38,6)"
+    rows = [
+        (m, ns, str(i % 5), None if i % 3 else "c", dt.datetime(2024, 1, 1 + i % 9, i % 24, i % 60), Decimal(i * i % 71))
+        for i in range(600) for m, ns in (("a", "x"), (None, ""), ("", None))
+    ]
+    samples = spark.createDataFrame(rows, schema)
+    plain, dealt = (metrics.counter_rate(samples, "2 days", "6 hours", tasks=n) for n in (None, 13))
+    assert sorted(map(str, plain.collect())) == sorted(map(str, dealt.collect())) and plain.where("metric IS NULL").count() > 0
+    with_join = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = metrics.counter_rate(samples, "2 days", "6 hours", tasks=13)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_join)
+    shuffles = re.findall(r"Exchange hashpartitioning\((.*), (\d+)\), (\w+)", plain_plan(plan))
+    # both sides of the join are dealt by number; only the rows per bucket and the sums are shuffled besides
+    assert sum(n == "13" and kind == "REPARTITION_BY_NUM" for _, n, kind in shuffles) == 2
+    assert not any("_lo" in keys for keys, _, _ in shuffles)
+
+
+def plain_plan(plan: str) -> str:
+    return plan.split("== Initial Plan ==")[-1]

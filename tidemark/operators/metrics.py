@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.time import duration_seconds
-from tidemark.operators.series import previous_in_series
+from tidemark.operators.series import bucket_keys, previous_in_series
 
 SERIES = ["metric", "namespace", "pod", "container"]
 US = 1_000_000
@@ -88,6 +88,7 @@ def counter_rate(
     end: str | None = None,
     series: list[str] = SERIES,
     bucket_seconds: int = 86400,
+    tasks: int | None = None,
 ) -> DataFrame:
     """M1 + M10: per series and eval time ``t``: ``increase`` and ``rate``.
 
@@ -95,16 +96,17 @@ def counter_rate(
     delta to every ``t`` with ``ts <= t < prev_ts + range``, i.e. to the
     ranges that hold both it and its predecessor. Deltas with the same
     evaluation times are summed before they are fanned out. Decimal counters
-    are summed as decimals (exact, any order); double ones as doubles.
+    are summed as decimals (exact, any order); double ones as doubles. ``tasks`` fixes the number
+    of tasks of the ordered work (see ``tasks_for``).
     """
     range_s, step_s = duration_seconds(range_), duration_seconds(step)
     step_us, range_us = step_s * US, range_s * US
     prev = previous_in_series(
-        usable(samples, series, range_s, start, end), series, "ts", ("value",), bucket_seconds, tiebreak=("value",)
+        usable(samples, series, range_s, start, end), series, "ts", ("value",), bucket_seconds, tiebreak=("value",), tasks=tasks, keep=True
     )
     value, before = F.col("value"), F.col("prev_value")
     delta = F.when(value >= before, value - before).otherwise(value).alias("_delta")
-    pairs = prev.where(F.col("prev_ts").isNotNull()).select(*series, delta, "ts", "prev_ts")
+    pairs = prev.where(F.col("prev_ts").isNotNull()).select(*series, *bucket_keys(prev), delta, "ts", "prev_ts")
     lo = ceil_div(F.unix_micros("ts"), step_us)
     hi = ceil_div(F.unix_micros("prev_ts") + F.lit(range_us), step_us) - F.lit(1)
     return rates_of(pairs, lo, hi, series, range_s, step_s, start, end, samples.schema["value"].dataType)
@@ -115,10 +117,12 @@ def rates_of(
 ) -> DataFrame:
     """Rates from increases (``_delta``) that count at the evaluation steps ``lo`` to ``hi``.
 
-    Increases with the same evaluation times are summed before they are fanned out.
+    Increases with the same evaluation times are summed before they are fanned out; where ``pairs`` carries
+    the keys by which it is dealt (``bucket_keys``), inside these, without another shuffle.
     """
-    clipped = _clip(pairs, [*series, "_delta"], lo, hi, step_s, start, end)
-    summed = clipped.groupBy(*series, "_lo", "_hi").agg(F.sum("_delta").alias("_delta"))
+    dealt = bucket_keys(pairs)
+    clipped = _clip(pairs, [*series, *dealt, "_delta"], lo, hi, step_s, start, end)
+    summed = clipped.groupBy(*series, *dealt, "_lo", "_hi").agg(F.sum("_delta").alias("_delta"))
     inc = _fan_out(summed).groupBy(*series, "_k").agg(F.sum("_delta").alias("increase"))
     if isinstance(vtype, T.DecimalType):
         inc = inc.withColumn("increase", F.col("increase").cast(T.DecimalType(38, vtype.scale)))

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.time import duration_seconds
 from tidemark.operators.metrics import SERIES, US, ceil_div, floor_div, rates_of, usable
-from tidemark.operators.series import previous_in_series
+from tidemark.operators.series import bucket_keys, previous_in_series
 
 ROLLUP = ["first_ts", "first_value", "last_ts", "last_value", "increase", "samples"]
 
@@ -34,11 +34,12 @@ def _exact(total: Column, like: T.DataType) -> Column:
     return total.cast(T.DecimalType(38, like.scale)) if isinstance(like, T.DecimalType) else total
 
 
-def step_rollups(samples: DataFrame, step: str, series: list[str] = SERIES, start: str | None = None, end: str | None = None) -> DataFrame:
+def step_rollups(samples: DataFrame, step: str, series: list[str] = SERIES, start: str | None = None, end: str | None = None, tasks: int | None = None) -> DataFrame:
     """(series, step_no, first_ts, first_value, last_ts, last_value, increase, samples); step n covers ``((n-1)*step, n*step]``."""
     step_us = duration_seconds(step) * US
     rows = usable(samples, series, 0, start, end).withColumn("step_no", ceil_div(F.unix_micros("ts"), step_us))
     keys = [*series, "step_no"]
+    rows = rows.repartition(tasks, *keys) if tasks else rows
     before = F.lag("value").over(Window.partitionBy(*keys).orderBy("ts", "value"))
     delta = F.when(before.isNull(), F.lit(0).cast(samples.schema["value"].dataType)).otherwise(reset_aware(F.col("value"), before))
     rolled = rows.withColumn("_delta", delta).groupBy(*keys).agg(
@@ -51,9 +52,10 @@ def step_rollups(samples: DataFrame, step: str, series: list[str] = SERIES, star
     )
 
 
-def merged_rollups(parts: DataFrame, series: list[str] = SERIES) -> DataFrame:
+def merged_rollups(parts: DataFrame, series: list[str] = SERIES, tasks: int | None = None) -> DataFrame:
     """One row per series and step from parts of the same step, in time order; ``interleaved`` where parts overlap."""
     keys = [*series, "step_no"]
+    parts = parts.repartition(tasks, *keys) if tasks else parts
     w = Window.partitionBy(*keys).orderBy("first_ts", "first_value", "last_ts")
     linked = parts.select("*", F.lag("last_value").over(w).alias("_value"), F.max("last_ts").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_ts"))
     between = F.when(F.col("_value").isNull(), F.lit(0).cast(parts.schema["increase"].dataType)).otherwise(reset_aware(F.col("first_value"), F.col("_value")))
@@ -82,6 +84,7 @@ def rate_from_rollups(
     end: str | None = None,
     series: list[str] = SERIES,
     bucket_seconds: int = 30 * 86400,
+    tasks: int | None = None,
 ) -> DataFrame:
     """M1 + M10 from one row per series and step; the same rows as ``counter_rate`` over the samples."""
     unit, range_s, step_s = duration_seconds(rollup_step), duration_seconds(range_), duration_seconds(step)
@@ -93,11 +96,11 @@ def rate_from_rollups(
         rows = rows.where(F.col("step_no") > floor_div(F.unix_micros(F.lit(start).cast("timestamp")), unit * US) - width)
     if end:
         rows = rows.where(F.col("step_no") <= floor_div(F.unix_micros(F.lit(end).cast("timestamp")), unit * US))
-    linked = previous_in_series(rows, series, "last_ts", ("last_value", "step_no"), bucket_seconds, tiebreak=("last_value",))
+    linked = previous_in_series(rows, series, "last_ts", ("last_value", "step_no"), bucket_seconds, tiebreak=("last_value",), tasks=tasks, keep=True)
     inside = F.struct(F.col("step_no").alias("newest"), F.col("step_no").alias("oldest"), F.col("increase").alias("_delta"))
     across = F.struct(F.col("step_no").alias("newest"), F.col("prev_step_no").alias("oldest"), reset_aware(F.col("first_value"), F.col("prev_last_value")).cast(rollups.schema["increase"].dataType).alias("_delta"))
     terms = F.array_compact(F.array(F.when(F.col("samples") > 1, inside), F.when(F.col("prev_step_no").isNotNull(), across)))
-    pairs = linked.select(*series, F.inline(terms))
+    pairs = linked.select(*series, *bucket_keys(linked), F.inline(terms))
     # a term counts at every evaluation step whose range holds its oldest and its newest step
     lo, hi = ceil_div(F.col("newest"), pace), floor_div(F.col("oldest") + F.lit(width - 1), pace)
     return rates_of(pairs, lo, hi, series, range_s, step_s, start, end, rollups.schema["first_value"].dataType)

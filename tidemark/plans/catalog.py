@@ -122,7 +122,7 @@ def sensor_reading_count(spark, sf_dir):
 
 # --- M1-M10, P10, P11, P27 ------------------------------------------------------
 def _rates(spark, sf_dir):
-    return metrics.counter_rate(P.stored_samples(spark, sf_dir), P.RATE_RANGE, P.RATE_STEP)
+    return metrics.counter_rate(P.stored_samples(spark, sf_dir), P.RATE_RANGE, P.RATE_STEP, tasks=P.sample_tasks(spark, sf_dir))
 
 
 def _value_rates(spark, sf_dir):
@@ -168,7 +168,7 @@ def topk_series(spark, sf_dir):
 
 def counter_rate_bounded(spark, sf_dir):
     """Rates of one dashboard range: only its samples are read."""
-    rates = metrics.counter_rate(P.stored_samples(spark, sf_dir), P.RATE_RANGE, P.RATE_STEP, *P.RATE_PERIOD)
+    rates = metrics.counter_rate(P.stored_samples(spark, sf_dir), P.RATE_RANGE, P.RATE_STEP, *P.RATE_PERIOD, tasks=P.sample_tasks(spark, sf_dir))
     return rates.select("metric", "namespace", "pod", "t", "increase", "rate")
 
 
@@ -178,7 +178,8 @@ def matched_rate(spark, sf_dir):
         P.stored_samples(spark, sf_dir),
         [("metric", "=", "events_value_total"), ("namespace", "=~", "click|view"), ("container", "!=", ""), ("pod", "!=", "1")],
     )
-    summed = metrics.sum_by(metrics.counter_rate(matched, P.RATE_RANGE, P.RATE_STEP, *P.RATE_PERIOD), ["namespace"])
+    rates = metrics.counter_rate(matched, P.RATE_RANGE, P.RATE_STEP, *P.RATE_PERIOD, tasks=P.sample_tasks(spark, sf_dir))
+    summed = metrics.sum_by(rates, ["namespace"])
     return summed.select("t", "namespace", "increase", "rate")
 
 
@@ -190,7 +191,7 @@ def gauge_total(spark, sf_dir):
 
 def _rates_at_instant(spark, sf_dir):
     samples = P.stored_samples(spark, sf_dir).where(F.col("metric") == "events_value_total")
-    rates = metrics.counter_rate(samples, P.RATE_RANGE, P.RATE_STEP, P.TOPK_AT, P.TOPK_AT)
+    rates = metrics.counter_rate(samples, P.RATE_RANGE, P.RATE_STEP, P.TOPK_AT, P.TOPK_AT, tasks=P.sample_tasks(spark, sf_dir))
     return metrics.sum_by(rates, ["namespace", "pod"])
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.ingest import validate
+from tidemark.operators.series import tasks_for
 from tidemark.operators.table import TABLE_COLUMNS, conform_table, split_dead_letters
 from tidemark.operators.windows import window_mean
 from tidemark.schemas import WINDOW_DURATION
@@ -116,6 +117,17 @@ def stored_table(spark: SparkSession, sf_dir: str, dates: tuple[str, str] | None
     return read_table(spark, materialize_table(spark, sf_dir), dates=dates)
 
 
+def sample_tasks(spark: SparkSession, sf_dir: str) -> int | None:
+    """Tasks for ordered work on the stored samples; their number is in the file footers."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _SAMPLE_TASKS:
+        _SAMPLE_TASKS[key] = tasks_for(stored_samples(spark, sf_dir).count())
+    return _SAMPLE_TASKS[key]
+
+
+_SAMPLE_TASKS: dict[tuple, int | None] = {}
+
+
 def stored_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The metric samples as the dashboards read them."""
     ensure_utc(spark)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.metrics import counter_rate, sum_by
 from tidemark.operators.rollups import merged_rollups, rate_from_rollups, step_rollups
+from tidemark.operators.series import tasks_for
 from tidemark.plans import derived as P
 from tidemark.session import scratch_path
 from tidemark.sources.samples import read_samples
@@ -46,7 +47,7 @@ def stored_rollups(spark: SparkSession, sf_dir: str) -> str:
     def build() -> str:
         path = scratch_path(spark, "rollups")
         for part in _parts(P.stored_samples(spark, sf_dir)):
-            rolled = step_rollups(part, ROLLUP_STEP)
+            rolled = step_rollups(part, ROLLUP_STEP, tasks=P.sample_tasks(spark, sf_dir))
             rolled.repartitionByRange("metric", "namespace", "pod", "step_no").write.mode("append").parquet(path)
         return path
 
@@ -55,15 +56,17 @@ def stored_rollups(spark: SparkSession, sf_dir: str) -> str:
 
 def rollup_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``counter_rate`` from the stored roll-ups alone."""
-    rollups = merged_rollups(spark.read.parquet(stored_rollups(spark, sf_dir)))
-    rates = rate_from_rollups(rollups, ROLLUP_STEP, P.RATE_RANGE, P.RATE_STEP)
+    stored = spark.read.parquet(stored_rollups(spark, sf_dir))
+    tasks = tasks_for(stored.count())
+    rates = rate_from_rollups(merged_rollups(stored, tasks=tasks), ROLLUP_STEP, P.RATE_RANGE, P.RATE_STEP, tasks=tasks)
     return rates.select("metric", "namespace", "pod", "t", "increase", "rate")
 
 
 def rollup_rate_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sum(rate) by (namespace) of one dashboard range, from its roll-ups."""
-    rollups = merged_rollups(spark.read.parquet(stored_rollups(spark, sf_dir)).where("metric = 'events_value_total'"))
-    rates = rate_from_rollups(rollups, ROLLUP_STEP, P.RATE_RANGE, P.RATE_STEP, *P.RATE_PERIOD)
+    stored = spark.read.parquet(stored_rollups(spark, sf_dir)).where("metric = 'events_value_total'")
+    tasks = tasks_for(stored.count())
+    rates = rate_from_rollups(merged_rollups(stored, tasks=tasks), ROLLUP_STEP, P.RATE_RANGE, P.RATE_STEP, *P.RATE_PERIOD, tasks=tasks)
     return sum_by(rates, ["namespace"]).select("t", "namespace", "increase", "rate")
 
 
@@ -101,7 +104,7 @@ def series_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def matched_rate_by_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``matched_rate`` with the matchers on the dictionary and the samples read by id."""
     path = stored_series(spark, sf_dir)
-    rates = counter_rate(read_matched(spark, path, MATCHERS), P.RATE_RANGE, P.RATE_STEP, *P.RATE_PERIOD, series=["series_id"])
+    rates = counter_rate(read_matched(spark, path, MATCHERS), P.RATE_RANGE, P.RATE_STEP, *P.RATE_PERIOD, series=["series_id"], tasks=P.sample_tasks(spark, sf_dir))
     labelled = with_labels(rates, read_series(spark, path, MATCHERS), ["namespace"])
     return sum_by(labelled, ["namespace"]).select("t", "namespace", "increase", "rate")
 
