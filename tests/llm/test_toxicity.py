@@ -133,3 +133,20 @@ def test_sample_is_bounded_and_keeps_small_classes(spark):
     got = sample(docs.union(docs), labels.union(labels), rows=300).groupBy("toxic").count().collect()
     n = {r["toxic"]: r["count"] for r in got}
     assert n[1] == 100 and abs(n[0] - 600) < 120
+
+
+def test_all_labelled_rows_train(spark, monkeypatch):
+    """No bound on the rows: every labelled one is in some shard, whole, and moves the weights; repeated rows count once."""
+    from tidemark.llm import toxicity as module
+
+    monkeypatch.setattr(module, "SHARD_ROWS", 3000)
+    docs = spark.range(14000).select(F.col("id").alias("doc_id"), F.concat(F.repeat(F.lit("word "), 600), F.lit("text "), "id").alias("text"), F.lit("en").alias("lang"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 40 == 0).cast("int").alias("toxic"))
+    got = module.shards_of(docs.union(docs.limit(50)), labels.union(labels)).selectExpr("ids", "toxic", "transform(rows, r -> octet_length(r)) AS size").collect()
+    assert len(got) == 5 and sorted(i for r in got for i in r["ids"]) == list(range(14000))
+    assert {n for r in got for n in r["size"]} == {602 * 6} and sum(sum(r["toxic"]) for r in got) == 350
+
+
+def test_cut_of_counted_cases():
+    z, y, n = np.array([0, 1, 1, 2.0]), np.array([0, 0, 1, 1]), np.array([5.0, 1, 4, 6])
+    assert best_cut(z, y, n) == best_cut(np.repeat(z, n.astype(int)), np.repeat(y, n.astype(int))) == 0.5
