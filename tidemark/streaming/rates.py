@@ -34,9 +34,16 @@ from tidemark.streaming.wiring import _start_update
 def _increments(range_us: int, step_us: int, scale: int):
     """The state function: one series' samples of one trigger -> increments."""
 
+    unit = Decimal(1).scaleb(-scale)
+
     def update(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(frames)).sort_values(["us", "value"], kind="stable")
-        at, value = rows["us"].to_numpy(np.int64), rows["value"].to_numpy(object)
+        # numpy throughout: most series have few samples per trigger, so the cost is what a call takes
+        parts = [(f["us"].to_numpy(np.int64), f["value"].to_numpy(object)) for f in frames]
+        at, value = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(at, kind="stable")
+        if (np.diff(at[order]) == 0).any():
+            order = sorted(range(len(at)), key=lambda i: (at[i], value[i]))
+        at, value = at[order], value[order]
         late = 0
         if state.exists:
             last_us, last = state.get
@@ -47,20 +54,21 @@ def _increments(range_us: int, step_us: int, scale: int):
         if len(at):
             state.update((int(at[-1]), str(value[-1])))
         now, before = value[1:], value[:-1]
-        out = pd.DataFrame({
-            "lo": -(-at[1:] // step_us),
-            "hi": -(-(at[:-1] + range_us) // step_us) - 1,
-            "delta": np.where(now >= before, now - before, now) if len(now) else np.zeros(0, object),
-        })
-        out = out[out["lo"] <= out["hi"]].groupby(["lo", "hi"], as_index=False)["delta"].sum()
-        out["late"] = 0
-        if late:
-            out.loc[len(out)] = [None, None, None, late]
-        out["delta"] = [None if x is None or x != x else Decimal(x).quantize(Decimal(1).scaleb(-scale)) for x in out["delta"]]
-        for name, label in zip(SERIES, key, strict=True):
-            out[name] = label
-        if len(out):
-            yield out[[*SERIES, "lo", "hi", "delta", "late"]].astype({"lo": "Int64", "hi": "Int64", "late": "int64"})
+        lo, hi = -(-at[1:] // step_us), -(-(at[:-1] + range_us) // step_us) - 1
+        delta = np.where(now >= before, now - before, now) if len(now) else np.zeros(0, object)
+        counts = lo <= hi
+        lo, hi, delta = lo[counts], hi[counts], delta[counts]
+        if not len(lo) and not late:
+            return
+        # both ends grow with time: equal ones are neighbours
+        head = np.flatnonzero(np.append(True, (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]))[: len(lo)])
+        total = np.add.reduceat(delta, head) if len(head) else delta
+        none = [None] * (late > 0)
+        out = {name: [label] * (len(head) + len(none)) for name, label in zip(SERIES, key, strict=True)}
+        out["lo"], out["hi"] = (pd.array([*x[head].tolist(), *none], "Int64") if none else x[head] for x in (lo, hi))
+        out["delta"] = [*(x.quantize(unit) for x in total), *none]
+        out["late"] = np.array([0] * len(head) + [late] * len(none), np.int64)
+        yield pd.DataFrame(out)
 
     return update
 
