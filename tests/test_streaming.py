@@ -8,6 +8,7 @@ import os
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 from tidemark.operators.windows import window_mean
 from tidemark.schemas import RAW_RECORD
@@ -208,3 +209,35 @@ def test_rocksdb_state_store(spark, scratch):
     assert got == [[(at("10:00:00"), 10.0)], [(at("10:00:00"), 15.0)]]
     suffixes = {f.rsplit(".", 1)[-1] for _, _, fs in os.walk(f"{scratch}/ckpt/state") for f in fs}
     assert "sst" in suffixes  # state kept in RocksDB files
+
+
+def test_arrivals_are_dealt_in_proportion_to_their_rows(spark, scratch, monkeypatch):
+    """The events lie in one split of one file; each arrival is still encoded, written and read by several tasks."""
+    from tidemark.plans import derived as P
+    from tidemark.plans import streaming_queries as Q
+
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, start + dt.timedelta(minutes=i), i % 7, "view", float(i % 90), json.dumps({"k": i % 100})) for i in range(400)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string")
+    events.coalesce(1).write.parquet(f"{scratch}/events.parquet")
+    monkeypatch.setattr(Q, "MESSAGES_PER_TASK", 25)
+    paths = Q.run_stream(spark, scratch)
+    raw = spark.read.parquet(paths["raw"]).select("offset", F.input_file_name().alias("file"))
+    per_file = {r["file"]: r["n"] for r in raw.groupBy("file").agg(F.count("*").alias("n")).collect()}
+    assert len(per_file) == 16 and max(per_file.values()) <= 50
+    assert sorted(r[0] for r in raw.select("offset").collect()) == sorted(r["event_id"] for r in P.accepted(spark, scratch).collect())
+    got = {tuple(r) for r in Q.stream_window_mean(spark, scratch).select("sensor_id", "timestamp").collect()}
+    assert got == {tuple(r) for r in P.window_means(spark, scratch, "1 day").select("sensor_id", "timestamp").collect()}
+
+
+def test_envelopes_keep_the_text_of_those_that_do_not_decode(spark):
+    from tidemark.operators.codec import encode_envelope
+    from tidemark.streaming.wiring import _decoded, split_envelopes
+
+    means = spark.createDataFrame([("a", 0, 1.5, 2.5), ("b", 30000, 3.5, 4.5)], "sensor_id string, timestamp long, temperature double, humidity double")
+    bad = spark.createDataFrame([("not json",)], "value string")
+    stored = encode_envelope(means).union(bad).withColumn("batch_id", F.lit(0).cast("long"))
+    assert [r["raw_value"] for r in _decoded(stored).orderBy("raw_value").collect()] == [None, None, "not json"]
+    good, dead = split_envelopes(stored)
+    assert sorted(r["sensor_id"] for r in good.collect()) == ["a", "b"]
+    assert [r["raw_value"] for r in dead.collect()] == ["not json"]

@@ -56,14 +56,16 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _TABLES[key]
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def readings(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
+    """With ``tasks`` the events are dealt out evenly first: a part of the table may lie in one split of its file."""
     ensure_utc(spark)
-    return readings_from_events(driver_table(spark, sf_dir, "events"))
+    events = driver_table(spark, sf_dir, "events")
+    return readings_from_events(events.repartition(tasks) if tasks else events)
 
 
-def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+def accepted(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
     """Readings the ingest endpoint accepts (what reaches the raw topic)."""
-    checked = validate(readings(spark, sf_dir), as_of=F.col("timestamp"))
+    checked = validate(readings(spark, sf_dir, tasks), as_of=F.col("timestamp"))
     return checked.where("accepted").select("event_id", "sensor_id", "timestamp", "temperature", "humidity")
 
 

@@ -37,6 +37,16 @@ from tidemark.streaming.wiring import (
 
 CHUNKS = 4
 STATE_PARTITIONS = 8  # fixed by a checkpoint for its life, so no function of this machine
+MESSAGES_PER_TASK = 50_000  # of one arrival; a message is encoded, written, read and decoded in about 25 microseconds
+
+
+def _accepted(spark: SparkSession, sf_dir: str, chunks: int) -> DataFrame:
+    """The accepted readings, each of ``chunks`` arrivals in tasks (so files of the topic) in proportion to its rows.
+
+    An arrival is a range of offsets, so a few row groups of the table: as they lie, one task would work through it."""
+    rows = P.driver_table(spark, sf_dir, "events").count()  # from the file footers
+    tasks = -(-rows // (chunks * MESSAGES_PER_TASK))
+    return P.accepted(spark, sf_dir, tasks if tasks > 1 else None)
 
 
 def _arrivals(readings: DataFrame, chunks: int) -> list[tuple[int, int]]:
@@ -83,12 +93,8 @@ def _once(spark: SparkSession, sf_dir: str, name: str, run) -> dict[str, str]:
 def _run_stream(spark: SparkSession, sf_dir: str, defects: bool) -> dict[str, str]:
     root = scratch_path(spark, "stream")
     paths = {p: f"{root}/{p}" for p in ("raw", "envelopes", "table", "dead", "rejects", "checkpoint", "reject-checkpoint")}
-    readings = P.accepted(spark, sf_dir)
-    messages = raw_records(
-        encode_messages(readings, carry=["event_id", "timestamp"]).withColumnRenamed("timestamp", "_ts"),
-        offset="event_id",
-        ts="_ts",
-    )
+    readings = _accepted(spark, sf_dir, CHUNKS)
+    messages = _raw_messages(readings)
     if defects:
         messages = _defective(messages)
     for lo, hi in _arrivals(readings, CHUNKS):
@@ -113,16 +119,17 @@ def run_summary_stream(spark: SparkSession, sf_dir: str, closing: tuple[str, ...
     return _once(spark, sf_dir, f"summaries-{closing}", lambda: _run_summary_stream(spark, sf_dir, closing))
 
 
-def _raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = encode_messages(P.accepted(spark, sf_dir), carry=["event_id", "timestamp"]).withColumnRenamed("timestamp", "_ts")
+def _raw_messages(readings: DataFrame) -> DataFrame:
+    encoded = encode_messages(readings, carry=["event_id", "timestamp"]).withColumnRenamed("timestamp", "_ts")
     return raw_records(encoded, offset="event_id", ts="_ts")
 
 
 def _run_summary_stream(spark: SparkSession, sf_dir: str, closing: tuple[str, ...]) -> dict[str, str]:
     root = scratch_path(spark, "summary-stream")
     paths = {p: f"{root}/{p}" for p in ("raw", "table", "summaries", "dead", "checkpoint")}
-    messages = _raw_messages(spark, sf_dir)
-    for number, (lo, hi) in enumerate(_arrivals(P.accepted(spark, sf_dir), CHUNKS)):
+    readings = _accepted(spark, sf_dir, CHUNKS)
+    messages = _raw_messages(readings)
+    for number, (lo, hi) in enumerate(_arrivals(readings, CHUNKS)):
         messages.where(F.col("offset").between(lo, hi - 1)).write.mode("append").parquet(paths["raw"])
         query = start_table_sink(
             window_stream(read_raw_files(spark, paths["raw"])), paths["table"], paths["dead"], paths["checkpoint"], available_now=True,
@@ -148,7 +155,7 @@ def run_limited_stream(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 def _run_limited_stream(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     root = scratch_path(spark, "limited-stream")
     paths = {p: f"{root}/{p}" for p in ("raw", "table", "dead", "checkpoint")}
-    _raw_messages(spark, sf_dir).repartitionByRange(2 * CHUNKS, "offset").write.parquet(paths["raw"])
+    _raw_messages(P.accepted(spark, sf_dir)).repartitionByRange(2 * CHUNKS, "offset").write.parquet(paths["raw"])
     raw = read_raw_files(spark, paths["raw"], max_files_per_trigger=LIMITED_FILES)
     query = start_table_sink(
         window_stream(raw, "1 day", watermark="60 days"), paths["table"], paths["dead"], paths["checkpoint"], trigger=LIMITED_TRIGGER,
@@ -178,9 +185,8 @@ def run_late_stream(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 def _run_late_stream(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     root = scratch_path(spark, "late-stream")
     paths = {p: f"{root}/{p}" for p in ("raw", "envelopes", "table", "dead", "messages", "accounts", "checkpoint")}
-    readings = P.accepted(spark, sf_dir)
-    encoded = encode_messages(readings, carry=["event_id", "timestamp"]).withColumnRenamed("timestamp", "_ts")
-    messages = _defective(raw_records(encoded, offset="event_id", ts="_ts"))
+    readings = _accepted(spark, sf_dir, LATE_CHUNKS)
+    messages = _defective(_raw_messages(readings))
     ranges = _arrivals(readings, LATE_CHUNKS)
     if not ranges:
         return paths
@@ -284,8 +290,9 @@ def run_archive_stream(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 def _run_archive_stream(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     root = scratch_path(spark, "archive-stream")
     paths = {p: f"{root}/{p}" for p in ("raw", "archive", "checkpoint")}
-    messages = _raw_messages(spark, sf_dir)
-    for lo, hi in _arrivals(P.accepted(spark, sf_dir), CHUNKS):
+    readings = _accepted(spark, sf_dir, CHUNKS)
+    messages = _raw_messages(readings)
+    for lo, hi in _arrivals(readings, CHUNKS):
         messages.where(F.col("offset").between(lo, hi - 1)).write.mode("append").parquet(paths["raw"])
         means = window_stream(read_raw_files(spark, paths["raw"]), "1 day")
         run_until_stopped(start_archive(means, paths["archive"], paths["checkpoint"], available_now=True))

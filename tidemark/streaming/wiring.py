@@ -101,12 +101,23 @@ def _store_means(
 ) -> None:
     number = F.lit(batch_id).cast("long").alias("batch_id")
     created = as_of if as_of is not None else F.current_timestamp()
-    undecoded, numbered = None, means.select("*", number)
     if envelope_path is not None:
         write_batch_partition(encode_envelope(means).select("*", number), envelope_path)
         folder = f"{envelope_path.rstrip('/')}/batch_id={batch_id}"  # this batch's folder alone, however many there are
         if exists(means.sparkSession, folder):
-            numbered, undecoded = split_envelopes(means.sparkSession.read.parquet(folder).select("*", number))
+            # decoded once: for the ranges of the rows, the rows and the dead letters
+            decoded = _decoded(means.sparkSession.read.parquet(folder).select("*", number)).persist()
+            try:
+                _store_rows(*_split_decoded(decoded), batch_id, table_path, dead_path, created, summary_path)
+            finally:
+                decoded.unpersist()
+            return
+    _store_rows(means.select("*", number), None, batch_id, table_path, dead_path, created, summary_path)
+
+
+def _store_rows(
+    numbered: DataFrame, undecoded: DataFrame | None, batch_id: int, table_path: str, dead_path: str, created, summary_path: str | None
+) -> None:
     labelled = conform_table(numbered, created, carry=["batch_id"])
     good, dead = split_dead_letters(labelled, keep=[*TABLE_COLUMNS, "batch_id"])
     if undecoded is not None:
@@ -213,7 +224,16 @@ def start_accounted_sink(
 
 def split_envelopes(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Envelopes (value, batch_id) -> (means, dead letters of those that do not decode)."""
-    decoded = decode_envelope(stored, carry=["batch_id"])
+    return _split_decoded(_decoded(stored))
+
+
+def _decoded(stored: DataFrame) -> DataFrame:
+    """Envelopes with their fields; the text stays of those that do not decode."""
+    decoded = decode_envelope(stored, carry=["batch_id"]).drop("schema_name")
+    return decoded.withColumn("raw_value", F.when(~F.col("decoded"), F.col("raw_value")))
+
+
+def _split_decoded(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     means = decoded.where("decoded").select(*[f.name for f in S.WINDOW_MEAN.fields], "batch_id")
     dead = decoded.where(~F.col("decoded")).select("batch_id", "sensor_id", "timestamp", "raw_value", "reason")
     return means, dead
