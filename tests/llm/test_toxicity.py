@@ -150,3 +150,22 @@ def test_all_labelled_rows_train(spark, monkeypatch):
 def test_cut_of_counted_cases():
     z, y, n = np.array([0, 1, 1, 2.0]), np.array([0, 0, 1, 1]), np.array([5.0, 1, 4, 6])
     assert best_cut(z, y, n) == best_cut(np.repeat(z, n.astype(int)), np.repeat(y, n.astype(int))) == 0.5
+
+
+def test_training_leaves_no_shuffle_files(spark):
+    """Each round's weights are shuffled once per shard; they went with the JVM's garbage only, so all rounds lay on disk."""
+    import time
+
+    from tidemark.llm.toxicity import train
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles())}
+    docs, labels = corpus(200)
+    df, marked, before, mode = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS), files(), spark.conf.get(key)
+    net, _ = train(df, marked)
+    left = lambda: [f for f in files() - before if f.startswith("shuffle_")]
+    for _ in range(50):
+        if not left():
+            break
+        time.sleep(0.1)
+    assert net is not None and not left() and spark.conf.get(key) == mode

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.langid import held_out
-from tidemark.llm.shared import scratch, sf_table, stash
+from tidemark.llm.shared import brief_shuffles, scratch, sf_table, stash
 from tidemark.llm.textkit import mix, prefix_hash, slices, span_hash, words
 
 BUCKETS, DIM, FILTERS, WIDTHS, PREFIXES = 1 << 16, 16, 8, (1, 2, 3), (4, 5)
@@ -391,7 +391,7 @@ def shards_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame) -> tuple[WordNet | None, float]:
     """The fitted and calibrated network, and the share of label 1; no network without both classes."""
     spark = docs.sparkSession
-    with scratch(spark, "toxicity"):
+    with scratch(spark, "toxicity"), brief_shuffles(spark):
         table = stash(shards_of(docs, labels), "shards")
         numbers = table.mapInArrow(_numbers, "kept boolean, toxic int, full boolean, lang string, n long")
         n = {(r["kept"], r["toxic"], r["full"]): r["n"] for r in numbers.groupBy("kept", "toxic", "full").agg(F.sum("n").alias("n")).collect()}
