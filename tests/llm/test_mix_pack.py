@@ -215,3 +215,40 @@ def test_sequences_are_rebuilt_from_packed_ids(spark):
             assert offset == at
             at += length
         assert at <= 50
+
+
+def test_new_words_are_tokenised_a_few_at_a_time(monkeypatch):
+    """The same ids, and no call with more words than ``ENCODE_WORDS``."""
+    import public_tokenizers
+
+    from tidemark.llm import packing
+    from tidemark.llm.textkit import slices
+
+    import pyarrow as pa
+
+    column = pa.array([" ".join(f"wörd{i * j}x" for j in range(30)) for i in range(20)] + ["", None])
+    ((_, _, buf, off),) = slices(column)
+    known = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    want = [known.tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for t in column.to_pylist()]
+    sizes, inner = [], known.tokenizer
+
+    class Watched:
+        def encode_batch_fast(self, texts, **kw):
+            sizes.append(len(texts))
+            return inner.encode_batch_fast(texts, **kw)
+
+    known.tokenizer = Watched()
+    monkeypatch.setattr(packing, "ENCODE_WORDS", 16)
+    ids, limit = packing.token_ids(known, buf, off, 1)
+    assert max(sizes) <= 16 < sum(sizes)
+    assert [ids[a:b].tolist() for a, b in zip(limit[:-1], limit[1:], strict=True)] == want
+
+
+def test_workers_give_memory_back_after_a_task():
+    from tidemark.llm.shared import lean
+
+    import pyarrow as pa
+
+    work = lean(lambda batches: (b.slice(1) for b in batches))
+    got = list(work([pa.record_batch({"x": [1, 2, 3]})]))
+    assert [b.to_pydict() for b in got] == [{"x": [2, 3]}]

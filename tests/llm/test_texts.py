@@ -377,3 +377,22 @@ def test_language_sample_by_slices_is_the_least_hashes(spark):
     assert {k: sorted(v)[:100] for k, v in want.items()} == {k: sorted(v)[:100] for k, v in got.items()}
     assert len(got["cc"]) == 100 and len(got["bb"]) == 5 and len(got["aa"]) < 3000
     assert _least(df.limit(0).select("lang", "hash_"), 100).count() == 0
+
+
+def test_kept_rows_are_judged_a_part_of_a_batch_at_a_time(monkeypatch):
+    """Each part is as if it were a batch of its own; no row is lost or moved."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from tidemark.llm import langid
+
+    net = langid.ByteNet(["a", "b"])
+    texts = [None if i % 7 == 3 else f"text {i} äö" * (i % 5) for i in range(50)]
+    batch = pa.record_batch({"doc_id": pa.array(range(50), pa.int64()), "text": pa.array(texts, pa.string())})
+    state = SimpleNamespace(value=net.state())
+    whole = pa.Table.from_batches(langid._keep(state, 0.0)([batch])).to_pydict()
+    monkeypatch.setattr(langid, "KEEP_ROWS", 8)
+    parts = list(langid._keep(state, 0.0)([batch]))
+    assert len(parts) == 7 and max(len(p) for p in parts) <= 8
+    assert pa.Table.from_batches(parts).to_pydict() == whole and whole["doc_id"] == [i for i, t in enumerate(texts) if t]

@@ -20,12 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import sf_table
+from tidemark.llm.shared import lean, sf_table
 from tidemark.llm.textkit import LOWER, slices
 
 WINDOW, FILTERS, WIDTHS, SNIPPET = 192, 8, (2, 3, 4), 240
 ROWS_PER_LANG, MAX_ROWS, EPOCHS, MIN_STEPS, BATCH = 1000, 12000, 5, 300, 128
 SLICE_BITS = 10
+KEEP_ROWS = 1024  # rows of a batch that are judged and copied at once
 
 
 def windows(buf: np.ndarray, off: np.ndarray, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -222,8 +223,9 @@ def _keep(state, least: float):
     def keep(batches):
         net = ByteNet.of(state.value)
         for batch in batches:
-            langs, scores = _labels(net, batch["text"])
-            yield batch.filter(pa.array((np.array(langs, object) != "und") & (scores >= least), pa.bool_()))
+            for part in (batch.slice(a, KEEP_ROWS) for a in range(0, len(batch), KEEP_ROWS)):
+                langs, scores = _labels(net, part["text"])
+                yield part.filter(pa.array((np.array(langs, object) != "und") & (scores >= least), pa.bool_()))
 
     return keep
 
@@ -236,7 +238,7 @@ def keep_identified(docs: DataFrame, least: float = 0.3) -> DataFrame:
     net = train(_training(docs))
     if not net.langs:
         return docs
-    return docs.mapInArrow(_keep(docs.sparkSession.sparkContext.broadcast(net.state()), least), docs.schema)
+    return docs.mapInArrow(lean(_keep(docs.sparkSession.sparkContext.broadcast(net.state()), least)), docs.schema)
 
 
 def _training(docs: DataFrame) -> DataFrame:

@@ -31,10 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import sf_table, stash
+from tidemark.llm.shared import lean, sf_table, stash
 from tidemark.llm.textkit import prefix_hash, slices, span_hash, words
 
-LENGTH, END_ID, SHARD_PIECES, CACHE_WORDS = 4096, 1, 4096, 1_000_000
+LENGTH, END_ID, SHARD_PIECES, CACHE_WORDS, ENCODE_WORDS = 4096, 1, 4096, 1_000_000, 256
 
 def _worker_state() -> dict:
     """A dictionary that lives as long as its Python worker, over its tasks."""
@@ -73,7 +73,9 @@ class WordIds:
         if len(new):
             raw = buf.tobytes()
             texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)]
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            # a few words at a time: an encoding takes about 1 KB until its ids are taken
+            some = (texts[a : a + ENCODE_WORDS] for a in range(0, len(texts), ENCODE_WORDS))
+            got = [e.ids for part in some for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             count[new] = np.fromiter(map(len, got), np.int64, len(got))
             at[new] = len(ids) + np.cumsum(count[new]) - count[new]
             ids = np.concatenate([ids, np.array(list(chain.from_iterable(got)), np.uint32)])
@@ -141,7 +143,7 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_I
     tells copies of one row apart.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *([F.monotonically_increasing_id().alias("row_id")] if keep_ids else []))
-    return docs.mapInArrow(_pieces(path, length, end_id, keep_ids), PIECES_SQL + (IDS_SQL if keep_ids else ""))
+    return docs.mapInArrow(lean(_pieces(path, length, end_id, keep_ids)), PIECES_SQL + (IDS_SQL if keep_ids else ""))
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
