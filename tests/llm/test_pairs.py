@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.embeddings import near_duplicates
-from tidemark.llm.jaccard import jaccard_classes, keep_one
+from tidemark.llm.jaccard import jaccard_classes, keep_one, shared_postings
 from tidemark.llm.topk import build_tree, scaled, top_k
 
 
@@ -185,3 +185,54 @@ def test_overlapping_families_and_a_common_line(spark):
     want = {i: top(i) for i in ids}
     got = jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 5, 80, 100).collect()
     assert {r.doc_id: r.component for r in got} == want and len(set(want.values())) < len(want)
+
+
+def test_postings_are_shuffled_once(spark):
+    """Joined with the counts of their tokens, all postings were shuffled twice where the counts are too many to broadcast."""
+    rows = [(t, r, 3, 1) for r in range(40) for t in (r, 1000 + r // 2, -7)] + [(2000, 9, 3, 1)]
+    df = spark.createDataFrame(rows, "token long, rep long, n long, match int")
+    mode = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = shared_postings(df)
+        got, plan = sorted(map(tuple, found.collect())), found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", mode)
+    assert got == sorted(r for r in rows if r[0] >= 1000 and r[0] < 2000 or r[0] == -7)
+    assert len(re.findall(r"Exchange hashpartitioning", plan.split("Initial Plan")[0])) == 1
+
+
+def test_jaccard_join_leaves_no_shuffle_files_and_feeds_small_batches(spark, monkeypatch):
+    """The shuffle files of all rounds lay on disk together, and workers got 10 000 whole texts at a time."""
+    import time
+
+    from tidemark.llm import jaccard
+
+    most, kept = spark.sparkContext.accumulator(0), jaccard._whole_sets
+
+    def watched(bits, width):
+        work = kept(bits, width)
+
+        def sets(batches):
+            def seen():
+                for b in batches:
+                    most.add(int(len(b) > 1024))
+                    yield b
+
+            yield from work(seen())
+
+        return sets
+
+    monkeypatch.setattr(jaccard, "_whole_sets", watched)
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles())}
+    keys = ["spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.execution.arrow.maxRecordsPerBatch"]
+    texts = [" ".join(f"w{(i // 2) * 31 + k}" for k in range(30)) + f" end{i}" for i in range(6000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    before, modes = files(), [spark.conf.get(k) for k in keys]
+    assert {r.doc_id: r.component for r in jaccard_classes(docs, 3, 90, 100).collect()} == {i: i // 2 * 2 for i in range(6000)}
+    left = lambda: [f for f in files() - before if f.startswith("shuffle_")]
+    for _ in range(50):
+        if not left():
+            break
+        time.sleep(0.1)
+    assert not left() and not most.value and [spark.conf.get(k) for k in keys] == modes

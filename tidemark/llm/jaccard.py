@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import scratch, sf_table, stash
+from tidemark.llm.shared import brief_shuffles, lean, scratch, sf_table, small_batches, stash
 from tidemark.llm.textkit import mix, shingles, slices, word_hashes
 
 SLOTS, RANGE, MAX_MATCH, VERIFY_COST = 1 << 20, 1 << 14, 8, 20.0
@@ -72,7 +72,7 @@ def _sum_ranges(table: pa.Table) -> pa.Table:
 def shingle_frequencies(docs: DataFrame, width: int) -> np.ndarray:
     """Counts of all shingles in ``SLOTS`` hashed slots: 8 MB whatever the input."""
     kind = "range int, counts binary"
-    parts = docs.select("text").mapInArrow(_slot_counts(width), kind).groupBy("range").applyInArrow(_sum_ranges, kind)
+    parts = docs.select("text").mapInArrow(lean(_slot_counts(width)), kind).groupBy("range").applyInArrow(_sum_ranges, kind)
     out = np.zeros((SLOTS // RANGE, RANGE), np.int64)
     for r in parts.collect():  # at most SLOTS / RANGE rows
         out[r["range"]] = np.frombuffer(r["counts"], np.int64)
@@ -160,25 +160,34 @@ def _verify(num: int, den: int):
     return verify
 
 
+def shared_postings(postings: DataFrame) -> DataFrame:
+    """The rows of ``postings`` whose token another row has too. All are shuffled once, at any size; joined with
+    the counts of their tokens they went twice wherever the counts were too many to broadcast."""
+    return postings.withColumn("c", F.expr("count(*) OVER (PARTITION BY token)")).where("c > 1").drop("c")
+
+
 def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component) per row of ``docs`` (doc_id, text).
 
     Documents link when ``den * |intersection| >= num * |union|`` of their
     sets of ``width``-word shingles.
     """
-    with scratch(docs.sparkSession, "jaccard"):
+    spark = docs.sparkSession
+    with scratch(spark, "jaccard"), brief_shuffles(spark), small_batches(spark):
         docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        slots = docs.sparkSession.sparkContext.broadcast(shingle_frequencies(docs, width))
-        sets = stash(docs.mapInArrow(_sets(slots, width, num, den), SETS_SQL), "sets")
+        slots = spark.sparkContext.broadcast(shingle_frequencies(docs, width))
         same = ["d1", "d2"]
-        # equal sets have equal prefixes, so any row of a class stands for it
-        classes = sets.where("n > 0").groupBy(same).agg(F.min("doc_id").alias("rep"), *(F.any_value(c).alias(c) for c in ("n", "match", "sig", "prefix")))
-        classes = stash(classes.where("rep IS NOT NULL"), "classes")
+        with scratch(spark, "prefixes"):
+            whole = stash(docs.mapInArrow(lean(_sets(slots, width, num, den)), SETS_SQL), "sets")
+            # equal sets have equal prefixes, so any row of a class stands for it
+            kinds = whole.where("n > 0").groupBy(same).agg(F.min("doc_id").alias("rep"), *(F.any_value(c).alias(c) for c in ("n", "match", "sig", "prefix")))
+            kinds = stash(kinds.where("rep IS NOT NULL"), "classes")
+            postings = shared_postings(kinds.select(F.explode("prefix").alias("token"), "rep", "n", "match"))
+            postings = stash(postings, "postings", keep=True)
+            # the prefixes, most of what was stored, go here
+            classes = stash(kinds.drop("prefix"), "classes", keep=True)
+            sets = stash(whole.select("doc_id", "n", *same), "sets", keep=True)
         info = classes.select("rep", "n", "match", "sig")
-
-        postings = classes.select(F.explode("prefix").alias("token"), "rep", "n", "match")
-        lists = postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-        postings = stash(postings.join(lists, "token"), "postings")
         size = postings.count()
 
         def possible(pairs: DataFrame) -> DataFrame:
@@ -194,12 +203,12 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
         def verified(pairs: DataFrame, name: str) -> DataFrame:
             # whole sets are made for documents of a pair only (and a few others that the bits let through)
             ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
-            bits = docs.sparkSession.sparkContext.broadcast(id_bits(ids))
-            with scratch(docs.sparkSession, "verify"):
-                items = stash(docs.where("doc_id IS NOT NULL").mapInArrow(_whole_sets(bits, width), "doc_id long, items binary"), "items")
+            bits = spark.sparkContext.broadcast(id_bits(ids))
+            with scratch(spark, "verify"):
+                items = stash(docs.where("doc_id IS NOT NULL").mapInArrow(lean(_whole_sets(bits, width)), "doc_id long, items binary"), "items")
                 x = items.withColumnsRenamed({"doc_id": "a", "items": "x"})
                 y = items.withColumnsRenamed({"doc_id": "b", "items": "y"})
-                return stash(pairs.join(y, "b").join(x, "a").mapInArrow(_verify(num, den), "a long, b long").distinct(), name, keep=True)
+                return stash(pairs.join(y, "b").join(x, "a").mapInArrow(lean(_verify(num, den)), "a long, b long").distinct(), name, keep=True)
 
         def pivot_pairs(members: DataFrame, turn: int) -> DataFrame:
             """Each class outside its list's largest component with one member of that component; lists of a group draw alike."""
