@@ -22,7 +22,7 @@ from tidemark.llm.jaccard import keep_one
 from tidemark.llm.langid import keep_identified
 from tidemark.llm.mixing import apply_mix
 from tidemark.llm.packing import pack, pieces
-from tidemark.llm.shared import scratch, sf_table, stash
+from tidemark.llm.shared import scratch, sf_table, small_batches, stash
 from tidemark.llm.suffixes import cut_repeats
 
 REPEAT_BYTES = 200
@@ -47,7 +47,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return pack(stash(pieces(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=True), "pieces"))
+    with small_batches(spark):
+        found = stash(pieces(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=True), "pieces")
+    return pack(found)
 
 
 STAGES = [
