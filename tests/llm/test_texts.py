@@ -396,3 +396,29 @@ def test_kept_rows_are_judged_a_part_of_a_batch_at_a_time(monkeypatch):
     parts = list(langid._keep(state, 0.0)([batch]))
     assert len(parts) == 7 and max(len(p) for p in parts) <= 8
     assert pa.Table.from_batches(parts).to_pydict() == whole and whole["doc_id"] == [i for i, t in enumerate(texts) if t]
+
+
+def test_suffix_workers_get_small_batches(spark, monkeypatch):
+    """Workers got 10 000 whole texts at a time."""
+    most, kept = spark.sparkContext.accumulator(0), suffixes._anchor_rows
+
+    def watched(width):
+        work = kept(width)
+
+        def rows(batches):
+            def seen():
+                for b in batches:
+                    most.add(int(len(b) > 1024))
+                    yield b
+
+            yield from work(seen())
+
+        return rows
+
+    monkeypatch.setattr(suffixes, "_anchor_rows", watched)
+    texts = [" ".join(f"{i // 2 * 31 + k}" for k in range(40)) + f" end{i}" for i in range(3000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    mode = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = suffix_dedup(docs, 100).collect()
+    assert len(got) == 3000 and all(r.n_removed >= 100 for r in got)
+    assert not most.value and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == mode
