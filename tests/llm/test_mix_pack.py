@@ -244,6 +244,34 @@ def test_new_words_are_tokenised_a_few_at_a_time(monkeypatch):
     assert [ids[a:b].tolist() for a, b in zip(limit[:-1], limit[1:], strict=True)] == want
 
 
+def test_word_ids_stay_in_place_and_slices_are_small(monkeypatch):
+    """Each slice copied the ids of all kept words, and slices were of 1 MB with arrays of eight bytes a byte."""
+    import public_tokenizers
+
+    from tidemark.llm import packing
+
+    import pyarrow as pa
+
+    most, kept = [], packing.token_ids
+
+    def watched(known, buf, off, end_id):
+        most.append((len(buf), known.ids.ctypes.data, known.held))
+        return kept(known, buf, off, end_id)
+
+    monkeypatch.setattr(packing, "token_ids", watched)
+    monkeypatch.setattr(packing, "_worker_state", dict)
+    monkeypatch.setattr(packing, "CACHE_WORDS", 3000)
+    texts = [" ".join(f"word{j}x" for j in range(i, i + 400)) for i in range(300)] + [None, ""] + ["often " * 60000]
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts))), "text": pa.array(texts), "row_id": pa.array(range(len(texts)))})
+    path = public_tokenizers.path("word_bpe_49k.json")
+    got = pa.Table.from_batches(packing._pieces(path, 10**6, 1, True)([batch] * 2)).to_pylist()
+    encode = packing.WordIds(path).tokenizer.encode
+    want = [encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+    assert [np.frombuffer(r["ids"], "<u4").tolist() for r in got] == want * 2
+    assert max(n for n, _, _ in most) <= max(packing.PART, len(texts[-1]))
+    assert sum(n > packing.PART for n, _, _ in most) == 2 and len({at for _, at, _ in most}) < len(most)
+
+
 def test_workers_give_memory_back_after_a_task():
     from tidemark.llm.shared import lean
 

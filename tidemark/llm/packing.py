@@ -31,10 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import lean, sf_table, stash
+from tidemark.llm.shared import give_back, lean, sf_table, stash
 from tidemark.llm.textkit import prefix_hash, slices, span_hash, words
 
 LENGTH, END_ID, SHARD_PIECES, CACHE_WORDS, ENCODE_WORDS = 4096, 1, 4096, 1_000_000, 256
+PART = 1 << 18  # some arrays of eight bytes a byte of text are held at a time
+
 
 def _worker_state() -> dict:
     """A dictionary that lives as long as its Python worker, over its tasks."""
@@ -53,7 +55,8 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.keys = np.zeros(0, np.uint64)
-        self.at, self.count, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        # ``held`` ids belong to kept words; those behind them are of the last slice's other words
+        self.at, self.count, self.ids, self.held = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint32), 0
 
     def look_up(self, hashes: np.ndarray, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per word its place in the ids and its number of ids, and the ids; unknown words are tokenised first."""
@@ -67,7 +70,7 @@ class WordIds:
         back[order] = np.cumsum(head) - 1
         row = self._find(unique)
         new = np.flatnonzero(row < 0)
-        at, count, ids = np.zeros(len(unique), np.int64), np.zeros(len(unique), np.int64), self.ids
+        at, count = np.zeros(len(unique), np.int64), np.zeros(len(unique), np.int64)
         known = row >= 0
         at[known], count[known] = self.at[row[known]], self.count[row[known]]
         if len(new):
@@ -77,14 +80,22 @@ class WordIds:
             some = (texts[a : a + ENCODE_WORDS] for a in range(0, len(texts), ENCODE_WORDS))
             got = [e.ids for part in some for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             count[new] = np.fromiter(map(len, got), np.int64, len(got))
-            at[new] = len(ids) + np.cumsum(count[new]) - count[new]
-            ids = np.concatenate([ids, np.array(list(chain.from_iterable(got)), np.uint32)])
+            at[new] = self.held + np.cumsum(count[new]) - count[new]
+            self._append(np.fromiter(chain.from_iterable(got), np.uint32, int(count[new].sum())))
             if len(self.keys) + len(new) <= CACHE_WORDS:
                 place = np.searchsorted(self.keys, unique[new])
                 self.keys = np.insert(self.keys, place, unique[new])
                 self.at, self.count = np.insert(self.at, place, at[new]), np.insert(self.count, place, count[new])
-                self.ids = ids
-        return at[back], count[back], ids
+                self.held += int(count[new].sum())
+        return at[back], count[back], self.ids
+
+    def _append(self, ids: np.ndarray):
+        """``ids`` behind those of the kept words, in place: a copy of all of them in each slice is as large as they are."""
+        need = self.held + len(ids)
+        if need > len(self.ids):
+            kept, self.ids = self.ids, np.empty(need + (need >> 2), np.uint32)
+            self.ids[: self.held] = kept[: self.held]
+        self.ids[self.held : need] = ids
 
     def _find(self, unique: np.ndarray) -> np.ndarray:
         if not len(self.keys):
@@ -123,7 +134,7 @@ def _pieces(path: str, length: int, end_id: int, keep_ids: bool):
         for batch in batches:
             docs = batch["doc_id"].to_pylist()
             row_ids = batch["row_id"].to_pylist() if keep_ids else []
-            for first, _, buf, off in slices(batch["text"]):
+            for first, _, buf, off in slices(batch["text"], PART):
                 ids, limit = token_ids(state[path], buf, off, end_id)
                 rows = []
                 for d, (a, b) in enumerate(zip(limit[:-1].tolist(), limit[1:].tolist(), strict=True)):
@@ -132,6 +143,9 @@ def _pieces(path: str, length: int, end_id: int, keep_ids: bool):
                         row = (docs[first + d], k, x - a, min(b, x + length) - x, zlib.crc32(raw))
                         rows.append((*row, row_ids[first + d], raw) if keep_ids else row)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                del ids, limit, rows
+            # encoding threads and arrays of many sizes leave gaps behind
+            give_back()
 
     return cut
 
