@@ -202,6 +202,36 @@ def test_postings_are_shuffled_once(spark):
     assert len(re.findall(r"Exchange hashpartitioning", plan.split("Initial Plan")[0])) == 1
 
 
+def test_postings_need_a_partner_of_like_size(spark):
+    """Lists of accidental partners were kept whole, with all rows of sizes that no partner comes near."""
+    df = spark.createDataFrame([(1, 1, 100, 1), (1, 2, 90, 1), (1, 3, 80, 1), (1, 4, 9, 1), (2, 5, 50, 1), (2, 6, 50, 1), (3, 7, 10, 1), (3, 8, 20, 1)], "token long, rep long, n long, match int")
+    assert sorted(r.rep for r in shared_postings(df, 90, 100).collect()) == [1, 2, 5, 6]
+    assert sorted(r.rep for r in shared_postings(df, 80, 100).collect()) == [1, 2, 3, 5, 6]
+    assert shared_postings(df).count() == 8
+
+
+def test_settled_pivots_leave_their_lists(spark, monkeypatch):
+    """A list of two was carried on, and joined again, in each round after its one pair had been compared."""
+    from tidemark.llm import jaccard
+
+    sizes, kept = [], jaccard.stash
+
+    def watched(df, name, keep=False):
+        out = kept(df, name, keep)
+        if name == "members":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stash", watched)
+    # pairs that share half of their words, and a chain of four in which each is like the next
+    texts = [" ".join([*(f"p{i // 2}x{k}" for k in range(20)), *(f"o{i}x{k}" for k in range(20))]) for i in range(200)]
+    texts += [" ".join(f"c{k}" for k in range(6 * i, 60 + 6 * i)) for i in range(4)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component for r in jaccard_classes(docs, 3, 80, 100).collect()}
+    assert found == {i: min(i, 200) for i in range(204)}
+    assert sizes and max(sizes) == 0
+
+
 def test_jaccard_join_leaves_no_shuffle_files_and_feeds_small_batches(spark, monkeypatch):
     """The shuffle files of all rounds lay on disk together, and workers got 10 000 whole texts at a time."""
     import time

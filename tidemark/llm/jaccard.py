@@ -15,7 +15,8 @@ estimated cost from the document's shingle frequencies.
    drawn by hash (``PIVOTS`` draws per group of lists, as many times more each round); these pairs grow in line with
    the postings. Found links join classes to components. In the next round only
    classes outside a list's largest component are compared, with new members of that component,
-   until few pairs are left (in line with the postings) or the lists stop shrinking.
+   until few pairs are left (in line with the postings) or the lists stop shrinking. A pivot leaves its list, and so
+   does what no other member of the list can be similar to by size: most lists end after one round.
 4. *Remaining pairs*: per posting list, all pairs between different components
    found so far. The list's largest component is never paired with itself, so a
    group of near copies costs its size, not its square.
@@ -160,10 +161,16 @@ def _verify(num: int, den: int):
     return verify
 
 
-def shared_postings(postings: DataFrame) -> DataFrame:
-    """The rows of ``postings`` whose token another row has too. All are shuffled once, at any size; joined with
-    the counts of their tokens they went twice wherever the counts were too many to broadcast."""
-    return postings.withColumn("c", F.expr("count(*) OVER (PARTITION BY token)")).where("c > 1").drop("c")
+def shared_postings(postings: DataFrame, num: int = 0, den: int = 1) -> DataFrame:
+    """The rows of ``postings`` whose token another row has too, of a size ``n`` that leaves the similarity ``num / den`` open.
+
+    By size a row's nearest neighbours of a token are the likest, so no other row has to be looked at. All are
+    shuffled once, at any size; joined with the counts of their tokens they went twice wherever the counts were too
+    many to broadcast.
+    """
+    by_size = "OVER (PARTITION BY token ORDER BY n)"
+    near = F.expr(f"lag(n) {by_size} * {den} >= n * {num} OR n * {den} >= lead(n) {by_size} * {num}")
+    return postings.withColumn("near", near).where("near").drop("near")
 
 
 def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -182,7 +189,7 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
             # equal sets have equal prefixes, so any row of a class stands for it
             kinds = whole.where("n > 0").groupBy(same).agg(F.min("doc_id").alias("rep"), *(F.any_value(c).alias(c) for c in ("n", "match", "sig", "prefix")))
             kinds = stash(kinds.where("rep IS NOT NULL"), "classes")
-            postings = shared_postings(kinds.select(F.explode("prefix").alias("token"), "rep", "n", "match"))
+            postings = shared_postings(kinds.select(F.explode("prefix").alias("token"), "rep", "n", "match"), num, den)
             postings = stash(postings, "postings", keep=True)
             # the prefixes, most of what was stored, go here
             classes = stash(kinds.drop("prefix"), "classes", keep=True)
@@ -210,25 +217,31 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
                 y = items.withColumnsRenamed({"doc_id": "b", "items": "y"})
                 return stash(pairs.join(y, "b").join(x, "a").mapInArrow(lean(_verify(num, den)), "a long, b long").distinct(), name, keep=True)
 
-        def pivot_pairs(members: DataFrame, turn: int) -> DataFrame:
-            """Each class outside its list's largest component with one member of that component; lists of a group draw alike."""
+        def with_pivots(members: DataFrame, turn: int) -> DataFrame:
+            """``members`` with one member of their list's largest component, which itself goes: of its list it meets every
+            class of another component, so its pairs there are settled. Lists of a group draw alike."""
             draw = F.struct(F.xxhash64("rep", F.pmod("token", F.lit(PIVOTS ** (turn + 1))), F.lit(turn)).alias("h"), "rep", "n")
             pivots = members.where("major IS NULL OR c = major").groupBy("token").agg(F.min(draw).alias("pivot"))
+            return members.join(pivots, "token").where(F.col("rep") != F.col("pivot.rep"))
+
+        def pivot_pairs(members: DataFrame) -> DataFrame:
+            """Each class outside its list's largest component with the pivot of the list."""
             near = F.least("n", "pivot.n") * den >= F.greatest("n", "pivot.n") * num
-            apart = (F.col("rep") != F.col("pivot.rep")) & (F.col("major").isNull() | (F.col("c") != F.col("major")))
-            pairs = members.where("major IS NULL OR c <> major").join(pivots, "token").where(near & apart)
+            pairs = members.where(near & (F.col("major").isNull() | (F.col("c") != F.col("major"))))
             return pairs.select(F.least("rep", "pivot.rep").alias("a"), F.greatest("rep", "pivot.rep").alias("b")).distinct()
 
         def mixed_lists(members: DataFrame, links: DataFrame) -> DataFrame:
             """What is left of ``members``: the lists that still hold several components, with their component and the list's largest."""
             found = components(links)
-            member = members.select(*postings.columns).join(found, F.col("rep") == F.col("node"), "left").select(*postings.columns, F.coalesce("component", "rep").alias("c"))
+            member = shared_postings(members.select(*postings.columns), num, den)
+            member = member.join(found, F.col("rep") == F.col("node"), "left").select(*postings.columns, F.coalesce("component", "rep").alias("c"))
             mixed = member.groupBy("token", "c").count().groupBy("token").agg(F.max_by("c", F.struct("count", "c")).alias("major"), F.count("*").alias("k"))
             return stash(member.join(mixed.where("k > 1").drop("k"), "token"), "members")
 
         members, links, tried, before = postings.withColumns({"c": F.col("rep"), "major": F.lit(None).cast("long")}), None, None, None
         for turn in range(MAX_ROUNDS):
-            pairs = pivot_pairs(members, turn)
+            members = stash(with_pivots(members, turn), "with-pivots")
+            pairs = pivot_pairs(members)
             if tried is not None:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti")
             pairs = stash(possible(pairs), f"pivots{turn}")
